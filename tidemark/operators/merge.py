@@ -96,7 +96,7 @@ def guard_not_null(df: DataFrame, cols: Sequence[str], mode: str = "fail") -> Da
     return df
 
 
-def assign_ids(df: DataFrame, start: int, id_col: str = "id") -> DataFrame:
+def assign_ids(df: DataFrame, start: int, id_col: str = "id", with_count: bool = False):
     """Dense, unique, increasing ids ``start, start+1, ...`` without a global sort.
 
     The frame is checkpointed first (reliable, in the shared checkpoint folder) so partition
@@ -112,7 +112,9 @@ def assign_ids(df: DataFrame, start: int, id_col: str = "id") -> DataFrame:
         offsets[row["__p"]] = acc
         acc += row["count"]
     if not offsets:
-        return fixed.withColumn(id_col, F.lit(None).cast("long"))
-    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))])
-    in_part = mid - F.shiftleft(pid.cast("long"), 33)
-    return fixed.withColumn(id_col, (F.element_at(offset_map, pid) + in_part).cast("long"))
+        out = fixed.withColumn(id_col, F.lit(None).cast("long"))
+    else:
+        offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))])
+        in_part = mid - F.shiftleft(pid.cast("long"), 33)
+        out = fixed.withColumn(id_col, (F.element_at(offset_map, pid) + in_part).cast("long"))
+    return (out, acc - start) if with_count else out

@@ -68,13 +68,14 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
                            F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
         res.payloads, res.quarantined = c["n"], c["bad"]
         rows = harmonised_rows(kind, classified, assets, strict)
-        if rows.limit(1).count() == 0:
-            # no usable payload at all: the source fails like an empty batch reaching the contract
+        spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
+        stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
+        if stats.rows_in == 0:
+            # no usable payload at all: the source fails like an empty batch reaching the
+            # column contract (nothing was written: an empty batch is a no-op at the sink)
             required = {"price": S.PRICE_REQUIRED_COLUMNS, "market": S.MARKET_REQUIRED_COLUMNS,
                         "news": S.NEWS_REQUIRED_COLUMNS}[kind]
             raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(required))
-        spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
-        stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
         res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
         res.rows_ignored = stats.rows_ignored + stats.rows_null_dropped
         res.ok = True

@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.operators.merge import (
-    first_per_key, guard_not_null, latest_per_key, normalise_nan, null_violation,
+    first_per_key, latest_per_key, normalise_nan, null_violation,
 )
-from tidemark.operators.sizing import broadcast_if_small
+from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
 from tidemark.session import ensure_utc, shared_dir
 
 ORDER = ["batch_id", "ingest_ts", "seq"]
@@ -116,57 +116,69 @@ class TableStore:
         return normalise_nan(typed)
 
     def _write_partitions(self, spec: S.TableSpec, df: DataFrame, mode: str) -> None:
+        """Rebalance (AQE splits a large partition value over several tasks and merges small
+        ones), sort within files, write partitioned."""
         part = spec.partition_col
-        laid_out = df.repartitionByRange(part, *spec.sort_cols).sortWithinPartitions(part, *spec.sort_cols)
+        laid_out = df.hint("rebalance", part).sortWithinPartitions(part, *spec.sort_cols)
         laid_out.write.mode(mode).partitionBy(part).parquet(self.path(spec))
 
+    def _winners(self, spec, inc, order, pick):
+        """Checkpointed per-key winners + (row count, touched storage partitions) in one pass."""
+        winners = pick(inc, spec.key, order).select(*spec.columns_no_id) \
+            .withColumn(spec.partition_col, F.expr(spec.partition_expr)).checkpoint(eager=True)
+        # touched partitions: months (bounded by the batch's time span) or assets (dimension)
+        agg = winners.agg(F.count(F.lit(1)).alias("n"),
+                          F.collect_set(spec.partition_col).alias("parts")).first()
+        return winners, agg["n"], sorted(agg["parts"])
+
+    def _keys_side(self, df: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(df) if n <= self.broadcast_rows else df
+
+    broadcast_rows = DEFAULT_BROADCAST_ROWS
+
     def upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """REPLACE: last arrival per key wins (whole row); a NULL in a NOT NULL column fails
         the batch before anything is written; an empty batch is a no-op."""
         stats = WriteStats(spec.name)
-        inc = self._prepare(spec, incoming, order).checkpoint(eager=True)
-        stats.rows_in = inc.count()
+        inc = self._prepare(spec, incoming, order)
+        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(null_violation(spec.not_null)).alias("bad")).first()
+        stats.rows_in = c["n"]
         if stats.rows_in == 0:
             return stats
-        guard_not_null(inc, spec.not_null, "fail")
-        winners = latest_per_key(inc, spec.key, order).select(*spec.columns) \
-            .withColumn(spec.partition_col, F.expr(spec.partition_expr))
-        winners = winners.checkpoint(eager=True)
-        # months touched by this batch: a short list (bounded by the batch's time span)
-        touched = [r[0] for r in winners.select(spec.partition_col).distinct().collect()]
+        if c["bad"]:
+            raise ValueError(f"NOT NULL constraint failed: {c['bad']} row(s) with NULL in one of "
+                             f"{spec.not_null}; batch not written")
+        winners, n, touched = self._winners(spec, inc, order, latest_per_key)
         base = self.read(spec).where(F.col(spec.partition_col).isin(touched))
-        keys = broadcast_if_small(winners.select(*spec.key))
-        kept = base.join(keys, spec.key, "left_anti")
+        # winner keys are the small side whenever the batch is; base rows of untouched keys stay
+        kept = base.join(self._keys_side(winners.select(*spec.key), n), spec.key, "left_anti")
         self._write_partitions(spec, kept.unionByName(winners), "overwrite")
-        stats.rows_written = winners.count()
-        stats.partitions = sorted(touched)
+        stats.rows_written, stats.partitions = n, touched
         return stats
 
     def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """IGNORE: first arrival per key wins within and across batches; rows with NULL in a
         NOT NULL column are skipped and counted; new rows get increasing ids."""
         stats = WriteStats(spec.name)
+        bad = null_violation([c for c in spec.not_null if c != "id"])
         inc = self._prepare(spec, incoming, order)
-        not_null = [c for c in spec.not_null if c != "id"]
-        inc = inc.withColumn("__bad", null_violation(not_null)).checkpoint(eager=True)
-        counts = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if("__bad").alias("bad")).first()
-        stats.rows_in, stats.rows_null_dropped = counts["n"], counts["bad"]
-        inc = inc.where(~F.col("__bad")).drop("__bad")
+        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
+        stats.rows_in, stats.rows_null_dropped = c["n"], c["bad"]
         if stats.rows_in - stats.rows_null_dropped == 0:
             return stats
-        winners = first_per_key(inc, spec.key, order).checkpoint(eager=True)
-        touched = [r[0] for r in winners.select("asset").distinct().collect()]  # asset dimension
-        inc_keys = broadcast_if_small(winners.select(*spec.key))
+        winners, n, touched = self._winners(spec, inc.where(~bad), order, first_per_key)
+        # existing = stored keys that the batch also has: a map-side semi join of the stored
+        # keys against the (broadcast) batch keys; |existing| <= n, so it may be broadcast too
+        inc_keys = self._keys_side(winners.select(*spec.key), n)
         existing = self.read(spec).where(F.col(spec.partition_col).isin(touched)) \
             .select(*spec.key).join(inc_keys, spec.key, "left_semi")
-        new = winners.join(broadcast_if_small(existing), spec.key, "left_anti")
-        new = self.assign_ids(spec, new)
-        stats.rows_written = new.count()
-        stats.rows_ignored = stats.rows_in - stats.rows_null_dropped - stats.rows_written
-        if stats.rows_written:
-            out = new.select(*spec.columns).withColumn(spec.partition_col, F.expr(spec.partition_expr))
-            self._write_partitions(spec, out, "append")
-        stats.partitions = sorted(touched)
+        new = winners.join(self._keys_side(existing, n), spec.key, "left_anti")
+        new, written = self.assign_ids(spec, new)
+        stats.rows_written = written
+        stats.rows_ignored = stats.rows_in - stats.rows_null_dropped - written
+        if written:
+            self._write_partitions(spec, new.select(*spec.columns, spec.partition_col), "append")
+        stats.partitions = touched
         return stats
 
     # -- K7: surrogate ids ------------------------------------------------------------
@@ -182,13 +194,13 @@ class TableStore:
         row = self.read(spec).agg(F.max("id").alias("m")).first()   # fallback: one-column scan
         return (row["m"] or 0) + 1
 
-    def assign_ids(self, spec: S.TableSpec, new: DataFrame) -> DataFrame:
-        """Ids continue from the stored high-water mark: unique, increasing, gap-free per batch."""
+    def assign_ids(self, spec: S.TableSpec, new: DataFrame):
+        """Ids continue from the stored high-water mark: unique, increasing, gap-free per batch.
+        Returns (frame with ids, number of rows)."""
         from tidemark.operators.merge import assign_ids
         start = self._next_id(spec)
-        with_ids = assign_ids(new, start)
-        n = with_ids.count()
+        with_ids, n = assign_ids(new, start, with_count=True)
         if n:
             self.spark.createDataFrame([(start + n,)], "next_id long") \
                 .write.mode("overwrite").parquet(self._id_path(spec))
-        return with_ids
+        return with_ids, n

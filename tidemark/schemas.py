@@ -81,6 +81,10 @@ class TableSpec:
     def columns(self):
         return self.schema.fieldNames()
 
+    @property
+    def columns_no_id(self):
+        return [c for c in self.columns if c != "id"]
+
 
 # Price and market partitions are a function of the key column `timestamp` (month), which
 # makes partition-scoped replacement sound. News is keyed by (asset, url) with no time in the
