@@ -32,9 +32,8 @@ def ingest_into_store(spark: SparkSession, sf: str, store: TableStore | None = N
     store = store or TableStore(spark, scratch_path(spark, "store"))
     store.create_tables()
     price, market, news = envelopes(spark, sf)
-    results = run_ingest(spark, store, price=price, market=None, news=None, assets=PRICE_ASSETS)[:1]
-    results += run_ingest(spark, store, market=market)[1:2]
-    results += run_ingest(spark, store, news=news, assets=NEWS_ASSETS)[2:]
+    results = run_ingest(spark, store, price=price, market=market, news=news,
+                         assets={"price": PRICE_ASSETS, "news": NEWS_ASSETS})
     return store, results
 
 

@@ -7,6 +7,7 @@ the outcome of every source goes into a small run report.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,15 +86,27 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
 
 
 def run_ingest(spark: SparkSession, store: TableStore, price=None, market=None, news=None,
-               assets=None, strict: bool = True) -> list[SourceResult]:
-    """Price, market, news in that order; a source with no landing input fails."""
-    out = []
-    for kind, landing in (("price", price), ("market", market), ("news", news)):
+               assets=None, strict: bool = True, parallel: bool = True) -> list[SourceResult]:
+    """Price, market and news; a source with no landing input fails.
+
+    The sources are independent (own landing input, own table), so by default they run as
+    concurrent Spark jobs from a small thread pool; results come back in source order.
+    ``assets`` is one allow-list for all sources or a dict ``{source: allow-list}``.
+    """
+    def allow(kind):
+        return assets.get(kind) if isinstance(assets, dict) else assets
+
+    def one(kind, landing):
         if landing is None:
-            out.append(SourceResult(kind, error="no landing input"))
-        else:
-            out.append(ingest_source(spark, store, kind, landing, assets, strict))
-    return out
+            return SourceResult(kind, error="no landing input")
+        return ingest_source(spark, store, kind, landing, allow(kind), strict)
+
+    work = [("price", price), ("market", market), ("news", news)]
+    if not parallel:
+        return [one(k, land) for k, land in work]
+    with ThreadPoolExecutor(max_workers=len(work), thread_name_prefix="ingest") as pool:
+        futures = [pool.submit(one, k, land) for k, land in work]
+        return [f.result() for f in futures]
 
 
 def report_frame(spark: SparkSession, results: list[SourceResult]) -> DataFrame:
