@@ -8,6 +8,7 @@ rows-only by the driver and against brute force in the tests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.plans import landing_from_tables as L
@@ -27,16 +28,38 @@ def envelopes(spark: SparkSession, sf: str):
     return L.price_envelopes(ev), L.market_envelopes(ev), L.news_envelopes(docs)
 
 
-def ingest_into_store(spark: SparkSession, sf: str, store: TableStore | None = None):
+def ingest_into_store(spark: SparkSession, sf: str, store: TableStore | None = None,
+                      kinds=("price", "market", "news")):
     ensure_utc(spark)
     store = store or TableStore(spark, scratch_path(spark, "store"))
     store.create_tables()
     price, market, news = envelopes(spark, sf)
-    results = run_ingest(spark, store, price=price, market=market, news=news,
+    results = run_ingest(spark, store, price=price if "price" in kinds else None,
+                         market=market if "market" in kinds else None,
+                         news=news if "news" in kinds else None,
                          assets={"price": PRICE_ASSETS, "news": NEWS_ASSETS})
     return store, results
 
 
+def _stored(spark, sf, spec, kind):
+    store, _ = ingest_into_store(spark, sf, kinds=(kind,))
+    cols = [F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c)
+            for c in spec.columns_no_id]
+    return store.read(spec).select(*cols)
+
+
+def q_stored_price_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, S.PRICE, "price")
+
+
+def q_stored_market_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, S.MARKET, "market")
+
+
+def q_stored_news_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, S.NEWS, "news")
+
+
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
     _, results = ingest_into_store(spark, sf)
     return report_frame(spark, results)
@@ -50,12 +73,46 @@ def q_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     return p.unionByName(n)
 
 
-def q_stored_price_table(spark: SparkSession, sf: str) -> DataFrame:
-    store, _ = ingest_into_store(spark, sf)
-    return store.read(S.PRICE).select(*S.PRICE.columns)
-
-
 END_TO_END_QUERIES = {
+    "stored_price_table": q_stored_price_table,
+    "stored_market_table": q_stored_market_table,
+    "stored_news_table": q_stored_news_table,
     "run_report": q_run_report,
     "quarantine_counts": q_quarantine_counts,
 }
+
+_PRICE_IN = "('click','view','purchase','error')"
+_NEWS_IN = "(" + ",".join(f"'{a}'" for a in NEWS_ASSETS) + ")"
+
+# The stored tables after a full ingest of the derived landing payloads, in SQL:
+# price  - payloads are 256-event blocks per asset; an 'error' block holding an event id
+#          divisible by 97 is quarantined whole; the last arrival per (asset, hour) wins;
+#          volumes are one point short per payload (NULL for a block's last point).
+# market - one snapshot per hour: btc = max(value), cap = min(value), volume = count.
+# news   - first arrival per (source, text digest) of non-empty texts of supported sources.
+END_TO_END_SQL = {
+    "stored_price_table": f"""
+with e as (select event_id, event_type, ts, value, event_id // 256 blk from events),
+bad as (select distinct event_type, blk from e where event_type = 'error' and event_id % 97 = 0),
+v as (select e.* from e anti join bad on e.event_type = bad.event_type and e.blk = bad.blk
+      where e.event_type in {_PRICE_IN}),
+b as (select *, max(event_id) over (partition by event_type, blk) last_id,
+             count(*) over (partition by event_type, blk) n from v),
+r as (select *, row_number() over (partition by event_type, date_trunc('hour', ts)
+                                   order by event_id desc) rn from b)
+select event_type asset, date_trunc('hour', ts) "timestamp", value "close",
+       case when event_id = last_id and n > 1 then null else value * 10 end volume,
+       value * 1000 market_cap, 'coingecko' source
+from r where rn = 1""",
+    "stored_market_table": """
+select date_trunc('hour', ts) "timestamp", max(value) btc_dominance, 'coingecko' source,
+       min(value) total_market_cap_usd, cast(count(*) as double) total_volume_usd
+from events group by 1""",
+    "stored_news_table": f"""
+with d as (select *, row_number() over (partition by source, text order by doc_id) rn
+           from documents where text <> '' and source in {_NEWS_IN})
+select source asset, date_trunc('hour', make_timestamp((1704067200 + doc_id * 60) * 1000000)) "timestamp",
+       text headline, 'https://news.example/' || sha256(text) url, 'cryptocompare' source,
+       cast(0 as bigint) votes_positive, cast(0 as bigint) votes_negative
+from d where rn = 1""",
+}

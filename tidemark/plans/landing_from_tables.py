@@ -4,7 +4,8 @@
                  points in event order; caps = value x 1000, volumes one point short (ragged).
                  In 'error' payloads every 97th point has a NULL value (-> quarantined), and
                  'signup' payloads of every 13th block are cut short (-> unparseable).
-              -> global-market payloads, one per hour (btc = mean value, usd totals).
+              -> global-market payloads, one per hour (btc = max value, cap = min value,
+                 volume = event count: order-independent, exactly reproducible values).
 ``documents`` -> news payloads, one per (source, block of 400 doc ids); title = the whole text,
                  url = digest of the text (copies share it), published = doc_id minutes.
 Payload size is bounded by the block size, never by a key's total row count.
@@ -43,7 +44,7 @@ def price_envelopes(events: DataFrame) -> DataFrame:
 def market_envelopes(events: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
     g = events.groupBy(hour.alias("hour")).agg(
-        F.avg("value").alias("btc"), F.sum("value").alias("cap"), F.count(F.lit(1)).alias("vol"),
+        F.max("value").alias("btc"), F.min("value").alias("cap"), F.count(F.lit(1)).alias("vol"),
         F.max("ts").alias("last_ts"))
     m = lambda k, v: F.create_map(F.lit(k), v.cast("double"))
     body = F.to_json(F.struct(F.struct(m("btc", F.col("btc")).alias("market_cap_percentage"),
