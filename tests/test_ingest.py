@@ -129,3 +129,31 @@ def test_stream_equals_batch(spark, tmp_path):
     b = sorted(tuple(r) for r in stream_store.read(S.PRICE).collect())
     assert a == b and len(a) == 3
     assert spark.read.parquet(str(tmp_path / "rep")).where("ok").count() == 2
+
+
+def test_lookback_days_bounds_history(spark, store, tmp_path):
+    day = 86_400_000
+    ingest = 1713657600000                                     # 2024-04-21 00:00Z
+    pts = [(ingest - 3 * day, 1.0), (ingest - day - 3_600_000, 2.0), (ingest - day, 3.0), (ingest - 60_000, 4.0)]
+    p = landing(tmp_path, "price", [env_line("BTC", "2024-04-21T00:10:00Z", 1, chart(pts))])
+    run_ingest(spark, store, price=p, lookback_days=1)
+    assert sorted(r.close for r in store.read(S.PRICE).collect()) == [3.0, 4.0]
+
+
+def test_max_articles_keeps_newest_per_payload(spark, store, tmp_path):
+    arts = {"Data": [{"TITLE": f"t{i}", "URL": f"u{i}", "PUBLISHED_ON": 1713654000 + i * 60} for i in range(25)]}
+    n = landing(tmp_path, "news", [env_line("BTC", T0, 1, arts), env_line("ETH", T0, 1, NEWS)])
+    res = run_ingest(spark, store, news=n, max_articles=20)[2]
+    assert res.ok and res.rows_written == 21
+    got = sorted(int(r.headline[1:]) for r in store.read(S.NEWS).where("asset = 'BTC'").collect())
+    assert got == list(range(5, 25))
+
+
+def test_report_counts_dedup_and_empty_urls(spark, store, tmp_path):
+    arts = {"Data": [{"TITLE": "a", "PUBLISHED_ON": 1713654000}, {"TITLE": "b", "PUBLISHED_ON": 1713654000},
+                     {"TITLE": "c", "URL": "x", "PUBLISHED_ON": 1713654000}]}
+    n = landing(tmp_path, "news", [env_line("BTC", T0, 1, arts)])
+    r = run_ingest(spark, store, news=n)[2]
+    assert (r.rows_in, r.rows_written, r.rows_deduped, r.rows_empty_url) == (3, 2, 1, 2)
+    r2 = run_ingest(spark, store, news=n)[2]
+    assert (r2.rows_written, r2.rows_ignored) == (0, 2)

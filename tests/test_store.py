@@ -133,7 +133,8 @@ def test_news_same_url_other_asset_is_other_key(spark, store):
 def test_news_null_url_skipped_empty_url_is_a_key(spark, store):
     st = store.insert_ignore(S.NEWS, news(spark, [("BTC", "a", None, T10), ("BTC", "b", "", T10),
                                                  ("BTC", "c", "", T10)]))
-    assert (st.rows_null_dropped, st.rows_written, st.rows_ignored) == (1, 1, 1)
+    assert (st.rows_null_dropped, st.rows_written, st.rows_deduped, st.rows_ignored, st.rows_empty_url) == \
+        (1, 1, 1, 0, 2)
     assert [r.headline for r in store.read(S.NEWS).collect()] == ["b"]
 
 

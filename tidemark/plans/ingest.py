@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price
-from tidemark.operators.merge import first_per_key
+from tidemark.functions.timefn import floor_hour
+from tidemark.operators.audit import top_n_per_group
+from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price, lookback
 from tidemark.plans.store import ORDER, TableStore
 from tidemark.sources import shred
 from tidemark.sources.landing import landed_from_frame, read_landing
 
 REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, rows_in long, "
-                 "rows_written long, rows_ignored long, error string")
+                 "rows_written long, rows_ignored long, rows_null_dropped long, rows_deduped long, "
+                 "rows_empty_url long, error string")
 
 
 @dataclass
@@ -32,7 +34,10 @@ class SourceResult:
     quarantined: int = 0
     rows_in: int = 0
     rows_written: int = 0
-    rows_ignored: int = 0
+    rows_ignored: int = 0          # already stored (IGNORE) — attempted minus inserted
+    rows_null_dropped: int = 0     # NULL in a NOT NULL column (IGNORE tables skip them)
+    rows_deduped: int = 0          # later duplicates of a key within this batch
+    rows_empty_url: int = 0        # articles without a URL ("" takes part in the key)
     error: str | None = None
 
 
@@ -45,22 +50,34 @@ def _landed(spark: SparkSession, landing) -> DataFrame:
     return read_landing(spark, landing)
 
 
-def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool = True) -> DataFrame:
-    """Good payloads of ``kind`` -> harmonised rows (still carrying arrival order)."""
+def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool = True,
+                    lookback_days: int | None = None, max_articles: int | None = None) -> DataFrame:
+    """Good payloads of ``kind`` -> harmonised rows (still carrying arrival order).
+
+    ``lookback_days`` keeps price points no older than that many days before their payload's
+    ingest time (the request's history bound); ``max_articles`` keeps the newest N articles of
+    each news payload (the request's page size). In-batch news dedup on (asset, url) is done
+    by the sink's first-arrival rule, which is the same ordering.
+    """
     if kind == "price":
-        return harmonise_price(shred.shred_chart(classified), assets, strict)
+        rows = shred.shred_chart(classified)
+        if lookback_days is not None:
+            rows = lookback(rows, "timestamp", floor_hour(F.col("ingest_ts")), lookback_days)
+        return harmonise_price(rows, assets, strict)
     if kind == "market":
         return harmonise_market(shred.shred_global(classified), strict)
     if kind == "news":
         rows = shred.shred_news(classified)
-        # in-batch dedup on (asset, url), first arrival kept
-        rows = first_per_key(rows, ["asset", "url"], ORDER)
+        if max_articles is not None:
+            rows = top_n_per_group(rows.withColumn("__payload", F.struct("asset", "batch_id", "ingest_ts")),
+                                   "__payload", [F.col("published_at").desc(), F.col("seq").desc()],
+                                   max_articles).drop("__payload")
         return harmonise_news(rows, assets, strict)
     raise ValueError(f"unknown source {kind!r}")
 
 
 def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, assets=None,
-                  strict: bool = True) -> SourceResult:
+                  strict: bool = True, **options) -> SourceResult:
     """One source, fully isolated: any error is recorded, never raised."""
     res = SourceResult(kind)
     try:
@@ -68,7 +85,7 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         c = classified.agg(F.count(F.lit(1)).alias("n"),
                            F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
         res.payloads, res.quarantined = c["n"], c["bad"]
-        rows = harmonised_rows(kind, classified, assets, strict)
+        rows = harmonised_rows(kind, classified, assets, strict, **options)
         spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
         stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
         if stats.rows_in == 0:
@@ -78,7 +95,8 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
                         "news": S.NEWS_REQUIRED_COLUMNS}[kind]
             raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(required))
         res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
-        res.rows_ignored = stats.rows_ignored + stats.rows_null_dropped
+        res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
+        res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500] if str(e) else ''}"
@@ -86,7 +104,8 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
 
 
 def run_ingest(spark: SparkSession, store: TableStore, price=None, market=None, news=None,
-               assets=None, strict: bool = True, parallel: bool = True) -> list[SourceResult]:
+               assets=None, strict: bool = True, parallel: bool = True,
+               lookback_days: int | None = None, max_articles: int | None = None) -> list[SourceResult]:
     """Price, market and news; a source with no landing input fails.
 
     The sources are independent (own landing input, own table), so by default they run as
@@ -99,7 +118,9 @@ def run_ingest(spark: SparkSession, store: TableStore, price=None, market=None,
     def one(kind, landing):
         if landing is None:
             return SourceResult(kind, error="no landing input")
-        return ingest_source(spark, store, kind, landing, allow(kind), strict)
+        opts = {"lookback_days": lookback_days} if kind == "price" else \
+            {"max_articles": max_articles} if kind == "news" else {}
+        return ingest_source(spark, store, kind, landing, allow(kind), strict, **opts)
 
     work = [("price", price), ("market", market), ("news", news)]
     if not parallel:

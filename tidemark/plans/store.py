@@ -35,6 +35,8 @@ class WriteStats:
     rows_written: int = 0
     rows_ignored: int = 0
     rows_null_dropped: int = 0
+    rows_deduped: int = 0
+    rows_empty_url: int = 0
     partitions: list = field(default_factory=list)
 
 
@@ -154,6 +156,7 @@ class TableStore:
         kept = base.join(self._keys_side(winners.select(*spec.key), n), spec.key, "left_anti")
         self._write_partitions(spec, kept.unionByName(winners), "overwrite")
         stats.rows_written, stats.partitions = n, touched
+        stats.rows_deduped = stats.rows_in - n
         return stats
 
     def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
@@ -162,8 +165,10 @@ class TableStore:
         stats = WriteStats(spec.name)
         bad = null_violation([c for c in spec.not_null if c != "id"])
         inc = self._prepare(spec, incoming, order)
-        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
-        stats.rows_in, stats.rows_null_dropped = c["n"], c["bad"]
+        empty_url = F.count_if(F.col("url") == F.lit("")) if "url" in spec.columns else F.lit(0)
+        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"),
+                    empty_url.alias("empty_url")).first()
+        stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
         if stats.rows_in - stats.rows_null_dropped == 0:
             return stats
         winners, n, touched = self._winners(spec, inc.where(~bad), order, first_per_key)
@@ -175,7 +180,8 @@ class TableStore:
         new = winners.join(self._keys_side(existing, n), spec.key, "left_anti")
         new, written = self.assign_ids(spec, new)
         stats.rows_written = written
-        stats.rows_ignored = stats.rows_in - stats.rows_null_dropped - written
+        stats.rows_deduped = stats.rows_in - stats.rows_null_dropped - n
+        stats.rows_ignored = n - written
         if written:
             self._write_partitions(spec, new.select(*spec.columns, spec.partition_col), "append")
         stats.partitions = touched
