@@ -32,7 +32,7 @@ def ingest_into_store(spark: SparkSession, sf: str, store: TableStore | None = N
                       kinds=("price", "market", "news")):
     ensure_utc(spark)
     store = store or TableStore(spark, scratch_path(spark, "store"))
-    store.create_tables()
+    store.create_tables([{"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[k] for k in kinds])
     price, market, news = envelopes(spark, sf)
     results = run_ingest(spark, store, price=price if "price" in kinds else None,
                          market=market if "market" in kinds else None,

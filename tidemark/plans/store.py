@@ -80,11 +80,12 @@ class TableStore:
 
     # -- K4: create -------------------------------------------------------------------
     def create_tables(self, specs=(S.PRICE, S.MARKET, S.NEWS)) -> None:
-        """Create missing tables (an empty, schema-carrying parquet dataset); existing ones untouched."""
+        """Create missing tables; existing ones are left untouched (a metadata call, no job)."""
         for spec in specs:
-            if not self.exists(spec):
-                empty = self.spark.createDataFrame([], self.storage_schema(spec))
-                empty.write.mode("errorifexists").partitionBy(spec.partition_col).parquet(self.path(spec))
+            # readers always pass the declared schema, so an empty directory is an empty table
+            fs, p = self._fs(self.path(spec))
+            if not fs.exists(p):
+                fs.mkdirs(p)
 
     # -- scans ------------------------------------------------------------------------
     def read(self, spec: S.TableSpec) -> DataFrame:
@@ -191,13 +192,37 @@ class TableStore:
     def _id_path(self, spec: S.TableSpec) -> str:
         return f"{self.root}/_meta/{spec.name}_next_id"
 
-    def _next_id(self, spec: S.TableSpec) -> int:
-        fs, p = self._fs(self._id_path(spec))
+    def _read_meta(self, path: str) -> str | None:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _write_meta(self, path: str, value: str) -> None:
+        """Small metadata file, written beside and then renamed over the old one."""
+        fs, p = self._fs(path)
+        jvm = self.spark.sparkContext._jvm
+        tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.writeUTF(value)
+        finally:
+            out.close()
         if fs.exists(p):
-            row = self.spark.read.parquet(self._id_path(spec)).first()
-            if row is not None:
-                return int(row["next_id"])
-        row = self.read(spec).agg(F.max("id").alias("m")).first()   # fallback: one-column scan
+            fs.delete(p, False)
+        fs.rename(tmp, p)
+
+    def _next_id(self, spec: S.TableSpec) -> int:
+        """Next free id: the high-water mark file, or (if it is missing) max(id) + 1 via a
+        one-column scan."""
+        mark = self._read_meta(self._id_path(spec))
+        if mark is not None:
+            return int(mark)
+        row = self.read(spec).agg(F.max("id").alias("m")).first()
         return (row["m"] or 0) + 1
 
     def assign_ids(self, spec: S.TableSpec, new: DataFrame):
@@ -207,6 +232,5 @@ class TableStore:
         start = self._next_id(spec)
         with_ids, n = assign_ids(new, start, with_count=True)
         if n:
-            self.spark.createDataFrame([(start + n,)], "next_id long") \
-                .write.mode("overwrite").parquet(self._id_path(spec))
+            self._write_meta(self._id_path(spec), str(start + n))
         return with_ids, n

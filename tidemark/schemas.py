@@ -114,14 +114,9 @@ GLOBAL_PAYLOAD = T.StructType([
         T.StructField("total_volume", CURRENCY_MAP),
     ])),
 ])
-# News articles stay raw JSON text per element so key presence can be tested
-# (an absent URL defaults to "", an explicit null does not).
-NEWS_PAYLOAD = T.StructType([T.StructField("Data", T.ArrayType(T.StringType()))])
-ARTICLE = T.StructType([
-    T.StructField("TITLE", T.StringType()),
-    T.StructField("URL", T.StringType()),
-    T.StructField("PUBLISHED_ON", T.StringType()),
-])
+# News articles are parsed as string maps: one parse per payload, and key presence is kept
+# (an absent URL defaults to "", an explicit null does not); numbers arrive as their text.
+NEWS_PAYLOAD = T.StructType([T.StructField("Data", T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
 
 
 def envelope_schema(payload_type: T.DataType | None = None) -> T.StructType:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.nested import get_or, json_has_key
+from tidemark.functions.nested import get_or
 from tidemark.functions.timefn import epoch_millis_to_ts, epoch_seconds_to_ts, floor_hour
 from tidemark.sources.landing import classify
 
@@ -110,10 +110,10 @@ def classify_news(landed: DataFrame) -> DataFrame:
     return classify(landed, S.NEWS_PAYLOAD)
 
 
-def published_at(article: Column, parsed: Column, ingest_ts: Column) -> Column:
+def published_at(article: Column, ingest_ts: Column) -> Column:
     """Unix seconds -> UTC. Key absent -> epoch 0; null or non-numeric -> the ingest time."""
-    secs = parsed["PUBLISHED_ON"].try_cast("double")
-    return F.when(~json_has_key(article, "PUBLISHED_ON"), epoch_seconds_to_ts(F.lit(0))) \
+    secs = F.try_element_at(article, F.lit("PUBLISHED_ON")).try_cast("double")
+    return F.when(~F.map_contains_key(article, F.lit("PUBLISHED_ON")), epoch_seconds_to_ts(F.lit(0))) \
         .when(secs.isNull(), ingest_ts) \
         .otherwise(epoch_seconds_to_ts(secs))
 
@@ -127,14 +127,15 @@ def shred_news(classified: DataFrame, source: str = S.NEWS_SOURCE) -> DataFrame:
     good = classified.where(F.col("reason").isNull())
     arts = good.select("asset", "ingest_ts", "batch_id",
                        F.posexplode(F.col("p.Data")).alias("seq", "art"))
-    parsed = F.from_json(F.col("art"), S.ARTICLE)
-    arts = arts.withColumn("a", parsed)
-    title = F.col("a.TITLE")
+    art = F.col("art")
+    title = F.try_element_at(art, F.lit("TITLE"))
+    url = F.when(F.map_contains_key(art, F.lit("URL")), F.try_element_at(art, F.lit("URL"))) \
+        .otherwise(F.lit(""))
     return arts.where(title.isNotNull() & (title != F.lit(""))).select(
         "asset",
         title.alias("headline"),
-        F.when(json_has_key(F.col("art"), "URL"), F.col("a.URL")).otherwise(F.lit("")).alias("url"),
-        published_at(F.col("art"), F.col("a"), F.col("ingest_ts")).alias("published_at"),
+        url.alias("url"),
+        published_at(art, F.col("ingest_ts")).alias("published_at"),
         F.lit(0).cast("long").alias("votes_positive"),
         F.lit(0).cast("long").alias("votes_negative"),
         F.lit(source).alias("source"),
