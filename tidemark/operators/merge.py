@@ -100,21 +100,21 @@ def assign_ids(df: DataFrame, start: int, id_col: str = "id", with_count: bool =
     """Dense, unique, increasing ids ``start, start+1, ...`` without a global sort.
 
     The frame is checkpointed first (reliable, in the shared checkpoint folder) so partition
-    contents are fixed; per-partition row counts (one small row per partition) give each
-    partition its offset, and the in-partition position comes from
-    ``monotonically_increasing_id``. Recomputing a lost partition yields the same ids.
+    contents are fixed and a lost partition recomputes to the same ids. Each row gets its
+    (partition, position-in-partition); per-partition row counts — one small row per
+    partition, a proven bound — give each partition its offset, joined back by broadcast.
     """
+    spark = df.sparkSession
     fixed = df.checkpoint(eager=True)
-    pid, mid = F.spark_partition_id(), F.monotonically_increasing_id()
-    counts = fixed.groupBy(pid.alias("__p")).count().collect()   # one row per partition
-    offsets, acc = {}, start
-    for row in sorted(counts, key=lambda r: r["__p"]):
-        offsets[row["__p"]] = acc
-        acc += row["count"]
-    if not offsets:
-        out = fixed.withColumn(id_col, F.lit(None).cast("long"))
-    else:
-        offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))])
-        in_part = mid - F.shiftleft(pid.cast("long"), 33)
-        out = fixed.withColumn(id_col, (F.element_at(offset_map, pid) + in_part).cast("long"))
+    pid = F.spark_partition_id()
+    placed = fixed.select("*", pid.alias("__p"),
+                          (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("__i"))
+    counts = sorted((r["__p"], r["count"]) for r in placed.groupBy("__p").count().collect())
+    offsets, acc = [], start
+    for p, n in counts:
+        offsets.append((p, acc))
+        acc += n
+    table = spark.createDataFrame(offsets, "__p int, __o long")
+    out = placed.join(F.broadcast(table), "__p").withColumn(id_col, (F.col("__o") + F.col("__i")).cast("long")) \
+        .drop("__p", "__i", "__o")
     return (out, acc - start) if with_count else out
