@@ -73,7 +73,26 @@ def q_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     return p.unionByName(n)
 
 
+def q_stream_price_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The price ingest as a Structured Streaming job: derived envelopes are landed as JSON
+    files in the shared folder, consumed by an availableNow file stream whose foreachBatch runs
+    the same merge. Same stored table as the batch run (``stored_price_table``)."""
+    from tidemark.streaming.stream import run_stream_to_completion
+    ensure_utc(spark)
+    root = scratch_path(spark, "stream")
+    land = f"{root}/landing"
+    price, _, _ = envelopes(spark, sf)
+    price.write.mode("errorifexists").json(land)
+    store = TableStore(spark, f"{root}/store")
+    store.create_tables([S.PRICE])
+    run_stream_to_completion(spark, store, "price", land, f"{root}/_checkpoint", PRICE_ASSETS)
+    cols = [F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c)
+            for c in S.PRICE.columns_no_id]
+    return store.read(S.PRICE).select(*cols)
+
+
 END_TO_END_QUERIES = {
+    "stream_price_table": q_stream_price_table,
     "stored_price_table": q_stored_price_table,
     "stored_market_table": q_stored_market_table,
     "stored_news_table": q_stored_news_table,
@@ -116,3 +135,4 @@ select source asset, date_trunc('hour', make_timestamp((1704067200 + doc_id * 60
        cast(0 as bigint) votes_positive, cast(0 as bigint) votes_negative
 from d where rn = 1""",
 }
+END_TO_END_SQL["stream_price_table"] = END_TO_END_SQL["stored_price_table"]

@@ -18,12 +18,19 @@ PAYLOAD_CORRUPT = "_corrupt_payload"
 ORDER_COLS = ["batch_id", "ingest_ts", "seq"]
 
 
-def read_landing(spark: SparkSession, paths, streaming: bool = False) -> DataFrame:
-    """Read landing JSON lines with a fixed schema (never inferred); PERMISSIVE keeps bad lines."""
+def read_landing(spark: SparkSession, paths, streaming: bool = False,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Read landing JSON lines with a fixed schema (never inferred); PERMISSIVE keeps bad lines.
+
+    ``payload`` may be embedded as a JSON object or carried as JSON text; either way it is
+    read as text and parsed per source. Streaming reads can bound each micro-batch by files.
+    """
     schema = T.StructType(list(S.envelope_schema().fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream if streaming else spark.read).schema(schema) \
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if streaming:
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.json(paths)
     return reader.json(paths if isinstance(paths, (list, tuple)) else [paths])
 

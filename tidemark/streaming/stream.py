@@ -18,16 +18,17 @@ from tidemark.sources.landing import read_landing
 
 def start_ingest_stream(spark: SparkSession, store: TableStore, kind: str, landing_dir: str,
                         checkpoint_location: str, assets=None, available_now: bool = True,
-                        processing_time: str | None = None, report_path: str | None = None):
+                        processing_time: str | None = None, report_path: str | None = None,
+                        max_files_per_trigger: int | None = None, **options):
     """Start a streaming ingest of one source (``price``, ``market`` or ``news``).
 
     Every micro-batch's outcome is appended to ``report_path`` (a parquet table) when given.
     A micro-batch with no usable payload is recorded, not raised, so the stream keeps going.
     """
-    landed = read_landing(spark, landing_dir, streaming=True)
+    landed = read_landing(spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        res: SourceResult = ingest_source(spark, store, kind, batch, assets)
+        res: SourceResult = ingest_source(spark, store, kind, batch, assets, **options)
         if report_path:
             report_frame(spark, [res]).selectExpr(f"cast({int(epoch_id)} as long) as epoch", "*") \
                 .write.mode("append").parquet(report_path)
@@ -41,9 +42,10 @@ def start_ingest_stream(spark: SparkSession, store: TableStore, kind: str, landi
 
 
 def run_stream_to_completion(spark: SparkSession, store: TableStore, kind: str, landing_dir: str,
-                             checkpoint_location: str, assets=None, report_path: str | None = None):
+                             checkpoint_location: str, assets=None, report_path: str | None = None,
+                             **options):
     """availableNow run: consume everything landed so far, then stop."""
     q = start_ingest_stream(spark, store, kind, landing_dir, checkpoint_location, assets,
-                            available_now=True, report_path=report_path)
+                            available_now=True, report_path=report_path, **options)
     q.awaitTermination()
     return q
