@@ -136,3 +136,38 @@ select source asset, date_trunc('hour', make_timestamp((1704067200 + doc_id * 60
 from d where rn = 1""",
 }
 END_TO_END_SQL["stream_price_table"] = END_TO_END_SQL["stored_price_table"]
+
+# Payload classification of the derived landing: price payloads are (asset, 256-event block);
+# a cut 'signup' payload is unparseable, an 'error' payload holding a NULL value is invalid.
+_PRICE_BLOCKS = """
+with pb as (select event_type asset, event_id // 256 blk,
+                   bool_or(event_type = 'error' and event_id % 97 = 0) has_null
+            from events group by 1, 2),
+pc as (select asset, blk, case when asset = 'signup' and blk % 13 = 0 then 'unparseable_payload'
+                               when has_null then 'invalid_values' end reason from pb)"""
+
+END_TO_END_SQL["quarantine_counts"] = _PRICE_BLOCKS + """
+select 'price' source, asset, reason, count(*) payloads from pc group by 1, 2, 3
+union all
+select 'news' source, source asset, cast(null as varchar) reason, count(distinct doc_id // 400) payloads
+from documents group by 1, 2, 3"""
+
+END_TO_END_SQL["run_report"] = _PRICE_BLOCKS + f""",
+pr as (select e.event_type, date_trunc('hour', e.ts) hr from events e join pc
+       on pc.asset = e.event_type and pc.blk = e.event_id // 256
+       where pc.reason is null and e.event_type in {_PRICE_IN}),
+nd as (select source, text from documents where text <> '' and source in {_NEWS_IN})
+select 'price' source, true ok, (select count(*) from pc) payloads,
+       (select count(*) from pc where reason is not null) quarantined,
+       count(*) rows_in, count(distinct (event_type, hr)) rows_written, cast(0 as bigint) rows_ignored,
+       cast(0 as bigint) rows_null_dropped, count(*) - count(distinct (event_type, hr)) rows_deduped,
+       cast(0 as bigint) rows_empty_url, cast(null as varchar) error
+from pr
+union all
+select 'market', true, count(distinct date_trunc('hour', ts)), 0, count(distinct date_trunc('hour', ts)),
+       count(distinct date_trunc('hour', ts)), 0, 0, 0, 0, null
+from events
+union all
+select 'news', true, (select count(distinct (source, doc_id // 400)) from documents), 0, count(*),
+       count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, null
+from nd"""
