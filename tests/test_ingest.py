@@ -157,3 +157,13 @@ def test_report_counts_dedup_and_empty_urls(spark, store, tmp_path):
     assert (r.rows_in, r.rows_written, r.rows_deduped, r.rows_empty_url) == (3, 2, 1, 2)
     r2 = run_ingest(spark, store, news=n)[2]
     assert (r2.rows_written, r2.rows_ignored) == (0, 2)
+
+
+def test_quarantined_payloads_are_kept(spark, store, tmp_path):
+    bad = {"prices": [[1713654000000, None]]}
+    p = landing(tmp_path, "price", [env_line("BTC", T0, 1, bad), env_line("ETH", T0, 1, CHART), "{oops"])
+    r = run_ingest(spark, store, price=p)[0]
+    assert r.ok and r.quarantined == 2
+    q = {(x.source, x.asset, x.reason) for x in store.read_quarantine().collect()}
+    assert q == {("price", "BTC", "invalid_values"), ("price", None, "corrupt_envelope")}
+    assert all(x.raw for x in store.read_quarantine().collect())

@@ -199,3 +199,34 @@ def test_stored_keys_unique(spark, store):
     store.upsert(S.PRICE, price(spark, [("BTC", T10, float(i), 1.0) for i in range(5)]))
     store.upsert(S.PRICE, price(spark, [("BTC", T10, 9.0, 1.0)], batch=2))
     assert key_violations(store.read(S.PRICE), S.PRICE.key).count() == 0
+
+
+def test_day_grain_rewrites_only_touched_day_and_prunes(spark, tmp_path):
+    d = dt.datetime
+    s = TableStore(spark, str(tmp_path / "daystore"), time_grain="day")
+    s.create_tables([S.PRICE])
+    s.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 1, 5), 1.0, 1.0), ("BTC", d(2025, 1, 2, 5), 2.0, 1.0)]))
+    day1 = os.path.join(s.path(S.PRICE), "day=2025-01-01")
+    before = sorted(os.listdir(day1))
+    st = s.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 2, 5), 3.0, 1.0)], batch=2))
+    assert st.partitions == ["2025-01-02"]
+    assert sorted(os.listdir(day1)) == before
+    w = s.read_window(S.PRICE, d(2025, 1, 2), d(2025, 1, 2, 23), "BTC")
+    assert [r.close for r in w.collect()] == [3.0]
+    assert "PartitionFilters" in w._jdf.queryExecution().executedPlan().toString()
+    # reopening with another grain keeps the recorded layout
+    again = TableStore(spark, str(tmp_path / "daystore"), time_grain="month")
+    assert again.spec(S.PRICE).partition_col == "day"
+    assert again.read(S.PRICE).count() == 2
+
+
+def test_compaction_keeps_rows_and_ids(spark, store):
+    for b in range(4):
+        store.insert_ignore(S.NEWS, news(spark, [("BTC", f"h{b}{i}", f"u{b}{i}", T10) for i in range(3)], batch=b))
+    before = sorted(tuple(r) for r in store.read(S.NEWS).collect())
+    part = os.path.join(store.path(S.NEWS), "asset_part=BTC")
+    files_before = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    assert store.compact(S.NEWS) == ["BTC"]
+    files_after = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    assert sorted(tuple(r) for r in store.read(S.NEWS).collect()) == before
+    assert len(files_after) < len(files_before)

@@ -19,7 +19,7 @@ from tidemark.operators.audit import top_n_per_group
 from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price, lookback
 from tidemark.plans.store import ORDER, TableStore
 from tidemark.sources import shred
-from tidemark.sources.landing import landed_from_frame, read_landing
+from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows, read_landing
 
 REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, rows_in long, "
                  "rows_written long, rows_ignored long, rows_null_dropped long, rows_deduped long, "
@@ -81,10 +81,15 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
     """One source, fully isolated: any error is recorded, never raised."""
     res = SourceResult(kind)
     try:
-        classified = _CLASSIFY[kind](_landed(spark, landing)).checkpoint(eager=True)
-        c = classified.agg(F.count(F.lit(1)).alias("n"),
-                           F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
+        classified = _CLASSIFY[kind](_landed(spark, landing))
+        # raw text is only kept for rejected payloads (good ones carry their parsed form)
+        bad = F.col("reason").isNotNull()
+        classified = classified.withColumn("payload", F.when(bad, F.col("payload"))) \
+            .withColumn(CORRUPT, F.when(bad, F.col(CORRUPT))).checkpoint(eager=True)
+        c = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
         res.payloads, res.quarantined = c["n"], c["bad"]
+        if res.quarantined:
+            store.write_quarantine(quarantine_rows(classified, kind))
         rows = harmonised_rows(kind, classified, assets, strict, **options)
         spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
         stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)

@@ -1,7 +1,7 @@
 """Keyed parquet tables: create, last-wins upsert, first-wins insert, windowed read.
 
-Layout: price and market are partitioned by ``month`` (a function of the key column
-``timestamp``) and sorted by (asset, timestamp) inside files, so a time window prunes
+Layout: price and market are partitioned by a grain of the key column ``timestamp`` (month by
+default, or day) and sorted by (asset, timestamp) inside files, so a time window prunes
 partitions and row groups. News is partitioned by asset (its key has no time in it).
 
 Writes validate first, checkpoint the incoming batch (cuts lineage, survives executor
@@ -54,13 +54,36 @@ def ts_literal(value) -> Column:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    """Keyed tables under one root folder.
+
+    ``time_grain`` ("month" or "day") is the partition grain of the time-keyed tables when they
+    are created; a table's layout is recorded beside it, and an existing table keeps its own.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, time_grain: str = "month"):
         self.spark = spark
         ensure_utc(spark)
         if root is None:
             base = shared_dir(spark)
             root = base.rstrip("/") + "/tidemark-store"
         self.root = root.rstrip("/")
+        if time_grain not in S.TIME_GRAINS:
+            raise ValueError(f"time_grain must be one of {sorted(S.TIME_GRAINS)}")
+        self.time_grain = time_grain
+        self._layouts: dict[str, S.TableSpec] = {}
+
+    # -- layout -----------------------------------------------------------------------
+    def spec(self, spec: S.TableSpec) -> S.TableSpec:
+        """This store's layout of ``spec``: the recorded grain if the table exists."""
+        if spec.time_grain is None:
+            return spec
+        if spec.name not in self._layouts:
+            recorded = self._read_meta(self._layout_path(spec))
+            self._layouts[spec.name] = spec.at_grain(recorded or self.time_grain)
+        return self._layouts[spec.name]
+
+    def _layout_path(self, spec: S.TableSpec) -> str:
+        return f"{self.root}/_meta/{spec.name}_layout"
 
     # -- paths ------------------------------------------------------------------------
     def path(self, spec: S.TableSpec) -> str:
@@ -76,16 +99,19 @@ class TableStore:
         return fs.exists(p)
 
     def storage_schema(self, spec: S.TableSpec) -> T.StructType:
+        spec = self.spec(spec)
         return T.StructType(list(spec.schema.fields) + [T.StructField(spec.partition_col, T.StringType())])
 
     # -- K4: create -------------------------------------------------------------------
     def create_tables(self, specs=(S.PRICE, S.MARKET, S.NEWS)) -> None:
-        """Create missing tables; existing ones are left untouched (a metadata call, no job)."""
+        """Create missing tables; existing ones are left untouched (metadata calls, no job)."""
         for spec in specs:
             # readers always pass the declared schema, so an empty directory is an empty table
             fs, p = self._fs(self.path(spec))
             if not fs.exists(p):
                 fs.mkdirs(p)
+                if spec.time_grain is not None:
+                    self._write_meta(self._layout_path(spec), self.spec(spec).time_grain)
 
     # -- scans ------------------------------------------------------------------------
     def read(self, spec: S.TableSpec) -> DataFrame:
@@ -98,17 +124,48 @@ class TableStore:
         Adds the partition predicate that follows from the time range, which Spark does not
         derive from a timestamp filter by itself; filters reach the parquet scan.
         """
+        spec = self.spec(spec)
         s, e = ts_literal(start), ts_literal(end)
         df = self.read(spec)
         pred = F.col("timestamp").between(s, e)
-        if spec.partition_col == "month":
-            pred = pred & F.col("month").between(F.date_format(s, "yyyy-MM"), F.date_format(e, "yyyy-MM"))
+        if spec.time_grain is not None:
+            fmt = S.TIME_GRAINS[spec.time_grain]
+            pred = pred & F.col(spec.partition_col).between(F.date_format(s, fmt), F.date_format(e, fmt))
         if asset is not None:
             pred = pred & (F.col("asset") == F.lit(asset))
             if spec.partition_col == "asset_part":
                 pred = pred & (F.col("asset_part") == F.lit(asset))
         return df.where(pred).select(*spec.columns)
 
+    # -- quarantine and compaction ----------------------------------------------------
+    def quarantine_path(self) -> str:
+        return f"{self.root}/_quarantine"
+
+    def write_quarantine(self, rows: DataFrame) -> None:
+        """Append rejected payloads (source, asset, batch_id, ingest_ts, reason, raw)."""
+        rows.select(*S.QUARANTINE_SCHEMA.fieldNames()).write.mode("append") \
+            .partitionBy("source").parquet(self.quarantine_path())
+
+    def read_quarantine(self) -> DataFrame:
+        return self.spark.read.schema(S.QUARANTINE_SCHEMA).parquet(self.quarantine_path())
+
+    def compact(self, spec: S.TableSpec, partitions=None) -> list:
+        """Rewrite partitions (all, or the given values) into fewer, sorted files.
+
+        Appends (news) and many small batches leave small files; this rewrites the same rows
+        with the write layout of the table (rebalanced, sorted) by dynamic partition overwrite.
+        Rows, ids and keys are unchanged. Returns the rewritten partition values.
+        """
+        spec = self.spec(spec)
+        df = self.read(spec)
+        if partitions is not None:
+            df = df.where(F.col(spec.partition_col).isin(list(partitions)))
+        fixed = df.checkpoint(eager=True)
+        parts = sorted(r[0] for r in fixed.select(spec.partition_col).distinct().collect())
+        if parts:
+            self._write_partitions(spec, fixed, "overwrite")
+        return parts
+
     # -- writes -----------------------------------------------------------------------
     def _prepare(self, spec: S.TableSpec, incoming: DataFrame, order) -> DataFrame:
         cols = [c for c in spec.columns if c != "id"]
@@ -142,6 +199,7 @@ class TableStore:
     def upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """REPLACE: last arrival per key wins (whole row); a NULL in a NOT NULL column fails
         the batch before anything is written; an empty batch is a no-op."""
+        spec = self.spec(spec)
         stats = WriteStats(spec.name)
         inc = self._prepare(spec, incoming, order)
         c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(null_violation(spec.not_null)).alias("bad")).first()
@@ -163,6 +221,7 @@ class TableStore:
     def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """IGNORE: first arrival per key wins within and across batches; rows with NULL in a
         NOT NULL column are skipped and counted; new rows get increasing ids."""
+        spec = self.spec(spec)
         stats = WriteStats(spec.name)
         bad = null_violation([c for c in spec.not_null if c != "id"])
         inc = self._prepare(spec, incoming, order)

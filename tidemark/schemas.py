@@ -64,10 +64,16 @@ NEWS_SCHEMA = T.StructType([
 ])
 
 
+# Storage time grains for tables partitioned by their key column `timestamp`.
+# Coarser grain: fewer, larger files; finer grain: an hourly upsert rewrites less data.
+TIME_GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
+
+
 class TableSpec:
     """What a keyed table is: schema, key, non-null columns, storage partitioning, conflict rule."""
 
-    def __init__(self, name, schema, key, partition_col, partition_expr, sort_cols, conflict):
+    def __init__(self, name, schema, key, partition_col, partition_expr, sort_cols, conflict,
+                 time_grain=None):
         self.name = name
         self.schema = schema
         self.key = list(key)
@@ -76,6 +82,7 @@ class TableSpec:
         self.partition_expr = partition_expr    # SQL expression computing it
         self.sort_cols = list(sort_cols)        # in-file order -> row-group min/max skipping
         self.conflict = conflict                # "replace" (last wins) or "ignore" (first wins)
+        self.time_grain = time_grain            # set when partitioned by a grain of `timestamp`
 
     @property
     def columns(self):
@@ -85,18 +92,38 @@ class TableSpec:
     def columns_no_id(self):
         return [c for c in self.columns if c != "id"]
 
+    def at_grain(self, grain: str) -> "TableSpec":
+        """The same table partitioned by another grain of `timestamp` (month or day)."""
+        if self.time_grain is None or grain == self.time_grain:
+            return self
+        fmt = TIME_GRAINS[grain]
+        return TableSpec(self.name, self.schema, self.key, grain,
+                         f"date_format(`timestamp`, '{fmt}')", self.sort_cols, self.conflict, grain)
+
+
+def _by_time(name, schema, key, sort_cols, conflict, grain="month"):
+    return TableSpec(name, schema, key, grain, f"date_format(`timestamp`, '{TIME_GRAINS[grain]}')",
+                     sort_cols, conflict, grain)
 
-# Price and market partitions are a function of the key column `timestamp` (month), which
-# makes partition-scoped replacement sound. News is keyed by (asset, url) with no time in the
-# key, so its partitions follow `asset`.
-PRICE = TableSpec("price_ohlcv", PRICE_SCHEMA, ["asset", "timestamp"], "month",
-                  "date_format(`timestamp`, 'yyyy-MM')", ["asset", "timestamp"], "replace")
-MARKET = TableSpec("market_signals", MARKET_SCHEMA, ["timestamp"], "month",
-                   "date_format(`timestamp`, 'yyyy-MM')", ["timestamp"], "replace")
+
+# Price and market partitions are a function of the key column `timestamp` (month by default),
+# which makes partition-scoped replacement sound. News is keyed by (asset, url) with no time in
+# the key, so its partitions follow `asset`.
+PRICE = _by_time("price_ohlcv", PRICE_SCHEMA, ["asset", "timestamp"], ["asset", "timestamp"], "replace")
+MARKET = _by_time("market_signals", MARKET_SCHEMA, ["timestamp"], ["timestamp"], "replace")
 NEWS = TableSpec("news_headlines", NEWS_SCHEMA, ["asset", "url"], "asset_part",
                  "`asset`", ["asset", "timestamp"], "ignore")
 TABLES = {t.name: t for t in (PRICE, MARKET, NEWS)}
 
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("asset", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("ingest_ts", T.TimestampType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("raw", T.StringType()),
+])
+
 # ---------------------------------------------------------------------------
 # Landed payloads. One JSON object per line: an envelope around one vendor response.
 # ---------------------------------------------------------------------------
