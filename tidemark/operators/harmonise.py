@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.functions.timefn import floor_hour_of, parse_utc, floor_hour
+from tidemark.functions.timefn import floor_hour, floor_hour_of, parse_utc
+from tidemark.operators.sizing import broadcast_if_small
 
 AssetSet = Sequence[str] | DataFrame
+# A dimension (allow-list, symbol map) is broadcast only below this many rows.
+DIM_ROWS = 1_000_000
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
@@ -27,7 +30,8 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
 
 
 def asset_dim(spark: SparkSession, mapping: dict[str, str] | Iterable[str] | None = None) -> DataFrame:
-    """Asset dimension (asset, vendor_id) from a driver-side mapping; default = the ten assets."""
+    """Asset dimension (asset, vendor_id) from a driver-side mapping; default = the ten assets.
+    Its size is the mapping's, known on the driver, so it is marked for broadcast."""
     mapping = S.DEFAULT_ASSET_MAP if mapping is None else mapping
     if not isinstance(mapping, dict):
         mapping = {a: None for a in mapping}
@@ -40,8 +44,9 @@ def _membership(df: DataFrame, assets: AssetSet | None, col: str, how: str) -> D
     if assets is None:
         assets = S.VALID_ASSETS
     if isinstance(assets, DataFrame):
-        # dimension frame: broadcast semi/anti join (dimensions are small by construction)
-        dim = F.broadcast(assets.select(F.col("asset").alias("__asset")).distinct())
+        # dimension frame: broadcast semi/anti join when a bounded probe proves it small,
+        # otherwise an ordinary (shuffle) join planned by Spark/AQE
+        dim = broadcast_if_small(assets.select(F.col("asset").alias("__asset")).distinct(), DIM_ROWS)
         return df.join(dim, df[col] == dim["__asset"], how)
     values = list(dict.fromkeys(assets))
     member = F.col(col).isin(values) if values else F.lit(False)
@@ -71,7 +76,7 @@ def allowlist_audit(df: DataFrame, assets: AssetSet | None = None, col: str = "a
 
 def map_symbols(df: DataFrame, dim: DataFrame, col: str = "asset") -> DataFrame:
     """Attach the vendor id of each symbol (inner join to the broadcast asset dimension)."""
-    d = F.broadcast(dim.select(F.col("asset").alias("__asset"), "vendor_id"))
+    d = broadcast_if_small(dim.select(F.col("asset").alias("__asset"), "vendor_id"), DIM_ROWS)
     return df.join(d, df[col] == d["__asset"], "inner").drop("__asset")
 
 
