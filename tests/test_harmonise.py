@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.harmonise import (
-    allowlist_audit, asset_dim, filter_assets, floor_timestamps, harmonise_market,
+    allowlist_audit, asset_dim, require_known_assets, filter_assets, floor_timestamps, harmonise_market,
     harmonise_news, harmonise_price, map_symbols, reject_assets, require_columns, skip_empty_text,
 )
 from tidemark.operators.merge import latest_per_key
@@ -157,3 +157,11 @@ def test_floor_independent_of_session_zone(spark):
 def test_skip_empty_keeps_whitespace(spark):
     df = spark.createDataFrame([("",), (None,), ("  ",), ("x",)], "t string")
     assert sorted(r.t for r in skip_empty_text(df, "t").collect()) == ["  ", "x"]
+
+
+def test_unknown_symbol_strict_raises_listing_valid(spark):
+    df = spark.createDataFrame([("BTC",), ("FAKE",)], "asset string")
+    with pytest.raises(ValueError, match=r"\['FAKE'\] not found.*Valid symbols: \['BTC', 'ETH'"):
+        require_known_assets(df)
+    ok = spark.createDataFrame([("BTC",), ("SHIB",)], "asset string")
+    assert require_known_assets(ok).count() == 2

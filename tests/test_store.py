@@ -50,8 +50,14 @@ def test_missing_table_raises(spark, tmp_path):
     s = TableStore(spark, str(tmp_path / "nothing"))
     with pytest.raises(Exception):
         s.read(S.PRICE).count()
+    with pytest.raises(Exception):
+        s.read_window(S.NEWS, T10, T10, "BTC").count()
     with pytest.raises(Exception):
         s.upsert(S.PRICE, price(spark, [("BTC", T10, 1.0, 1.0)]))
+    with pytest.raises(Exception):
+        s.upsert(S.MARKET, market(spark, [(T10, 50.0)]))
+    with pytest.raises(Exception):
+        s.insert_ignore(S.NEWS, news(spark, [("BTC", "h", "u", T10)]))
 
 
 def test_price_upsert_then_replace(spark, store):

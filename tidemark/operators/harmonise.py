@@ -65,6 +65,17 @@ def reject_assets(df: DataFrame, assets: AssetSet | None = None, col: str = "ass
     return _membership(df, assets, col, "left_anti")
 
 
+def require_known_assets(df: DataFrame, assets: Sequence[str] | None = None, col: str = "asset",
+                         show: int = 20) -> DataFrame:
+    """Strict form of the symbol check: raise ``ValueError`` naming unknown symbols (at most
+    ``show`` of them, a bounded probe) and the valid ones; otherwise return ``df`` unchanged."""
+    values = list(S.VALID_ASSETS if assets is None else assets)
+    unknown = [r[0] for r in reject_assets(df, values, col).select(col).distinct().limit(show).collect()]
+    if unknown:
+        raise ValueError(f"Symbol(s) {sorted(unknown)} not found in the asset map. Valid symbols: {values}")
+    return df
+
+
 def allowlist_audit(df: DataFrame, assets: AssetSet | None = None, col: str = "asset") -> DataFrame:
     """One-pass (rows_in, rows_kept) of the allow-list filter; dropped = rows_in - rows_kept."""
     if isinstance(assets, DataFrame):
