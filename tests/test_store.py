@@ -236,3 +236,14 @@ def test_compaction_keeps_rows_and_ids(spark, store):
     files_after = [f for f in os.listdir(part) if f.endswith(".parquet")]
     assert sorted(tuple(r) for r in store.read(S.NEWS).collect()) == before
     assert len(files_after) < len(files_before)
+
+
+def test_upsert_is_partition_scoped_even_with_static_session_setting(spark, store):
+    d = dt.datetime
+    store.upsert(S.PRICE, price(spark, [("BTC", d(2024, 1, 5, 1), 1.0, 1.0), ("BTC", d(2024, 2, 5, 1), 2.0, 1.0)]))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        store.upsert(S.PRICE, price(spark, [("BTC", d(2024, 2, 5, 1), 3.0, 1.0)], batch=2))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    assert sorted(r.close for r in store.read(S.PRICE).collect()) == [1.0, 3.0]

@@ -180,7 +180,10 @@ class TableStore:
         ones), sort within files, write partitioned."""
         part = spec.partition_col
         laid_out = df.hint("rebalance", part).sortWithinPartitions(part, *spec.sort_cols)
-        laid_out.write.mode(mode).partitionBy(part).parquet(self.path(spec))
+        # per-write option: an overwrite replaces only the partitions present in ``df``, whatever
+        # the session's setting (a static overwrite would drop every other partition)
+        laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(part).parquet(self.path(spec))
 
     def _winners(self, spec, inc, order, pick):
         """Checkpointed per-key winners + (row count, touched storage partitions) in one pass."""
