@@ -69,3 +69,16 @@ def test_assign_ids_dense_over_many_partitions(spark):
     assert n == 5000 and ids == list(range(100, 5100))
     ids_again = sorted(r.id for r in out.collect())          # recomputation gives the same ids
     assert ids_again == ids
+
+
+def test_hot_key_with_a_third_of_rows(spark):
+    """One key holds a third of all rows, spread over many partitions: winners stay exact."""
+    n = 30_000
+    df = spark.range(0, n, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k1"),
+        F.lit(0).alias("k2"), (F.col("id") * 1.5).alias("v"), F.lit(0).cast("long").alias("batch_id"),
+        F.col("id").alias("seq"))
+    last = {r.k1: r.seq for r in latest_per_key(df, KEY, ORDER).collect()}
+    first = {r.k1: r.seq for r in first_per_key(df, KEY, ORDER).collect()}
+    assert last["hot"] == 29_997 and first["hot"] == 0
+    assert len(last) == 1 + len({i % 500 for i in range(n) if i % 3})

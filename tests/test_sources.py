@@ -119,3 +119,11 @@ def test_epoch_helpers(spark):
     r = df.select("a", "b", iso_utc_text("b").alias("s")).first()
     assert r.a == dt.datetime(2024, 1, 1) and r.b == dt.datetime(2024, 4, 20, 23, 0)
     assert r.s == "2024-04-20T23:00:00+00:00"
+
+
+def test_nested_landing_folders_read_in_one_scan(spark, tmp_path):
+    root = tmp_path / "nested"
+    write_lines(str(root / "dt=2024-04-20" / "h=23"), [env_line("BTC", T0, 1, CHART)])
+    write_lines(str(root / "dt=2024-04-21" / "h=00"), [env_line("ETH", T0, 2, CHART)])
+    df = read_landing(spark, str(root), recursive=True, glob="*.json")
+    assert sorted(r.asset for r in df.collect()) == ["BTC", "ETH"]

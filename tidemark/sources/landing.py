@@ -19,15 +19,22 @@ ORDER_COLS = ["batch_id", "ingest_ts", "seq"]
 
 
 def read_landing(spark: SparkSession, paths, streaming: bool = False,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, recursive: bool = False,
+                 glob: str | None = None) -> DataFrame:
     """Read landing JSON lines with a fixed schema (never inferred); PERMISSIVE keeps bad lines.
 
     ``payload`` may be embedded as a JSON object or carried as JSON text; either way it is
-    read as text and parsed per source. Streaming reads can bound each micro-batch by files.
+    read as text and parsed per source. ``recursive`` reads nested landing folders (e.g. one per
+    day or hour) in the same single scan; ``glob`` filters file names. Streaming reads can bound
+    each micro-batch by files. Uncompressed JSON lines split across tasks; gzip files do not.
     """
     schema = T.StructType(list(S.envelope_schema().fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream if streaming else spark.read).schema(schema) \
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if streaming:
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
