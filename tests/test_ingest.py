@@ -167,3 +167,19 @@ def test_quarantined_payloads_are_kept(spark, store, tmp_path):
     q = {(x.source, x.asset, x.reason) for x in store.read_quarantine().collect()}
     assert q == {("price", "BTC", "invalid_values"), ("price", None, "corrupt_envelope")}
     assert all(x.raw for x in store.read_quarantine().collect())
+
+
+def test_ingest_frame_smoke_data_and_lenient_times(spark, store):
+    from tidemark.plans.ingest import ingest_frame
+    ddl = "asset string, timestamp string, close double, market_cap double, volume double, source string"
+    rows = [("BTC", "2024-01-01 02:05:00+00:00", 42000.0, 1.0, 1.0, "coingecko"),
+            ("BTC", "2024-01-01T02:19:00+00:00", 42300.0, 1.0, 1.0, "coingecko"),
+            ("ETH", "not a time", 2200.0, 1.0, 1.0, "coingecko"),
+            ("LUNA", "2024-01-01 18:00:00+00:00", 0.0001, 0.0, 0.0, "coingecko")]
+    df = spark.createDataFrame(rows, ddl).coalesce(1)
+    strict = ingest_frame(spark, store, "price", df)
+    assert not strict.ok and store.read(S.PRICE).count() == 0      # unparseable time fails the batch
+    lenient = ingest_frame(spark, store, "price", df, strict=False)
+    assert lenient.ok and lenient.quarantined_rows == 1
+    assert [(r.asset, r.close) for r in store.read(S.PRICE).collect()] == [("BTC", 42300.0)]
+    assert [r.reason for r in store.read_quarantine().collect()] == ["bad_event_time"]

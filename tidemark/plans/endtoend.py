@@ -161,13 +161,13 @@ select 'price' source, true ok, (select count(*) from pc) payloads,
        (select count(*) from pc where reason is not null) quarantined,
        count(*) rows_in, count(distinct (event_type, hr)) rows_written, cast(0 as bigint) rows_ignored,
        cast(0 as bigint) rows_null_dropped, count(*) - count(distinct (event_type, hr)) rows_deduped,
-       cast(0 as bigint) rows_empty_url, cast(null as varchar) error
+       cast(0 as bigint) rows_empty_url, cast(0 as bigint) quarantined_rows, cast(null as varchar) error
 from pr
 union all
 select 'market', true, count(distinct date_trunc('hour', ts)), 0, count(distinct date_trunc('hour', ts)),
-       count(distinct date_trunc('hour', ts)), 0, 0, 0, 0, null
+       count(distinct date_trunc('hour', ts)), 0, 0, 0, 0, 0, null
 from events
 union all
 select 'news', true, (select count(distinct (source, doc_id // 400)) from documents), 0, count(*),
-       count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, null
+       count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, 0, null
 from nd"""

@@ -23,7 +23,7 @@ from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows
 
 REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, rows_in long, "
                  "rows_written long, rows_ignored long, rows_null_dropped long, rows_deduped long, "
-                 "rows_empty_url long, error string")
+                 "rows_empty_url long, quarantined_rows long, error string")
 
 
 @dataclass
@@ -38,6 +38,7 @@ class SourceResult:
     rows_null_dropped: int = 0     # NULL in a NOT NULL column (IGNORE tables skip them)
     rows_deduped: int = 0          # later duplicates of a key within this batch
     rows_empty_url: int = 0        # articles without a URL ("" takes part in the key)
+    quarantined_rows: int = 0      # lenient mode: rows whose event time did not parse
     error: str | None = None
 
 
@@ -91,6 +92,8 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         if res.quarantined:
             store.write_quarantine(quarantine_rows(classified, kind))
         rows = harmonised_rows(kind, classified, assets, strict, **options)
+        if not strict:
+            rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
         spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
         stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
         if stats.rows_in == 0:
@@ -108,6 +111,58 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
     return res
 
 
+def _quarantine_bad_times(store: TableStore, kind: str, rows: DataFrame):
+    """Lenient mode: rows whose event time is NULL (unparseable or missing) go to quarantine
+    with their content as JSON; the rest continue. Returns (good rows, quarantined count)."""
+    rows = rows.checkpoint(eager=True)
+    bad = rows.where(F.col("timestamp").isNull())
+    n = bad.count()
+    if n:
+        asset = F.col("asset") if "asset" in rows.columns else F.lit(None).cast("string")
+        store.write_quarantine(bad.select(
+            F.lit(kind).alias("source"), asset.alias("asset"),
+            F.col("batch_id").cast("long").alias("batch_id"), F.col("ingest_ts").cast("timestamp").alias("ingest_ts"),
+            F.lit("bad_event_time").alias("reason"), F.to_json(F.struct(*rows.columns)).alias("raw")))
+    return rows.where(F.col("timestamp").isNotNull()), n
+
+
+def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFrame, assets=None,
+                 strict: bool = True, batch_id: int = 0) -> SourceResult:
+    """Harmonise and store an already-shredded frame in the stored layout (e.g. columns
+    ``asset, timestamp, close, market_cap, volume, source`` for prices; news may use
+    ``published_at``). Timestamps may be text (offsets honoured) or typed.
+
+    Arrival order: the frame's ``batch_id``/``ingest_ts``/``seq`` columns when present;
+    otherwise ``batch_id`` is the argument and ``seq`` the row position
+    (``monotonically_increasing_id``: input order for order-preserving sources such as a file
+    scan or a local list — give ``seq`` explicitly for frames that come out of a shuffle).
+    """
+    res = SourceResult(kind)
+    try:
+        if "batch_id" not in df.columns:
+            df = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if "ingest_ts" not in df.columns:
+            df = df.withColumn("ingest_ts", F.lit(None).cast("timestamp"))
+        if "seq" not in df.columns:
+            df = df.withColumn("seq", F.monotonically_increasing_id())
+        df = df.checkpoint(eager=True)            # fixes the row positions
+        harmonise = {"price": lambda d: harmonise_price(d, assets, strict),
+                     "market": lambda d: harmonise_market(d, strict),
+                     "news": lambda d: harmonise_news(d, assets, strict)}[kind]
+        rows = harmonise(df)
+        if not strict:
+            rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
+        spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
+        stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
+        res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
+        res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
+        res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
+        res.ok = True
+    except Exception as e:  # noqa: BLE001 - isolation is the point
+        res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500] if str(e) else ''}"
+    return res
+
+
 def run_ingest(spark: SparkSession, store: TableStore, price=None, market=None, news=None,
                assets=None, strict: bool = True, parallel: bool = True,
                lookback_days: int | None = None, max_articles: int | None = None) -> list[SourceResult]:
