@@ -247,3 +247,12 @@ def test_upsert_is_partition_scoped_even_with_static_session_setting(spark, stor
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     assert sorted(r.close for r in store.read(S.PRICE).collect()) == [1.0, 3.0]
+
+
+def test_frame_level_not_null_guard(spark):
+    from tidemark.operators.merge import guard_not_null, normalise_nan
+    df = normalise_nan(spark.createDataFrame([("a", 1.0), ("b", float("nan"))], "k string, v double"))
+    assert guard_not_null(df, ["v"], "drop").count() == 1
+    with pytest.raises(ValueError, match="NOT NULL"):
+        guard_not_null(df, ["v"], "fail")
+    assert guard_not_null(df, ["k"], "fail").count() == 2

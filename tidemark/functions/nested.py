@@ -1,4 +1,4 @@
-"""Nested-payload access with defaults (maps, structs, arrays of pairs, raw JSON text)."""
+"""Nested-payload access with defaults (maps and structs)."""
 
 from __future__ import annotations
 
@@ -16,22 +16,6 @@ def get_or(map_col, key: str, default=None) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
-def json_has_key(json_text, key: str) -> Column:
-    """True when the JSON object text has ``key`` (even with a null value)."""
-    return F.coalesce(F.array_contains(F.json_object_keys(_c(json_text)), F.lit(key)), F.lit(False))
-
-
-def json_field_or(json_text, field: Column, key: str, default) -> Column:
-    """Value of ``field`` parsed from ``json_text``; ``default`` only when ``key`` is absent."""
-    return F.when(json_has_key(json_text, key), field).otherwise(F.lit(default))
-
-
-def pair_value(pairs, index, slot: int = 1) -> Column:
-    """``pairs[index][slot]`` for an array of ``[t, v]`` pairs; out of range -> null."""
-    idx = index if isinstance(index, Column) else F.lit(index)
-    return F.get(F.get(_c(pairs), idx), F.lit(slot))
-
-
 def vote_counts(votes_map, up_key: str = "UPVOTES", down_key: str = "DOWNVOTES") -> Column:
     """(positive, negative) vote counts from a map: missing map, key or null -> 0; integers."""
     m = _c(votes_map)
@@ -42,4 +26,4 @@ def vote_counts(votes_map, up_key: str = "UPVOTES", down_key: str = "DOWNVOTES")
     return F.struct(one(up_key).alias("votes_positive"), one(down_key).alias("votes_negative"))
 
 
-__all__ = ["get_or", "json_has_key", "json_field_or", "pair_value", "vote_counts"]
+__all__ = ["get_or", "vote_counts"]

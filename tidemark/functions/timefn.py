@@ -63,17 +63,6 @@ def floor_hour_of(df: DataFrame, name: str) -> Column:
     return floor_hour(F.col(name).cast("timestamp"))
 
 
-def to_utc_timestamp_col(df: DataFrame, name: str, strict: bool = True) -> Column:
-    """Type-directed conversion of ``name`` to a UTC instant (text parsed, ntz read as UTC)."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
-        return parse_utc(name, strict=strict)
-    if isinstance(dtype, T.TimestampNTZType):
-        # wall-clock values are UTC by convention; the session zone is pinned to UTC
-        return F.col(name).cast("timestamp")
-    return F.col(name).cast("timestamp")
-
-
 def iso_utc_text(c) -> Column:
     """UTC instant -> ``yyyy-MM-ddTHH:mm:ss+00:00`` text (export form; storage keeps the type)."""
     return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
@@ -87,5 +76,5 @@ def nan_to_null(c) -> Column:
 
 __all__ = [
     "epoch_millis_to_ts", "epoch_seconds_to_ts", "parse_utc", "floor_hour", "floor_hour_ntz",
-    "floor_hour_of", "to_utc_timestamp_col", "iso_utc_text", "nan_to_null",
+    "floor_hour_of", "iso_utc_text", "nan_to_null",
 ]

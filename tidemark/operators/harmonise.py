@@ -128,10 +128,3 @@ def skip_empty_text(df: DataFrame, col: str) -> DataFrame:
 def lookback(df: DataFrame, ts_col: str, as_of: Column, days: int) -> DataFrame:
     """Keep rows no older than ``days`` before ``as_of``."""
     return df.where(F.col(ts_col) >= as_of - F.make_dt_interval(F.lit(days)))
-
-
-def with_literals(df: DataFrame, **cols) -> DataFrame:
-    """Literal columns (e.g. source label, zero votes) with explicit types ``(value, type)``."""
-    for name, (value, dtype) in cols.items():
-        df = df.withColumn(name, F.lit(value).cast(dtype))
-    return df

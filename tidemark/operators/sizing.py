@@ -21,8 +21,3 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def small_list_df(spark, rows, schema) -> DataFrame:
-    """A dimension built from a driver-side list: its size is known, so it may be broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
