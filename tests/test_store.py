@@ -256,3 +256,18 @@ def test_frame_level_not_null_guard(spark):
     with pytest.raises(ValueError, match="NOT NULL"):
         guard_not_null(df, ["v"], "fail")
     assert guard_not_null(df, ["k"], "fail").count() == 2
+
+
+def test_store_audit_zero_after_merges_and_flags_a_duplicate(spark, store):
+    from tidemark.plans.report import store_audit
+    store.upsert(S.PRICE, price(spark, [("BTC", T10, 1.0, 1.0), ("ETH", T10, 2.0, 1.0)]))
+    store.upsert(S.PRICE, price(spark, [("BTC", T10, 3.0, 1.0)], batch=2))
+    store.insert_ignore(S.NEWS, news(spark, [("BTC", "h", "u", T10)]))
+    audit = {(r.table, r.check): r.violations for r in store_audit(store).collect()}
+    assert audit[("price_ohlcv", "duplicate_key")] == 0 and audit[("news_headlines", "null_url")] == 0
+    assert all(v == 0 for v in audit.values())
+    # a duplicate smuggled in by a plain append is caught
+    dup = store.read(S.PRICE).where("asset = 'ETH'")
+    dup.write.mode("append").partitionBy("month").parquet(store.path(S.PRICE))
+    audit = {(r.table, r.check): r.violations for r in store_audit(store, [S.PRICE]).collect()}
+    assert audit[("price_ohlcv", "duplicate_key")] == 1

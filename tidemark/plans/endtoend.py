@@ -149,7 +149,7 @@ pc as (select asset, blk, case when asset = 'signup' and blk % 13 = 0 then 'unpa
 END_TO_END_SQL["quarantine_counts"] = _PRICE_BLOCKS + """
 select 'price' source, asset, reason, count(*) payloads from pc group by 1, 2, 3
 union all
-select 'news' source, source asset, cast(null as varchar) reason, count(distinct doc_id // 400) payloads
+select 'news' source, source asset, cast(null as varchar) reason, count(distinct doc_id // 100) payloads
 from documents group by 1, 2, 3"""
 
 END_TO_END_SQL["run_report"] = _PRICE_BLOCKS + f""",
@@ -168,6 +168,6 @@ select 'market', true, count(distinct date_trunc('hour', ts)), 0, count(distinct
        count(distinct date_trunc('hour', ts)), 0, 0, 0, 0, 0, null
 from events
 union all
-select 'news', true, (select count(distinct (source, doc_id // 400)) from documents), 0, count(*),
+select 'news', true, (select count(distinct (source, doc_id // 100)) from documents), 0, count(*),
        count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, 0, null
 from nd"""

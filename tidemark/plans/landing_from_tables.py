@@ -6,7 +6,7 @@
                  'signup' payloads of every 13th block are cut short (-> unparseable).
               -> global-market payloads, one per hour (btc = max value, cap = min value,
                  volume = event count: order-independent, exactly reproducible values).
-``documents`` -> news payloads, one per (source, block of 400 doc ids); title = the whole text,
+``documents`` -> news payloads, one per (source, block of 100 doc ids); title = the whole text,
                  url = digest of the text (copies share it), published = doc_id minutes.
 Payload size is bounded by the block size, never by a key's total row count.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHART_BLOCK = 256
-NEWS_BLOCK = 400   # ~20 articles per (source, block) on the driver tables
+NEWS_BLOCK = 100   # <= 100 articles per payload whatever the skew of sources
 
 
 def price_envelopes(events: DataFrame) -> DataFrame:
