@@ -37,6 +37,28 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+def scale_settings(shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle/scan sizing for a job whose largest shuffle moves about ``shuffle_bytes``.
+
+    AQE can merge small shuffle partitions but cannot split large ones (skew splitting aside),
+    so the initial count must be high enough for the biggest shuffle: ~``target_partition_bytes``
+    each, AQE coalescing the rest to its advisory size. E.g. a 20 TB shuffle -> 81,920 partitions.
+    """
+    n = max(200, -(-int(shuffle_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(int(max_partition_bytes)),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Pin the settings the operators' semantics depend on (idempotent, runtime-settable)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -75,4 +97,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "BASE_CONF"]
+__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "BASE_CONF",
+           "scale_settings", "apply_settings"]
