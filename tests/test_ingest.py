@@ -134,7 +134,10 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_lookback_days_bounds_history(spark, store, tmp_path):
     day = 86_400_000
     ingest = 1713657600000                                     # 2024-04-21 00:00Z
-    pts = [(ingest - 3 * day, 1.0), (ingest - day - 3_600_000, 2.0), (ingest - day, 3.0), (ingest - 60_000, 4.0)]
+    ten = 600_000
+    # request at 00:10: the bound is 00:10 the day before, on raw (unfloored) point times
+    pts = [(ingest - 3 * day, 1.0), (ingest - day + ten - 60_000, 2.0), (ingest - day + ten, 3.0),
+           (ingest + 60_000, 4.0)]
     p = landing(tmp_path, "price", [env_line("BTC", "2024-04-21T00:10:00Z", 1, chart(pts))])
     run_ingest(spark, store, price=p, lookback_days=1)
     assert sorted(r.close for r in store.read(S.PRICE).collect()) == [3.0, 4.0]

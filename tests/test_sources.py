@@ -127,3 +127,12 @@ def test_nested_landing_folders_read_in_one_scan(spark, tmp_path):
     write_lines(str(root / "dt=2024-04-21" / "h=00"), [env_line("ETH", T0, 2, CHART)])
     df = read_landing(spark, str(root), recursive=True, glob="*.json")
     assert sorted(r.asset for r in df.collect()) == ["BTC", "ETH"]
+
+
+def test_explicit_null_arrays_count_as_missing(spark, tmp_path):
+    p = {"prices": [[1704067200000, 1.0]], "market_caps": None, "total_volumes": None}
+    empty = {"prices": None}
+    c = shred.classify_chart(landed(spark, tmp_path, env_line("BTC", T0, 1, p), env_line("ETH", T0, 1, empty)))
+    assert quarantine_rows(c, "price").count() == 0
+    got = [(r.asset, r.close, r.market_cap, r.volume) for r in shred.shred_chart(c).collect()]
+    assert got == [("BTC", 1.0, None, None)]

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.timefn import floor_hour
 from tidemark.operators.audit import top_n_per_group
 from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price, lookback
 from tidemark.plans.store import ORDER, TableStore
@@ -63,7 +62,8 @@ def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool
     if kind == "price":
         rows = shred.shred_chart(classified)
         if lookback_days is not None:
-            rows = lookback(rows, "timestamp", floor_hour(F.col("ingest_ts")), lookback_days)
+            # the request's bound: points at or after (request time - days), on raw times
+            rows = lookback(rows, "point_ts", F.col("ingest_ts"), lookback_days)
         return harmonise_price(rows, assets, strict)
     if kind == "market":
         return harmonise_market(shred.shred_global(classified), strict)

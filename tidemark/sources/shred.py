@@ -77,14 +77,16 @@ def shred_chart(classified: DataFrame, source: str = S.PRICE_SOURCE) -> DataFram
     z = zip_by_position(good, ["asset", "ingest_ts", "batch_id"], arr("prices"),
                         {"mc": arr("market_caps"), "tv": arr("total_volumes")},
                         value_name="pr", pos_name="seq")
+    raw_ts = epoch_millis_to_ts(F.get("pr", F.lit(0)))
     return z.select(
         "asset",
-        floor_hour(epoch_millis_to_ts(F.get("pr", F.lit(0)))).alias("timestamp"),
+        floor_hour(raw_ts).alias("timestamp"),
         F.get("pr", F.lit(1)).alias("close"),
         F.get("mc", F.lit(1)).alias("market_cap"),
         F.get("tv", F.lit(1)).alias("volume"),
         F.lit(source).alias("source"),
         "batch_id", "ingest_ts", F.col("seq").cast("long").alias("seq"),
+        raw_ts.alias("point_ts"),            # unfloored point time (request-window bound)
     )
 
 
