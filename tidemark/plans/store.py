@@ -144,7 +144,7 @@ class TableStore:
     def write_quarantine(self, rows: DataFrame) -> None:
         """Append rejected payloads (source, asset, batch_id, ingest_ts, reason, raw)."""
         rows.select(*S.QUARANTINE_SCHEMA.fieldNames()).write.mode("append") \
-            .partitionBy("source").parquet(self.quarantine_path())
+            .option("compression", "zstd").partitionBy("source").parquet(self.quarantine_path())
 
     def read_quarantine(self) -> DataFrame:
         return self.spark.read.schema(S.QUARANTINE_SCHEMA).parquet(self.quarantine_path())
@@ -183,7 +183,7 @@ class TableStore:
         # per-write option: an overwrite replaces only the partitions present in ``df``, whatever
         # the session's setting (a static overwrite would drop every other partition)
         laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(part).parquet(self.path(spec))
+            .option("compression", "zstd").partitionBy(part).parquet(self.path(spec))
 
     def _winners(self, spec, inc, order, pick):
         """Checkpointed per-key winners + (row count, touched storage partitions) in one pass."""
