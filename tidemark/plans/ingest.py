@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators.audit import top_n_per_group
 from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price, lookback
+from tidemark.plans.staging import stage
 from tidemark.plans.store import ORDER, TableStore
 from tidemark.sources import shred
 from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows, read_landing
@@ -81,14 +82,17 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
                   strict: bool = True, **options) -> SourceResult:
     """One source, fully isolated: any error is recorded, never raised."""
     res = SourceResult(kind)
+    staged = None
     try:
         classified = _CLASSIFY[kind](_landed(spark, landing))
         # raw text is only kept for rejected payloads (good ones carry their parsed form)
         bad = F.col("reason").isNotNull()
         classified = classified.withColumn("payload", F.when(bad, F.col("payload"))) \
-            .withColumn(CORRUPT, F.when(bad, F.col(CORRUPT))).checkpoint(eager=True)
-        c = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
-        res.payloads, res.quarantined = c["n"], c["bad"]
+            .withColumn(CORRUPT, F.when(bad, F.col(CORRUPT)))
+        staged = stage(classified, f"classified-{kind}",
+                       {"n": F.count(F.lit(1)), "bad": F.count_if(bad)})
+        classified = staged.df
+        res.payloads, res.quarantined = staged.metrics["n"], staged.metrics["bad"]
         if res.quarantined:
             store.write_quarantine(quarantine_rows(classified, kind))
         rows = harmonised_rows(kind, classified, assets, strict, **options)
@@ -108,6 +112,9 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500] if str(e) else ''}"
+    finally:
+        if staged is not None:
+            staged.drop()
     return res
 
 

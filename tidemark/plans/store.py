@@ -23,6 +23,7 @@ from tidemark.operators.merge import (
     first_per_key, latest_per_key, normalise_nan, null_violation,
 )
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
+from tidemark.plans.staging import stage
 from tidemark.session import ensure_utc, shared_dir
 
 ORDER = ["batch_id", "ingest_ts", "seq"]
@@ -186,13 +187,14 @@ class TableStore:
             .option("compression", "zstd").partitionBy(part).parquet(self.path(spec))
 
     def _winners(self, spec, inc, order, pick):
-        """Checkpointed per-key winners + (row count, touched storage partitions) in one pass."""
+        """Per-key winners staged as parquet, with (row count, touched storage partitions)
+        observed on the same write job."""
         winners = pick(inc, spec.key, order).select(*spec.columns_no_id) \
-            .withColumn(spec.partition_col, F.expr(spec.partition_expr)).checkpoint(eager=True)
-        # touched partitions: months (bounded by the batch's time span) or assets (dimension)
-        agg = winners.agg(F.count(F.lit(1)).alias("n"),
-                          F.collect_set(spec.partition_col).alias("parts")).first()
-        return winners, agg["n"], sorted(agg["parts"])
+            .withColumn(spec.partition_col, F.expr(spec.partition_expr))
+        # touched partitions: months/days (bounded by the batch's time span) or assets (dimension)
+        st = stage(winners, spec.name, {"n": F.count(F.lit(1)),
+                                        "parts": F.collect_set(spec.partition_col)})
+        return st, st.metrics["n"], sorted(st.metrics["parts"] or [])
 
     def _keys_side(self, df: DataFrame, n: int) -> DataFrame:
         return F.broadcast(df) if n <= self.broadcast_rows else df
@@ -212,11 +214,13 @@ class TableStore:
         if c["bad"]:
             raise ValueError(f"NOT NULL constraint failed: {c['bad']} row(s) with NULL in one of "
                              f"{spec.not_null}; batch not written")
-        winners, n, touched = self._winners(spec, inc, order, latest_per_key)
+        st, n, touched = self._winners(spec, inc, order, latest_per_key)
+        winners = st.df
         base = self.read(spec).where(F.col(spec.partition_col).isin(touched))
         # winner keys are the small side whenever the batch is; base rows of untouched keys stay
         kept = base.join(self._keys_side(winners.select(*spec.key), n), spec.key, "left_anti")
         self._write_partitions(spec, kept.unionByName(winners), "overwrite")
+        st.drop()
         stats.rows_written, stats.partitions = n, touched
         stats.rows_deduped = stats.rows_in - n
         return stats
@@ -234,7 +238,8 @@ class TableStore:
         stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
         if stats.rows_in - stats.rows_null_dropped == 0:
             return stats
-        winners, n, touched = self._winners(spec, inc.where(~bad), order, first_per_key)
+        st, n, touched = self._winners(spec, inc.where(~bad), order, first_per_key)
+        winners = st.df
         # existing = stored keys that the batch also has: a map-side semi join of the stored
         # keys against the (broadcast) batch keys; |existing| <= n, so it may be broadcast too
         inc_keys = self._keys_side(winners.select(*spec.key), n)
@@ -247,6 +252,7 @@ class TableStore:
         stats.rows_ignored = n - written
         if written:
             self._write_partitions(spec, new.select(*spec.columns, spec.partition_col), "append")
+        st.drop()
         stats.partitions = touched
         return stats
 
