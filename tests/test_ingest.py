@@ -200,3 +200,12 @@ def test_news_stream_replay_after_failure_changes_nothing(spark, tmp_path):
     run_stream_to_completion(spark, st, "news", land, str(tmp_path / "ck2"))
     assert sorted(tuple(r) for r in st.read(S.NEWS).collect()) == before
     assert sorted(r.id for r in st.read(S.NEWS).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_empty_landing_fails_source_cleanly(spark, store, tmp_path):
+    import os
+    empty = str(tmp_path / "empty_land")
+    os.makedirs(empty)
+    r = run_ingest(spark, store, price=empty)[0]
+    assert not r.ok and r.payloads == 0 and "Missing required columns" in r.error
+    assert store.read(S.PRICE).count() == 0
