@@ -165,3 +165,24 @@ def test_unknown_symbol_strict_raises_listing_valid(spark):
         require_known_assets(df)
     ok = spark.createDataFrame([("BTC",), ("SHIB",)], "asset string")
     assert require_known_assets(ok).count() == 2
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.datetimes(min_value=dt.datetime(2000, 1, 1), max_value=dt.datetime(2040, 1, 1)),
+                          st.integers(-12 * 4, 14 * 4), st.sampled_from([" ", "T"])), min_size=1, max_size=30))
+def test_floor_matches_python_for_offsets_and_separators(spark, items):
+    texts, want = [], []
+    for naive, quarters, sep in items:
+        naive = naive.replace(microsecond=0)
+        off = dt.timedelta(minutes=15 * quarters)
+        sign = "+" if off >= dt.timedelta(0) else "-"
+        mins = abs(int(off.total_seconds())) // 60
+        texts.append((naive.strftime(f"%Y-%m-%d{sep}%H:%M:%S") + f"{sign}{mins // 60:02d}:{mins % 60:02d}",))
+        utc = naive - off
+        want.append(utc.replace(minute=0, second=0))
+    got = [r.timestamp for r in floor_timestamps(spark.createDataFrame(texts, "timestamp string")).collect()]
+    assert got == want
