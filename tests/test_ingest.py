@@ -209,3 +209,18 @@ def test_empty_landing_fails_source_cleanly(spark, store, tmp_path):
     r = run_ingest(spark, store, price=empty)[0]
     assert not r.ok and r.payloads == 0 and "Missing required columns" in r.error
     assert store.read(S.PRICE).count() == 0
+
+
+def test_smoke_scenario_end_to_end_through_the_store(spark, store):
+    from tests.test_harmonise import smoke_price
+    from tidemark.plans.ingest import ingest_frame
+    df = smoke_price(spark).drop("batch_id").coalesce(1)
+    r = ingest_frame(spark, store, "price", df)
+    assert r.ok and (r.rows_in, r.rows_written) == (20, 12)
+    day = store.read_window(S.PRICE, "2024-01-01 00:00:00", "2024-01-01 23:00:00").collect()
+    got = {(x.asset, x.timestamp.hour): x.close for x in day}
+    assert got[("BTC", 2)] == 42300.0 and got[("ETH", 5)] == 2205.0 and got[("SOL", 8)] == 99.0
+    assert got[("XRP", 9)] == 0.63 and len(got) == 12
+    again = ingest_frame(spark, store, "price", df)                     # replay: nothing changes
+    after = store.read_window(S.PRICE, "2024-01-01 00:00:00", "2024-01-01 23:00:00").collect()
+    assert again.ok and sorted(after) == sorted(day)
