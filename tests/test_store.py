@@ -271,3 +271,23 @@ def test_store_audit_zero_after_merges_and_flags_a_duplicate(spark, store):
     dup.write.mode("append").partitionBy("month").parquet(store.path(S.PRICE))
     audit = {(r.table, r.check): r.violations for r in store_audit(store, [S.PRICE]).collect()}
     assert audit[("price_ohlcv", "duplicate_key")] == 1
+
+
+def test_news_key_buckets_prune_existence_check_and_keep_semantics(spark, tmp_path):
+    s = TableStore(spark, str(tmp_path / "bucketed"), key_buckets=8)
+    s.create_tables([S.NEWS])
+    s.insert_ignore(S.NEWS, news(spark, [("BTC", f"h{i}", f"https://x/{i}", T10) for i in range(40)]))
+    st = s.insert_ignore(S.NEWS, news(spark, [("BTC", "again", "https://x/3", T10),
+                                              ("BTC", "new", "https://x/new", T10)], batch=2))
+    assert (st.rows_written, st.rows_ignored) == (1, 1)
+    assert len(st.partitions) <= 2 and all(p.startswith("BTC#") for p in st.partitions)
+    got = {r.url: r.headline for r in s.read_window(S.NEWS, T10, T10, "BTC").collect()}
+    assert len(got) == 41 and got["https://x/3"] == "h3" and got["https://x/new"] == "new"
+    dirs = [d for d in os.listdir(s.path(S.NEWS)) if d.startswith("asset_part=")]
+    assert len(dirs) > 1
+    plan = s.read(S.NEWS).where(F.col("asset_part").isin(st.partitions))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters" in plan
+    again = TableStore(spark, str(tmp_path / "bucketed"))          # layout is recorded
+    assert again.spec(S.NEWS).key_buckets == 8
+    assert sorted(r.id for r in again.read(S.NEWS).collect()) == list(range(1, 42))

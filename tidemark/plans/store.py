@@ -61,7 +61,8 @@ class TableStore:
     are created; a table's layout is recorded beside it, and an existing table keeps its own.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, time_grain: str = "month"):
+    def __init__(self, spark: SparkSession, root: str | None = None, time_grain: str = "month",
+                 key_buckets: int = 1):
         self.spark = spark
         ensure_utc(spark)
         if root is None:
@@ -71,18 +72,25 @@ class TableStore:
         if time_grain not in S.TIME_GRAINS:
             raise ValueError(f"time_grain must be one of {sorted(S.TIME_GRAINS)}")
         self.time_grain = time_grain
+        self.key_buckets = int(key_buckets)
         self._layouts: dict[str, S.TableSpec] = {}
 
     # -- layout -----------------------------------------------------------------------
     def spec(self, spec: S.TableSpec) -> S.TableSpec:
-        """This store's layout of ``spec``: the recorded grain if the table exists."""
-        if spec.time_grain is None:
-            return spec
+        """This store's layout of ``spec``: the recorded layout if the table exists."""
         if spec.name not in self._layouts:
             recorded = self._read_meta(self._layout_path(spec))
-            self._layouts[spec.name] = spec.at_grain(recorded or self.time_grain)
+            if spec.time_grain is not None:
+                self._layouts[spec.name] = spec.at_grain(recorded or self.time_grain)
+            else:
+                buckets = int(recorded.split("=")[1]) if recorded else self.key_buckets
+                self._layouts[spec.name] = spec.with_key_buckets(buckets)
         return self._layouts[spec.name]
 
+    def _layout_text(self, spec: S.TableSpec) -> str:
+        spec = self.spec(spec)
+        return spec.time_grain if spec.time_grain is not None else f"buckets={spec.key_buckets}"
+
     def _layout_path(self, spec: S.TableSpec) -> str:
         return f"{self.root}/_meta/{spec.name}_layout"
 
@@ -111,8 +119,7 @@ class TableStore:
             fs, p = self._fs(self.path(spec))
             if not fs.exists(p):
                 fs.mkdirs(p)
-                if spec.time_grain is not None:
-                    self._write_meta(self._layout_path(spec), self.spec(spec).time_grain)
+                self._write_meta(self._layout_path(spec), self._layout_text(spec))
 
     # -- scans ------------------------------------------------------------------------
     def read(self, spec: S.TableSpec) -> DataFrame:
@@ -135,7 +142,9 @@ class TableStore:
         if asset is not None:
             pred = pred & (F.col("asset") == F.lit(asset))
             if spec.partition_col == "asset_part":
-                pred = pred & (F.col("asset_part") == F.lit(asset))
+                part = F.col("asset_part")
+                pred = pred & (part.startswith(F.lit(asset + "#")) if spec.key_buckets > 1
+                               else part == F.lit(asset))
         return df.where(pred).select(*spec.columns)
 
     # -- quarantine and compaction ----------------------------------------------------

@@ -92,6 +92,19 @@ class TableSpec:
     def columns_no_id(self):
         return [c for c in self.columns if c != "id"]
 
+    key_buckets = 1
+
+    def with_key_buckets(self, buckets: int) -> "TableSpec":
+        """News layout ``asset#bucket``: the stored keys are split by a hash of ``url`` so a
+        batch's existence check reads only the buckets its URLs fall into. 1 = by asset only."""
+        if self.conflict != "ignore" or buckets <= 1 or buckets == self.key_buckets:
+            return self
+        expr = (f"concat(`asset`, '#', lpad(cast(pmod(xxhash64(`url`), {int(buckets)}) as string), 5, '0'))")
+        spec = TableSpec(self.name, self.schema, self.key, self.partition_col, expr, self.sort_cols,
+                         self.conflict, self.time_grain)
+        spec.key_buckets = int(buckets)
+        return spec
+
     def at_grain(self, grain: str) -> "TableSpec":
         """The same table partitioned by another grain of `timestamp` (month or day)."""
         if self.time_grain is None or grain == self.time_grain:
