@@ -78,6 +78,30 @@ def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool
     raise ValueError(f"unknown source {kind!r}")
 
 
+_SPECS = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}
+_REQUIRED = {"price": S.PRICE_REQUIRED_COLUMNS, "market": S.MARKET_REQUIRED_COLUMNS,
+             "news": S.NEWS_REQUIRED_COLUMNS}
+
+
+def _error_text(e: Exception) -> str:
+    text = str(e)
+    return f"{type(e).__name__}: {text.splitlines()[0][:500] if text else ''}"
+
+
+def _store_rows(store: TableStore, kind: str, rows: DataFrame, res: SourceResult,
+                fail_if_empty: bool) -> None:
+    """Merge harmonised rows into the source's table and copy the write stats into ``res``."""
+    spec = _SPECS[kind]
+    stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
+    if fail_if_empty and stats.rows_in == 0:
+        # no usable payload at all: the source fails like an empty batch reaching the column
+        # contract (nothing was written: an empty batch is a no-op at the sink)
+        raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(_REQUIRED[kind]))
+    res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
+    res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
+    res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
+
+
 def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, assets=None,
                   strict: bool = True, **options) -> SourceResult:
     """One source, fully isolated: any error is recorded, never raised."""
@@ -98,20 +122,10 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         rows = harmonised_rows(kind, classified, assets, strict, **options)
         if not strict:
             rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
-        spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
-        stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
-        if stats.rows_in == 0:
-            # no usable payload at all: the source fails like an empty batch reaching the
-            # column contract (nothing was written: an empty batch is a no-op at the sink)
-            required = {"price": S.PRICE_REQUIRED_COLUMNS, "market": S.MARKET_REQUIRED_COLUMNS,
-                        "news": S.NEWS_REQUIRED_COLUMNS}[kind]
-            raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(required))
-        res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
-        res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
-        res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
+        _store_rows(store, kind, rows, res, fail_if_empty=True)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500] if str(e) else ''}"
+        res.error = _error_text(e)
     finally:
         if staged is not None:
             staged.drop()
@@ -159,14 +173,10 @@ def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFram
         rows = harmonise(df)
         if not strict:
             rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
-        spec = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}[kind]
-        stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
-        res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
-        res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
-        res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
+        _store_rows(store, kind, rows, res, fail_if_empty=False)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500] if str(e) else ''}"
+        res.error = _error_text(e)
     return res
 
 
