@@ -136,3 +136,15 @@ def test_explicit_null_arrays_count_as_missing(spark, tmp_path):
     assert quarantine_rows(c, "price").count() == 0
     got = [(r.asset, r.close, r.market_cap, r.volume) for r in shred.shred_chart(c).collect()]
     assert got == [("BTC", 1.0, None, None)]
+
+
+def test_absurd_epochs_never_fail_the_job(spark, tmp_path):
+    huge_chart = {"prices": [[1e20, 1.0]], "market_caps": [], "total_volumes": []}
+    arts = {"Data": [{"TITLE": "far", "URL": "u1", "PUBLISHED_ON": 1e20},
+                     {"TITLE": "ok", "URL": "u2", "PUBLISHED_ON": 1713654000}]}
+    c = shred.classify_chart(landed(spark, tmp_path, env_line("BTC", T0, 1, huge_chart), env_line("ETH", T0, 1, CHART)))
+    assert [(r.asset, r.reason) for r in quarantine_rows(c, "price").collect()] == [("BTC", "invalid_values")]
+    assert [r.asset for r in shred.shred_chart(c).collect()] == ["ETH"]
+    n = shred.shred_news(shred.classify_news(landed(spark, tmp_path / "n", env_line("SOL", "2024-05-01T10:30:00Z", 1, arts))))
+    got = {r.headline: r.published_at for r in n.collect()}
+    assert got["far"] == dt.datetime(2024, 5, 1, 10, 30) and got["ok"] == dt.datetime(2024, 4, 20, 23, 0)

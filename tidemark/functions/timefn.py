@@ -16,15 +16,26 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Instants representable by a calendar timestamp: years 1 through 9999 (Unix seconds).
+MIN_EPOCH_S, MAX_EPOCH_S = -62_135_596_800, 253_402_300_799
+
+
+def epoch_in_range(c, per_second: int = 1) -> Column:
+    """True when a Unix time (in 1/per_second units) maps to a year between 1 and 9999."""
+    v = _c(c).cast("double")
+    return v.between(F.lit(float(MIN_EPOCH_S * per_second)), F.lit(float((MAX_EPOCH_S + 1) * per_second - 1)))
+
+
 def epoch_millis_to_ts(c) -> Column:
-    """Unix milliseconds -> UTC instant (timestamp)."""
-    return F.timestamp_millis(_c(c).cast("long"))
+    """Unix milliseconds -> UTC instant (timestamp); out of range -> NULL, never an error."""
+    ms = _c(c)
+    return F.when(epoch_in_range(ms, 1000), F.timestamp_millis(ms.cast("double").try_cast("long")))
 
 
 def epoch_seconds_to_ts(c) -> Column:
-    """Unix seconds -> UTC instant. Fractional seconds are kept to the microsecond."""
+    """Unix seconds -> UTC instant, fractions kept to the microsecond; out of range -> NULL."""
     col = _c(c)
-    return F.timestamp_micros((col.cast("double") * 1_000_000).cast("long"))
+    return F.when(epoch_in_range(col), F.timestamp_micros((col.cast("double") * 1_000_000).try_cast("long")))
 
 
 def parse_utc(c, strict: bool = True) -> Column:
@@ -75,6 +86,6 @@ def nan_to_null(c) -> Column:
 
 
 __all__ = [
-    "epoch_millis_to_ts", "epoch_seconds_to_ts", "parse_utc", "floor_hour", "floor_hour_ntz",
+    "epoch_in_range", "epoch_millis_to_ts", "epoch_seconds_to_ts", "parse_utc", "floor_hour", "floor_hour_ntz",
     "floor_hour_of", "iso_utc_text", "nan_to_null",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.nested import get_or
-from tidemark.functions.timefn import epoch_millis_to_ts, epoch_seconds_to_ts, floor_hour
+from tidemark.functions.timefn import epoch_in_range, epoch_millis_to_ts, epoch_seconds_to_ts, floor_hour
 from tidemark.sources.landing import classify
 
 
@@ -20,7 +20,8 @@ def _empty_pairs() -> Column:
 
 
 def _bad_pair(p: Column) -> Column:
-    return p.isNull() | (F.size(p) < 2) | F.get(p, F.lit(0)).isNull() | F.get(p, F.lit(1)).isNull()
+    t = F.get(p, F.lit(0))
+    return p.isNull() | (F.size(p) < 2) | t.isNull() | F.get(p, F.lit(1)).isNull() | ~epoch_in_range(t, 1000)
 
 
 def _bad_value_pair(p: Column) -> Column:
@@ -116,7 +117,7 @@ def published_at(article: Column, ingest_ts: Column) -> Column:
     """Unix seconds -> UTC. Key absent -> epoch 0; null or non-numeric -> the ingest time."""
     secs = F.try_element_at(article, F.lit("PUBLISHED_ON")).try_cast("double")
     return F.when(~F.map_contains_key(article, F.lit("PUBLISHED_ON")), epoch_seconds_to_ts(F.lit(0))) \
-        .when(secs.isNull(), ingest_ts) \
+        .when(secs.isNull() | ~epoch_in_range(secs), ingest_ts) \
         .otherwise(epoch_seconds_to_ts(secs))
 
 
