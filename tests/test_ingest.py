@@ -224,3 +224,14 @@ def test_smoke_scenario_end_to_end_through_the_store(spark, store):
     again = ingest_frame(spark, store, "price", df)                     # replay: nothing changes
     after = store.read_window(S.PRICE, "2024-01-01 00:00:00", "2024-01-01 23:00:00").collect()
     assert again.ok and sorted(after) == sorted(day)
+
+
+def test_failure_kinds(spark, store, tmp_path):
+    from tidemark.plans.ingest import failure_kind, ingest_source
+    assert failure_kind(ValueError("Missing required columns: ['x']")) == "data"
+    assert failure_kind(RuntimeError("disk gone")) == "system"
+    r = ingest_source(spark, store, "price", landing(tmp_path, "p", ["{broken"]))
+    assert r.failure == "data"
+    gone = TableStore(spark, str(tmp_path / "no_tables"))          # tables never created
+    r = ingest_source(spark, gone, "price", landing(tmp_path, "p2", [env_line("BTC", T0, 1, CHART)]))
+    assert not r.ok and r.failure == "system"

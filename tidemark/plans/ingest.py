@@ -23,7 +23,7 @@ from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows
 
 REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, rows_in long, "
                  "rows_written long, rows_ignored long, rows_null_dropped long, rows_deduped long, "
-                 "rows_empty_url long, quarantined_rows long, error string")
+                 "rows_empty_url long, quarantined_rows long, error string, failure string")
 
 
 @dataclass
@@ -40,6 +40,7 @@ class SourceResult:
     rows_empty_url: int = 0        # articles without a URL ("" takes part in the key)
     quarantined_rows: int = 0      # lenient mode: rows whose event time did not parse
     error: str | None = None
+    failure: str | None = None     # "data" (batch unusable) or "system" (retry the batch)
 
 
 _CLASSIFY = {"price": shred.classify_chart, "market": shred.classify_global, "news": shred.classify_news}
@@ -88,6 +89,16 @@ def _error_text(e: Exception) -> str:
     return f"{type(e).__name__}: {text.splitlines()[0][:500] if text else ''}"
 
 
+def failure_kind(e: Exception) -> str:
+    """``data``: the batch itself is unusable (column contract, NOT NULL, values that do not
+    parse) — the reference loses such a batch too; ``system``: anything else (I/O, lost
+    executors beyond retries, ...) — the batch must be retried, not skipped."""
+    from pyspark.errors.exceptions import captured
+    data_errors = (ValueError, captured.NumberFormatException, captured.DateTimeException,
+                   captured.ArithmeticException)
+    return "data" if isinstance(e, data_errors) else "system"
+
+
 def _store_rows(store: TableStore, kind: str, rows: DataFrame, res: SourceResult,
                 fail_if_empty: bool) -> None:
     """Merge harmonised rows into the source's table and copy the write stats into ``res``."""
@@ -125,7 +136,7 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         _store_rows(store, kind, rows, res, fail_if_empty=True)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        res.error = _error_text(e)
+        res.error, res.failure = _error_text(e), failure_kind(e)
     finally:
         if staged is not None:
             staged.drop()
@@ -176,7 +187,7 @@ def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFram
         _store_rows(store, kind, rows, res, fail_if_empty=False)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        res.error = _error_text(e)
+        res.error, res.failure = _error_text(e), failure_kind(e)
     return res
 
 

@@ -23,7 +23,9 @@ def start_ingest_stream(spark: SparkSession, store: TableStore, kind: str, landi
     """Start a streaming ingest of one source (``price``, ``market`` or ``news``).
 
     Every micro-batch's outcome is appended to ``report_path`` (a parquet table) when given.
-    A micro-batch with no usable payload is recorded, not raised, so the stream keeps going.
+    A micro-batch whose data is unusable (no usable payload, NOT NULL violation) is recorded and
+    skipped, as a batch run would lose it; any other failure stops the query so that a restart
+    reprocesses the micro-batch.
     """
     landed = read_landing(spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
 
@@ -32,6 +34,10 @@ def start_ingest_stream(spark: SparkSession, store: TableStore, kind: str, landi
         if report_path:
             report_frame(spark, [res]).selectExpr(f"cast({int(epoch_id)} as long) as epoch", "*") \
                 .write.mode("append").parquet(report_path)
+        if res.failure == "system":
+            # not the data's fault: fail the micro-batch so a restart reprocesses it (the merges
+            # are idempotent); data failures are recorded and the stream moves on
+            raise RuntimeError(f"micro-batch {epoch_id} of {kind} failed: {res.error}")
 
     writer = landed.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:
