@@ -235,3 +235,10 @@ def test_failure_kinds(spark, store, tmp_path):
     gone = TableStore(spark, str(tmp_path / "no_tables"))          # tables never created
     r = ingest_source(spark, gone, "price", landing(tmp_path, "p2", [env_line("BTC", T0, 1, CHART)]))
     assert not r.ok and r.failure == "system"
+
+
+def test_report_counts_unsupported_asset_payloads(spark, store, tmp_path):
+    p = landing(tmp_path, "price", [env_line("BTC", T0, 1, CHART), env_line("LUNA", T0, 1, CHART),
+                                    env_line("PEPE", T0, 1, {"prices": [[1, None]]})])
+    r = run_ingest(spark, store, price=p)[0]
+    assert (r.payloads, r.quarantined, r.payloads_unsupported, r.rows_written) == (3, 1, 1, 1)

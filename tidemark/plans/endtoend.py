@@ -159,16 +159,18 @@ pr as (select e.event_type, date_trunc('hour', e.ts) hr from events e join pc
 nd as (select source, text from documents where text <> '' and source in {_NEWS_IN})
 select 'price' source, true ok, (select count(*) from pc) payloads,
        (select count(*) from pc where reason is not null) quarantined,
+       (select count(*) from pc where reason is null and asset not in {_PRICE_IN}) payloads_unsupported,
        count(*) rows_in, count(distinct (event_type, hr)) rows_written, cast(0 as bigint) rows_ignored,
        cast(0 as bigint) rows_null_dropped, count(*) - count(distinct (event_type, hr)) rows_deduped,
        cast(0 as bigint) rows_empty_url, cast(0 as bigint) quarantined_rows, cast(null as varchar) error,
        cast(null as varchar) failure
 from pr
 union all
-select 'market', true, count(distinct date_trunc('hour', ts)), 0, count(distinct date_trunc('hour', ts)),
+select 'market', true, count(distinct date_trunc('hour', ts)), 0, 0, count(distinct date_trunc('hour', ts)),
        count(distinct date_trunc('hour', ts)), 0, 0, 0, 0, 0, null, null
 from events
 union all
-select 'news', true, (select count(distinct (source, doc_id // 100)) from documents), 0, count(*),
+select 'news', true, (select count(distinct (source, doc_id // 100)) from documents), 0,
+       (select count(distinct (source, doc_id // 100)) from documents where source not in {_NEWS_IN}), count(*),
        count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, 0, null, null
 from nd"""

@@ -21,7 +21,8 @@ from tidemark.plans.store import ORDER, TableStore
 from tidemark.sources import shred
 from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows, read_landing
 
-REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, rows_in long, "
+REPORT_SCHEMA = ("source string, ok boolean, payloads long, quarantined long, "
+                 "payloads_unsupported long, rows_in long, "
                  "rows_written long, rows_ignored long, rows_null_dropped long, rows_deduped long, "
                  "rows_empty_url long, quarantined_rows long, error string, failure string")
 
@@ -32,6 +33,7 @@ class SourceResult:
     ok: bool = False
     payloads: int = 0
     quarantined: int = 0
+    payloads_unsupported: int = 0  # good payloads of assets outside the allow-list (rows dropped)
     rows_in: int = 0
     rows_written: int = 0
     rows_ignored: int = 0          # already stored (IGNORE) — attempted minus inserted
@@ -124,10 +126,15 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         bad = F.col("reason").isNotNull()
         classified = classified.withColumn("payload", F.when(bad, F.col("payload"))) \
             .withColumn(CORRUPT, F.when(bad, F.col(CORRUPT)))
-        staged = stage(classified, f"classified-{kind}",
-                       {"n": F.count(F.lit(1)), "bad": F.count_if(bad)})
+        metrics = {"n": F.count(F.lit(1)), "bad": F.count_if(bad)}
+        if kind != "market" and not isinstance(assets, DataFrame):
+            # good payloads of unsupported assets: their rows are dropped by the allow-list (P3)
+            allowed = list(S.VALID_ASSETS if assets is None else assets)
+            metrics["unknown"] = F.count_if(~bad & ~F.coalesce(F.col("asset").isin(allowed), F.lit(False)))
+        staged = stage(classified, f"classified-{kind}", metrics)
         classified = staged.df
         res.payloads, res.quarantined = staged.metrics["n"], staged.metrics["bad"]
+        res.payloads_unsupported = staged.metrics.get("unknown", 0 if kind == "market" else None)
         if res.quarantined:
             store.write_quarantine(quarantine_rows(classified, kind))
         rows = harmonised_rows(kind, classified, assets, strict, **options)
