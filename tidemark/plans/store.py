@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
+from tidemark.operators.merge import assign_ids as assign_dense_ids
 from tidemark.operators.merge import (
     first_per_key, latest_per_key, normalise_nan, null_violation,
 )
@@ -305,9 +306,8 @@ class TableStore:
     def assign_ids(self, spec: S.TableSpec, new: DataFrame):
         """Ids continue from the stored high-water mark: unique, increasing, gap-free per batch.
         Returns (frame with ids, number of rows)."""
-        from tidemark.operators.merge import assign_ids
         start = self._next_id(spec)
-        with_ids, n = assign_ids(new, start, with_count=True)
+        with_ids, n = assign_dense_ids(new, start, with_count=True)
         if n:
             self._write_meta(self._id_path(spec), str(start + n))
         return with_ids, n
