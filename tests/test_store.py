@@ -291,3 +291,16 @@ def test_news_key_buckets_prune_existence_check_and_keep_semantics(spark, tmp_pa
     again = TableStore(spark, str(tmp_path / "bucketed"))          # layout is recorded
     assert again.spec(S.NEWS).key_buckets == 8
     assert sorted(r.id for r in again.read(S.NEWS).collect()) == list(range(1, 42))
+
+
+def test_key_broadcast_bounded_by_bytes(spark, store):
+    store.broadcast_bytes = 10                     # tiny bound: must fall back to a plain join
+    try:
+        store.insert_ignore(S.NEWS, news(spark, [("BTC", "h", "https://x/1", T10)]))
+        st = store.insert_ignore(S.NEWS, news(spark, [("BTC", "h2", "https://x/1", T10),
+                                                     ("BTC", "h3", "https://x/2", T10)], batch=2))
+        assert (st.rows_written, st.rows_ignored) == (1, 1)
+        side = store._keys_side(spark.range(1), 1, 11)
+        assert "broadcast" not in side._jdf.queryExecution().analyzed().toString().lower()
+    finally:
+        store.broadcast_bytes = 64 << 20

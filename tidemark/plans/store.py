@@ -197,19 +197,26 @@ class TableStore:
             .option("compression", "zstd").partitionBy(part).parquet(self.path(spec))
 
     def _winners(self, spec, inc, order, pick):
-        """Per-key winners staged as parquet, with (row count, touched storage partitions)
-        observed on the same write job."""
+        """Per-key winners staged as parquet, with (row count, touched storage partitions, key
+        bytes) observed on the same write job."""
         winners = pick(inc, spec.key, order).select(*spec.columns_no_id) \
             .withColumn(spec.partition_col, F.expr(spec.partition_expr))
+        key_bytes = sum((F.coalesce(F.length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
+                         else F.lit(8)) + F.lit(16) for c in spec.key)
         # touched partitions: months/days (bounded by the batch's time span) or assets (dimension)
         st = stage(winners, spec.name, {"n": F.count(F.lit(1)),
-                                        "parts": F.collect_set(spec.partition_col)})
-        return st, st.metrics["n"], sorted(st.metrics["parts"] or [])
+                                        "parts": F.collect_set(spec.partition_col),
+                                        "key_bytes": F.coalesce(F.sum(key_bytes), F.lit(0))})
+        return st, st.metrics["n"], sorted(st.metrics["parts"] or []), int(st.metrics["key_bytes"])
 
-    def _keys_side(self, df: DataFrame, n: int) -> DataFrame:
-        return F.broadcast(df) if n <= self.broadcast_rows else df
+    def _keys_side(self, df: DataFrame, n: int, key_bytes: int) -> DataFrame:
+        """Broadcast a key side only under a proven bound: at most ``broadcast_rows`` keys and
+        ``broadcast_bytes`` of key data (measured exactly on the staged winners)."""
+        small = n <= self.broadcast_rows and key_bytes <= self.broadcast_bytes
+        return F.broadcast(df) if small else df
 
     broadcast_rows = DEFAULT_BROADCAST_ROWS
+    broadcast_bytes = 64 << 20
 
     def upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """REPLACE: last arrival per key wins (whole row); a NULL in a NOT NULL column fails
@@ -224,11 +231,11 @@ class TableStore:
         if c["bad"]:
             raise ValueError(f"NOT NULL constraint failed: {c['bad']} row(s) with NULL in one of "
                              f"{spec.not_null}; batch not written")
-        st, n, touched = self._winners(spec, inc, order, latest_per_key)
+        st, n, touched, key_bytes = self._winners(spec, inc, order, latest_per_key)
         winners = st.df
         base = self.read(spec).where(F.col(spec.partition_col).isin(touched))
         # winner keys are the small side whenever the batch is; base rows of untouched keys stay
-        kept = base.join(self._keys_side(winners.select(*spec.key), n), spec.key, "left_anti")
+        kept = base.join(self._keys_side(winners.select(*spec.key), n, key_bytes), spec.key, "left_anti")
         self._write_partitions(spec, kept.unionByName(winners), "overwrite")
         st.drop()
         stats.rows_written, stats.partitions = n, touched
@@ -248,14 +255,14 @@ class TableStore:
         stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
         if stats.rows_in - stats.rows_null_dropped == 0:
             return stats
-        st, n, touched = self._winners(spec, inc.where(~bad), order, first_per_key)
+        st, n, touched, key_bytes = self._winners(spec, inc.where(~bad), order, first_per_key)
         winners = st.df
         # existing = stored keys that the batch also has: a map-side semi join of the stored
         # keys against the (broadcast) batch keys; |existing| <= n, so it may be broadcast too
-        inc_keys = self._keys_side(winners.select(*spec.key), n)
+        inc_keys = self._keys_side(winners.select(*spec.key), n, key_bytes)
         existing = self.read(spec).where(F.col(spec.partition_col).isin(touched)) \
             .select(*spec.key).join(inc_keys, spec.key, "left_semi")
-        new = winners.join(self._keys_side(existing, n), spec.key, "left_anti")
+        new = winners.join(self._keys_side(existing, n, key_bytes), spec.key, "left_anti")
         new, written = self.assign_ids(spec, new)
         stats.rows_written = written
         stats.rows_deduped = stats.rows_in - stats.rows_null_dropped - n
