@@ -9,3 +9,18 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+_API = {
+    "build_session": "tidemark.session", "TableStore": "tidemark.plans.store",
+    "run_ingest": "tidemark.plans.ingest", "run_all": "tidemark.plans.ingest",
+    "ingest_frame": "tidemark.plans.ingest", "report_frame": "tidemark.plans.ingest",
+    "start_ingest_stream": "tidemark.streaming.stream",
+}
+
+
+def __getattr__(name):
+    """Lazy top-level access to the main API (``from tidemark import TableStore``)."""
+    if name in _API:
+        import importlib
+        return getattr(importlib.import_module(_API[name]), name)
+    raise AttributeError(name)
