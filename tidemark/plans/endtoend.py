@@ -74,25 +74,34 @@ def q_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     return p.unionByName(n)
 
 
-def q_stream_price_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The price ingest as a Structured Streaming job: derived envelopes are landed as JSON
-    files in the shared folder, consumed by an availableNow file stream whose foreachBatch runs
-    the same merge. Same stored table as the batch run (``stored_price_table``)."""
+def _streamed(spark: SparkSession, sf: str, kind: str, spec: S.TableSpec, assets) -> DataFrame:
+    """A source's ingest as a Structured Streaming job: derived envelopes are landed as JSON
+    files in the shared folder and consumed by an availableNow file stream whose foreachBatch
+    runs the same classify/shred/harmonise/merge. Same stored table as the batch run."""
     ensure_utc(spark)
-    root = scratch_path(spark, "stream")
+    root = scratch_path(spark, f"stream-{kind}")
     land = f"{root}/landing"
-    price, _, _ = envelopes(spark, sf)
-    price.write.mode("errorifexists").json(land)
+    envs = dict(zip(("price", "market", "news"), envelopes(spark, sf)))
+    envs[kind].write.mode("errorifexists").json(land)
     store = TableStore(spark, f"{root}/store")
-    store.create_tables([S.PRICE])
-    run_stream_to_completion(spark, store, "price", land, f"{root}/_checkpoint", PRICE_ASSETS)
+    store.create_tables([spec])
+    run_stream_to_completion(spark, store, kind, land, f"{root}/_checkpoint", assets)
     cols = [F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c)
-            for c in S.PRICE.columns_no_id]
-    return store.read(S.PRICE).select(*cols)
+            for c in spec.columns_no_id]
+    return store.read(spec).select(*cols)
+
+
+def q_stream_price_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf, "price", S.PRICE, PRICE_ASSETS)
+
+
+def q_stream_news_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf, "news", S.NEWS, NEWS_ASSETS)
 
 
 END_TO_END_QUERIES = {
     "stream_price_table": q_stream_price_table,
+    "stream_news_table": q_stream_news_table,
     "stored_price_table": q_stored_price_table,
     "stored_market_table": q_stored_market_table,
     "stored_news_table": q_stored_news_table,
@@ -174,3 +183,4 @@ select 'news', true, (select count(distinct (source, doc_id // 100)) from docume
        (select count(distinct (source, doc_id // 100)) from documents where source not in {_NEWS_IN}), count(*),
        count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, 0, null, null
 from nd"""
+END_TO_END_SQL["stream_news_table"] = END_TO_END_SQL["stored_news_table"]
