@@ -304,3 +304,13 @@ def test_key_broadcast_bounded_by_bytes(spark, store):
         assert "broadcast" not in side._jdf.queryExecution().analyzed().toString().lower()
     finally:
         store.broadcast_bytes = 64 << 20
+
+
+def test_window_bounds_in_other_zones_are_converted_to_utc(spark, store):
+    d = dt.datetime
+    store.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 1, 0), 1.0, 1.0), ("BTC", d(2025, 1, 1, 1), 2.0, 1.0)]))
+    ist = dt.timezone(dt.timedelta(hours=5, minutes=30))
+    w = store.read_window(S.PRICE, d(2025, 1, 1, 5, 30, tzinfo=ist), d(2025, 1, 1, 5, 30, tzinfo=ist), "BTC")
+    assert [r.close for r in w.collect()] == [1.0]                   # 05:30+05:30 == 00:00Z, inclusive
+    w = store.read_window(S.PRICE, "2025-01-01T01:00:00+00:00", "2025-01-01T03:30:00+02:30", "BTC")
+    assert [r.close for r in w.collect()] == [2.0]
