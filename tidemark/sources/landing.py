@@ -15,7 +15,6 @@ from tidemark import schemas as S
 
 CORRUPT = "_corrupt_record"
 PAYLOAD_CORRUPT = "_corrupt_payload"
-ORDER_COLS = ["batch_id", "ingest_ts", "seq"]
 
 
 def read_landing(spark: SparkSession, paths, streaming: bool = False,
