@@ -242,3 +242,18 @@ def test_report_counts_unsupported_asset_payloads(spark, store, tmp_path):
                                     env_line("PEPE", T0, 1, {"prices": [[1, None]]})])
     r = run_ingest(spark, store, price=p)[0]
     assert (r.payloads, r.quarantined, r.payloads_unsupported, r.rows_written) == (3, 1, 1, 1)
+
+
+def test_stream_drops_duplicate_deliveries_within_watermark(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "dd"))
+    st.create_tables([S.PRICE])
+    land = str(tmp_path / "dd_land")
+    line = env_line("BTC", T0, 1, chart([(1713654000000, 1.0)]))
+    write_lines(land, [line, "{broken one", "{broken two"])
+    write_lines(land, [line])                                         # the same envelope again
+    rep = str(tmp_path / "dd_rep")
+    run_stream_to_completion(spark, st, "price", land, str(tmp_path / "dd_ck"), report_path=rep,
+                             dedup_deliveries_within="1 hour")
+    r = spark.read.parquet(rep).collect()
+    assert sum(x.payloads for x in r) == 3 and sum(x.quarantined for x in r) == 2
+    assert [x.close for x in st.read(S.PRICE).collect()] == [1.0]
