@@ -257,3 +257,18 @@ def test_stream_drops_duplicate_deliveries_within_watermark(spark, tmp_path):
     r = spark.read.parquet(rep).collect()
     assert sum(x.payloads for x in r) == 3 and sum(x.quarantined for x in r) == 2
     assert [x.close for x in st.read(S.PRICE).collect()] == [1.0]
+
+
+def test_conflicting_payloads_with_same_envelope_identity_resolve_deterministically(spark, tmp_path):
+    a = env_line("BTC", T0, 7, chart([(1713654000000, 1.0)]))
+    b = env_line("BTC", T0, 7, chart([(1713654000000, 2.0)]))
+    results = []
+    for i, lines in enumerate(([a, b], [b, a])):
+        st = TableStore(spark, str(tmp_path / f"order{i}"))
+        st.create_tables([S.PRICE])
+        land = str(tmp_path / f"order_land{i}")
+        for line in lines:                                  # one file each, so order varies
+            write_lines(land, [line])
+        run_ingest(spark, st, price=land)
+        results.append([r.close for r in st.read(S.PRICE).collect()])
+    assert results[0] == results[1] and len(results[0]) == 1

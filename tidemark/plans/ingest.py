@@ -17,7 +17,7 @@ from tidemark import schemas as S
 from tidemark.operators.audit import top_n_per_group
 from tidemark.operators.harmonise import harmonise_market, harmonise_news, harmonise_price, lookback
 from tidemark.plans.staging import stage
-from tidemark.plans.store import ORDER, TableStore
+from tidemark.plans.store import LANDED_ORDER, ORDER, TableStore
 from tidemark.sources import shred
 from tidemark.sources.landing import CORRUPT, landed_from_frame, quarantine_rows, read_landing
 
@@ -74,7 +74,8 @@ def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool
     if kind == "news":
         rows = shred.shred_news(classified)
         if max_articles is not None:
-            rows = top_n_per_group(rows.withColumn("__payload", F.struct("asset", "batch_id", "ingest_ts")),
+            rows = top_n_per_group(rows.withColumn("__payload", F.struct("asset", "batch_id", "ingest_ts",
+                                                                          "payload_hash")),
                                    "__payload", [F.col("published_at").desc(), F.col("seq").desc()],
                                    max_articles).drop("__payload")
         return harmonise_news(rows, assets, strict)
@@ -105,7 +106,9 @@ def _store_rows(store: TableStore, kind: str, rows: DataFrame, res: SourceResult
                 fail_if_empty: bool) -> None:
     """Merge harmonised rows into the source's table and copy the write stats into ``res``."""
     spec = _SPECS[kind]
-    stats = store.insert_ignore(spec, rows) if spec.conflict == "ignore" else store.upsert(spec, rows)
+    order = LANDED_ORDER if "payload_hash" in rows.columns else ORDER
+    stats = store.insert_ignore(spec, rows, order) if spec.conflict == "ignore" \
+        else store.upsert(spec, rows, order)
     if fail_if_empty and stats.rows_in == 0:
         # no usable payload at all: the source fails like an empty batch reaching the column
         # contract (nothing was written: an empty batch is a no-op at the sink)

@@ -28,6 +28,8 @@ from tidemark.plans.staging import stage
 from tidemark.session import ensure_utc, shared_dir
 
 ORDER = ["batch_id", "ingest_ts", "seq"]
+# landed payloads also carry a content hash between ingest time and position (total order)
+LANDED_ORDER = ["batch_id", "ingest_ts", "payload_hash", "seq"]
 
 
 @dataclass

@@ -63,7 +63,10 @@ def classify(landed: DataFrame, payload_type: T.DataType, invalid: Column | None
     schema = T.StructType(list(payload_type.fields) + [T.StructField(PAYLOAD_CORRUPT, T.StringType())])
     p = F.from_json(F.col("payload"), schema, {"mode": "PERMISSIVE",
                                                "columnNameOfCorruptRecord": PAYLOAD_CORRUPT})
-    df = landed.withColumn("p", p)
+    # content hash of the payload: the last tie-break of the arrival order, so two different
+    # payloads sharing (asset, batch_id, ingest_ts) still have a total, partition-independent order
+    df = landed.withColumn("p", p).withColumn(
+        "payload_hash", F.xxhash64(F.coalesce(F.col("payload"), F.col(CORRUPT), F.lit(""))))
     reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt_envelope"))
     if need_asset:
         reason = reason.when(F.col("asset").isNull(), F.lit("missing_asset"))

@@ -75,7 +75,7 @@ def shred_chart(classified: DataFrame, source: str = S.PRICE_SOURCE) -> DataFram
     """
     good = classified.where(F.col("reason").isNull())
     arr = lambda name: F.coalesce(F.col(f"p.{name}"), _empty_pairs())
-    z = zip_by_position(good, ["asset", "ingest_ts", "batch_id"], arr("prices"),
+    z = zip_by_position(good, ["asset", "ingest_ts", "batch_id", "payload_hash"], arr("prices"),
                         {"mc": arr("market_caps"), "tv": arr("total_volumes")},
                         value_name="pr", pos_name="seq")
     raw_ts = epoch_millis_to_ts(F.get("pr", F.lit(0)))
@@ -86,7 +86,7 @@ def shred_chart(classified: DataFrame, source: str = S.PRICE_SOURCE) -> DataFram
         F.get("mc", F.lit(1)).alias("market_cap"),
         F.get("tv", F.lit(1)).alias("volume"),
         F.lit(source).alias("source"),
-        "batch_id", "ingest_ts", F.col("seq").cast("long").alias("seq"),
+        "batch_id", "ingest_ts", "payload_hash", F.col("seq").cast("long").alias("seq"),
         raw_ts.alias("point_ts"),            # unfloored point time (request-window bound)
     )
 
@@ -105,7 +105,7 @@ def shred_global(classified: DataFrame, source: str = S.PRICE_SOURCE) -> DataFra
         get_or(F.col("p.data.total_market_cap"), "usd").alias("total_market_cap_usd"),
         get_or(F.col("p.data.total_volume"), "usd").alias("total_volume_usd"),
         F.lit(source).alias("source"),
-        "batch_id", "ingest_ts", F.lit(0).cast("long").alias("seq"),
+        "batch_id", "ingest_ts", "payload_hash", F.lit(0).cast("long").alias("seq"),
     )
 
 
@@ -128,7 +128,7 @@ def shred_news(classified: DataFrame, source: str = S.NEWS_SOURCE) -> DataFrame:
     URL stays NULL and is dropped by the sink's NOT NULL rule.
     """
     good = classified.where(F.col("reason").isNull())
-    arts = good.select("asset", "ingest_ts", "batch_id",
+    arts = good.select("asset", "ingest_ts", "batch_id", "payload_hash",
                        F.posexplode(F.col("p.Data")).alias("seq", "art"))
     art = F.col("art")
     title = F.try_element_at(art, F.lit("TITLE"))
@@ -142,5 +142,5 @@ def shred_news(classified: DataFrame, source: str = S.NEWS_SOURCE) -> DataFrame:
         F.lit(0).cast("long").alias("votes_positive"),
         F.lit(0).cast("long").alias("votes_negative"),
         F.lit(source).alias("source"),
-        "batch_id", "ingest_ts", F.col("seq").cast("long").alias("seq"),
+        "batch_id", "ingest_ts", "payload_hash", F.col("seq").cast("long").alias("seq"),
     )
