@@ -2,11 +2,13 @@
 
 Layout: price and market are partitioned by a grain of the key column ``timestamp`` (month by
 default, or day) and sorted by (asset, timestamp) inside files, so a time window prunes
-partitions and row groups. News is partitioned by asset (its key has no time in it).
+partitions and row groups. News is partitioned by asset, optionally by asset and a hash bucket
+of the url (its key has no time in it).
 
-Writes validate first, checkpoint the incoming batch (cuts lineage, survives executor
-loss), then rewrite only the touched partitions with dynamic partition overwrite. A single
-writer per table is assumed.
+Writes validate the batch in one aggregate, stage the per-key winners as parquet in the shared
+folder (cuts lineage, survives executor loss; counts and touched partitions observed on the
+same job), then rewrite only the touched partitions with dynamic partition overwrite (upsert)
+or append the new rows (insert-ignore). A single writer per table is assumed.
 """
 
 from __future__ import annotations
