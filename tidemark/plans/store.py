@@ -175,10 +175,12 @@ class TableStore:
         df = self.read(spec)
         if partitions is not None:
             df = df.where(F.col(spec.partition_col).isin(list(partitions)))
-        fixed = df.checkpoint(eager=True)
-        parts = sorted(r[0] for r in fixed.select(spec.partition_col).distinct().collect())
+        # stage a copy first: the rewrite must not read the files it replaces
+        st = stage(df, f"compact-{spec.name}", {"parts": F.collect_set(spec.partition_col)})
+        parts = sorted(st.metrics["parts"] or [])
         if parts:
-            self._write_partitions(spec, fixed, "overwrite")
+            self._write_partitions(spec, st.df, "overwrite")
+        st.drop()
         return parts
 
     # -- writes -----------------------------------------------------------------------
