@@ -2,7 +2,8 @@
 
 ``events``    -> price feed (asset = event_type, raw time = ts, close = value,
                  seq = event_id), market feed (one snapshot per event) and a keyed news feed
-                 (url = user_id); two arrival batches: event_id % 3 = 0 -> batch 1, else 0.
+                 (url = user_id, headline = props); two arrival batches:
+                 event_id % 3 = 0 -> batch 1, else batch 0 (every row is in one of them).
 ``documents`` -> news text (asset = source, headline = text).
 ``embeddings``-> chart arrays.
 Everything is a projection of the given tables, so the work grows with them.

@@ -2,8 +2,9 @@
 
 ``events``    -> price-chart payloads, one per (asset, block of 256 consecutive event ids),
                  points in event order; caps = value x 1000, volumes one point short (ragged).
-                 In 'error' payloads every 97th point has a NULL value (-> quarantined), and
-                 'signup' payloads of every 13th block are cut short (-> unparseable).
+                 In 'error' payloads, points whose event id is a multiple of 97 get a NULL value
+                 (the payload is quarantined as invalid), and 'signup' payloads of every 13th
+                 block are cut short (-> unparseable). Nothing is filtered out.
               -> global-market payloads, one per hour (btc = max value, cap = min value,
                  volume = event count: order-independent, exactly reproducible values).
 ``documents`` -> news payloads, one per (source, block of 100 doc ids); title = the whole text,
