@@ -12,6 +12,19 @@ from tidemark.plans import endtoend
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def exact_floats():
+    """Compare float values exactly (no rounding) in the value hash."""
+    import os
+    old = os.environ.get("ORACLE_EXACT")
+    os.environ["ORACLE_EXACT"] = "1"
+    yield
+    if old is None:
+        os.environ.pop("ORACLE_EXACT", None)
+    else:
+        os.environ["ORACLE_EXACT"] = old
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
