@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import simhash_dedup
+from tidemark.llm import simhash_dedup, source_mixing, toxicity
 
 LLM_QUERIES = {
+    "op4_source_mixing": source_mixing.query,
+    "op7_toxicity": toxicity.query,
     "op8_simhash_near_dedup": simhash_dedup.query,
 }
 
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {
+    "op4_source_mixing": source_mixing.sql(),
+}
