@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import simhash_dedup, source_mixing, toxicity
+from tidemark.llm import byte_bpe, simhash_dedup, source_mixing, substring_dedup, token_files, toxicity
 
 LLM_QUERIES = {
+    "op1_substring_dedup": substring_dedup.query,
     "op4_source_mixing": source_mixing.query,
+    "op5_byte_bpe": byte_bpe.query,
     "op7_toxicity": toxicity.query,
     "op8_simhash_near_dedup": simhash_dedup.query,
+    "op10_token_output": token_files.query,
 }
 
 LLM_SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.SQL,
     "op4_source_mixing": source_mixing.sql(),
 }
