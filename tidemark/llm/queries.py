@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_bpe, simhash_dedup, source_mixing, substring_dedup, token_files, toxicity
+from tidemark.llm import byte_bpe, simhash_dedup, source_mixing, substring_dedup, suffix_dedup, token_files, toxicity
 
 LLM_QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op5_byte_bpe": byte_bpe.query,
     "op7_toxicity": toxicity.query,
     "op8_simhash_near_dedup": simhash_dedup.query,
+    "op9_suffix_array_dedup": suffix_dedup.query,
     "op10_token_output": token_files.query,
 }
 

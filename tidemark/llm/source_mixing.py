@@ -90,9 +90,9 @@ def budgets(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs:
     a, b, c = LEVELS
     cap = leaves.withColumn("cap", F.col("tokens") * F.lit(max_epochs))
     domains = cap.groupBy(a, F.col("w0").alias("weight")).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("t"))
-    total = domains.select(F.expr(f"cast(sum(t) * {budget_percent} div 100 as bigint)").alias("given"))
-    # one row: the root's budget
-    top = divide(domains.crossJoin(F.broadcast(total)).withColumn("root", F.lit(0)), ["root"], order=(a,))
+    top = divide(domains.withColumn("root", F.lit(0))
+                 .withColumn("given", F.expr(f"cast(sum(t) over (partition by root) * {budget_percent} div 100 as bigint)")),
+                 ["root"], order=(a,))
     top = top.select(a, F.col("share").alias("given"))
     langs = cap.groupBy(a, b, F.col("w1").alias("weight")).agg(F.sum("cap").alias("cap"))
     mid = divide(langs.join(top.withColumnRenamed(a, "ja"), F.col(a).eqNullSafe(F.col("ja"))).drop("ja"), [a], order=(b,))
