@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_bpe, simhash_dedup, source_mixing, substring_dedup, suffix_dedup, token_files, toxicity
+from tidemark.llm import (byte_bpe, embedding_dedup, exact_topk, simhash_dedup, source_mixing, substring_dedup,
+                          suffix_dedup, token_files, toxicity)
 
 LLM_QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_exact_topk": exact_topk.query,
     "op4_source_mixing": source_mixing.query,
     "op5_byte_bpe": byte_bpe.query,
+    "op6_embedding_near_dedup": embedding_dedup.query,
     "op7_toxicity": toxicity.query,
     "op8_simhash_near_dedup": simhash_dedup.query,
     "op9_suffix_array_dedup": suffix_dedup.query,
@@ -16,5 +19,7 @@ LLM_QUERIES = {
 
 LLM_SQL: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op2_exact_topk": exact_topk.SQL,
     "op4_source_mixing": source_mixing.sql(),
+    "op6_embedding_near_dedup": embedding_dedup.SQL,
 }

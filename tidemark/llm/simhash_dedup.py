@@ -60,14 +60,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """``(id, fp)``: the fingerprint of every row as a signed 64-bit integer."""
+    """``(id, row, fp)``: the fingerprint of every row as a signed 64-bit integer; ``row`` is Spark's
+    xxhash64 of the text and tells rows of one id apart."""
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], ["id", "row", "fp"])
 
-    return (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-            .mapInArrow(run, "id long, fp long"))
+    text = docs[text_col].cast("string")
+    return (docs.select(docs[id_col].cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("row"))
+            .mapInArrow(run, "id long, row long, fp long"))
 
 
 def bands(max_bits: int) -> list[tuple[int, int]]:
@@ -179,16 +181,16 @@ def links(classes: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFram
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                   max_bits: int = 2) -> DataFrame:
-    """One row per row of ``docs``: ``id, fp, fingerprint`` (hex) and ``component_id``, the smallest
-    id reachable over links."""
+    """One row per row of ``docs``: ``id, row, fp, fingerprint`` (hex), ``component_id``, the smallest id
+    reachable over links, and ``group``, the smallest fingerprint reachable."""
     fps = staged(fingerprints(docs, id_col, text_col, words), "fps")
     classes = staged(fps.groupBy("fp").agg(F.min("id").alias("rep")), "fp-classes")
     roots = components(links(classes, max_bits)).withColumnRenamed("node", "fp")
     named = classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     best = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    label = staged(named.join(best, "root").select("fp", "component_id"), "fp-labels")
-    return fps.join(label, "fp").select("id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                        "component_id")
+    label = staged(named.join(best, "root").select("fp", "root", "component_id"), "fp-labels")
+    return fps.join(label, "fp").select("id", "row", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                                        "component_id", F.col("root").alias("group"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

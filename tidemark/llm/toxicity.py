@@ -145,19 +145,21 @@ def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray, float], id_col:
     """``id, score`` and the columns named in ``keep`` for every row of ``docs``."""
     keep = keep or []
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    frame = docs.select(docs[id_col].cast("long").alias("__id"), docs[text_col].cast("string").alias("__text"),
-                        *[docs[c] for c in keep])
+    # a text that is kept anyway crosses to the task once
+    place = 1 + keep.index(text_col) if text_col in keep else len(keep) + 1
+    frame = docs.select(docs[id_col].cast("long").alias("__id"), *[docs[c] for c in keep],
+                        *([] if text_col in keep else [docs[text_col].cast("string").alias("__text")]))
     kept = "".join(f", `{c}` {frame.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         vocabulary, w, bias = shared.value
         for b in batches:
-            texts = _encoded(b.column(1))
+            texts = _encoded(b.column(place))
             total = np.full(len(texts), bias)
             for a, z, doc, feature in known_features(texts, vocabulary):
                 total[a:z] += np.bincount(doc, w[feature], z - a)
             p = 1 / (1 + np.exp(-np.clip(total, -40, 40)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), *[b.column(2 + k) for k in range(len(keep))]],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), *[b.column(1 + k) for k in range(len(keep))]],
                                              ["id", "score", *keep])
 
     return frame.mapInArrow(run, "id long, score double" + kept)
