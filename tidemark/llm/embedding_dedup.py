@@ -61,7 +61,7 @@ def exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
 def principal_directions(entries: DataFrame, dims: int, sample: int) -> np.ndarray:
     rows = entries.select("vec").orderBy(F.xxhash64("vec")).limit(sample).toArrow()
     if not rows.num_rows:
-        return np.zeros((1, 0))
+        return np.zeros((1, 1))
     m = unit(_matrix(rows["vec"]))
     _, vectors = np.linalg.eigh(np.cov(m, rowvar=False).reshape(m.shape[1], -1) if len(m) > 1 else np.eye(m.shape[1]))
     return vectors[:, ::-1][:, :dims]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (byte_bpe, embedding_dedup, exact_topk, simhash_dedup, source_mixing, substring_dedup,
-                          suffix_dedup, token_files, toxicity)
+from tidemark.llm import (byte_bpe, embedding_dedup, exact_topk, quality, simhash_dedup, source_mixing,
+                          substring_dedup, suffix_dedup, token_files, toxicity)
 
 LLM_QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_exact_topk": exact_topk.query,
+    "op3_quality_classifier": quality.query,
     "op4_source_mixing": source_mixing.query,
     "op5_byte_bpe": byte_bpe.query,
     "op6_embedding_near_dedup": embedding_dedup.query,

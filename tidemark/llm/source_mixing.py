@@ -153,9 +153,9 @@ def mix(docs: DataFrame, domain: Column | None = None, lang_col: str = "lang", s
                   .select("__mix_leaf", "whole", "part"), "mix-plan")
     cut = staged(cuts(thin, plan, seed, digits), "mix-cuts")
     discard(thin)
-    taken = base.join(cut, "__mix_leaf")
-    key = _key(F.col("whole") + 1, F.col("__mix_id"), F.col("__mix_digest"), seed)
-    last = F.col("whole") + F.when(key <= F.col("cut"), 1).otherwise(0)
+    taken = base.join(cut.toDF("__mix_leaf", "__mix_whole", "__mix_cut"), "__mix_leaf")
+    key = _key(F.col("__mix_whole") + 1, F.col("__mix_id"), F.col("__mix_digest"), seed)
+    last = F.col("__mix_whole") + F.when(key <= F.col("__mix_cut"), 1).otherwise(0)
     return (taken.withColumn("__mix_last", last).where("__mix_last > 0")
             .withColumn("__mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_last"))))
             .select(*[docs[x] for x in docs.columns], a, "__mix_epoch", "__mix_tokens"))
