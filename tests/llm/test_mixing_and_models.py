@@ -1,0 +1,199 @@
+"""Source mixing, toxicity, quality, the registered queries and the pipeline."""
+
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import quality, source_mixing, toxicity
+from tidemark.llm.queries import LLM_QUERIES, LLM_SQL
+
+SMALL = "/root/testdata/sf0.001"
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+
+
+# ---- mixing --------------------------------------------------------------------------------------
+
+def documents(spark, rows):
+    """(id, text, lang, source) with extra columns that clash with internal names."""
+    return spark.createDataFrame([(i, t, l, s, len(t or ""), "x", 1, 2) for i, t, l, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, cut string, whole int, part int")
+
+
+def share(spark, budget, children):
+    rows = spark.createDataFrame([(0, n, c, w, budget) for n, c, w in children], "p int, n string, cap long, weight long, given long")
+    return {r.n: r.share for r in source_mixing.divide(rows, ["p"], order=("n",)).collect()}
+
+
+def test_shortages_go_to_siblings(spark):
+    assert share(spark, 100, [("a", 1000, 1), ("b", 1000, 3)]) == {"a": 25, "b": 75}
+    assert share(spark, 100, [("a", 1000, 1), ("b", 30, 3)]) == {"a": 70, "b": 30}
+    assert share(spark, 100, [("a", 10, 1), ("b", 30, 3)]) == {"a": 10, "b": 30}
+    assert share(spark, 100, [("a", 1000, 0), ("b", 30, 3), ("c", 0, 5)]) == {"a": 0, "b": 30, "c": 0}
+    assert share(spark, 90, [("a", 10, 1), ("b", 20, 1), ("c", 500, 1)]) == {"a": 10, "b": 20, "c": 60}
+
+
+def test_siblings_make_up_before_ancestors(spark):
+    leaves = spark.createDataFrame(
+        [("d0", "en", "s1", "x", 10, 1, 1, 1), ("d0", "en", "s2", "y", 1000, 1, 1, 1), ("d1", "en", "s3", "z", 1000, 1, 1, 1)],
+        "__mix_domain string, __mix_lang string, __mix_source string, __mix_leaf string, tokens long, w0 long, w1 long, w2 long")
+    got = {r["__mix_source"]: r.given for r in source_mixing.budgets(leaves, 50, 1).collect()}
+    assert got == {"s1": 10, "s2": 492, "s3": 502}  # s1's shortage stays with its sibling s2; d1 keeps its half
+
+
+def test_mix_takes_seeded_prefixes_within_budget(spark):
+    rng = random.Random(1)
+    rows = [(k, "w " * rng.randint(0, 30), rng.choice(["en", "fr", None]), rng.choice(["src0", "src0", "src1", "src6", None])) for k in range(300)]
+    rows += [(None, None, "en", "src0"), (None, "a b", "en", "src0"), (7, "twin", "en", "src1"), (7, "twin", "en", "src1"), (8, "", "de", "src9")]
+    frame = documents(spark, rows)
+    got = source_mixing.mix(frame).collect()
+    assert got[0].asDict().keys() >= {"doc_id", "cut", "whole", "part", "__mix_epoch"}
+    tokens = sum(len((t or "").split()) for _, t, _, _ in rows)
+    taken = sum(r["__mix_tokens"] for r in got)
+    assert 0.5 * tokens < taken <= tokens * source_mixing.BUDGET_PERCENT // 100
+    again = source_mixing.mix(documents(spark, random.Random(2).sample(rows, len(rows)))).collect()
+    key = lambda r: (str(r.doc_id), r["__mix_epoch"], r.text or "", r.source or "")
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    other = source_mixing.mix(frame, seed=3).collect()
+    assert sorted(map(key, got)) != sorted(map(key, other))
+    per_leaf = {}
+    for r in got:
+        per_leaf.setdefault((r.lang, r.source), {}).setdefault(r["__mix_epoch"], set()).add((r.doc_id, r.text))
+    for epochs in per_leaf.values():
+        assert sorted(epochs) == list(range(1, len(epochs) + 1)) and len(epochs) <= source_mixing.MAX_EPOCHS
+        for e in range(2, len(epochs) + 1):
+            assert epochs[e] <= epochs[e - 1]
+    assert source_mixing.mix(documents(spark, [])).count() == 0
+
+
+def test_mixing_is_native(spark):
+    plan = source_mixing.mix(documents(spark, [(1, "a b", "en", "src0")]))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+# ---- toxicity and quality ------------------------------------------------------------------------
+
+def labelled(spark, n, seed=0):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("aeioustrlnm") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    docs, labels = [], []
+    for k in range(n):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 80))]
+        bad = k % 8 == 0
+        for _ in range(3 * bad):
+            text[rng.randrange(len(text))] = rng.choice(["vilest", "rotten", "vilething"])
+        docs.append((k, " ".join(text), "en", f"src{k % 3}"))
+        if k % 2 == 0:
+            labels.append((k, 1, int(bad)))
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_pu_learning_finds_held_out_toxic_texts(spark):
+    rows, labels = labelled(spark, 1200)
+    frame = documents(spark, rows + [(None, None, None, None), (5000, "", "en", "s"), (5001, "word " * 50_000 + "rotten vilest", "en", "s")])
+    model = toxicity.train(frame, labels.unionByName(spark.createDataFrame([(None, 1, 1), (0, 1, None)], labels.schema)))
+    got = toxicity.score(frame, model).withColumn("held", toxicity.held_out_rule(F.col("id"))).collect()
+    assert len(got) == len(rows) + 3 and all(0 <= r.score <= 1 for r in got)
+    held = [(r.score >= 0.5, r.id % 8 == 0) for r in got if r.held and r.id is not None and r.id < 1200]
+    assert np.mean([a == b for a, b in held]) > 0.97 and any(b for _, b in held)
+    by_id = {r.id: r.score for r in got}
+    assert by_id[5000] < 0.5 and by_id[None] < 0.5
+
+
+def test_labels_of_held_out_rows_are_not_used(spark):
+    rows, labels = labelled(spark, 300)
+    frame = documents(spark, rows)
+    flipped = labels.withColumn("toxic", F.when(toxicity.held_out_rule(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = (toxicity.train(frame, x) for x in (labels, flipped))
+    assert (one[0].features == two[0].features).all() and np.allclose(one[1], two[1]) and one[2] == two[2]
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    rows, labels = labelled(spark, 20)
+    frame = documents(spark, rows)
+    assert {round(r.score, 6) for r in toxicity.score(frame, toxicity.train(frame, labels.limit(0))).collect()} == {0.0}
+    none = documents(spark, [])
+    assert toxicity.score(none, toxicity.train(none, labels)).count() == 0
+
+
+def test_site_rates_shrink_and_combine(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(600):
+        site = k % 6
+        junk = rng.random() < (0.9 if site < 2 else 0.05)
+        rows.append((k, ("buy$$$ now### " * 20) if junk else "a calm sentence follows another here. " * 8, "en", f"src{site}"))
+    labels = spark.createDataFrame([(k, int("buy" not in t), 0) for k, t, _, _ in rows if k % 2], "doc_id long, quality int, toxic int")
+    frame = documents(spark, rows + [(None, None, None, None), (9000, "lone words", "en", "src99")])
+    model = quality.train(frame, labels)
+    got = {r.id: r for r in quality.quality(frame, model, F.col("source"), F.col("lang")).collect()}
+    assert len(got) == 602
+    assert all(got[k].kept == ("buy" not in t) for k, t, _, _ in rows)
+    assert got[0].host_rate < 0.4 < 0.7 < got[5].host_rate
+    total = np.mean([r.doc_score for r in got.values()])
+    assert abs(got[9000].host_rate - total) < 0.05  # a site of one document has the global rate
+    empty = documents(spark, [])
+    assert quality.quality(empty, quality.train(empty, labels), F.col("source"), F.col("lang")).count() == 0
+    blind = quality.quality(frame, quality.train(frame, labels.limit(0)), F.col("source"), F.col("lang")).collect()
+    assert {round(r.score, 6) for r in blind} == {0.5}
+
+
+def test_quality_of_held_out_labels(spark):
+    got = quality.query(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    held = got.where(toxicity.held_out_rule(F.col("doc_id"))).select(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0]
+    assert held > 0.93
+
+
+# ---- registered queries and pipeline -------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(LLM_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
+    want = con.execute(LLM_SQL[name])
+    columns = [c[0] for c in want.description]
+    got = LLM_QUERIES[name](spark, SMALL)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(r)) for r in got.select(*columns).collect())
+
+
+def test_pipeline_stages_take_effect(spark, tmp_path):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioustrlnmd") for _ in range(rng.randint(2, 8)))
+    passage = " ".join(word() for _ in range(60))
+    rows = []
+    for k in range(240):
+        text = [word() for _ in range(60)]
+        if k % 6 == 0:
+            text[3:6] = ["rotten", "vilest", "rotten"]
+        rows.append((k, " ".join(text), "en", f"src{k % 4}"))
+    rows[10] = (10, rows[9][1], "en", "src1")  # exact copy
+    rows[20] = (20, rows[20][1] + " " + passage, "en", "src1")
+    rows[21] = (21, passage + " " + rows[21][1], "en", "src1")
+    rows += [(None, None, None, None), (1, rows[1][1], "en", "src1")]
+    frame = documents(spark, rows)
+    spark.createDataFrame([(k, 1, int(k % 6 == 0)) for k in range(240)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash near-dedup", "suffix-array dedup", "source mixing", "byte-level BPE"]
+    clean = corpus_pipeline.drop_toxic(spark, frame, str(tmp_path))
+    ids = {r.doc_id for r in clean.collect()}
+    assert clean.columns == corpus_pipeline.COLUMNS and ids == {None, *(k for k in range(240) if k % 6)}
+    single = corpus_pipeline.drop_near_copies(spark, clean, str(tmp_path))
+    left = [r.doc_id for r in single.collect()]
+    assert len(left) == len(set(left)) and set(left) == ids - {10}
+    kept = {r.doc_id: r for r in corpus_pipeline.drop_repeated_passages(spark, single, str(tmp_path)).collect()}
+    assert passage in kept[20].text and kept[21].text.strip() == rows[21][1][len(passage):].strip()
+    assert kept[22].text == rows[22][1] and kept[22].n_chars == len(rows[22][1])
+    assert set(corpus_pipeline.mix_sources(spark, single, str(tmp_path)).columns) == set(corpus_pipeline.COLUMNS)
+    assert corpus_pipeline.encode(spark, single, str(tmp_path)).count() == len(left)
+    none = frame.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0
+
+
+def test_pipeline_runs_over_the_documents_table(spark):
+    got = corpus_pipeline.run(spark, SMALL)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 100

@@ -1,0 +1,93 @@
+"""Tokenizer operators against the public libraries, and the frame file format."""
+
+import io
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import zstandard
+from tokenizers import Tokenizer
+
+from tidemark.llm import byte_bpe, token_files
+
+TEXTS = [None, "", "Hello, it's  the   world's\n\n end \t", "日本語 and émigré ça ½²", "a" * 5000, " " * 300, "x\x1cy\x85z　w",
+         "<|endoftext|> plain", "é ́e I'LL don't 12345", "The THE the", "The THE the"]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "n") for i, t in rows], "doc_id long, text string, id int, ids string")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    c = byte_bpe.codec()
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=c.ranks, special_tokens={})
+
+
+def test_merge_equals_the_library_on_random_pieces():
+    ranks = byte_bpe.codec().ranks
+    whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(1)
+    for _ in range(400):
+        text = "".join(rng.choice("aeinsth éß日 .") for _ in range(rng.randint(1, 80)))
+        assert byte_bpe.merge(text.encode(), ranks) == whole.encode_ordinary(text)
+    long = "abcab" * 20_000
+    assert byte_bpe.merge(long.encode(), ranks) == whole.encode_ordinary(long)
+
+
+def test_encode_decode_round_trip(spark, reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE", 3)
+    frame = table(spark, list(enumerate(TEXTS)) + [(None, "no id")])
+    tokens = byte_bpe.encode(frame)
+    got = {r.id: r.ids for r in tokens.collect()}
+    assert got == {**{k: reference.encode_ordinary(t or "") for k, t in enumerate(TEXTS)}, None: reference.encode_ordinary("no id")}
+    assert {r.id: bytes(r.data) for r in byte_bpe.decode(tokens).collect()} == {**{k: (t or "").encode() for k, t in enumerate(TEXTS)}, None: b"no id"}
+    assert byte_bpe.round_trip(table(spark, [])).count() == 0
+
+
+def test_token_files_read_back_in_order(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(k * 3, rng.choice(TEXTS[2:]) + " " + str(k)) for k in range(60)] + [(5, None), (6, ""), (6, "twin"), (None, "first")]
+    rng.shuffle(rows)
+    manifest = token_files.write_tokens(table(spark, rows), f"file://{tmp_path}/out", file_bytes=20_000)
+    assert manifest.count() > 1
+    got = token_files.read_tokens(manifest).orderBy("start").collect()
+    assert [r.id for r in got] == sorted((i for i, _ in rows), key=lambda i: -1 if i is None else i)
+    tk = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+    want = sorted((str(i), tuple(tk.encode(t or "", add_special_tokens=False).ids + [1])) for i, t in rows)
+    assert sorted((str(r.id), tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == want
+    position = 0
+    for r in got:
+        assert r.start == position
+        position += len(r.ids) // 4
+    some = token_files.read_tokens(manifest, {6, 31, 33}).collect()
+    assert sorted(r.id for r in some) == [6, 6, 6, 33]
+    empty = token_files.write_tokens(table(spark, []), f"file://{tmp_path}/none")
+    assert token_files.read_tokens(empty).count() == 0
+
+
+def test_frames_are_independent_and_checked(monkeypatch):
+    monkeypatch.setattr(token_files, "FRAME_IDS", 100)
+    out = io.BytesIO()
+    writer = token_files.FrameWriter(out)
+    docs = [(k, np.arange(k, dtype="<u4").tobytes()) for k in (0, 5, 90, 300, 7, 60, 60)]
+    for i, data in docs:
+        writer.add(i, data)
+    writer.close()
+    raw = out.getvalue()
+    reader = token_files.FrameReader(io.BytesIO(raw))
+    assert len(reader.table) > 4
+    assert [(i, d) for i, _, d in reader.documents()] == docs
+    # any zstandard reader sees the frames and skips the index and the seek table
+    plain = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw), read_across_frames=True).read()
+    assert plain == b"".join(d for _, d in docs)
+    spoiled = bytearray(raw)
+    spoiled[int(reader.begins[1]) + 12] ^= 0xFF
+    other = token_files.FrameReader(io.BytesIO(bytes(spoiled)))
+    assert [d for i, _, d in other.documents({5})] == [docs[1][1]]  # an undamaged frame still reads
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(other.documents())
+    with pytest.raises(ValueError):
+        token_files.FrameReader(io.BytesIO(b"no frames here at all"))

@@ -58,7 +58,7 @@ class Logistic:
         self.rate = float(y.mean()) if len(y) else 0.5
         self.mean, self.scale = np.zeros(FEATURES), np.ones(FEATURES)
         self.w = np.zeros(FEATURES + 1)
-        self.known = 0 < self.rate < 1
+        self.known = len(y) > 0 and 0 < self.rate < 1
         if not self.known:
             return
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
