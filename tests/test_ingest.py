@@ -47,7 +47,7 @@ def test_one_failed_source_does_not_stop_others(spark, store, tmp_path):
     m = landing(tmp_path, "market", [env_line(None, T0, 1, GLOBAL)])
     n = landing(tmp_path, "news", [env_line("BTC", T0, 1, NEWS)])
     res = {r.source: r for r in run_ingest(spark, store, p, m, n)}
-    assert not res["price"].ok and "Missing required columns" in res["price"].error
+    assert not res["price"].ok and "no usable payload" in res["price"].error
     assert res["price"].quarantined == 1
     assert res["market"].ok and res["news"].ok
 
@@ -172,20 +172,19 @@ def test_quarantined_payloads_are_kept(spark, store, tmp_path):
     assert all(x.raw for x in store.read_quarantine().collect())
 
 
-def test_ingest_frame_smoke_data_and_lenient_times(spark, store):
+def test_ingest_frame_strict_and_lenient_times(spark, store):
     from tidemark.plans.ingest import ingest_frame
     ddl = "asset string, timestamp string, close double, market_cap double, volume double, source string"
-    rows = [("BTC", "2024-01-01 02:05:00+00:00", 42000.0, 1.0, 1.0, "coingecko"),
-            ("BTC", "2024-01-01T02:19:00+00:00", 42300.0, 1.0, 1.0, "coingecko"),
-            ("ETH", "not a time", 2200.0, 1.0, 1.0, "coingecko"),
-            ("LUNA", "2024-01-01 18:00:00+00:00", 0.0001, 0.0, 0.0, "coingecko")]
+    rows = [("TRX", "2023-03-09 02:05:00+00:00", 3.0, 1.0, 1.0, "feed"), ("TRX", "2023-03-09T02:41:00Z", 4.0, 1.0, 1.0, "feed"),
+            ("ADA", "noon or so", 2.0, 1.0, 1.0, "feed"), ("ADA", "12:30:00", 2.0, 1.0, 1.0, "feed"),
+            ("MOON", "2023-03-09 18:00:00+00:00", 1.0, 0.0, 0.0, "feed")]
     df = spark.createDataFrame(rows, ddl).coalesce(1)
-    strict = ingest_frame(spark, store, "price", df)
+    strict = ingest_frame(spark, store, "price", df, strict=True)
     assert not strict.ok and store.read(S.PRICE).count() == 0      # unparseable time fails the batch
-    lenient = ingest_frame(spark, store, "price", df, strict=False)
-    assert lenient.ok and lenient.quarantined_rows == 1
-    assert [(r.asset, r.close) for r in store.read(S.PRICE).collect()] == [("BTC", 42300.0)]
-    assert [r.reason for r in store.read_quarantine().collect()] == ["bad_event_time"]
+    lenient = ingest_frame(spark, store, "price", df)
+    assert lenient.ok and lenient.quarantined_rows == 2
+    assert [(r.asset, r.close) for r in store.read(S.PRICE).collect()] == [("TRX", 4.0)]
+    assert [r.reason for r in store.read_quarantine().collect()] == ["bad_event_time"] * 2
 
 
 def test_news_stream_replay_after_failure_changes_nothing(spark, tmp_path):
@@ -207,23 +206,21 @@ def test_empty_landing_fails_source_cleanly(spark, store, tmp_path):
     empty = str(tmp_path / "empty_land")
     os.makedirs(empty)
     r = run_ingest(spark, store, price=empty)[0]
-    assert not r.ok and r.payloads == 0 and "Missing required columns" in r.error
+    assert not r.ok and r.payloads == 0 and "no usable payload" in r.error
     assert store.read(S.PRICE).count() == 0
 
 
-def test_smoke_scenario_end_to_end_through_the_store(spark, store):
-    from tests.test_harmonise import smoke_price
+def test_readings_end_to_end_through_the_store(spark, store):
+    from tests.test_harmonise import READINGS, last_of_hour, readings
     from tidemark.plans.ingest import ingest_frame
-    df = smoke_price(spark).drop("batch_id").coalesce(1)
+    df = readings(spark).drop("batch_id").coalesce(1)
     r = ingest_frame(spark, store, "price", df)
-    assert r.ok and (r.rows_in, r.rows_written) == (20, 12)
-    day = store.read_window(S.PRICE, "2024-01-01 00:00:00", "2024-01-01 23:00:00").collect()
-    got = {(x.asset, x.timestamp.hour): x.close for x in day}
-    assert got[("BTC", 2)] == 42300.0 and got[("ETH", 5)] == 2205.0 and got[("SOL", 8)] == 99.0
-    assert got[("XRP", 9)] == 0.63 and len(got) == 12
+    assert r.ok and (r.rows_in, r.rows_written) == (len(READINGS) - 2, len(last_of_hour()))
+    window = ("2023-03-09 00:00:00", "2023-03-09 23:00:00")
+    day = store.read_window(S.PRICE, *window).collect()
+    assert {(x.asset, x.timestamp.hour): x.close for x in day} == last_of_hour()
     again = ingest_frame(spark, store, "price", df)                     # replay: nothing changes
-    after = store.read_window(S.PRICE, "2024-01-01 00:00:00", "2024-01-01 23:00:00").collect()
-    assert again.ok and sorted(after) == sorted(day)
+    assert again.ok and sorted(store.read_window(S.PRICE, *window).collect()) == sorted(day)
 
 
 def test_failure_kinds(spark, store, tmp_path):
@@ -244,19 +241,59 @@ def test_report_counts_unsupported_asset_payloads(spark, store, tmp_path):
     assert (r.payloads, r.quarantined, r.payloads_unsupported, r.rows_written) == (3, 1, 1, 1)
 
 
-def test_stream_drops_duplicate_deliveries_within_watermark(spark, tmp_path):
+def test_stream_keeps_late_and_equal_envelopes(spark, tmp_path):
+    """A late payload, and another payload with the same envelope, are both taken; a copy changes nothing."""
     st = TableStore(spark, str(tmp_path / "dd"))
     st.create_tables([S.PRICE])
-    land = str(tmp_path / "dd_land")
+    land, rep = str(tmp_path / "dd_land"), str(tmp_path / "dd_rep")
+    hour = 3_600_000
     line = env_line("BTC", T0, 1, chart([(1713654000000, 1.0)]))
     write_lines(land, [line, "{broken one", "{broken two"])
-    write_lines(land, [line])                                         # the same envelope again
-    rep = str(tmp_path / "dd_rep")
-    run_stream_to_completion(spark, st, "price", land, str(tmp_path / "dd_ck"), report_path=rep,
-                             dedup_deliveries_within="1 hour")
+    write_lines(land, [line, env_line("BTC", T0, 1, chart([(1713654000000 + hour, 2.0)]))])
+    write_lines(land, [env_line("ETH", "2024-04-01T00:00:00Z", 1, chart([(1711929600000, 3.0)]))])
+    run_stream_to_completion(spark, st, "price", land, str(tmp_path / "dd_ck"), report_path=rep, max_files_per_trigger=1)
     r = spark.read.parquet(rep).collect()
-    assert sum(x.payloads for x in r) == 3 and sum(x.quarantined for x in r) == 2
-    assert [x.close for x in st.read(S.PRICE).collect()] == [1.0]
+    assert sum(x.payloads for x in r) == 6 and sum(x.quarantined for x in r) == 2
+    assert sorted(x.close for x in st.read(S.PRICE).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_older_batch_handled_last_does_not_win(spark, tmp_path):
+    newer = env_line("BTC", "2024-04-21T02:00:00Z", 2, chart([(1713654000000, 200.0)]))
+    older = env_line("BTC", T0, 1, chart([(1713654000000, 100.0)]))
+    seen = []
+    for name, files in (("ab", [newer, older]), ("ba", [older, newer])):
+        st = TableStore(spark, str(tmp_path / name))
+        st.create_tables([S.PRICE])
+        land = str(tmp_path / f"{name}_land")
+        for k, line in enumerate(files):
+            write_lines(land, [line])
+            run_stream_to_completion(spark, st, "price", land, str(tmp_path / f"{name}_ck"))
+        seen.append([r.close for r in st.read(S.PRICE).collect()])
+    assert seen == [[200.0], [200.0]]
+
+
+def test_max_articles_counts_every_delivery_on_its_own(spark, tmp_path):
+    arts = {"Data": [{"TITLE": f"t{i}", "URL": f"u{i}", "PUBLISHED_ON": 1713654000 + i * 60} for i in range(30)]}
+    stored = []
+    for times in (1, 2):
+        st = TableStore(spark, str(tmp_path / f"m{times}"))
+        st.create_tables([S.NEWS])
+        run_ingest(spark, st, news=landing(tmp_path, f"news{times}", [env_line("BTC", T0, 1, arts)] * times), max_articles=20)
+        stored.append(sorted(r.headline for r in st.read(S.NEWS).collect()))
+    assert stored[0] == stored[1] and len(stored[0]) == 20
+
+
+def test_handling_a_landing_again_leaves_the_quarantine_alone(spark, store, tmp_path):
+    assert store.read_quarantine().count() == 0                       # a fresh store has an empty one
+    p = landing(tmp_path, "price", [env_line("BTC", T0, 1, CHART), "{oops", env_line("ETH", T0, 1, {"prices": [[1, None]]})])
+    for _ in range(2):
+        assert run_ingest(spark, store, price=p)[0].quarantined == 2
+        assert store.read_quarantine().count() == 2
+
+
+def test_payloads_of_unsupported_assets_only_are_no_failure(spark, store, tmp_path):
+    r = run_ingest(spark, store, price=landing(tmp_path, "price", [env_line("MOON", T0, 1, CHART)]))[0]
+    assert r.ok and (r.payloads, r.payloads_unsupported, r.rows_in) == (1, 1, 0)
 
 
 def test_conflicting_payloads_with_same_envelope_identity_resolve_deterministically(spark, tmp_path):

@@ -20,3 +20,21 @@ def test_apply_settings_runtime(spark):
     apply_settings(spark, {"spark.sql.files.maxPartitionBytes": "134217728"})
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728"
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tidemark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k: (_ for _ in ()).throw(KeyError(k)))})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -19,7 +19,7 @@ def test_chart_one_point(spark, tmp_path):
     r = df.collect()
     assert len(r) == 1
     r = r[0]
-    assert (r.asset, r.close, r.market_cap, r.volume, r.source) == ("BTC", 65000.0, 1.25e12, 4.5e10, "coingecko")
+    assert (r.asset, r.close, r.market_cap, r.volume, r.source) == ("BTC", 17.25, 3400.5, 81.75, "coingecko")
     assert r.timestamp == dt.datetime(2024, 4, 20, 23, 0)
 
 
@@ -62,7 +62,7 @@ def test_corrupt_line_isolated_good_lines_kept(spark, tmp_path):
 def test_global_snapshot_time_is_ingest_hour(spark, tmp_path):
     c = shred.classify_global(landed(spark, tmp_path, env_line(None, "2024-01-01T03:47:12Z", 7, GLOBAL)))
     r = shred.shred_global(c).first()
-    assert (r.btc_dominance, r.total_market_cap_usd, r.total_volume_usd, r.source) == (56.3, 2.5e12, 9.5e10, "coingecko")
+    assert (r.btc_dominance, r.total_market_cap_usd, r.total_volume_usd, r.source) == (41.5, 7000.25, 333.5, "coingecko")
     assert r.timestamp == dt.datetime(2024, 1, 1, 3, 0)
 
 
@@ -80,8 +80,8 @@ def test_news_one_article(spark, tmp_path):
     assert len(r) == 1
     r = r[0]
     assert (r.asset, r.headline, r.url, r.votes_positive, r.votes_negative, r.source) == \
-        ("BTC", "Bitcoin hits new high", "https://example.com/btc-news", 0, 0, "cryptocompare")
-    assert r.published_at == dt.datetime(2024, 4, 20, 23, 0)
+        ("BTC", "Harbour lights dim early", "https://paper.test/harbour", 0, 0, "cryptocompare")
+    assert r.published_at == dt.datetime(2024, 4, 20, 23, 33)
 
 
 def test_news_empty_list_and_empty_title(spark, tmp_path):

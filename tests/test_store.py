@@ -61,11 +61,11 @@ def test_missing_table_raises(spark, tmp_path):
 
 
 def test_price_upsert_then_replace(spark, store):
-    store.upsert(S.PRICE, price(spark, [("BTC", T10, 42000.0, 8e11), ("ETH", T10, 2200.0, 2.6e11)]))
-    assert store.read(S.PRICE).count() == 2
-    store.upsert(S.PRICE, price(spark, [("BTC", T10, 99999.0, 8e11)], batch=2))
-    got = {r.asset: r.close for r in store.read(S.PRICE).collect()}
-    assert got == {"BTC": 99999.0, "ETH": 2200.0}
+    store.upsert(S.PRICE, price(spark, [("TRX", T10, 11.0, 3.0), ("ADA", T10, 12.0, 4.0), ("SOL", T10, 13.0, None)]))
+    assert store.read(S.PRICE).count() == 3
+    store.upsert(S.PRICE, price(spark, [("ADA", T10, 0.25, 9.0)], batch=2))
+    got = {r.asset: (r.close, r.market_cap) for r in store.read(S.PRICE).collect()}
+    assert got == {"TRX": (11.0, 3.0), "ADA": (0.25, 9.0), "SOL": (13.0, None)}
 
 
 def test_replace_is_whole_row_null_overwrites(spark, store):
@@ -87,12 +87,11 @@ def test_replay_is_idempotent_and_other_months_untouched(spark, store, tmp_path)
     feb = price(spark, [("BTC", dt.datetime(2024, 2, 5, 1), 3.0, 1.0)])
     store.upsert(S.PRICE, jan)
     store.upsert(S.PRICE, feb)
-    jan_dir = os.path.join(store.path(S.PRICE), "month=2024-01")
-    before = sorted(os.listdir(jan_dir))
+    before = store._pointer(S.PRICE)["parts"]["month=2024-01"]
     snapshot = sorted(tuple(r) for r in store.read(S.PRICE).collect())
     store.upsert(S.PRICE, feb)              # replay
     assert sorted(tuple(r) for r in store.read(S.PRICE).collect()) == snapshot
-    assert sorted(os.listdir(jan_dir)) == before
+    assert store._pointer(S.PRICE)["parts"]["month=2024-01"] == before
 
 
 def test_not_null_violation_fails_batch_nothing_written(spark, store):
@@ -117,18 +116,65 @@ def test_empty_batch_is_noop(spark, store):
 
 
 def test_market_upsert(spark, store):
-    store.upsert(S.MARKET, market(spark, [(T10, 52.5)]))
-    store.upsert(S.MARKET, market(spark, [(T10, 60.0)], batch=2))
-    assert [r.btc_dominance for r in store.read(S.MARKET).collect()] == [60.0]
+    store.upsert(S.MARKET, market(spark, [(T10, 18.25), (T10 + dt.timedelta(hours=3), 19.0)]))
+    store.upsert(S.MARKET, market(spark, [(T10, 17.75)], batch=2))
+    assert sorted(r.btc_dominance for r in store.read(S.MARKET).collect()) == [17.75, 19.0]
 
 
 def test_news_insert_ignore_first_wins(spark, store):
-    store.insert_ignore(S.NEWS, news(spark, [("BTC", "Bitcoin up", "https://x/btc", T10),
-                                            ("ETH", "Ether up", "https://x/eth", T10)]))
-    st = store.insert_ignore(S.NEWS, news(spark, [("BTC", "Different headline", "https://x/btc", T10)], batch=2))
-    assert st.rows_written == 0 and st.rows_ignored == 1
-    got = {r.asset: r.headline for r in store.read(S.NEWS).collect()}
-    assert got == {"BTC": "Bitcoin up", "ETH": "Ether up"}
+    store.insert_ignore(S.NEWS, news(spark, [("TRX", "quiet day", "p/quiet", T10), ("SOL", "loud day", "p/loud", T10),
+                                            ("SOL", "long night", "p/night", T10)]))
+    st = store.insert_ignore(S.NEWS, news(spark, [("SOL", "loud day, again", "p/loud", T10), ("SOL", "dawn", "p/dawn", T10)], batch=2))
+    assert (st.rows_written, st.rows_ignored) == (1, 1)
+    got = {r.url: r.headline for r in store.read(S.NEWS).collect()}
+    assert got == {"p/quiet": "quiet day", "p/loud": "loud day", "p/night": "long night", "p/dawn": "dawn"}
+
+
+def test_an_earlier_arrival_handled_later_takes_its_place(spark, store):
+    store.insert_ignore(S.NEWS, news(spark, [("SOL", "second", "p/1", T10), ("SOL", "other", "p/2", T10)], batch=5))
+    ids = {r.url: r.id for r in store.read(S.NEWS).collect()}
+    st = store.insert_ignore(S.NEWS, news(spark, [("SOL", "first", "p/1", T10), ("SOL", "new", "p/3", T10)], batch=4))
+    assert (st.rows_written, st.rows_ignored) == (2, 0)
+    got = {r.url: (r.headline, r.id) for r in store.read(S.NEWS).collect()}
+    assert got == {"p/1": ("first", ids["p/1"]), "p/2": ("other", ids["p/2"]), "p/3": ("new", 3)}
+    up = store.upsert(S.PRICE, price(spark, [("SOL", T10, 2.0, 1.0)], batch=5))
+    down = store.upsert(S.PRICE, price(spark, [("SOL", T10, 1.0, 1.0), ("TRX", T10, 3.0, 1.0)], batch=4))
+    assert (up.rows_written, down.rows_written, down.rows_ignored) == (1, 1, 1)
+    assert sorted((r.asset, r.close) for r in store.read(S.PRICE).collect()) == [("SOL", 2.0), ("TRX", 3.0)]
+
+
+def test_a_run_lost_before_the_switch_changes_nothing(spark, store, monkeypatch):
+    store.upsert(S.PRICE, price(spark, [("SOL", T10, 1.0, 1.0), ("TRX", T10, 2.0, 1.0)]))
+    store.insert_ignore(S.NEWS, news(spark, [("SOL", "h", "p/1", T10)]))
+    before = [sorted(tuple(r) for r in store.read(t).collect()) for t in (S.PRICE, S.NEWS)]
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "_switch", lost)
+        for write in (lambda: store.upsert(S.PRICE, price(spark, [("SOL", T10, 9.0, 1.0)], batch=2)),
+                      lambda: store.insert_ignore(S.NEWS, news(spark, [("SOL", "x", "p/2", T10)], batch=2)),
+                      lambda: store.compact(S.PRICE)):
+            with pytest.raises(RuntimeError, match="driver lost"):
+                write()
+    assert [sorted(tuple(r) for r in store.read(t).collect()) for t in (S.PRICE, S.NEWS)] == before
+    for _ in range(2):                                                 # the replay converges
+        store.upsert(S.PRICE, price(spark, [("SOL", T10, 9.0, 1.0)], batch=2))
+        store.insert_ignore(S.NEWS, news(spark, [("SOL", "x", "p/2", T10)], batch=2))
+    assert sorted((r.asset, r.close) for r in store.read(S.PRICE).collect()) == [("SOL", 9.0), ("TRX", 2.0)]
+    assert sorted((r.url, r.id) for r in store.read(S.NEWS).collect()) == [("p/1", 1), ("p/2", 2)]
+
+
+def test_a_second_writer_fails_and_old_versions_go(spark, store):
+    pointer = store._pointer(S.PRICE)
+    for k in range(4):
+        store.upsert(S.PRICE, price(spark, [("SOL", T10, float(k), 1.0)], batch=k))
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._switch(S.PRICE, {**pointer, "version": 4})
+    assert [r.close for r in store.read(S.PRICE).collect()] == [3.0]
+    left = [d for d in os.listdir(store.path(S.PRICE)) if os.path.isdir(os.path.join(store.path(S.PRICE), d, "month=2024-01"))]
+    assert sorted(left) == ["v=3", "v=4"]
 
 
 def test_news_same_url_other_asset_is_other_key(spark, store):
@@ -156,26 +202,22 @@ def test_news_ids_unique_increasing_across_batches(spark, store):
     assert sorted(ids_btc + ids_eth) == list(range(1, 13))
 
 
-def test_reader_seed_windows(spark, store):
+def test_windows_of_all_tables(spark, store):
     d = dt.datetime
-    store.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 1, 0), 95000.0, 1.0), ("BTC", d(2025, 1, 1, 1), 95500.0, 1.0),
-                                       ("ETH", d(2025, 1, 1, 0), 3400.0, 1.0)]))
-    store.upsert(S.MARKET, market(spark, [(d(2025, 1, 1, 0), 56.3), (d(2025, 1, 1, 1), 56.5)]))
-    store.insert_ignore(S.NEWS, news(spark, [("BTC", "a", "btc1", d(2025, 1, 1, 0)), ("BTC", "b", "btc2", d(2025, 1, 1, 1)),
-                                            ("ETH", "c", "eth1", d(2025, 1, 1, 0))]))
-    s, e = d(2025, 1, 1, 0, tzinfo=dt.timezone.utc), d(2025, 1, 1, 2, tzinfo=dt.timezone.utc)
-    far = (d(2030, 1, 1), d(2030, 1, 2))
-    assert store.read_window(S.PRICE, s, e, "BTC").count() == 2
-    assert store.read_window(S.PRICE, s, e, "ETH").count() == 1
-    assert store.read_window(S.PRICE, *far, "BTC").count() == 0
-    assert store.read_window(S.PRICE, s, e, "DOGE").count() == 0
+    hours = [d(2022, 11, 30, 22), d(2022, 11, 30, 23), d(2022, 12, 1, 0), d(2022, 12, 1, 1)]
+    store.upsert(S.PRICE, price(spark, [("ADA", t, float(i), 1.0) for i, t in enumerate(hours)] + [("TRX", hours[2], 7.0, 1.0)]))
+    store.upsert(S.MARKET, market(spark, [(t, float(i)) for i, t in enumerate(hours[1:])]))
+    store.insert_ignore(S.NEWS, news(spark, [("ADA", "a", "p/a", hours[0]), ("ADA", "b", "p/b", hours[3]), ("TRX", "c", "p/c", hours[1])]))
+    s, e = (t.replace(tzinfo=dt.timezone.utc) for t in (hours[1], hours[2]))       # across a month's end, both included
+    assert sorted(r.close for r in store.read_window(S.PRICE, s, e, "ADA").collect()) == [1.0, 2.0]
+    assert store.read_window(S.PRICE, s, e).count() == 3 and store.read_window(S.PRICE, s, e, "XRP").count() == 0
     assert store.read_window(S.MARKET, s, e).count() == 2
-    assert store.read_window(S.MARKET, *far).count() == 0
-    assert store.read_window(S.NEWS, s, e, "BTC").count() == 2
-    assert store.read_window(S.NEWS, s, e, "ETH").count() == 1
-    assert store.read_window(S.NEWS, *far, "BTC").count() == 0
-    assert store.read_window(S.PRICE, e, s, "BTC").count() == 0          # reversed bounds
-    out = store.read_window(S.PRICE, s, e, "BTC")
+    assert [r.url for r in store.read_window(S.NEWS, s, e).collect()] == ["p/c"]
+    assert store.read_window(S.NEWS, s, e, "ADA").count() == 0
+    for spec in (S.PRICE, S.MARKET, S.NEWS):
+        assert store.read_window(spec, e, s).count() == 0                          # reversed bounds
+        assert store.read_window(spec, d(1999, 1, 1), d(1999, 1, 2)).count() == 0
+    out = store.read_window(S.PRICE, s, e, "ADA")
     assert out.columns == S.PRICE.columns
     assert dict(out.dtypes)["timestamp"] == "timestamp"
 
@@ -212,11 +254,10 @@ def test_day_grain_rewrites_only_touched_day_and_prunes(spark, tmp_path):
     s = TableStore(spark, str(tmp_path / "daystore"), time_grain="day")
     s.create_tables([S.PRICE])
     s.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 1, 5), 1.0, 1.0), ("BTC", d(2025, 1, 2, 5), 2.0, 1.0)]))
-    day1 = os.path.join(s.path(S.PRICE), "day=2025-01-01")
-    before = sorted(os.listdir(day1))
+    before = s._pointer(S.PRICE)["parts"]["day=2025-01-01"]
     st = s.upsert(S.PRICE, price(spark, [("BTC", d(2025, 1, 2, 5), 3.0, 1.0)], batch=2))
     assert st.partitions == ["2025-01-02"]
-    assert sorted(os.listdir(day1)) == before
+    assert s._pointer(S.PRICE)["parts"]["day=2025-01-01"] == before
     w = s.read_window(S.PRICE, d(2025, 1, 2), d(2025, 1, 2, 23), "BTC")
     assert [r.close for r in w.collect()] == [3.0]
     assert "PartitionFilters" in w._jdf.queryExecution().executedPlan().toString()
@@ -230,22 +271,23 @@ def test_compaction_keeps_rows_and_ids(spark, store):
     for b in range(4):
         store.insert_ignore(S.NEWS, news(spark, [("BTC", f"h{b}{i}", f"u{b}{i}", T10) for i in range(3)], batch=b))
     before = sorted(tuple(r) for r in store.read(S.NEWS).collect())
-    part = os.path.join(store.path(S.NEWS), "asset_part=BTC")
-    files_before = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    files_before = store.read(S.NEWS).inputFiles()
     assert store.compact(S.NEWS) == ["BTC"]
-    files_after = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    files_after = store.read(S.NEWS).inputFiles()
     assert sorted(tuple(r) for r in store.read(S.NEWS).collect()) == before
     assert len(files_after) < len(files_before)
 
 
-def test_upsert_is_partition_scoped_even_with_static_session_setting(spark, store):
+def test_upsert_is_partition_scoped_whatever_the_overwrite_setting(spark, store):
     d = dt.datetime
     store.upsert(S.PRICE, price(spark, [("BTC", d(2024, 1, 5, 1), 1.0, 1.0), ("BTC", d(2024, 2, 5, 1), 2.0, 1.0)]))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        store.upsert(S.PRICE, price(spark, [("BTC", d(2024, 2, 5, 1), 3.0, 1.0)], batch=2))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            store.upsert(S.PRICE, price(spark, [("BTC", d(2024, 2, 5, 1), 3.0, 1.0)], batch=2))
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     assert sorted(r.close for r in store.read(S.PRICE).collect()) == [1.0, 3.0]
 
 
@@ -267,8 +309,7 @@ def test_store_audit_zero_after_merges_and_flags_a_duplicate(spark, store):
     assert audit[("price_ohlcv", "duplicate_key")] == 0 and audit[("news_headlines", "null_url")] == 0
     assert all(v == 0 for v in audit.values())
     # a duplicate smuggled in by a plain append is caught
-    dup = store.read(S.PRICE).where("asset = 'ETH'")
-    dup.write.mode("append").partitionBy("month").parquet(store.path(S.PRICE))
+    store._publish(S.PRICE, store._pointer(S.PRICE), store._stored(S.PRICE).where("asset = 'ETH'"), replace=False)
     audit = {(r.table, r.check): r.violations for r in store_audit(store, [S.PRICE]).collect()}
     assert audit[("price_ohlcv", "duplicate_key")] == 1
 
@@ -283,8 +324,7 @@ def test_news_key_buckets_prune_existence_check_and_keep_semantics(spark, tmp_pa
     assert len(st.partitions) <= 2 and all(p.startswith("BTC#") for p in st.partitions)
     got = {r.url: r.headline for r in s.read_window(S.NEWS, T10, T10, "BTC").collect()}
     assert len(got) == 41 and got["https://x/3"] == "h3" and got["https://x/new"] == "new"
-    dirs = [d for d in os.listdir(s.path(S.NEWS)) if d.startswith("asset_part=")]
-    assert len(dirs) > 1
+    assert len(s._pointer(S.NEWS)["parts"]) > 1
     plan = s.read(S.NEWS).where(F.col("asset_part").isin(st.partitions))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters" in plan

@@ -26,7 +26,7 @@ def test_readme_workflow(spark, tmp_path):
                                 ("BTC", "garbage", 2.0, None, None, "x")],
                                "asset string, timestamp string, close double, market_cap double, "
                                "volume double, source string")
-    r = ingest_frame(spark, store, "price", df, strict=False)
+    r = ingest_frame(spark, store, "price", df, batch_id=2)         # arrives after the landed batch 1
     assert r.ok and r.quarantined_rows == 1
 
     btc = store.read_window(S.PRICE, dt.datetime(2024, 4, 20), dt.datetime(2024, 4, 21), "BTC").collect()

@@ -45,10 +45,14 @@ def parse_utc(c, strict: bool = True) -> Column:
     (``+00:00``, ``Z``, ``+05:30``); text without an offset is read as UTC because the session
     time zone is pinned to UTC. Both separators may be mixed within one column.
     ``strict`` uses an ANSI cast (an unparseable value fails the job); otherwise it yields null
-    and the caller quarantines the row.
+    and the caller quarantines the row. Text must hold a whole date: a bare time of day, which a
+    cast would complete with today's date, is unparseable.
     """
     col = _c(c)
-    return col.cast("timestamp") if strict else col.try_cast("timestamp")
+    text = col.cast("string")
+    whole = F.when(text.rlike(r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"), text) if not strict else \
+        F.when(text.rlike(r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"), text).otherwise(F.concat(F.lit("no date: "), text))
+    return whole.cast("timestamp") if strict else whole.try_cast("timestamp")
 
 
 def floor_hour(c) -> Column:

@@ -19,6 +19,7 @@ from tidemark.operators.sizing import broadcast_if_small
 AssetSet = Sequence[str] | DataFrame
 # A dimension (allow-list, symbol map) is broadcast only below this many rows.
 DIM_ROWS = 1_000_000
+DIM_BYTES = 8 << 20
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
@@ -31,13 +32,15 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
 
 def asset_dim(spark: SparkSession, mapping: dict[str, str] | Iterable[str] | None = None) -> DataFrame:
     """Asset dimension (asset, vendor_id) from a driver-side mapping; default = the ten assets.
-    Its size is the mapping's, known on the driver, so it is marked for broadcast."""
+    Marked for broadcast if the mapping, whose size the driver knows, is small."""
     mapping = S.DEFAULT_ASSET_MAP if mapping is None else mapping
     if not isinstance(mapping, dict):
         mapping = {a: None for a in mapping}
     schema = T.StructType([T.StructField("asset", T.StringType(), False),
                            T.StructField("vendor_id", T.StringType(), True)])
-    return F.broadcast(spark.createDataFrame(list(mapping.items()), schema))
+    dim = spark.createDataFrame(list(mapping.items()), schema)
+    size = sum(len(k.encode()) + len((v or "").encode()) + 32 for k, v in mapping.items())
+    return F.broadcast(dim) if len(mapping) <= DIM_ROWS and size <= DIM_BYTES else dim
 
 
 def _membership(df: DataFrame, assets: AssetSet | None, col: str, how: str) -> DataFrame:
@@ -67,12 +70,16 @@ def reject_assets(df: DataFrame, assets: AssetSet | None = None, col: str = "ass
 
 def require_known_assets(df: DataFrame, assets: Sequence[str] | None = None, col: str = "asset",
                          show: int = 20) -> DataFrame:
-    """Strict form of the symbol check: raise ``ValueError`` naming unknown symbols (at most
-    ``show`` of them, a bounded probe) and the valid ones; otherwise return ``df`` unchanged."""
+    """Strict form of the symbol check: raise ``ValueError`` with the number of unknown symbols, the first
+    ``show`` of them (the text says when it shows fewer than there are) and the valid ones;
+    otherwise return ``df`` unchanged."""
     values = list(S.VALID_ASSETS if assets is None else assets)
-    unknown = [r[0] for r in reject_assets(df, values, col).select(col).distinct().limit(show).collect()]
-    if unknown:
-        raise ValueError(f"Symbol(s) {sorted(unknown)} not found in the asset map. Valid symbols: {values}")
+    unknown = reject_assets(df, values, col).select(col).distinct()
+    n = unknown.count()
+    if n:
+        first = [r[0] for r in unknown.orderBy(col).limit(show).collect()]
+        cut = f" (first {show} shown)" if n > show else ""
+        raise ValueError(f"{n} symbol(s) {first}{cut} not found in the asset map. Valid symbols: {values}")
     return df
 
 
@@ -87,7 +94,7 @@ def allowlist_audit(df: DataFrame, assets: AssetSet | None = None, col: str = "a
 
 def map_symbols(df: DataFrame, dim: DataFrame, col: str = "asset") -> DataFrame:
     """Attach the vendor id of each symbol (inner join to the broadcast asset dimension)."""
-    d = broadcast_if_small(dim.select(F.col("asset").alias("__asset"), "vendor_id"), DIM_ROWS)
+    d = dim.select(F.col("asset").alias("__asset"), "vendor_id")  # asset_dim has decided about broadcasting
     return df.join(d, df[col] == d["__asset"], "inner").drop("__asset")
 
 

@@ -1,8 +1,6 @@
 """End-to-end queries: landing payloads derived from the driver tables go through the
-whole ingest (classify/quarantine -> shred -> harmonise -> keyed merge into tables).
-
-No SQL oracle: these return the run report / quarantine counts / stored tables, checked
-rows-only by the driver and against brute force in the tests.
+whole ingest (classify/quarantine -> shred -> harmonise -> keyed merge into tables); stored
+tables, windows of them, the run report and the quarantine are returned. Every one has SQL.
 """
 
 from __future__ import annotations
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.plans import landing_from_tables as L
 from tidemark.plans.feeds import table
-from tidemark.plans.ingest import report_frame, run_ingest
+from tidemark.plans.ingest import ingest_source, report_frame, run_ingest
 from tidemark.plans.store import TableStore
 from tidemark.session import ensure_utc, scratch_path
 from tidemark.sources import shred
@@ -61,6 +59,127 @@ def q_stored_news_table(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, sf, S.NEWS, "news")
 
 
+# Two landings with overlapping keys: payloads of the later one (odd batches) are handled first, the
+# earlier ones (even batches) last, into tables that already hold rows. News also lands an odd
+# batch's articles again under a later batch number, so that stored keys are met (IGNORE).
+AGAIN = 1_000_000_000
+
+
+def two_landings(kind: str, landed: DataFrame) -> list[DataFrame]:
+    odd, even = landed.where("batch_id % 2 = 1"), landed.where("batch_id % 2 = 0")
+    if kind == "news":
+        return [odd, even.unionByName(odd.withColumn("batch_id", F.col("batch_id") + AGAIN))]
+    if kind == "market":
+        # the earlier snapshot of an hour lands last, with other values, and must not win
+        older = landed.withColumn("batch_id", F.col("batch_id") - 1) \
+            .withColumn("payload", F.regexp_replace("payload", '"btc":', '"btc":7'))
+        return [odd, even.unionByName(older)]
+    return [odd, even]
+
+
+def _two_batches(spark: SparkSession, sf: str, kind: str, spec: S.TableSpec) -> TableStore:
+    ensure_utc(spark)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.create_tables([spec])
+    landed = dict(zip(("price", "market", "news"), envelopes(spark, sf)))[kind]
+    assets = {"price": PRICE_ASSETS, "news": NEWS_ASSETS}.get(kind)
+    for part in two_landings(kind, landed):
+        res = ingest_source(spark, store, kind, part, assets)
+        if not res.ok:
+            raise RuntimeError(res.error)
+    return store
+
+
+def _public(df: DataFrame, spec: S.TableSpec) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c) for c in spec.columns_no_id])
+
+
+def q_stored_price_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _public(_two_batches(spark, sf, "price", S.PRICE).read(S.PRICE), S.PRICE)
+
+
+def q_stored_market_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _public(_two_batches(spark, sf, "market", S.MARKET).read(S.MARKET), S.MARKET)
+
+
+def q_stored_news_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _public(_two_batches(spark, sf, "news", S.NEWS).read(S.NEWS), S.NEWS)
+
+
+def q_stored_news_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Surrogate ids over two batches: unique, without gaps, the second batch's above the first's."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    ensure_utc(spark)
+    store.create_tables([S.NEWS])
+    first, rest = two_landings("news", envelopes(spark, sf)[2])
+    ingest_source(spark, store, "news", first, NEWS_ASSETS)
+    high = store.read(S.NEWS).agg(F.max("id").alias("first_max"))
+    high = high.first()["first_max"]
+    res = ingest_source(spark, store, "news", rest, NEWS_ASSETS)
+    return store.read(S.NEWS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("min_id"),
+        F.max("id").alias("max_id"), F.lit(high).cast("long").alias("first_max")) \
+        .withColumn("rows_ignored", F.lit(res.rows_ignored).cast("long"))
+
+
+def q_stream_price_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The later landing as one micro-batch, then the earlier one: the same table as a batch run."""
+    ensure_utc(spark)
+    root = scratch_path(spark, "stream-order")
+    store = TableStore(spark, f"{root}/store")
+    store.create_tables([S.PRICE])
+    for part in two_landings("price", envelopes(spark, sf)[0]):
+        part.coalesce(2).write.mode("append").json(f"{root}/landing")
+        run_stream_to_completion(spark, store, "price", f"{root}/landing", f"{root}/_checkpoint", PRICE_ASSETS, max_files_per_trigger=1)
+    return _public(store.read(S.PRICE), S.PRICE)
+
+
+def q_news_max_articles_redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    """Every news payload delivered twice, the newest 3 articles of each kept."""
+    ensure_utc(spark)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.create_tables([S.NEWS])
+    landed = envelopes(spark, sf)[2]
+    ingest_source(spark, store, "news", landed.unionByName(landed), NEWS_ASSETS, max_articles=3)
+    return store.read(S.NEWS).groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first_url"))
+
+
+# days whose first and last hour are included
+WINDOW = ("2024-01-03 00:00:00", "2024-01-05 00:00:00")
+NEWS_WINDOW = ("2024-01-01 02:00:00", "2024-01-01 09:00:00")
+
+
+def _window(spark: SparkSession, sf: str, kind: str, spec: S.TableSpec, asset: str | None) -> DataFrame:
+    store, _ = ingest_into_store(spark, sf, kinds=(kind,))
+    bounds = NEWS_WINDOW if kind == "news" else WINDOW
+    inside = store.read_window(spec, *bounds, asset)
+    reversed_ = store.read_window(spec, *bounds[::-1], asset)  # empty
+    return _public(inside.unionByName(reversed_), spec)
+
+
+def q_stored_price_window(spark: SparkSession, sf: str) -> DataFrame:
+    return _window(spark, sf, "price", S.PRICE, "click")
+
+
+def q_stored_market_window(spark: SparkSession, sf: str) -> DataFrame:
+    return _window(spark, sf, "market", S.MARKET, None)
+
+
+def q_stored_news_window(spark: SparkSession, sf: str) -> DataFrame:
+    return _window(spark, sf, "news", S.NEWS, "src3")
+
+
+def q_quarantine_after_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The price landing handled twice: every rejected payload is in quarantine once."""
+    ensure_utc(spark)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.create_tables([S.PRICE])
+    landed = envelopes(spark, sf)[0]
+    for _ in range(2):
+        ingest_source(spark, store, "price", landed, PRICE_ASSETS)
+    return store.read_quarantine().groupBy("source", "asset", "reason").agg(F.count(F.lit(1)).alias("payloads"))
+
+
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
     _, results = ingest_into_store(spark, sf)
     return report_frame(spark, results)
@@ -68,10 +187,11 @@ def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     ensure_utc(spark)
-    price, _, news = envelopes(spark, sf)
+    price, market, news = envelopes(spark, sf)
     p = quarantine_counts(shred.classify_chart(landed_from_frame(price)), "price")
+    m = quarantine_counts(shred.classify_global(landed_from_frame(market)), "market")
     n = quarantine_counts(shred.classify_news(landed_from_frame(news)), "news")
-    return p.unionByName(n)
+    return p.unionByName(m).unionByName(n)
 
 
 def _streamed(spark: SparkSession, sf: str, kind: str, spec: S.TableSpec, assets) -> DataFrame:
@@ -107,6 +227,16 @@ END_TO_END_QUERIES = {
     "stored_news_table": q_stored_news_table,
     "run_report": q_run_report,
     "quarantine_counts": q_quarantine_counts,
+    "stored_price_two_batches": q_stored_price_two_batches,
+    "stored_market_two_batches": q_stored_market_two_batches,
+    "stored_news_two_batches": q_stored_news_two_batches,
+    "stored_news_ids": q_stored_news_ids,
+    "stream_price_out_of_order": q_stream_price_out_of_order,
+    "news_max_articles_redelivered": q_news_max_articles_redelivered,
+    "stored_price_window": q_stored_price_window,
+    "stored_market_window": q_stored_market_window,
+    "stored_news_window": q_stored_news_window,
+    "quarantine_after_replay": q_quarantine_after_replay,
 }
 
 _PRICE_IN = "('click','view','purchase','error')"
@@ -158,6 +288,8 @@ pc as (select asset, blk, case when asset = 'signup' and blk % 13 = 0 then 'unpa
 END_TO_END_SQL["quarantine_counts"] = _PRICE_BLOCKS + """
 select 'price' source, asset, reason, count(*) payloads from pc group by 1, 2, 3
 union all
+select 'market', null, null, count(distinct date_trunc('hour', ts)) from events
+union all
 select 'news' source, source asset, cast(null as varchar) reason, count(distinct doc_id // 100) payloads
 from documents group by 1, 2, 3"""
 
@@ -184,3 +316,29 @@ select 'news', true, (select count(distinct (source, doc_id // 100)) from docume
        count(distinct (source, text)), 0, 0, count(*) - count(distinct (source, text)), 0, 0, null, null
 from nd"""
 END_TO_END_SQL["stream_news_table"] = END_TO_END_SQL["stored_news_table"]
+# batches handled out of order leave the tables that one run in order leaves
+END_TO_END_SQL["stored_price_two_batches"] = END_TO_END_SQL["stored_price_table"]
+END_TO_END_SQL["stream_price_out_of_order"] = END_TO_END_SQL["stored_price_table"]
+END_TO_END_SQL["stored_market_two_batches"] = END_TO_END_SQL["stored_market_table"]
+END_TO_END_SQL["stored_news_two_batches"] = END_TO_END_SQL["stored_news_table"]
+for _kind, _asset, _bounds in (("price", "asset = 'click' and ", WINDOW), ("market", "", WINDOW), ("news", "asset = 'src3' and ", NEWS_WINDOW)):
+    END_TO_END_SQL[f"stored_{_kind}_window"] = (
+        f"select * from ({END_TO_END_SQL[f'stored_{_kind}_table']}) t "
+        f"where {_asset}\"timestamp\" between timestamp '{_bounds[0]}' and timestamp '{_bounds[1]}'")
+_NEWS_ROWS = f"(select * from documents where text <> '' and source in {_NEWS_IN})"
+END_TO_END_SQL["stored_news_ids"] = f"""
+with o as (select distinct source, text from {_NEWS_ROWS} where doc_id // 100 % 2 = 1),
+a as (select distinct source, text from {_NEWS_ROWS})
+select (select count(*) from a) n_rows, (select count(*) from a) n_ids, cast(1 as bigint) min_id,
+       (select count(*) from a) max_id, (select count(*) from o) first_max,
+       -- stored keys met again, but for those whose earlier arrival came with this batch
+       (select count(*) from o) - (select count(*) from (
+          select source, text from {_NEWS_ROWS} group by 1, 2
+          having bool_or(doc_id // 100 % 2 = 1) and min(doc_id // 100) % 2 = 0)) rows_ignored"""
+END_TO_END_SQL["news_max_articles_redelivered"] = f"""
+with r as (select *, row_number() over (partition by source, doc_id // 100 order by doc_id desc) rn
+           from documents where source in {_NEWS_IN} and text <> '')
+select source asset, count(distinct text) n, 'https://news.example/' || min(sha256(text)) first_url
+from r where rn <= 3 group by 1"""
+END_TO_END_SQL["quarantine_after_replay"] = _PRICE_BLOCKS + """
+select 'price' source, asset, reason, count(*) payloads from pc where reason is not null group by 1, 2, 3"""

@@ -7,10 +7,11 @@ the outcome of every source goes into a small run report.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -54,7 +55,7 @@ def _landed(spark: SparkSession, landing) -> DataFrame:
     return read_landing(spark, landing)
 
 
-def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool = True,
+def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool = False,
                     lookback_days: int | None = None, max_articles: int | None = None) -> DataFrame:
     """Good payloads of ``kind`` -> harmonised rows (still carrying arrival order).
 
@@ -74,17 +75,14 @@ def harmonised_rows(kind: str, classified: DataFrame, assets=None, strict: bool
     if kind == "news":
         rows = shred.shred_news(classified)
         if max_articles is not None:
-            rows = top_n_per_group(rows.withColumn("__payload", F.struct("asset", "batch_id", "ingest_ts",
-                                                                          "payload_hash")),
-                                   "__payload", [F.col("published_at").desc(), F.col("seq").desc()],
-                                   max_articles).drop("__payload")
+            # one group per delivered payload: copies of a payload must not use up each other's places
+            rows = top_n_per_group(rows, "delivery", [F.col("published_at").desc(), F.col("seq").desc()], max_articles)
+        rows = rows.drop("delivery")
         return harmonise_news(rows, assets, strict)
     raise ValueError(f"unknown source {kind!r}")
 
 
 _SPECS = {"price": S.PRICE, "market": S.MARKET, "news": S.NEWS}
-_REQUIRED = {"price": S.PRICE_REQUIRED_COLUMNS, "market": S.MARKET_REQUIRED_COLUMNS,
-             "news": S.NEWS_REQUIRED_COLUMNS}
 
 
 def _error_text(e: Exception) -> str:
@@ -102,24 +100,19 @@ def failure_kind(e: Exception) -> str:
     return "data" if isinstance(e, data_errors) else "system"
 
 
-def _store_rows(store: TableStore, kind: str, rows: DataFrame, res: SourceResult,
-                fail_if_empty: bool) -> None:
+def _store_rows(store: TableStore, kind: str, rows: DataFrame, res: SourceResult) -> None:
     """Merge harmonised rows into the source's table and copy the write stats into ``res``."""
     spec = _SPECS[kind]
     order = LANDED_ORDER if "payload_hash" in rows.columns else ORDER
     stats = store.insert_ignore(spec, rows, order) if spec.conflict == "ignore" \
         else store.upsert(spec, rows, order)
-    if fail_if_empty and stats.rows_in == 0:
-        # no usable payload at all: the source fails like an empty batch reaching the column
-        # contract (nothing was written: an empty batch is a no-op at the sink)
-        raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(_REQUIRED[kind]))
     res.rows_in, res.rows_written = stats.rows_in, stats.rows_written
     res.rows_ignored, res.rows_null_dropped = stats.rows_ignored, stats.rows_null_dropped
     res.rows_deduped, res.rows_empty_url = stats.rows_deduped, stats.rows_empty_url
 
 
 def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, assets=None,
-                  strict: bool = True, **options) -> SourceResult:
+                  strict: bool = False, **options) -> SourceResult:
     """One source, fully isolated: any error is recorded, never raised."""
     res = SourceResult(kind)
     staged = None
@@ -140,10 +133,11 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
         res.payloads_unsupported = staged.metrics.get("unknown", 0 if kind == "market" else None)
         if res.quarantined:
             store.write_quarantine(quarantine_rows(classified, kind))
+        if res.payloads == res.quarantined:
+            # payloads of unsupported assets are usable ones: their rows are dropped, the source is fine
+            raise ValueError(f"no usable payload: {res.payloads} landed, {res.quarantined} quarantined")
         rows = harmonised_rows(kind, classified, assets, strict, **options)
-        if not strict:
-            rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
-        _store_rows(store, kind, rows, res, fail_if_empty=True)
+        _store_or_quarantine(store, kind, rows, res, strict)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
         res.error, res.failure = _error_text(e), failure_kind(e)
@@ -153,23 +147,27 @@ def ingest_source(spark: SparkSession, store: TableStore, kind: str, landing, as
     return res
 
 
-def _quarantine_bad_times(store: TableStore, kind: str, rows: DataFrame):
-    """Lenient mode: rows whose event time is NULL (unparseable or missing) go to quarantine
-    with their content as JSON; the rest continue. Returns (good rows, quarantined count)."""
-    rows = rows.checkpoint(eager=True)
-    bad = rows.where(F.col("timestamp").isNull())
-    n = bad.count()
-    if n:
+def _store_or_quarantine(store: TableStore, kind: str, rows: DataFrame, res: SourceResult, strict: bool) -> None:
+    """Store ``rows``. Lenient mode: rows whose event time is NULL (unparseable or missing) are counted
+    while the others are stored, and then go to quarantine with their content as JSON."""
+    if strict:
+        _store_rows(store, kind, rows, res)
+        return
+    obs = Observation(f"times-{kind}-{uuid.uuid4().hex[:8]}")
+    bad = F.col("timestamp").isNull()
+    seen = rows.observe(obs, F.count_if(bad).alias("bad"))
+    _store_rows(store, kind, seen.where(~bad), res)
+    res.quarantined_rows = dict(obs.get)["bad"]
+    if res.quarantined_rows:
         asset = F.col("asset") if "asset" in rows.columns else F.lit(None).cast("string")
-        store.write_quarantine(bad.select(
+        store.write_quarantine(rows.where(bad).select(
             F.lit(kind).alias("source"), asset.alias("asset"),
             F.col("batch_id").cast("long").alias("batch_id"), F.col("ingest_ts").cast("timestamp").alias("ingest_ts"),
             F.lit("bad_event_time").alias("reason"), F.to_json(F.struct(*rows.columns)).alias("raw")))
-    return rows.where(F.col("timestamp").isNotNull()), n
 
 
 def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFrame, assets=None,
-                 strict: bool = True, batch_id: int = 0) -> SourceResult:
+                 strict: bool = False, batch_id: int = 0) -> SourceResult:
     """Harmonise and store an already-shredded frame in the stored layout (e.g. columns
     ``asset, timestamp, close, market_cap, volume, source`` for prices; news may use
     ``published_at``). Timestamps may be text (offsets honoured) or typed.
@@ -191,10 +189,7 @@ def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFram
         harmonise = {"price": lambda d: harmonise_price(d, assets, strict),
                      "market": lambda d: harmonise_market(d, strict),
                      "news": lambda d: harmonise_news(d, assets, strict)}[kind]
-        rows = harmonise(df)
-        if not strict:
-            rows, res.quarantined_rows = _quarantine_bad_times(store, kind, rows)
-        _store_rows(store, kind, rows, res, fail_if_empty=False)
+        _store_or_quarantine(store, kind, harmonise(df), res, strict)
         res.ok = True
     except Exception as e:  # noqa: BLE001 - isolation is the point
         res.error, res.failure = _error_text(e), failure_kind(e)
@@ -202,7 +197,7 @@ def ingest_frame(spark: SparkSession, store: TableStore, kind: str, df: DataFram
 
 
 def run_ingest(spark: SparkSession, store: TableStore, price=None, market=None, news=None,
-               assets=None, strict: bool = True, parallel: bool = True,
+               assets=None, strict: bool = False, parallel: bool = True,
                lookback_days: int | None = None, max_articles: int | None = None) -> list[SourceResult]:
     """Price, market and news; a source with no landing input fails.
 

@@ -5,26 +5,32 @@ default, or day) and sorted by (asset, timestamp) inside files, so a time window
 partitions and row groups. News is partitioned by asset, optionally by asset and a hash bucket
 of the url (its key has no time in it).
 
-Writes validate the batch in one aggregate, stage the per-key winners as parquet in the shared
-folder (cuts lineage, survives executor loss; counts and touched partitions observed on the
-same job), then rewrite only the touched partitions with dynamic partition overwrite (upsert)
-or append the new rows (insert-ignore). A single writer per table is assumed.
+Arrival order is stored with every row in columns that readers do not see (``ARRIVAL``): a merge
+compares the arrival of a stored row with that of an incoming one, so the result does not
+depend on which of two batches is handled first, nor on how files fall into micro-batches.
+
+Publishing: a write puts whole new partition data (or added files) into a version folder of its
+own, checks its row count, and then creates one small pointer file that names, per partition, the
+versions that make up the table. Readers follow the newest pointer, so they see the old table
+or the new one; a run lost before the pointer exists changes nothing, and replaying the batch
+converges. Data that neither the newest nor the previous pointer names is removed
+afterwards. A single writer per table is assumed (a second one fails at the pointer).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import urllib.parse
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.operators.merge import assign_ids as assign_dense_ids
-from tidemark.operators.merge import (
-    first_per_key, latest_per_key, normalise_nan, null_violation,
-)
+from tidemark.operators.merge import first_per_key, latest_per_key, normalise_nan, null_violation
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
 from tidemark.plans.staging import stage
 from tidemark.session import ensure_utc, shared_dir
@@ -32,6 +38,9 @@ from tidemark.session import ensure_utc, shared_dir
 ORDER = ["batch_id", "ingest_ts", "seq"]
 # landed payloads also carry a content hash between ingest time and position (total order)
 LANDED_ORDER = ["batch_id", "ingest_ts", "payload_hash", "seq"]
+# the same, as stored with every row (a frame without payload hash stores NULL)
+ARRIVAL = {"batch_id": T.LongType(), "ingest_ts": T.TimestampType(), "payload_hash": T.LongType(), "seq": T.LongType()}
+ARRIVAL_COLUMNS = [f"_{c}" for c in ARRIVAL]
 
 
 @dataclass
@@ -109,27 +118,90 @@ class TableStore:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def exists(self, spec: S.TableSpec) -> bool:
-        fs, p = self._fs(self.path(spec))
-        return fs.exists(p)
+        return self._newest(spec) is not None
 
     def storage_schema(self, spec: S.TableSpec) -> T.StructType:
         spec = self.spec(spec)
-        return T.StructType(list(spec.schema.fields) + [T.StructField(spec.partition_col, T.StringType())])
+        arrival = [T.StructField(f"_{c}", t) for c, t in ARRIVAL.items()]
+        return T.StructType(list(spec.schema.fields) + arrival + [T.StructField(spec.partition_col, T.StringType())])
+
+    # -- pointers ---------------------------------------------------------------------
+    def _pointer_dir(self, spec: S.TableSpec) -> str:
+        return f"{self.root}/_meta/{spec.name}"
+
+    def _newest(self, spec: S.TableSpec, before: int | None = None) -> int | None:
+        """Number of the newest pointer (below ``before``)."""
+        fs, p = self._fs(self._pointer_dir(spec))
+        if not fs.exists(p):
+            return None
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        numbers = [int(n[len("current-"):]) for n in names if n.startswith("current-")]
+        return max((n for n in numbers if before is None or n < before), default=None)
+
+    def _pointer(self, spec: S.TableSpec, number: int | None = None) -> dict:
+        """``{"version", "next_id", "parts": {partition folder: [versions]}}``; a missing table raises."""
+        number = self._newest(spec) if number is None else number
+        if number is None:
+            raise FileNotFoundError(f"table {spec.name} does not exist under {self.root}")
+        return json.loads(self._read_meta(f"{self._pointer_dir(spec)}/current-{number:09d}"))
+
+    def _switch(self, spec: S.TableSpec, pointer: dict) -> None:
+        """Make ``pointer`` the newest one: written beside, then renamed to a name of its own."""
+        folder = self._pointer_dir(spec)
+        fs, tmp = self._fs(f"{folder}/.tmp-{uuid.uuid4().hex}")
+        self._write_bytes(fs, tmp, json.dumps(pointer))
+        _, final = self._fs(f"{folder}/current-{pointer['version']:09d}")
+        if fs.exists(final) or not fs.rename(tmp, final):
+            raise RuntimeError(f"another writer has published version {pointer['version']} of {spec.name}")
+
+    def _clean(self, spec: S.TableSpec, version: int) -> None:
+        """Remove old pointers and the data that only they name."""
+        previous = self._newest(spec, before=version)
+        old = self._newest(spec, before=previous) if previous is not None else None
+        if old is None:
+            return
+        live = {(d, v) for n in (version, previous) for d, vs in self._pointer(spec, n)["parts"].items() for v in vs}
+        while old is not None:
+            for d, versions in self._pointer(spec, old)["parts"].items():
+                for v in versions:
+                    if (d, v) not in live:
+                        fs, p = self._fs(f"{self._version_path(spec, v)}/{d}")
+                        fs.delete(p, True)
+            fs, p = self._fs(f"{self._pointer_dir(spec)}/current-{old:09d}")
+            fs.delete(p, False)
+            old = self._newest(spec, before=old)
+
+    def _version_path(self, spec: S.TableSpec, version: int) -> str:
+        return f"{self.path(spec)}/v={version}"
 
     # -- K4: create -------------------------------------------------------------------
     def create_tables(self, specs=(S.PRICE, S.MARKET, S.NEWS)) -> None:
-        """Create missing tables; existing ones are left untouched (metadata calls, no job)."""
+        """Create missing tables (and the quarantine); existing ones are left untouched."""
         for spec in specs:
-            # readers always pass the declared schema, so an empty directory is an empty table
-            fs, p = self._fs(self.path(spec))
-            if not fs.exists(p):
-                fs.mkdirs(p)
+            if not self.exists(spec):
+                for path in (self.path(spec), self._pointer_dir(spec)):
+                    fs, p = self._fs(path)
+                    fs.mkdirs(p)
                 self._write_meta(self._layout_path(spec), self._layout_text(spec))
+                self._switch(spec, {"version": 0, "next_id": 1, "parts": {}})
+        fs, p = self._fs(self.quarantine_path())
+        fs.mkdirs(p)
 
     # -- scans ------------------------------------------------------------------------
+    def _stored(self, spec: S.TableSpec, pointer: dict | None = None) -> DataFrame:
+        """All stored rows with arrival and partition columns."""
+        pointer = pointer or self._pointer(spec)
+        schema = self.storage_schema(spec)
+        paths = [f"{self._version_path(spec, v)}/{d}" for d, versions in pointer["parts"].items() for v in versions]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path(spec)).parquet(*paths) \
+            .select(*schema.fieldNames())
+
     def read(self, spec: S.TableSpec) -> DataFrame:
         """Full table incl. the partition column. A missing table raises (no silent create)."""
-        return self.spark.read.schema(self.storage_schema(spec)).parquet(self.path(spec))
+        spec = self.spec(spec)
+        return self._stored(spec).select(*spec.columns, spec.partition_col)
 
     def read_window(self, spec: S.TableSpec, start, end, asset: str | None = None) -> DataFrame:
         """Rows with ``start <= timestamp <= end`` (UTC, inclusive), optionally one asset.
@@ -157,63 +229,84 @@ class TableStore:
         return f"{self.root}/_quarantine"
 
     def write_quarantine(self, rows: DataFrame) -> None:
-        """Append rejected payloads (source, asset, batch_id, ingest_ts, reason, raw)."""
-        rows.select(*S.QUARANTINE_SCHEMA.fieldNames()).write.mode("append") \
-            .option("compression", "zstd").partitionBy("source").parquet(self.quarantine_path())
+        """Add rejected payloads (source, asset, batch_id, ingest_ts, reason, raw) that are not kept yet:
+        handling a landing again leaves the quarantine as it is."""
+        cols = S.QUARANTINE_SCHEMA.fieldNames()
+        fs, p = self._fs(self.quarantine_path())
+        fs.mkdirs(p)
+        new, old = rows.select(*cols).distinct().alias("n"), self.read_quarantine().alias("o")
+        same = F.lit(True)
+        for c in cols:
+            same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
+        # staged first: the append must not change what its own plan reads
+        st = stage(new.join(old, same, "left_anti"), "quarantine", {"n": F.count(F.lit(1))})
+        try:
+            if st.metrics["n"]:
+                st.df.write.mode("append").option("compression", "zstd").partitionBy("source").parquet(self.quarantine_path())
+        finally:
+            st.drop()
 
     def read_quarantine(self) -> DataFrame:
         return self.spark.read.schema(S.QUARANTINE_SCHEMA).parquet(self.quarantine_path())
 
     def compact(self, spec: S.TableSpec, partitions=None) -> list:
-        """Rewrite partitions (all, or the given values) into fewer, sorted files.
-
-        Appends (news) and many small batches leave small files; this rewrites the same rows
-        with the write layout of the table (rebalanced, sorted) by dynamic partition overwrite.
-        Rows, ids and keys are unchanged. Returns the rewritten partition values.
-        """
+        """Rewrite partitions (all, or the given values) into fewer files, each a range of the sort
+        order, so that a one-asset read opens a minority of them. Rows, ids and keys are
+        unchanged; published like any write. Returns the rewritten partition values."""
         spec = self.spec(spec)
-        df = self.read(spec)
+        pointer = self._pointer(spec)
+        df = self._stored(spec, pointer)
         if partitions is not None:
             df = df.where(F.col(spec.partition_col).isin(list(partitions)))
-        # stage a copy first: the rewrite must not read the files it replaces
-        st = stage(df, f"compact-{spec.name}", {"parts": F.collect_set(spec.partition_col)})
-        parts = sorted(st.metrics["parts"] or [])
-        if parts:
-            self._write_partitions(spec, st.df, "overwrite")
-        st.drop()
-        return parts
+        order = [spec.partition_col, *spec.sort_cols]
+        return self._publish(spec, pointer, df.repartitionByRange(*order), replace=True)[1]
 
     # -- writes -----------------------------------------------------------------------
     def _prepare(self, spec: S.TableSpec, incoming: DataFrame, order) -> DataFrame:
+        """Typed table columns and the arrival columns."""
         cols = [c for c in spec.columns if c != "id"]
         missing = [c for c in cols + list(order) if c not in incoming.columns]
         if missing:
             raise ValueError(S.MISSING_COLUMNS_MESSAGE.format(missing))
-        typed = incoming.select(*[F.col(c).cast(spec.schema[c].dataType) for c in cols], *order)
-        return normalise_nan(typed)
-
-    def _write_partitions(self, spec: S.TableSpec, df: DataFrame, mode: str) -> None:
-        """Rebalance (AQE splits a large partition value over several tasks and merges small
-        ones), sort within files, write partitioned."""
-        part = spec.partition_col
-        laid_out = df.hint("rebalance", part).sortWithinPartitions(part, *spec.sort_cols)
-        # per-write option: an overwrite replaces only the partitions present in ``df``, whatever
-        # the session's setting (a static overwrite would drop every other partition)
-        laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic") \
-            .option("compression", "zstd").partitionBy(part).parquet(self.path(spec))
-
-    def _winners(self, spec, inc, order, pick):
-        """Per-key winners staged as parquet, with (row count, touched storage partitions, key
-        bytes) observed on the same write job."""
-        winners = pick(inc, spec.key, order).select(*spec.columns_no_id) \
+        arrival = [(F.col(c) if c in order else F.lit(None)).cast(t).alias(f"_{c}") for c, t in ARRIVAL.items()]
+        return normalise_nan(incoming.select(*[F.col(c).cast(spec.schema[c].dataType) for c in cols], *arrival))
+
+    def _publish(self, spec: S.TableSpec, pointer: dict, df: DataFrame, replace: bool, next_id: int | None = None,
+                 metrics: dict[str, Column] | None = None) -> tuple[dict, list]:
+        """Write ``df`` as the next version and switch to it: its partitions replace the stored ones, or
+        add to them. Returns (observed metrics, partition values written)."""
+        version, part = pointer["version"] + 1, spec.partition_col
+        target = self._version_path(spec, version)
+        fs, p = self._fs(target)
+        fs.delete(p, True)  # left by a run that was lost before its switch
+        obs = Observation(f"{spec.name}-{uuid.uuid4().hex[:8]}")
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
+        counted.select(*self.storage_schema(spec).fieldNames()).sortWithinPartitions(part, *spec.sort_cols) \
+            .write.mode("errorifexists").option("compression", "zstd").partitionBy(part).parquet(target)
+        got = dict(obs.get)
+        written = self.spark.read.schema(self.storage_schema(spec)).parquet(target).count() if got["rows"] else 0
+        if written != got["rows"]:
+            raise RuntimeError(f"{spec.name}: {got['rows']} rows to write, {written} found; not published")
+        folders = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+        parts = dict(pointer["parts"])
+        for d in folders:
+            parts[d] = [version] if replace else [*parts.get(d, []), version]
+        self._switch(spec, {"version": version, "next_id": next_id or pointer["next_id"], "parts": parts})
+        self._clean(spec, version)
+        return got, sorted(urllib.parse.unquote(d.split("=", 1)[1]) for d in folders)
+
+    def _winners(self, spec, inc, pick, bad, more):
+        """Per-key winners staged as parquet, in one pass over the batch: counts of the batch are observed
+        before the reduction, counts and key bytes of the winners on the write."""
+        obs = Observation(f"{spec.name}-in-{uuid.uuid4().hex[:8]}")
+        seen = inc.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), *more)
+        usable = seen.where(~bad) if spec.conflict == "ignore" else seen
+        winners = pick(usable, spec.key, ARRIVAL_COLUMNS).select(*spec.columns_no_id, *ARRIVAL_COLUMNS) \
             .withColumn(spec.partition_col, F.expr(spec.partition_expr))
-        key_bytes = sum((F.coalesce(F.length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
+        key_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
                          else F.lit(8)) + F.lit(16) for c in spec.key)
-        # touched partitions: months/days (bounded by the batch's time span) or assets (dimension)
-        st = stage(winners, spec.name, {"n": F.count(F.lit(1)),
-                                        "parts": F.collect_set(spec.partition_col),
-                                        "key_bytes": F.coalesce(F.sum(key_bytes), F.lit(0))})
-        return st, st.metrics["n"], sorted(st.metrics["parts"] or []), int(st.metrics["key_bytes"])
+        st = stage(winners, spec.name, {"n": F.count(F.lit(1)), "key_bytes": F.coalesce(F.sum(key_bytes), F.lit(0))})
+        return st, dict(obs.get), st.metrics["n"], int(st.metrics["key_bytes"])
 
     def _keys_side(self, df: DataFrame, n: int, key_bytes: int) -> DataFrame:
         """Broadcast a key side only under a proven bound: at most ``broadcast_rows`` keys and
@@ -224,103 +317,130 @@ class TableStore:
     broadcast_rows = DEFAULT_BROADCAST_ROWS
     broadcast_bytes = 64 << 20
 
+    def _touched(self, spec: S.TableSpec, stored: DataFrame, winners: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that the winners fall into: by literals for months and days
+        (bounded by the batch's time span), by a semi join that prunes dynamically otherwise."""
+        values = winners.select(spec.partition_col).distinct()
+        if spec.time_grain is not None:
+            return stored.where(F.col(spec.partition_col).isin([r[0] for r in values.collect()]))
+        return stored.join(values, spec.partition_col, "left_semi")
+
+    def _met(self, spec: S.TableSpec, base: DataFrame, winners: DataFrame, n: int, key_bytes: int,
+             *columns: Column) -> DataFrame:
+        """Keys (and ``columns``) of the stored rows whose key the batch has, with ``__late``: whether the
+        stored row arrived after the incoming one. At most ``n`` rows."""
+        arrival = F.struct(*ARRIVAL_COLUMNS)
+        keys = winners.select(*spec.key, arrival.alias("__w"))
+        return base.select(*spec.key, *columns, arrival.alias("__s")) \
+            .join(self._keys_side(keys, n, key_bytes), spec.key) \
+            .withColumn("__late", F.col("__s") > F.col("__w")).drop("__s", "__w")
+
     def upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
-        """REPLACE: last arrival per key wins (whole row); a NULL in a NOT NULL column fails
-        the batch before anything is written; an empty batch is a no-op."""
+        """REPLACE: last arrival per key wins (whole row), within the batch and against stored rows; a
+        NULL in a NOT NULL column fails the batch before anything is published; an empty batch
+        is a no-op. ``rows_ignored`` counts keys whose stored row arrived later."""
         spec = self.spec(spec)
         stats = WriteStats(spec.name)
-        inc = self._prepare(spec, incoming, order)
-        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(null_violation(spec.not_null)).alias("bad")).first()
-        stats.rows_in = c["n"]
-        if stats.rows_in == 0:
-            return stats
-        if c["bad"]:
-            raise ValueError(f"NOT NULL constraint failed: {c['bad']} row(s) with NULL in one of "
-                             f"{spec.not_null}; batch not written")
-        st, n, touched, key_bytes = self._winners(spec, inc, order, latest_per_key)
-        winners = st.df
-        base = self.read(spec).where(F.col(spec.partition_col).isin(touched))
-        # winner keys are the small side whenever the batch is; base rows of untouched keys stay
-        kept = base.join(self._keys_side(winners.select(*spec.key), n, key_bytes), spec.key, "left_anti")
-        self._write_partitions(spec, kept.unionByName(winners), "overwrite")
-        st.drop()
-        stats.rows_written, stats.partitions = n, touched
-        stats.rows_deduped = stats.rows_in - n
+        pointer = self._pointer(spec)
+        st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), latest_per_key,
+                                            null_violation(spec.not_null), [])
+        try:
+            stats.rows_in = c["n"]
+            if stats.rows_in == 0:
+                return stats
+            if c["bad"]:
+                raise ValueError(f"NOT NULL constraint failed: {c['bad']} row(s) with NULL in one of "
+                                 f"{spec.not_null}; batch not written")
+            winners = st.df
+            base = self._touched(spec, self._stored(spec, pointer), winners)
+            late = self._met(spec, base, winners, n, key_bytes).where("__late").select(*spec.key)
+            fresh = winners.join(self._keys_side(late, n, key_bytes), spec.key, "left_anti")
+            kept = base.join(self._keys_side(fresh.select(*spec.key), n, key_bytes), spec.key, "left_anti")
+            merged = kept.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
+            got, stats.partitions = self._publish(spec, pointer, merged.hint("rebalance", spec.partition_col), True,
+                                                  metrics={"new": F.sum("__new")})
+        finally:
+            st.drop()
+        stats.rows_written = got["new"]
+        stats.rows_ignored, stats.rows_deduped = n - got["new"], stats.rows_in - n
         return stats
 
     def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
-        """IGNORE: first arrival per key wins within and across batches; rows with NULL in a
-        NOT NULL column are skipped and counted; new rows get increasing ids."""
+        """IGNORE: first arrival per key wins within the batch and against stored rows (a row that arrived
+        before the stored one takes its place and id); rows with NULL in a NOT NULL column are
+        skipped and counted; new keys get increasing ids."""
         spec = self.spec(spec)
         stats = WriteStats(spec.name)
+        pointer = self._pointer(spec)
         bad = null_violation([c for c in spec.not_null if c != "id"])
-        inc = self._prepare(spec, incoming, order)
-        empty_url = F.count_if(F.col("url") == F.lit("")) if "url" in spec.columns else F.lit(0)
-        c = inc.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"),
-                    empty_url.alias("empty_url")).first()
-        stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
-        if stats.rows_in - stats.rows_null_dropped == 0:
-            return stats
-        st, n, touched, key_bytes = self._winners(spec, inc.where(~bad), order, first_per_key)
-        winners = st.df
-        # existing = stored keys that the batch also has: a map-side semi join of the stored
-        # keys against the (broadcast) batch keys; |existing| <= n, so it may be broadcast too
-        inc_keys = self._keys_side(winners.select(*spec.key), n, key_bytes)
-        existing = self.read(spec).where(F.col(spec.partition_col).isin(touched)) \
-            .select(*spec.key).join(inc_keys, spec.key, "left_semi")
-        new = winners.join(self._keys_side(existing, n, key_bytes), spec.key, "left_anti")
-        new, written = self.assign_ids(spec, new)
-        stats.rows_written = written
-        stats.rows_deduped = stats.rows_in - stats.rows_null_dropped - n
-        stats.rows_ignored = n - written
-        if written:
-            self._write_partitions(spec, new.select(*spec.columns, spec.partition_col), "append")
-        st.drop()
-        stats.partitions = touched
+        empty_url = F.count_if(F.col("url") == F.lit("")) if "url" in spec.columns else F.count_if(F.lit(False))
+        st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), first_per_key, bad,
+                                            [empty_url.alias("empty_url")])
+        decided = None
+        try:
+            stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
+            stats.rows_deduped = stats.rows_in - stats.rows_null_dropped - n
+            if n == 0:
+                return stats
+            winners = st.df
+            base = self._touched(spec, self._stored(spec, pointer), winners)
+            # the stored keys that the batch also has: at most n
+            known = self._met(spec, base, winners, n, key_bytes, F.col("id").alias("__sid"))
+            decided = stage(winners.join(self._keys_side(known, n, key_bytes), spec.key, "left")
+                            .where("__sid is null or __late"), f"{spec.name}-decided",
+                            {"new": F.count_if(F.col("__sid").isNull()), "older": F.count_if(F.col("__sid").isNotNull())})
+            new, older = decided.metrics["new"], decided.metrics["older"]
+            stats.rows_written, stats.rows_ignored = new + older, n - new - older
+            if new + older:
+                rows = self._with_ids(decided.df, pointer["next_id"]).drop("__late")
+                if older:
+                    changed = rows.where("__sid is not null").select(*spec.key)
+                    rows = base.join(self._keys_side(changed, n, key_bytes), spec.key, "left_anti") \
+                        .unionByName(rows.drop("__sid"))
+                _, stats.partitions = self._publish(spec, pointer, rows.hint("rebalance", spec.partition_col), bool(older),
+                                                    next_id=pointer["next_id"] + new)
+        finally:
+            st.drop()
+            if decided is not None:
+                decided.drop()
         return stats
 
     # -- K7: surrogate ids ------------------------------------------------------------
-    def _id_path(self, spec: S.TableSpec) -> str:
-        return f"{self.root}/_meta/{spec.name}_next_id"
-
+    def _with_ids(self, rows: DataFrame, start: int) -> DataFrame:
+        """Ids for staged rows without a stored one: by file and place in the file, from ``start`` on;
+        unique and increasing over batches, without gaps."""
+        fresh = F.col("__sid").isNull()
+        by_file = Window.partitionBy("__file").orderBy("__row")
+        placed = rows.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        counts = sorted((r[0], r[1]) for r in placed.where(fresh).groupBy("__file").count().collect())  # one row per file
+        offsets, at = [], start
+        for file, n in counts:
+            offsets.append((file, at))
+            at += n
+        table = self.spark.createDataFrame(offsets, "__file string, __first long")
+        nth = F.sum(fresh.cast("long")).over(by_file) - 1
+        return placed.join(F.broadcast(table), "__file", "left") \
+            .withColumn("id", F.coalesce("__sid", F.col("__first") + nth)).drop("__file", "__row", "__first")
+
+    # -- small files ------------------------------------------------------------------
     def _read_meta(self, path: str) -> str | None:
         fs, p = self._fs(path)
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            return stream.readUTF()
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def _write_meta(self, path: str, value: str) -> None:
-        """Small metadata file, written beside and then renamed over the old one."""
-        fs, p = self._fs(path)
-        jvm = self.spark.sparkContext._jvm
-        tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-        out = fs.create(tmp, True)
+    def _write_bytes(self, fs, p, value: str) -> None:
+        out = fs.create(p, True)
         try:
-            out.writeUTF(value)
+            out.write(bytearray(value, "utf-8"))
         finally:
             out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(tmp, p)
-
-    def _next_id(self, spec: S.TableSpec) -> int:
-        """Next free id: the high-water mark file, or (if it is missing) max(id) + 1 via a
-        one-column scan."""
-        mark = self._read_meta(self._id_path(spec))
-        if mark is not None:
-            return int(mark)
-        row = self.read(spec).agg(F.max("id").alias("m")).first()
-        return (row["m"] or 0) + 1
-
-    def assign_ids(self, spec: S.TableSpec, new: DataFrame):
-        """Ids continue from the stored high-water mark: unique, increasing, gap-free per batch.
-        Returns (frame with ids, number of rows)."""
-        start = self._next_id(spec)
-        with_ids, n = assign_dense_ids(new, start, with_count=True)
-        if n:
-            self._write_meta(self._id_path(spec), str(start + n))
-        return with_ids, n
+
+    def _write_meta(self, path: str, value: str) -> None:
+        """A table's layout, written once when the table is created."""
+        fs, p = self._fs(path)
+        self._write_bytes(fs, p, value)

@@ -18,21 +18,20 @@ from pyspark.sql import types as T
 #     price   asset timestamp close market_cap volume source
 #     market  timestamp btc_dominance total_market_cap_usd total_volume_usd source
 #     news    asset headline url timestamp votes_positive votes_negative source
-#   articles requested per asset per news call: 20
 #   error text of the column contract: "Missing required columns: [...]"
 # ---------------------------------------------------------------------------
 VALID_ASSETS = ["BTC", "ETH", "BNB", "XRP", "SOL", "DOGE", "ADA", "TRX", "AVAX", "SHIB"]
-VENDOR_IDS = ["bitcoin", "ethereum", "binancecoin", "ripple", "solana",
-              "dogecoin", "cardano", "tron", "avalanche-2", "shiba-inu"]
 PRICE_SOURCE = "coingecko"
 NEWS_SOURCE = "cryptocompare"
 PRICE_REQUIRED_COLUMNS = ["asset", "timestamp", "close", "market_cap", "volume", "source"]
 MARKET_REQUIRED_COLUMNS = ["timestamp", "btc_dominance", "total_market_cap_usd", "total_volume_usd", "source"]
 NEWS_REQUIRED_COLUMNS = ["asset", "headline", "url", "timestamp", "votes_positive", "votes_negative", "source"]
-ARTICLES_PER_ASSET = 20
 MISSING_COLUMNS_MESSAGE = "Missing required columns: {}"
 
-DEFAULT_ASSET_MAP = dict(zip(VALID_ASSETS, VENDOR_IDS))
+DEFAULT_ASSET_MAP = {
+    "BTC": "bitcoin", "ETH": "ethereum", "BNB": "binancecoin", "XRP": "ripple", "SOL": "solana",
+    "DOGE": "dogecoin", "ADA": "cardano", "TRX": "tron", "AVAX": "avalanche-2", "SHIB": "shiba-inu",
+}
 
 # ---------------------------------------------------------------------------
 # Stored tables

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the semantics depend on (UTC hour floors, ANSI casts, partition-scoped overwrite)
+# Settings the semantics depend on (UTC hour floors, ANSI casts)
 # and the ones the execution model wants (AQE re-planning, skew splitting).
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,7 +16,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.checkpoint.compress": "true",
@@ -64,16 +64,16 @@ def apply_settings(spark: SparkSession, settings: dict) -> None:
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Pin the settings the operators' semantics depend on (idempotent, runtime-settable)."""
+    """Set the caller's session zone to UTC, which text without an offset and all hour floors depend
+    on. This is the only session setting that the library changes (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset (local tests) do we create one of our own and
-    register it, so that ``DataFrame.checkpoint()`` and scratch tables land in the same place.
+    Read from the session; only when unset on a local master (tests) do we create one of our own
+    and register it (any other master raises), so that ``DataFrame.checkpoint()`` and scratch tables land in the same place.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
@@ -82,6 +82,8 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             d = None
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

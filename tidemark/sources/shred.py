@@ -128,8 +128,9 @@ def shred_news(classified: DataFrame, source: str = S.NEWS_SOURCE) -> DataFrame:
     URL stays NULL and is dropped by the sink's NOT NULL rule.
     """
     good = classified.where(F.col("reason").isNull())
-    arts = good.select("asset", "ingest_ts", "batch_id", "payload_hash",
-                       F.posexplode(F.col("p.Data")).alias("seq", "art"))
+    # numbered before the articles are taken apart: one number per delivered payload
+    arts = good.withColumn("delivery", F.monotonically_increasing_id()) \
+        .select("asset", "ingest_ts", "batch_id", "payload_hash", "delivery", F.posexplode(F.col("p.Data")).alias("seq", "art"))
     art = F.col("art")
     title = F.try_element_at(art, F.lit("TITLE"))
     url = F.when(F.map_contains_key(art, F.lit("URL")), F.try_element_at(art, F.lit("URL"))) \
@@ -142,5 +143,5 @@ def shred_news(classified: DataFrame, source: str = S.NEWS_SOURCE) -> DataFrame:
         F.lit(0).cast("long").alias("votes_positive"),
         F.lit(0).cast("long").alias("votes_negative"),
         F.lit(source).alias("source"),
-        "batch_id", "ingest_ts", "payload_hash", F.col("seq").cast("long").alias("seq"),
+        "batch_id", "ingest_ts", "payload_hash", F.col("seq").cast("long").alias("seq"), "delivery",
     )

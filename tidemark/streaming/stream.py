@@ -13,37 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.ingest import SourceResult, ingest_source, report_frame
 from tidemark.plans.store import TableStore
-from tidemark.sources.landing import CORRUPT, read_landing
+from tidemark.sources.landing import read_landing
 
 
 def start_ingest_stream(spark: SparkSession, store: TableStore, kind: str, landing_dir: str,
                         checkpoint_location: str, assets=None, available_now: bool = True,
                         processing_time: str | None = None, report_path: str | None = None,
-                        max_files_per_trigger: int | None = None,
-                        dedup_deliveries_within: str | None = None, **options):
+                        max_files_per_trigger: int | None = None, **options):
     """Start a streaming ingest of one source (``price``, ``market`` or ``news``).
 
-    ``dedup_deliveries_within`` (e.g. "2 hours") drops repeated deliveries of the same envelope
-    (asset, batch_id, ingest_ts) within that delay using watermarked streaming state.
-    Every micro-batch's outcome is appended to ``report_path`` (a parquet table) when given.
+    Repeated deliveries are absorbed by the keyed merges, and stored rows carry their arrival order, so
+    the result does not depend on ``max_files_per_trigger``. Every micro-batch's outcome is kept
+    under ``report_path`` (a parquet table by epoch) when given; a replayed one replaces its own.
     A micro-batch whose data is unusable (no usable payload, NOT NULL violation) is recorded and
     skipped, as a batch run would lose it; any other failure stops the query so that a restart
     reprocesses the micro-batch.
     """
     landed = read_landing(spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    if dedup_deliveries_within:
-        # optional pre-filter: the same envelope delivered twice (at-least-once copying) within
-        # the delay is dropped by streaming state; the keyed merges would absorb it anyway, so
-        # this only saves work. Keyed on the envelope identity and, for unparseable lines, their
-        # text, so distinct corrupt lines are never conflated.
-        landed = landed.withWatermark("ingest_ts", dedup_deliveries_within) \
-            .dropDuplicatesWithinWatermark(["asset", "batch_id", "ingest_ts", CORRUPT])
-
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         res: SourceResult = ingest_source(spark, store, kind, batch, assets, **options)
         if report_path:
-            report_frame(spark, [res]).selectExpr(f"cast({int(epoch_id)} as long) as epoch", "*") \
-                .write.mode("append").parquet(report_path)
+            report_frame(spark, [res]).write.mode("overwrite").parquet(f"{report_path}/epoch={int(epoch_id)}")
         if res.failure == "system":
             # not the data's fault: fail the micro-batch so a restart reprocesses it (the merges
             # are idempotent); data failures are recorded and the stream moves on
