@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timefn import nan_to_null
 
-_W = "__winner"
+_W, _IN = "__winner", "__incoming"
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn) -> DataFrame:
@@ -46,22 +46,45 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return _pick(df, keys, order, F.min_by)
 
 
+def last_wins_tagged(df: DataFrame, incoming: Column, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """REPLACE semantics over one frame that holds stored and incoming rows, told apart by the boolean
+    ``incoming``: per key the last incoming row, else the (last) stored one. One exchange."""
+    return _pick(df.withColumn(_IN, incoming), keys, [_IN, *order], F.max_by).drop(_IN)
+
+
+def first_wins_tagged(df: DataFrame, incoming: Column, keys: Sequence[str], order: Sequence[str],
+                      only_new: bool = False) -> DataFrame:
+    """IGNORE semantics over one frame of stored and incoming rows: per key the (first) stored row, else
+    the first incoming one; with ``only_new`` the rows to append. One exchange."""
+    picked = _pick(df.withColumn(_IN, incoming), keys, [_IN, *order], F.min_by)
+    return (picked.where(_IN) if only_new else picked).drop(_IN)
+
+
+def _tagged(base: DataFrame, incoming: DataFrame, cols: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Base and incoming rows under one another with columns ``cols``, a tag and the order columns."""
+    names = [f"__o_{c}" for c in order]
+    stored = [(F.col(c) if c in base.columns else F.lit(None).cast(incoming.schema[c].dataType)).alias(n)
+              for c, n in zip(order, names)]
+    mine = [F.col(c) if c in base.columns else F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in cols]
+    return base.select(*mine, *stored, F.lit(False).alias("__tag")).unionByName(
+        incoming.select(*cols, *[F.col(c).alias(n) for c, n in zip(order, names)], F.lit(True).alias("__tag"))), names
+
+
 def merge_last_wins(base: DataFrame, incoming: DataFrame, keys: Sequence[str],
                     order: Sequence[str]) -> DataFrame:
     """REPLACE semantics: ``base`` minus keys present in ``incoming`` ∪ incoming winners.
 
-    ``base`` is already unique per key; the result is unique per key. Columns follow ``base``.
+    The result is unique per key. Columns follow ``base``.
     """
-    winners = latest_per_key(incoming, keys, order)
-    kept = base.join(winners.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(winners.select(*base.columns))
+    rows, names = _tagged(base, incoming, base.columns, order)
+    return last_wins_tagged(rows, F.col("__tag"), keys, names).select(*base.columns)
 
 
 def merge_first_wins(base_keys: DataFrame, incoming: DataFrame, keys: Sequence[str],
                      order: Sequence[str]) -> DataFrame:
     """IGNORE semantics: incoming first-arrivals whose key is not stored yet (rows to append)."""
-    winners = first_per_key(incoming, keys, order)
-    return winners.join(base_keys.select(*keys), list(keys), "left_anti")
+    rows, names = _tagged(base_keys.select(*keys), incoming, incoming.columns, order)
+    return first_wins_tagged(rows, F.col("__tag"), keys, names, only_new=True).select(*incoming.columns)
 
 
 def normalise_nan(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

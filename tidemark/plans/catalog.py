@@ -21,7 +21,7 @@ from tidemark.operators.harmonise import (
     harmonise_news, harmonise_price, lookback, map_symbols, reject_assets, skip_empty_text,
 )
 from tidemark.operators.merge import (
-    first_per_key, latest_per_key, merge_first_wins, merge_last_wins,
+    first_per_key, first_wins_tagged, last_wins_tagged, latest_per_key,
 )
 from tidemark.operators.window import window_filter
 from tidemark.plans import feeds
@@ -49,8 +49,7 @@ def q_hourly_last_wins(spark, sf):
 
 def _upserted_prices(spark, sf):
     h = harmonise_price(feeds.price_feed(_events(spark, sf), two_batches=True), FEED_ASSETS)
-    base = latest_per_key(h.where(F.col("batch_id") == 0), PRICE_KEY, ARRIVAL)
-    return merge_last_wins(base, h.where(F.col("batch_id") == 1), PRICE_KEY, ARRIVAL)
+    return last_wins_tagged(h, F.col("batch_id") == 1, PRICE_KEY, ARRIVAL)
 
 
 def q_upsert_two_batches(spark, sf):
@@ -69,23 +68,28 @@ def q_market_hourly_upsert(spark, sf):
 
 def _news_table(spark, sf):
     h = harmonise_news(feeds.news_feed(_events(spark, sf), two_batches=True), FEED_ASSETS)
-    key = ["asset", "url"]
-    base = first_per_key(h.where(F.col("batch_id") == 0), key, ARRIVAL)
-    new = merge_first_wins(base.select(*key), h.where(F.col("batch_id") == 1), key, ARRIVAL)
-    return base.unionByName(new)
+    return first_wins_tagged(h, F.col("batch_id") == 1, ["asset", "url"], ARRIVAL)
 
 
 def q_insert_ignore_two_batches(spark, sf):
     return _news_table(spark, sf).select("asset", "url", "seq")
 
 
+# whole texts are compared by digest and length: the text itself never leaves the scan
+TEXT_KEY = ["source", "text_digest", "text_length"]
+
+
+def _text_keyed(spark, sf):
+    return table(spark, sf, "documents").select("source", "doc_id", "n_chars", F.sha2("text", 256).alias("text_digest"),
+                                                F.length("text").alias("text_length"))
+
+
 def q_dedup_keep_first(spark, sf):
-    docs = table(spark, sf, "documents").select("source", "text", "doc_id", "n_chars")
-    return first_per_key(docs, ["source", "text"], ["doc_id"]).select("source", "doc_id", "n_chars")
+    return first_per_key(_text_keyed(spark, sf), TEXT_KEY, ["doc_id"]).select("source", "doc_id", "n_chars")
 
 
 def q_dedup_audit(spark, sf):
-    return audit.dedup_audit(table(spark, sf, "documents"), ["source", "text"])
+    return audit.dedup_audit(_text_keyed(spark, sf), TEXT_KEY)
 
 
 # --- shredding / nested access ------------------------------------------------------------
