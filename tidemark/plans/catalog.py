@@ -7,7 +7,6 @@ Timestamps in the driver tables are wall-clock UTC (``timestamp_ntz``) and stay
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

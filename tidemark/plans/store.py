@@ -354,7 +354,8 @@ class TableStore:
             winners = st.df
             base = self._touched(spec, self._stored(spec, pointer), winners)
             late = self._met(spec, base, winners, n, key_bytes).where("__late").select(*spec.key)
-            fresh = winners.join(self._keys_side(late, n, key_bytes), spec.key, "left_anti")
+            # one pass over the stored keys settles the usual case, that nothing stored arrived later
+            fresh = winners if late.isEmpty() else winners.join(self._keys_side(late, n, key_bytes), spec.key, "left_anti")
             kept = base.join(self._keys_side(fresh.select(*spec.key), n, key_bytes), spec.key, "left_anti")
             merged = kept.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
             got, stats.partitions = self._publish(spec, pointer, merged.hint("rebalance", spec.partition_col), True,
