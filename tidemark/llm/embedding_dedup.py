@@ -154,8 +154,9 @@ def blocks_of(entries: DataFrame, axes: np.ndarray, eps: float, block: int) -> D
         for b in batches:
             at = unit(_matrix(b.column(1))) @ axes if b.num_rows else np.zeros((0, dims))
             cells = np.floor(at / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), *(pa.array(cells[:, k]) for k in range(dims))],
-                                             ["label", "vec", "copies", "low_id", *(f"c{k}" for k in range(dims))])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k) for k in range(4)), *(pa.array(cells[:, k]) for k in range(dims))],
+                ["label", "vec", "copies", "low_id", *(f"c{k}" for k in range(dims))])
 
     cells = [f"c{k}" for k in range(dims)]
     order = ["label", *cells, F.xxhash64("vec")]
@@ -174,7 +175,8 @@ def blocks_of(entries: DataFrame, axes: np.ndarray, eps: float, block: int) -> D
             row = pa.RecordBatch.from_arrays(
                 [pa.array([task * (1 << 20) + k]), pa.array([t["label"][0].as_py()]), pa.array([len(m)]),
                  pa.array([at.min(0).tolist()]), pa.array([at.max(0).tolist()]), pa.array([m.tobytes()], pa.binary()),
-                 pa.array([t["copies"].to_numpy().astype("<i8").tobytes()], pa.binary()), pa.array([t["low_id"].to_pylist()], pa.list_(pa.int64()))],
+                 pa.array([t["copies"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+                 pa.array([t["low_id"].to_pylist()], pa.list_(pa.int64()))],
                 ["blk", "label", "n", "lo", "hi", "data", "copies", "low_ids"])
             k, held, size = k + 1, [], 0
             return row
@@ -198,7 +200,8 @@ def blocks_of(entries: DataFrame, axes: np.ndarray, eps: float, block: int) -> D
 
     return (placed.repartitionByRange(n, *order).sortWithinPartitions(*order)
             .select("label", "vec", "copies", "low_id")
-            .mapInArrow(cut, "blk long, label string, n long, lo array<double>, hi array<double>, data binary, copies binary, low_ids array<long>"))
+            .mapInArrow(cut, "blk long, label string, n long, lo array<double>, hi array<double>, data binary, "
+                             "copies binary, low_ids array<long>"))
 
 
 def block_pairs(blocks: DataFrame, eps: float, dims: int) -> DataFrame:
@@ -210,7 +213,8 @@ def block_pairs(blocks: DataFrame, eps: float, dims: int) -> DataFrame:
     right = thin.withColumn("cell", F.explode(F.sequence(cell("lo", 0.0), cell("hi", 0.0))))
     apart = F.lit(False)
     for k in range(1, dims + 1):
-        apart = apart | (F.element_at("x.lo", k) - F.element_at("y.hi", k) > eps) | (F.element_at("y.lo", k) - F.element_at("x.hi", k) > eps)
+        apart = (apart | (F.element_at("x.lo", k) - F.element_at("y.hi", k) > eps)
+                 | (F.element_at("y.lo", k) - F.element_at("x.hi", k) > eps))
     return (left.alias("x").join(right.alias("y"), ["label", "cell"]).where((F.col("x.blk") <= F.col("y.blk")) & ~apart)
             .select(F.col("x.blk").alias("a"), F.col("y.blk").alias("b")).distinct())
 
@@ -273,8 +277,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     named = (nodes.join(counts, "node", "left").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
     best = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    labelled = staged(named.join(best, "root").select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                                                      "component_id"), "ego-result")
+    n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1  # of other entries, and of copies of its own
+    labelled = staged(named.join(best, "root").select("label", "vec", n_links.alias("n_links"), "component_id"), "ego-result")
     return (rows.join(labelled, ["label", "vec"], "left")
             .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))

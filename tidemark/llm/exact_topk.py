@@ -100,7 +100,8 @@ def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
 def _scan(vectors: pa.Table, queries: pa.Table, cells: Cells, k: int) -> pa.Table:
     """One tile: per query the entries whose upper bound reaches the k-th largest lower bound."""
     if not vectors.num_rows or not queries.num_rows:
-        return pa.table({c: pa.array([], t) for c, t in (("query", pa.int64()), ("entry", pa.int64()), ("low", pa.float64()), ("high", pa.float64()))})
+        empty = (("query", pa.int64()), ("entry", pa.int64()), ("low", pa.float64()), ("high", pa.float64()))
+        return pa.table({c: pa.array([], t) for c, t in empty})
     approx = np.frombuffer(b"".join(vectors["cells"].to_pylist()), np.uint8).reshape(vectors.num_rows, -1)
     low, high = bounds(_matrix(queries["vec"]), *cells.box(approx))
     ids = queries["id"].to_numpy()
@@ -119,8 +120,8 @@ def _exact(batches):
     """Exact inner products of (query, entry, ids, qvec, vec) rows."""
     for b in batches:
         q, v = _matrix(b.column(3)), _matrix(b.column(4))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(np.einsum("ij,ij->i", q, v) if b.num_rows else np.zeros(0))],
-                                         ["query", "entry", "ids", "score"])
+        score = np.einsum("ij,ij->i", q, v) if b.num_rows else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(score)], ["query", "entry", "ids", "score"])
 
 
 def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -141,7 +142,8 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([r.tobytes() for r in got], pa.binary())],
                                              ["entry", "ids", "vec", "cells"])
 
-    table = staged(entries.select("entry", "ids", "vec").mapInArrow(approximate, "entry long, ids array<long>, vec array<double>, cells binary"), "va-file")
+    table = staged(entries.select("entry", "ids", "vec")
+                   .mapInArrow(approximate, "entry long, ids array<long>, vec array<double>, cells binary"), "va-file")
     asked = staged(prepared(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec")), "va-queries")
     strips, blocks = parts_for(table.count(), strip), parts_for(asked.count(), block)
     left = (table.select("entry", "cells", F.size("ids").alias("copies"), F.element_at("ids", 1).alias("first"),

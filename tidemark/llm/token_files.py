@@ -21,7 +21,8 @@ Encoding works white-space word by white-space word with a cache per worker: the
 pattern never crosses white space, so the ids of a text are those of its words.
 
 Defined cases: null text is empty and has the end id alone. Rows of equal id are ordered by the digest
-of their text; null ids come first. An empty table writes no files and reads back no rows. Extra
+of their text; null ids come first. A special token's string within a text is matched as the
+library does by default. An empty table writes no files and reads back no rows. Extra
 columns are ignored.
 """
 
