@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, simhash_dedup, source_mixing, suffix_dedup, toxicity
-from tidemark.llm.common import discard, staged
+from tidemark.llm.common import discard, slices, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -41,7 +41,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Texts without the bytes covered by a 50-byte string of a smaller id; characters cut in half at the
     edge of a removed passage go, too."""
     def decode(batches):
-        for b in batches:
+        for b in slices(batches):
             text = [(x or b"").decode("utf-8", "ignore") for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), b.column(2), b.column(3)],
                                              ["doc_id", "text", "lang", "source"])

@@ -27,7 +27,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-CACHE = 500_000
+from tidemark.llm.common import slices
+
+CACHE = 400_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -143,7 +145,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     """``id`` and ``ids`` (array of token ids) of every row."""
     def run(batches):
         c = codec(vocabulary)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([c.encode(t or "") for t in b.column(1).to_pylist()], pa.list_(pa.int32()))],
                 ["id", "ids"])
@@ -156,7 +158,7 @@ def decode(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``id`` and ``data`` (bytes) of every row of ``id, ids``; a null list decodes to no bytes."""
     def run(batches):
         c = codec(vocabulary)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([c.decode(x or []) for x in b.column(1).to_pylist()], pa.binary())], ["id", "data"])
 
@@ -169,7 +171,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         c = codec(vocabulary)
         name = {i: str(i) for i in c.bytes_of}.__getitem__
-        for b in batches:
+        for b in slices(batches):
             counts, ids_sha, data_sha = [], [], []
             for t in b.column(1).to_pylist():
                 ids = c.encode(t or "")

@@ -47,6 +47,14 @@ def discard(df: DataFrame) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def slices(batches, rows: int = 256):
+    """The record batches in slices of a few rows: what a task holds of a batch as Python objects stays
+    small, however long the texts of a whole batch are."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def parts_for(n: float, per_part: float, least: int = 1) -> int:
     """How many partitions (or shards) of about ``per_part`` units hold ``n`` units."""
     return max(least, math.ceil((n or 0) / per_part))

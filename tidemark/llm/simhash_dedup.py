@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, staged
+from tidemark.llm.common import components, slices, staged
 
 SEED = 42
 PIVOTS = 24
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, row, fp)``: the fingerprint of every row as a signed 64-bit integer; ``row`` is Spark's
     xxhash64 of the text and tells rows of one id apart."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], ["id", "row", "fp"])
 

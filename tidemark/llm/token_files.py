@@ -41,12 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import parts_for, staged
+from tidemark.llm.common import parts_for, slices, staged
 from tidemark.session import scratch_path
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
-CACHE = 500_000
+CACHE = 400_000
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 LEVEL = 3
@@ -195,9 +195,9 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 store.create_dir(folder, recursive=True)
                 sink = store.open_output_stream(temp)
                 writer = FrameWriter(sink)
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for k in range(0, len(ids), 256):
-                for i, data in zip(ids[k:k + 256], encoder(vocabulary).encode([t or "" for t in texts[k:k + 256]])):
+            for part_ in slices([b]):
+                texts = [t or "" for t in part_.column(1).to_pylist()]
+                for i, data in zip(part_.column(0).to_pylist(), encoder(vocabulary).encode(texts)):
                     writer.add(i, data + end)
         if writer is not None:
             writer.close()

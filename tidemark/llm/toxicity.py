@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, staged
+from tidemark.llm.common import discard, slices, staged
 from tidemark.llm.wordhash import Vocabulary, known_features
 
 POSITIVES = 3000
@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     sample = staged(text.join(F.broadcast(chosen), "id").select("text", "kind"), "pu-sample")
 
     def count(batches):
-        for b in batches:
+        for b in slices(batches):
             for _, _, _, feature in known_features(_encoded(b.column(0))):
                 h, k = np.unique(feature, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k)], ["h", "k"])
@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     vocabulary = Vocabulary(np.array([r.h for r in frequent], np.int64))
 
     def presence(batches):
-        for b in batches:
+        for b in slices(batches):
             found = _per_document(_encoded(b.column(0)), vocabulary)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([x.tobytes() for x in found], pa.binary())],
                                              ["kind", "idx"])
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray, float], id_col:
 
     def run(batches):
         vocabulary, w, bias = shared.value
-        for b in batches:
+        for b in slices(batches):
             texts = _encoded(b.column(place))
             total = np.full(len(texts), bias)
             for a, z, doc, feature in known_features(texts, vocabulary):
