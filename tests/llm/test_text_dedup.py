@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -212,3 +213,48 @@ def test_substring_dedup_equals_brute_force(spark):
     removed = {i: n for i, _, n, _ in got}
     assert removed["1"] == 0 and removed["20"] > 0 and removed["21"] == 0
     assert substring_dedup.substring_dedup(table(spark, [])).count() == 0
+
+
+def brute_all_runs(rows, sentences, words):
+    """Every run of every text as a tuple of its sentences; no code of the operator."""
+    last, seen, parsed = 1 << 63, {}, []
+    for i, t in rows:
+        pieces = re.findall(r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+", t or "")
+        bare = tuple(p.strip(" \t\r\n") for p in pieces)
+        size = [len(s.split(" ")) if s else 0 for s in bare]
+        spans = [(a, z) for a in range(len(bare)) for z in range(a + sentences, len(bare) + 1) if sum(size[a:z]) >= words]
+        parsed.append((last if i is None else i, pieces, bare, spans))
+        for a, z in spans:
+            seen[bare[a:z]] = min(seen.get(bare[a:z], last), parsed[-1][0])
+    out = []
+    for (i, t), (key, pieces, bare, spans) in zip(rows, parsed):
+        gone, own = set(), set()
+        for a, z in spans:
+            if seen[bare[a:z]] < key or bare[a:z] in own:
+                gone |= set(range(a, z))
+            own.add(bare[a:z])
+        out.append((str(i), len(pieces), len(gone), None if t is None else "".join(p for k, p in enumerate(pieces) if k not in gone)))
+    return sorted(out, key=str)
+
+
+def sentence_rows(rng):
+    """Texts of long and short sentences with whole, cut and moved repeats."""
+    sentence = lambda: prose(rng, rng.choice([1, 2, 3, 9, 14, 30])) + rng.choice([".", "!", "?\n", ". "])
+    passages = ["".join(sentence() for _ in range(n)) for n in (2, 3, 5, 9)]
+    rows = [(None, passages[3]), (None, passages[3]), (2, None), (3, ""), (4, passages[3]), (4, passages[3]), (5, "One."), (6, "One."),
+            (7, "Same. Same."), (8, "Same. Same. Same."), (9, passages[2] * 4)]
+    return rows + [(20 + k // 2, "".join(sentence() for _ in range(rng.randint(0, 3))) + rng.choice(passages)
+                    + "".join(sentence() for _ in range(rng.randint(0, 2)))) for k in range(40)]
+
+
+def removed_sentences(frame, **options):
+    return sorted(((str(r.id), r.n_sentences, r.n_removed, r.text)
+                   for r in substring_dedup.substring_dedup(frame, **options).collect()), key=str)
+
+
+def test_all_runs_equal_brute_force(spark):
+    tail = prose(random.Random(8), 30) + ". Two words. Last words."
+    rows = [(1, tail), (2, tail)]
+    assert [r[2] for r in removed_sentences(table(spark, rows), every=True)] == [0, 3]
+    rows += [(None if i is None else i + 10, t) for i, t in sentence_rows(random.Random(9))]
+    assert removed_sentences(table(spark, rows), every=True) == brute_all_runs(rows, 2, 24)

@@ -2,7 +2,9 @@
 
 A text is cut into sentences. At every sentence a run starts: the shortest run of at least
 ``SENTENCES`` consecutive sentences with at least ``WORDS`` words (none, if the text ends before).
-Every run is hashed (128 bits) and the hashes are joined over the whole table. A run that also occurs
+With ``every``, the shortest run that ends at every sentence is listed too, and a sentence is covered
+if any run, however long, covers it; without, the tail of a repeat can stay (`op1_substring_dedup`).
+Every listed run is hashed (128 bits) and the hashes are joined over the whole table. A run that also occurs
 in a row with a smaller id, or earlier in its own text, is a repeat; sentences covered by any repeat
 are removed, repeats being judged on the input.
 
@@ -48,22 +50,44 @@ def runs(text: str, sentences: int = SENTENCES, words: int = WORDS) -> tuple[lis
     return pieces, length, [digest("\x1f".join(bare[k:k + m]).encode()) for k, m in enumerate(length) if m]
 
 
-def own_repeats(length: list[int], hashes: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes]]]:
+def all_runs(text: str, sentences: int = SENTENCES, words: int = WORDS) -> tuple[list[str], list[tuple[int, int, bytes]]]:
+    """(sentences with their white space, (position, length, hash) of the shortest run that starts at each
+    sentence and of the shortest one that ends at each). They cover what all runs cover: a sentence
+    of a run that the shortest run from its start does not reach is the end of another one inside it."""
+    pieces = _sentences(text)
+    bare = [p.strip(" \t\r\n") for p in pieces]
+    upto = np.zeros(len(bare) + 1, np.int64)
+    np.cumsum([s.count(" ") + 1 if s else 0 for s in bare], out=upto[1:])
+    n = len(bare)
+    at = np.arange(n + 1)
+    end = np.maximum(np.searchsorted(upto, upto + words), at + sentences)  # first end with enough words
+    start = np.minimum(np.searchsorted(upto, upto - words, side="right") - 1, at - sentences)  # last such start
+    spans = {*zip(at[end <= n].tolist(), end[end <= n].tolist()), *zip(start[start >= 0].tolist(), at[start >= 0].tolist())}
+    digest = xxhash.xxh3_128_digest
+    return pieces, [(a, z - a, digest("\x1f".join(bare[a:z]).encode())) for a, z in sorted(spans)]
+
+
+def listed(text: str, sentences: int, words: int, every: bool) -> tuple[list[str], list[tuple[int, int, bytes]]]:
+    """(sentences with their white space, (position, length, hash) of the runs that are compared)."""
+    if every:
+        return all_runs(text, sentences, words)
+    pieces, length, hashes = runs(text, sentences, words)
+    return pieces, [(k, m, x) for (k, m), x in zip(((k, m) for k, m in enumerate(length) if m), hashes)]
+
+
+def own_repeats(spans: list[tuple[int, int, bytes]]) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes]]]:
     """Runs of one text: (position, length) of those that occur earlier in it, and the first ones."""
     seen, again, first = set(), [], []
-    h = iter(hashes)
-    for k, m in enumerate(length):
-        if m:
-            x = next(h)
-            if x in seen:
-                again.append((k, m))
-            else:
-                seen.add(x)
-                first.append((k, m, x))
+    for k, m, x in spans:
+        if x in seen:
+            again.append((k, m))
+        else:
+            seen.add(x)
+            first.append((k, m, x))
     return again, first
 
 
-def span_rows(docs: DataFrame, sentences: int, words: int) -> DataFrame:
+def span_rows(docs: DataFrame, sentences: int, words: int, every: bool = False) -> DataFrame:
     """``key, row, pos, len, h1, h2`` of the first occurrence of every run within its text."""
     def run(batches):
         for b in batches:
@@ -72,8 +96,7 @@ def span_rows(docs: DataFrame, sentences: int, words: int) -> DataFrame:
                 out = [[], [], [], [], []]
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if text:
-                        _, length, hashes = runs(text, sentences, words)
-                        _, first = own_repeats(length, hashes)
+                        _, first = own_repeats(listed(text, sentences, words, every)[1])
                         if first:
                             out[0] += [key] * len(first)
                             row = xxhash.xxh64_intdigest(text.encode(), 42)  # as Spark's xxhash64
@@ -89,11 +112,12 @@ def span_rows(docs: DataFrame, sentences: int, words: int) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,
-                    words: int = WORDS) -> DataFrame:
-    """One row per row of ``docs``: ``id, n_sentences, n_removed, text`` (what is kept; null stays null)."""
+                    words: int = WORDS, every: bool = False) -> DataFrame:
+    """One row per row of ``docs``: ``id, n_sentences, n_removed, text`` (what is kept; null stays null).
+    ``every``: judge all runs, not only the shortest one from each start."""
     base = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     base = base.withColumn("key", F.coalesce("id", F.lit(LAST)))
-    spans = span_rows(base, sentences, words)
+    spans = span_rows(base, sentences, words, every)
     shared = (spans.groupBy("h1", "h2").agg(F.min("key").alias("low"), F.max("key").alias("high"))
               .where("low < high").select("h1", "h2", "low"))
     repeats = (spans.join(shared, ["h1", "h2"]).where("key > low")
@@ -105,8 +129,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for b in batches:
             counts, removed, kept = [], [], []
             for text, pos, size in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
-                pieces, length, hashes = runs(text or "", sentences, words)
-                spans = own_repeats(length, hashes)[0] + list(zip(pos or [], size or []))
+                pieces, found = listed(text or "", sentences, words, every)
+                spans = own_repeats(found)[0] + list(zip(pos or [], size or []))
                 gone = np.zeros(len(pieces) + 1, np.int64)
                 for k, m in spans:
                     gone[k] += 1
@@ -126,6 +150,11 @@ def query(spark, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def all_runs_query(spark, sf_dir: str) -> DataFrame:
+    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), every=True)
+            .withColumnRenamed("id", "doc_id"))
+
+
 SQL = f"""
 WITH s AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
@@ -147,3 +176,16 @@ m AS (SELECT c.*, g.pos IS NOT NULL AS removed FROM c LEFT JOIN gone g ON g.doc_
 SELECT d.doc_id, count(m.pos) AS n_sentences, coalesce(sum(m.removed::INT), 0)::BIGINT AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(CASE WHEN NOT m.removed THEN m.piece END, '' ORDER BY m.pos), '') END AS text
 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.doc_id, d.text"""
+
+
+
+def _with_ends(ends: str) -> str:
+    """`SQL` with another list of runs."""
+    return SQL[:SQL.index("ends AS (")] + f"ends AS ({ends}),\n" + SQL[SQL.index("r AS (SELECT e."):]
+
+
+# Every pair of ends, longest runs included: nothing of the shortest-run rule is taken over.
+ALL_RUNS_SQL = _with_ends(f"""
+  SELECT a.doc_id, a.pos, b.pos AS last
+  FROM (SELECT *, lag(upto, 1, 0) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM c) a
+  JOIN c b ON b.doc_id = a.doc_id AND b.pos >= a.pos + {SENTENCES - 1} AND b.upto >= a.before + {WORDS}""")
