@@ -222,7 +222,7 @@ def brute_all_runs(rows, sentences, words):
         pieces = re.findall(r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+", t or "")
         bare = tuple(p.strip(" \t\r\n") for p in pieces)
         size = [len(s.split(" ")) if s else 0 for s in bare]
-        spans = [(a, z) for a in range(len(bare)) for z in range(a + sentences, len(bare) + 1) if sum(size[a:z]) >= words]
+        spans = [(a, z) for a in range(len(bare)) for z in range(a + (sentences if words else min(sentences, len(bare))), len(bare) + 1) if sum(size[a:z]) >= words]
         parsed.append((last if i is None else i, pieces, bare, spans))
         for a, z in spans:
             seen[bare[a:z]] = min(seen.get(bare[a:z], last), parsed[-1][0])
@@ -258,3 +258,12 @@ def test_all_runs_equal_brute_force(spark):
     assert [r[2] for r in removed_sentences(table(spark, rows), every=True)] == [0, 3]
     rows += [(None if i is None else i + 10, t) for i, t in sentence_rows(random.Random(9))]
     assert removed_sentences(table(spark, rows), every=True) == brute_all_runs(rows, 2, 24)
+
+
+def test_runs_by_sentences_alone_equal_brute_force(spark):
+    rows = [(1, "Few words. Here."), (2, "Few words. Here."), (3, "Alone"), (4, "Alone."), (5, "Alone.\n"), (6, "Not. Alone.")]
+    assert [r[2] for r in removed_sentences(table(spark, rows), words=0, every=True)] == [0, 2, 0, 0, 1, 0]
+    rows += [(None if i is None else i + 10, t) for i, t in sentence_rows(random.Random(10))]
+    for sentences in (2, 3):
+        got = removed_sentences(table(spark, rows), sentences=sentences, words=0, every=True)
+        assert got == brute_all_runs(rows, sentences, 0)

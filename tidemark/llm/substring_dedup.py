@@ -4,6 +4,7 @@ A text is cut into sentences. At every sentence a run starts: the shortest run o
 ``SENTENCES`` consecutive sentences with at least ``WORDS`` words (none, if the text ends before).
 With ``every``, the shortest run that ends at every sentence is listed too, and a sentence is covered
 if any run, however long, covers it; without, the tail of a repeat can stay (`op1_substring_dedup`).
+With ``words=0`` a run is defined by its sentences alone (`op1_substring_dedup_by_sentences`).
 Every listed run is hashed (128 bits) and the hashes are joined over the whole table. A run that also occurs
 in a row with a smaller id, or earlier in its own text, is a repeat; sentences covered by any repeat
 are removed, repeats being judged on the input.
@@ -53,12 +54,15 @@ def runs(text: str, sentences: int = SENTENCES, words: int = WORDS) -> tuple[lis
 def all_runs(text: str, sentences: int = SENTENCES, words: int = WORDS) -> tuple[list[str], list[tuple[int, int, bytes]]]:
     """(sentences with their white space, (position, length, hash) of the shortest run that starts at each
     sentence and of the shortest one that ends at each). They cover what all runs cover: a sentence
-    of a run that the shortest run from its start does not reach is the end of another one inside it."""
+    of a run that the shortest run from its start does not reach is the end of another one inside it.
+    Without a minimum of words a text of fewer sentences is one run."""
     pieces = _sentences(text)
     bare = [p.strip(" \t\r\n") for p in pieces]
     upto = np.zeros(len(bare) + 1, np.int64)
     np.cumsum([s.count(" ") + 1 if s else 0 for s in bare], out=upto[1:])
     n = len(bare)
+    if not words:
+        sentences = min(sentences, n) or 1
     at = np.arange(n + 1)
     end = np.maximum(np.searchsorted(upto, upto + words), at + sentences)  # first end with enough words
     start = np.minimum(np.searchsorted(upto, upto - words, side="right") - 1, at - sentences)  # last such start
@@ -155,6 +159,11 @@ def all_runs_query(spark, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def by_sentences_query(spark, sf_dir: str) -> DataFrame:
+    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=0, every=True)
+            .withColumnRenamed("id", "doc_id"))
+
+
 SQL = f"""
 WITH s AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
@@ -189,3 +198,8 @@ ALL_RUNS_SQL = _with_ends(f"""
   SELECT a.doc_id, a.pos, b.pos AS last
   FROM (SELECT *, lag(upto, 1, 0) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM c) a
   JOIN c b ON b.doc_id = a.doc_id AND b.pos >= a.pos + {SENTENCES - 1} AND b.upto >= a.before + {WORDS}""")
+
+BY_SENTENCES_SQL = _with_ends(f"""
+  SELECT a.doc_id, a.pos, b.pos AS last
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM c) a
+  JOIN c b ON b.doc_id = a.doc_id AND b.pos >= a.pos + least({SENTENCES}, a.n) - 1""")
