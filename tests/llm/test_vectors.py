@@ -37,6 +37,37 @@ def test_topk_equals_brute_force(spark, options):
     assert got == brute_topk(rows, queries, 5)
 
 
+@pytest.mark.parametrize("options", [{}, {"bits": 2, "strip": 20, "block": 3, "wave": 2}])
+def test_topk_of_repeated_rows_and_shared_vectors(spark, options):
+    rng = np.random.default_rng(4)
+    fine = [(k, rng.integers(-30, 30, 3).astype(float).tolist(), 0) for k in range(60)]
+    rows = [*fine, *fine[:20], *fine[:20:2] * 6]  # queries given twice and eight times
+    rows += [(10, [38.0, 38.0, 38.0], 0)] * 7 + [(100 + k, [38.0, 38.0, 38.0], 0) for k in range(4)]
+    rows += [(20, [39.0, -39.0, 39.0], 0)] * 2 + [(k, fine[30][1], 0) for k in (31, 31, 40, 200, 201)]
+    frame = table(spark, rows)
+    asked = {i: min(v for j, v, _ in rows if j == i) for i in range(0, 60, 10)}
+    got = sorted(tuple(r) for r in exact_topk.exact_topk(frame, frame.where("vec_id < 60 and vec_id % 10 = 0"), 5, **options).collect())
+    want = []
+    for q, v in asked.items():
+        best = sorted((-float(np.dot(v, w)), i) for i, w, _ in rows if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+
+
+def test_topk_bound_is_not_given_by_the_querys_own_repeated_row(spark):
+    rows = [(1, [3.0, 0.0], 0)] * 2 + [(k, [4.0 - k / 2, 1.0], 0) for k in range(2, 8)]
+    frame = table(spark, rows)
+    got = [tuple(r) for r in exact_topk.exact_topk(frame, frame.where("vec_id = 1"), 5).orderBy("rank").collect()]
+    assert got == [(1, k - 1, k, 3.0 * (4.0 - k / 2)) for k in range(2, 7)]
+
+
+def test_topk_keeps_other_rows_of_a_vector_the_query_repeats(spark):
+    rows = [(1, [5.0, 5.0], 0)] * 7 + [(k, [5.0, 5.0], 0) for k in (2, 3, 3)] + [(k, [1.0, k / 10], 0) for k in range(4, 9)]
+    frame = table(spark, rows)
+    got = [tuple(r) for r in exact_topk.exact_topk(frame, frame.where("vec_id = 1"), 5).orderBy("rank").collect()]
+    assert got == [(1, 1, 2, 50.0), (1, 2, 3, 50.0), (1, 3, 3, 50.0), (1, 4, 8, 9.0), (1, 5, 7, 8.5)]
+
+
 def test_topk_of_few_rows_and_none(spark):
     two = table(spark, [(1, [1.0, 2.0, 3.0], 0), (2, [1.0, 2.0, 3.0], 0)])
     assert sorted(tuple(r) for r in exact_topk.exact_topk(two, two).collect()) == [(1, 1, 2, 14.0), (2, 1, 1, 14.0)]

@@ -11,8 +11,9 @@ inner product with every approximated vector.
    promising per query fixes a k-th exact score; a second wave reads the rest of those whose bound
    still reaches it. What is left out is below the k-th exact score for certain.
 
-Equal vectors are one entry with their ``k + 1`` smallest ids (the best k of any list, without the
-query itself), so a vector that a third of all rows share is scored once. Tiles have at most
+Equal vectors are one entry with their ``k + 1`` smallest distinct ids (the best k of any list, without
+the query itself), each as often as it has rows, up to k, so a vector that a third of all rows share is
+scored once. An entry that holds the query's id alone bounds nothing for that query. Tiles have at most
 ``QUERY_BLOCK`` queries and about ``STRIP`` vectors; both sides are dealt by hash and replicated only
 across the other's blocks. Nothing is broadcast but the cell edges (two numbers per component).
 
@@ -129,9 +130,10 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     """``query, rank, id, score``: the ``k`` rows of ``vectors`` with the largest inner product for every
     row of ``queries`` (exact while products and sums stay below 2**53 for integer vectors)."""
     rows = prepared(vectors, id_col, vec_col)
+    each = rows.groupBy("vec", "id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
     copy = Window.partitionBy("vec").orderBy("id")
-    few = rows.withColumn("nth", F.row_number().over(copy)).where(F.col("nth") <= k + 1)  # limited before the shuffle, too
-    entries = (few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    few = each.withColumn("nth", F.row_number().over(copy)).where(F.col("nth") <= k + 1)  # limited before the shuffle, too
+    entries = (few.groupBy("vec").agg(F.sort_array(F.flatten(F.collect_list(F.expr("array_repeat(id, n)")))).alias("ids"))
                .withColumn("entry", F.xxhash64("vec")))
     low, high = cell_edges(rows)
     shared = vectors.sparkSession.sparkContext.broadcast(Cells(low, high, bits) if len(low) else None)
@@ -146,7 +148,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
                    .mapInArrow(approximate, "entry long, ids array<long>, vec array<double>, cells binary"), "va-file")
     asked = staged(prepared(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec")), "va-queries")
     strips, blocks = parts_for(table.count(), strip), parts_for(asked.count(), block)
-    left = (table.select("entry", "cells", F.size("ids").alias("copies"), F.element_at("ids", 1).alias("first"),
+    left = (table.select("entry", "cells", F.size(F.array_distinct("ids")).alias("copies"), F.element_at("ids", 1).alias("first"),
                          F.pmod(F.xxhash64("entry"), F.lit(strips)).cast("int").alias("strip"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     right = (asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
