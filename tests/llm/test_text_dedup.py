@@ -267,3 +267,12 @@ def test_runs_by_sentences_alone_equal_brute_force(spark):
     for sentences in (2, 3):
         got = removed_sentences(table(spark, rows), sentences=sentences, words=0, every=True)
         assert got == brute_all_runs(rows, sentences, 0)
+
+
+def test_repeat_lists_are_bounded_by_the_text(spark):
+    text = " ".join(f"Word number {k} of the text." for k in range(30))
+    rows = [(1, text)] + [(None, text)] * 50
+    base = spark.createDataFrame(rows, "key long, text string").fillna({"key": substring_dedup.LAST})
+    lists = substring_dedup.repeat_lists(substring_dedup.span_rows(base, 2, 24)).collect()
+    assert len(lists) == 2 and all(len(r.repeats) <= 30 for r in lists)
+    assert [r[2] for r in removed_sentences(table(spark, rows))] == [0] + [30] * 50

@@ -12,7 +12,7 @@ are removed, repeats being judged on the input.
 Scale. A row of the join is a run's hash with id, position and length: no text. The smallest id per
 hash is a grouped minimum, combined before the shuffle; hashes that occur under one id only are
 dropped; the join back is a plain equi-join whose hot keys Spark may split. Runs of one text are
-listed per text only. Texts move once, to meet their own list of repeats.
+listed per text only, each once however many rows are equal in id and text. Texts move once, to meet their own list of repeats.
 
 Defined cases: null and empty texts have no sentences and stay as they are. Rows of equal id do not
 remove each other's sentences (neither is smaller). A null id counts as larger than all others. White
@@ -115,6 +115,12 @@ def span_rows(docs: DataFrame, sentences: int, words: int, every: bool = False)
     return docs.select("key", "text").mapInArrow(run, "key long, row long, pos int, len int, h1 long, h2 long")
 
 
+def repeat_lists(spans: DataFrame) -> DataFrame:
+    """``key, row, repeats``: the distinct runs of every text, combined before the shuffle, so that rows
+    equal in id and text list no more than one of them."""
+    return spans.groupBy("key", "row").agg(F.collect_set(F.struct("pos", "len")).alias("repeats"))
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES,
                     words: int = WORDS, every: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id, n_sentences, n_removed, text`` (what is kept; null stays null).
@@ -124,8 +130,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = span_rows(base, sentences, words, every)
     shared = (spans.groupBy("h1", "h2").agg(F.min("key").alias("low"), F.max("key").alias("high"))
               .where("low < high").select("h1", "h2", "low"))
-    repeats = (spans.join(shared, ["h1", "h2"]).where("key > low")
-               .groupBy("key", "row").agg(F.collect_list(F.struct("pos", "len")).alias("repeats")))
+    repeats = repeat_lists(spans.join(shared, ["h1", "h2"]).where("key > low"))
     marked = (base.withColumn("row", F.xxhash64("text")).join(repeats, ["key", "row"], "left")
               .select("id", "text", "repeats.pos", "repeats.len"))
 
