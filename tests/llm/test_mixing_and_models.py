@@ -111,6 +111,17 @@ def test_labels_of_held_out_rows_are_not_used(spark):
     assert (one[0].features == two[0].features).all() and np.allclose(one[1], two[1]) and one[2] == two[2]
 
 
+def test_a_repeated_id_is_one_row_of_the_fits(spark):
+    rows, labels = labelled(spark, 300)
+    again = [next(r for r in rows if r[0] % 8 == 0 and r[0] and not spark.range(r[0], r[0] + 1).where(toxicity.held_out_rule(F.col("id"))).count())] * 400
+    labels = labels.withColumn("quality", (F.col("doc_id") % 3 == 0).cast("int"))
+    once, often = documents(spark, rows), documents(spark, rows + again)
+    one, two = (toxicity.train(x, labels) for x in (once, often))
+    assert (one[0].features == two[0].features).all() and np.allclose(one[1], two[1]) and np.isclose(one[2], two[2])
+    one, two = (quality.train(x, labels) for x in (once, often))
+    assert one.rate == two.rate and np.allclose(one.w, two.w)
+
+
 def test_toxicity_without_labels_or_rows(spark):
     rows, labels = labelled(spark, 20)
     frame = documents(spark, rows)

@@ -55,6 +55,13 @@ def slices(batches, rows: int = 256):
             yield b.slice(k, rows)
 
 
+def one_row_each(df: DataFrame, *by: str) -> DataFrame:
+    """One row per value of the columns ``by``, with the ``text`` of the smallest hash: a grouped minimum,
+    combined before the shuffle, so an id with a third of all rows leaves one row per task."""
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))
+    return df.groupBy(*by).agg(first.alias("first")).select(*by, F.col("first.text").alias("text"))
+
+
 def parts_for(n: float, per_part: float, least: int = 1) -> int:
     """How many partitions (or shards) of about ``per_part`` units hold ``n`` units."""
     return max(least, math.ceil((n or 0) / per_part))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import one_row_each, staged
 from tidemark.llm.toxicity import held_out_rule
 
 SAMPLE = 8000
@@ -81,7 +81,7 @@ class Logistic:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> Logistic:
     """Fit on at most ``sample`` labelled rows outside `held_out_rule`, the ones with the smallest hash
-    of their id."""
+    of their id; of several rows of an id the one whose text has the smallest hash."""
     marks = (labels.select(labels[id_col].cast("long").alias("id"), labels[label_col].cast("int").alias("y"))
              .where("id is not null and y is not null").where(~held_out_rule(F.col("id")))
              .groupBy("id").agg(F.min("y").alias("y")))
@@ -95,7 +95,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
     text = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     # at most ``sample`` ids of 12 bytes: a proven bound for the broadcast
-    got = text.join(F.broadcast(chosen), "id").select("text", "y").mapInArrow(run, "x binary, y int").collect()
+    got = (one_row_each(text.join(F.broadcast(chosen), "id"), "id", "y").select("text", "y")
+           .mapInArrow(run, "x binary, y int").collect())
     x = np.array([np.frombuffer(r.x, "<f4") for r in got], np.float64).reshape(len(got), FEATURES)
     return Logistic(x, np.array([r.y for r in got], np.float64))
 

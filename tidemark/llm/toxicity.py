@@ -10,7 +10,8 @@ term falls below zero its gradient is reversed, which keeps the model from fitti
 unlabelled sample. The prior is the toxic share among the labelled training rows.
 
 Bounds. The fit reads at most ``positives`` toxic and ``unlabelled`` other documents, the ones with
-the smallest hash of their id (a documented sample). Only features found in 0.4 % of the sampled
+the smallest hash of their id (a documented sample), one row of each: of several rows of an id the one
+whose text has the smallest hash. Only features found in 0.4 % of the sampled
 positives and with a clear difference between the samples are used; the sample's occurrences of
 them, not its texts, come to the driver. Every word of every text of the whole table is scored,
 inside the tasks, with the vocabulary and weights (a few thousand numbers) broadcast.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, slices, staged
+from tidemark.llm.common import discard, one_row_each, slices, staged
 from tidemark.llm.wordhash import Vocabulary, known_features
 
 POSITIVES = 3000
@@ -108,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     chosen = pos.withColumn("kind", F.lit(1)).unionByName(unl.withColumn("kind", F.lit(0)))
     text = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     # at most positives + unlabelled ids of 16 bytes: a proven bound for the broadcast
-    sample = staged(text.join(F.broadcast(chosen), "id").select("text", "kind"), "pu-sample")
+    sample = staged(one_row_each(text.join(F.broadcast(chosen), "id"), "id", "kind").select("text", "kind"), "pu-sample")
 
     def count(batches):
         for b in slices(batches):
