@@ -5,11 +5,15 @@ from __future__ import annotations
 import contextlib
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
+CHUNK = 1 << 16  # entries of a count vector per row
+SLICE_BYTES = 1 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -55,6 +59,47 @@ def slices(batches, rows: int = 256):
             yield b.slice(k, rows)
 
 
+def by_bytes(column, limit: int | None = None):
+    """(first, last + 1) of consecutive values of about ``limit`` bytes; a longer value stands alone."""
+    limit = limit or SLICE_BYTES
+    first, size = 0, 0
+    for k, x in enumerate(column):
+        n = len(x) if x is not None else 0
+        if size and size + n > limit:
+            yield first, k
+            first, size = k, 0
+        size += n
+    if first < len(column):
+        yield first, len(column)
+
+
+def vector_chunks(total: np.ndarray, task: int):
+    """``chunk, task, data`` batches of a task's count vector; chunks of zeros are left out."""
+    for k in range(0, len(total), CHUNK):
+        part = total[k:k + CHUNK]
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([task], pa.int32()),
+                                              pa.array([part.astype("<i8").tobytes()], pa.binary())], ["chunk", "task", "data"])
+
+
+def _vector_sum(*keys: str):
+    def run(group: pa.Table) -> pa.Table:
+        total = np.frombuffer(group["data"][0].as_py(), "<i8").copy()
+        for k in range(1, group.num_rows):
+            total += np.frombuffer(group["data"][k].as_py(), "<i8")
+        return pa.table({**{k: group[k].slice(0, 1) for k in keys}, "data": pa.array([total.tobytes()], pa.binary())})
+
+    return run
+
+
+def tree_sum(vectors: DataFrame, branch: int) -> DataFrame:
+    """``chunk, data``: the sum of the tasks' vectors (`vector_chunks`), in a tree of two levels, first within
+    ``branch`` groups of tasks: no task meets all vectors."""
+    return (vectors.withColumn("branch", F.pmod("task", F.lit(branch)).cast("int")).drop("task")
+            .groupBy("chunk", "branch").applyInArrow(_vector_sum("chunk", "branch"), "chunk int, branch int, data binary")
+            .groupBy("chunk").applyInArrow(_vector_sum("chunk"), "chunk int, data binary"))
+
+
 def one_row_each(df: DataFrame, *by: str) -> DataFrame:
     """One row per value of the columns ``by``, with the ``text`` of the smallest hash: a grouped minimum,
     combined before the shuffle, so an id with a third of all rows leaves one row per task."""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (byte_bpe, embedding_dedup, exact_topk, quality, simhash_dedup, source_mixing,
-                          substring_dedup, suffix_dedup, token_files, toxicity)
+from tidemark.llm import (byte_bpe, collocations, cross_alignment, embedding_dedup, exact_topk, html_extraction, quality,
+                          simhash_dedup, source_mixing, substring_dedup, suffix_dedup, token_files, toxicity)
 
 LLM_QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -18,6 +18,9 @@ LLM_QUERIES = {
     "op8_simhash_near_dedup": simhash_dedup.query,
     "op9_suffix_array_dedup": suffix_dedup.query,
     "op10_token_output": token_files.query,
+    "op11_html_extraction": html_extraction.query,
+    "op12_collocations": collocations.query,
+    "op13_tokenizer_alignment": cross_alignment.query,
 }
 
 LLM_SQL: dict[str, str] = {
@@ -27,4 +30,5 @@ LLM_SQL: dict[str, str] = {
     "op2_exact_topk": exact_topk.SQL,
     "op4_source_mixing": source_mixing.sql(),
     "op6_embedding_near_dedup": embedding_dedup.SQL,
+    "op12_collocations": collocations.SQL,
 }
