@@ -91,3 +91,14 @@ def test_perfect_hash_is_minimal_and_verified():
     assert ph.size == len(keys) and sorted(ph.find(keys).tolist()) == list(range(len(keys)))
     assert (ph.find(np.setdiff1d(np.arange(5000), keys)) == -1).all()
     assert (X.PerfectHash(3, []).find(keys[:5]) == -1).all()
+
+
+def test_rank_encoder_gives_the_ids_of_the_library():
+    import duckdb
+
+    p = X.pair()
+    assert p.by_ranks is not None
+    texts = [t for t, in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    texts += [t for t in TEXTS if t] + ["a\x1cb\x85c\xa0 d", "x" * 5000, "\n" * 3000 + "y", "ſ ǅ İ ß ²³ ¼ º"]
+    for t in texts:
+        assert list(p._ids_a(" " + t)) == p.a.encode(" " + t, add_special_tokens=False).ids

@@ -29,6 +29,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,9 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BUCKET_TOKENS = 1 << 23   # tokens per bucket of keys, as long as the vocabularies allow more keys
 BUCKET_KEYS = 1 << 20
 PART_KEYS = 1 << 23
+LONG_WORD = 1000          # longer words, blanks, and rarer characters go through the tokenizer library
+_BLANK = re.compile(r"\s{%d}" % LONG_WORD)
+_RARE = re.compile("[^\x00-\u024f]")
 SPREAD = 2.0              # slots per key of a level
 SPACE_MARK = "▁"
 
@@ -78,20 +83,49 @@ class Pair:
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # a name and what follows it: "," or "|" after a token of A, "," or ";" after one of B
+        self.kinds = tuple("H" if len(x) <= 1 << 16 else "I" for x in (self.bytes_a, self.bytes_b))
+        self.special = {t["id"] for t in spec["added_tokens"]}
+        self.by_ranks = self._rank_encoder(spec)
         self.names = [f"{k}{end}" for size, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
                       for end in ends for k in range(size)]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B of every text; both empty where one of them does not give back the text."""
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of A and B of every text; both empty where one of them does not give back the text."""
         some = [t for t in texts if t]
-        both = zip(self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False),
-                   self.b.encode(some, num_threads=1))
-        found = iter([self._checked((" " + t).encode(), e.ids, b) for t, (e, b) in zip(some, both)])
-        return [next(found) if t else ([], []) for t in texts]
-
-    def _checked(self, raw: bytes, a: list[int], b: list[int]):
-        same = (b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
-        return (a, b) if same else ([], [])
+        found = []
+        for t, b in zip(some, self.b.encode(some, num_threads=1)):
+            a, t = self._ids_a(" " + t), " " + t
+            found.append((array(self.kinds[0], a).tobytes(), array(self.kinds[1], b).tobytes()) if self._same(t, a, b) else (b"", b""))
+        found = iter(found)
+        return [next(found) if t else (b"", b"") for t in texts]
+
+    def _ids_a(self, text: str) -> list[int]:
+        if (self.by_ranks is None or not text.isascii() and _RARE.search(text) or max(map(len, text.split()), default=0) > LONG_WORD
+                or _BLANK.search(text)):
+            return self.a.encode(text, add_special_tokens=False).ids
+        return self.by_ranks.encode_ordinary(text)
+
+    def _rank_encoder(self, spec: dict):
+        """The same tokenizer over merge ranks, which is several times faster; None unless it is provably the same.
+        Ranks merge any neighbours whose joined bytes are a token, the library only the pairs of its list, in
+        order. They differ only if some token's bytes alone can come to two parts that the list does not join,
+        so it is enough that the list joins every token's bytes to that token."""
+        tokens, model = spec["model"]["vocab"], self.a.model
+        order = [tokens["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        plain = {self.bytes_a[k]: k for t, k in tokens.items() if k not in self.special}
+        if order != sorted(order) or not all([x.id for x in model.tokenize(t)] == [k] for t, k in tokens.items() if k not in self.special):
+            return None
+        import public_tokenizers
+        import tiktoken
+
+        try:
+            return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=plain, special_tokens={})
+        except ValueError:
+            return None
+
+    def _same(self, text: str, a: list[int], b: list[int]) -> bool:
+        raw = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -118,19 +152,13 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
                 done = p.encode(texts[x:z])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + z - x)), b.column(0).slice(x, z - x),
-                     pa.array([np.array(a, kinds(p)[0]).tobytes() for a, _ in done], pa.binary()),
-                     pa.array([np.array(c, kinds(p)[1]).tobytes() for _, c in done], pa.binary())], ["row", "id", "a", "b"])
+                     pa.array([a for a, _ in done], pa.binary()), pa.array([c for _, c in done], pa.binary())], ["row", "id", "a", "b"])
                 row += z - x
 
     return (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
             .mapInArrow(run, "row long, id long, a binary, b binary"))
 
 
-def kinds(p: Pair) -> tuple[str, str]:
-    """How ids of A and B are packed."""
-    return tuple("<u2" if len(x) <= 1 << 16 else "<u4" for x in (p.bytes_a, p.bytes_b))
-
-
 # ---- alignment ---------------------------------------------------------------------------------
 
 class Alignment:
@@ -138,7 +166,7 @@ class Alignment:
     document is a boundary of both, and no link or group crosses it."""
 
     def __init__(self, p: Pair, a: list[bytes], b: list[bytes]):
-        kind_a, kind_b = kinds(p)
+        kind_a, kind_b = p.kinds
         self.a = np.frombuffer(b"".join(a), kind_a).astype(np.int64)
         self.b = np.frombuffer(b"".join(b), kind_b).astype(np.int64)
         self.n_a = np.array([len(x) for x in a], np.int64) // np.dtype(kind_a).itemsize
@@ -344,7 +372,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     size_b = len(p.bytes_b)
     space = len(p.bytes_a) * size_b
     coded = staged(tokens(docs, id_col, text_col, *names), "xt-tokens")
-    total = coded.agg(F.sum(F.octet_length("a") / np.dtype(kinds(p)[0]).itemsize)).first()[0]
+    total = coded.agg(F.sum(F.octet_length("a") / np.dtype(p.kinds[0]).itemsize)).first()[0]
     branch = max(2, int(parts_for(total, BUCKET_TOKENS) ** 0.5))
     buckets = min(parts_for(total, BUCKET_TOKENS), parts_for(space, BUCKET_KEYS))
     built = staged(_distinct_pairs(coded, space, buckets, names).groupBy("bucket")
@@ -389,9 +417,8 @@ def _looked_up(coded: DataFrame, table, highest, names: tuple[str, str], first:
         p, ph, best = pair(*names), table.value, highest.value
         for b, al in _aligned(batches, p, 2, 3):
             n = b.num_rows
-            keys, place = np.unique(al.code, return_inverse=True)
-            at = ph.find(keys)
-            got = np.where(at >= 0, ph.counts[at] if len(ph.counts) else 0, 0)[place]
+            at = ph.find(al.code)
+            got = np.where(at >= 0, ph.counts[at] if len(ph.counts) else 0, 0)
             is_best = (got > 0) & (got == best[al.a[al.at_a]])
             upto = np.concatenate([[0], np.cumsum(got)])
             ends = np.cumsum(al.n_links)
