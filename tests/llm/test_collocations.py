@@ -89,9 +89,9 @@ def test_trie_holds_exactly_its_phrases(triples, spread):
     scale = 10 ** spread
     rows = {(a * scale, b * scale, c * scale) for a, b, c in triples} | {(a * scale, b * scale, 0) for a, b, _ in triples}
     phrases = np.array(sorted(rows))
-    trie, state = C.Trie.build(phrases)
-    assert len(set(state.tolist())) == len(state)
-    by = {tuple(p): s for p, s in zip(phrases.tolist(), state.tolist())}
+    trie = C.Trie.build(phrases)
+    assert sorted(trie.accept[trie.accept >= 0].tolist()) == list(range(len(phrases)))
+    by = {tuple(p): k for k, p in enumerate(phrases.tolist())}
     text = np.append(np.random.default_rng(len(triples)).integers(0, 14, 400) * scale, [0, 0])
     want = Counter()
     for k in range(400):

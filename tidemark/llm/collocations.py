@@ -10,8 +10,8 @@ language are returned. The steps, each staged in the shared folder:
    64-bit hash of language and word; should two ever share a hash, all are hashed again with a salt.
 2. *Encoding.* Texts become packed word numbers. Words below ``LEAST`` are 0, as are ends of pieces: no phrase
    that counts can contain them.
-3. *Candidates*, Apriori-safe: neighbouring frequent words form pairs; partial counts per task are summed and
-   pairs that reach ``LEAST`` go on. A triple is looked at only where both its pairs are in a bitmap of these
+3. *Candidates*, Apriori-safe: neighbouring frequent words form pairs; partial counts per task, packed by
+   buckets of phrases, are summed and pairs that reach ``LEAST`` go on. A triple is looked at only where both its pairs are in a bitmap of these
    (which may let in too many, never too few), and again partial counts are summed.
 4. *Tries.* Candidates are dealt by a hash of their first two words to tries of about ``TRIE`` phrases. Each
    is a double array (base, check) over the word numbers of its phrases, frequent ones first; it is built
@@ -50,9 +50,10 @@ COVERED = 50          # percent of a phrase's occurrences inside a longer one th
 SCALE = 1_000_000
 NUMBERED = 1 << 23    # frequent words that are numbered through a broadcast list of 8 bytes each
 TRIE = 1 << 20        # phrases of a trie
-TALLY = 200_000       # words that a task counts before it passes them on
-RUN = 1 << 20         # word positions that are handled at once
+TALLY = 100_000       # words that a task counts before it passes them on
+RUN = 1 << 18         # word positions that are handled at once
 TASK_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20 # of word numbers per bucket of phrases
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _END = b"."           # every separator, once translated; no word holds it
 _TO_END = bytes.maketrans(SEPARATORS, _END * len(SEPARATORS))
@@ -131,8 +132,10 @@ def hashed(words: DataFrame) -> tuple[DataFrame, str]:
 # ---- encoding ----------------------------------------------------------------------------------
 
 def encoded(base: DataFrame, salt: str, numbered) -> DataFrame:
-    """``words``: packed word numbers of several texts of a language, 0 at ends of pieces and texts. A number
-    is the place in the broadcast list ``numbered`` of hashes (0: not in it), or the hash itself."""
+    """``words``: the packed word numbers of a text, 0 at ends of pieces and at its end. A number is the place in
+    the broadcast list ``numbered`` of hashes (0: not in it), or the hash itself."""
+    kind = kind_of(numbered)
+
     def run(batches):
         known = numbered.value if numbered is not None else None
         caches: dict[str, dict[bytes, int]] = {}
@@ -140,19 +143,27 @@ def encoded(base: DataFrame, salt: str, numbered) -> DataFrame:
             if sum(map(len, caches.values())) > TALLY:
                 caches = {}
             cache, hasher = caches.setdefault(lang, {_END: 0}), word_hasher(salt, lang)
-            words = []
+            words, sizes = [], []
             for t in texts:
+                before = len(words)
                 words += split_words(t)
                 words.append(_END)
+                sizes.append(len(words) - before)
             new = list(set(words).difference(cache))
             h = np.fromiter(map(hasher, new), np.int64, len(new))
             cache.update(zip(new, (h if known is None else place(known, h) + 1).tolist()))
-            out = np.fromiter(map(cache.__getitem__, words), "<i8", len(words))
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["words"])
+            out = np.fromiter(map(cache.__getitem__, words), kind, len(words)).tobytes()
+            cuts = (np.cumsum(sizes) * np.dtype(kind).itemsize).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([out[a:z] for a, z in zip([0, *cuts], cuts)], pa.binary())], ["words"])
 
     return base.mapInArrow(run, "words binary")
 
 
+def kind_of(numbered) -> str:
+    """How word numbers are packed: places fit in 32 bits, hashes take 64."""
+    return "<i8" if numbered is None else "<i4"
+
+
 def place(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Places of ``values`` in the sorted array ``known``, -1 where they are not in it."""
     if not len(known):
@@ -161,12 +172,12 @@ def place(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(known[at] == values, at, -1)
 
 
-def runs_of(batches, limit: int = RUN):
+def runs_of(batches, kind: str, limit: int = RUN):
     """Arrays of word numbers of about ``limit`` positions."""
     held, n = [], 0
     for b in batches:
         for x in b.column(0).to_pylist():
-            held.append(np.frombuffer(x, "<i8"))
+            held.append(np.frombuffer(x, kind))
             n += len(held[-1])
             if n >= limit:
                 yield np.concatenate(held)
@@ -186,29 +197,71 @@ def pair_mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
 
 
-def _tallied(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the columns and how often each occurs."""
-    code, sizes = np.zeros(len(columns[0]), np.int64), []
-    for c in columns:
-        values, at = np.unique(c, return_inverse=True)
-        if sizes:  # keep the code below 2**63: number what there is so far
-            _, code = np.unique(code, return_inverse=True)
-        sizes.append(values)
-        code = code * len(values) + at
-    _, first, n = np.unique(code, return_index=True, return_counts=True)
-    return [c[first] for c in columns], n
-
-
-def pairs(coded: DataFrame) -> DataFrame:
+def _tallied(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of the columns and the sum of their ``n`` (1 each)."""
+    bits = [int(c.max()).bit_length() if len(c) and int(c.min()) >= 0 else 64 for c in columns]
+    if sum(bits) < 63:  # numbers, not hashes: a row is one integer
+        code = columns[0].astype(np.int64)
+        for c, k in zip(columns[1:], bits[1:]):
+            code <<= k
+            code |= c
+        order = np.argsort(code, kind="stable")
+        change = np.diff(code[order]) != 0
+    else:
+        order = np.lexsort(columns[::-1])
+        change = np.any([np.diff(c[order]) != 0 for c in columns], axis=0)
+    first = np.flatnonzero(np.append(True, change)) if len(order) else order
+    total = np.diff(np.append(first, len(order))) if n is None else np.add.reduceat(n[order], first) if len(first) else n
+    return [c[order[first]] for c in columns], total
+
+
+def _packed(found: list[np.ndarray], n: np.ndarray, buckets: int, branch: int):
+    """Rows ``bucket, branch, words, n``: phrases dealt by a hash of their first two words, packed."""
+    dealt = (pair_mix(found[0], found[1]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(dealt, kind="stable")
+    cuts = np.searchsorted(dealt[order], np.arange(buckets + 1)).tolist()
+    some = [(k, order[x:y]) for k, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+    words = [[c[o].tobytes() for _, o in some] for c in found]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in some], pa.int32()), pa.array([branch] * len(some), pa.int32()),
+         pa.array([list(w) for w in zip(*words)], pa.list_(pa.binary())),
+         pa.array([n[o].astype("<i8").tobytes() for _, o in some], pa.binary())], ["bucket", "branch", "words", "n"])
+
+
+def _joined(group: pa.Table, kind: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct phrases of packed rows and the sums of their counts."""
+    words = group["words"].to_pylist()
+    columns = [np.frombuffer(b"".join(w[k] for w in words), kind) for k in range(len(words[0]))]
+    return _tallied(columns, np.frombuffer(b"".join(group["n"].to_pylist()), "<i8"))
+
+
+def _totals(packed: DataFrame, kind: str, size: int) -> DataFrame:
+    """``w1 .. n`` of the phrases of ``size`` words that reach ``LEAST``: packed counts are added within branches
+    of tasks, then over them; a group holds one entry per phrase and row, never one per occurrence."""
+    def within(group: pa.Table) -> pa.Table:
+        found, n = _joined(group, kind)
+        return pa.table({"bucket": group["bucket"].slice(0, 1), "words": pa.array([[c.tobytes() for c in found]], pa.list_(pa.binary())),
+                         "n": pa.array([n.tobytes()], pa.binary())})
+
+    def over(group: pa.Table) -> pa.Table:
+        found, n = _joined(group, kind)
+        keep = n >= LEAST
+        return pa.table({**{f"w{k + 1}": pa.array(c[keep], pa.int64()) for k, c in enumerate(found)}, "n": pa.array(n[keep], pa.int64())})
+
+    return (packed.groupBy("bucket", "branch").applyInArrow(within, "bucket int, words array<binary>, n binary")
+            .groupBy("bucket").applyInArrow(over, "".join(f"w{k + 1} long, " for k in range(size)) + "n long"))
+
+
+def pairs(coded: DataFrame, kind: str, buckets: int, branches: int) -> DataFrame:
     """``w1, w2, n`` of neighbouring frequent words that reach ``LEAST``."""
     def run(batches):
-        for w in runs_of(batches):
+        branch = TaskContext.get().partitionId() % branches
+        for w in runs_of(batches, kind, 4 * RUN):
             at = np.flatnonzero((w[:-1] != 0) & (w[1:] != 0))
-            (a, b), n = _tallied([w[at], w[at + 1]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["w1", "w2", "n"])
+            if len(at):
+                yield from _packed(*_tallied([w[at], w[at + 1]]), buckets, branch)
 
-    return (coded.mapInArrow(run, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= LEAST))
+    return _totals(coded.mapInArrow(run, "bucket int, branch int, words array<binary>, n binary"), kind, 2)
 
 
 def pair_bitmap(found: DataFrame, bits: int) -> np.ndarray:
@@ -226,20 +279,19 @@ def pair_bitmap(found: DataFrame, bits: int) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def triples(coded: DataFrame, bitmap) -> DataFrame:
+def triples(coded: DataFrame, kind: str, bitmap, buckets: int, branches: int) -> DataFrame:
     """``w1, w2, w3, n`` of frequent words in a row, both pairs of which are in the bitmap, that reach ``LEAST``."""
     def run(batches):
-        bits = bitmap.value
-        for w in runs_of(batches):
+        bits, branch = bitmap.value, TaskContext.get().partitionId() % branches
+        for w in runs_of(batches, kind):
             both = (w[:-1] != 0) & (w[1:] != 0)
             at = np.flatnonzero(both)
             both[at] = bits[pair_mix(w[at], w[at + 1]) & np.uint64(len(bits) - 1)]
             at = np.flatnonzero(both[:-1] & both[1:])
-            (a, b, c), n = _tallied([w[at], w[at + 1], w[at + 2]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c), pa.array(n)], ["w1", "w2", "w3", "n"])
+            if len(at):
+                yield from _packed(*_tallied([w[at], w[at + 1], w[at + 2]]), buckets, branch)
 
-    return (coded.mapInArrow(run, "w1 long, w2 long, w3 long, n long").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= LEAST))
+    return _totals(coded.mapInArrow(run, "bucket int, branch int, words array<binary>, n binary"), kind, 3)
 
 
 # ---- double-array tries ------------------------------------------------------------------------
@@ -249,15 +301,14 @@ class Trie:
 
     ``alphabet`` holds the word numbers in order and ``code`` their codes from 1 on, words that occur often
     in phrases first. The state after a first word is its code; from state s the word with code c
-    leads to t = base[s] + c if check[t] = s."""
+    leads to t = base[s] + c if check[t] = s. ``accept`` is the number of the phrase that ends in a state."""
 
-    def __init__(self, alphabet, code, base, check):
-        self.alphabet, self.code, self.base, self.check = alphabet, code, base, check
+    def __init__(self, alphabet, code, base, check, accept):
+        self.alphabet, self.code, self.base, self.check, self.accept = alphabet, code, base, check, accept
 
     @classmethod
-    def build(cls, phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
-        """The trie of rows (w1, w2, w3), w3 = 0 for pairs; every triple's pair is among them. Also the
-        state of each row."""
+    def build(cls, phrases: np.ndarray) -> Trie:
+        """The trie of rows (w1, w2, w3), w3 = 0 for pairs; every triple's pair is among them."""
         alphabet, at, often = np.unique(phrases[phrases != 0], return_inverse=True, return_counts=True)
         code = np.empty(len(alphabet), np.int64)
         code[np.argsort(-often, kind="stable")] = np.arange(1, len(alphabet) + 1)
@@ -267,7 +318,7 @@ class Trie:
         free = np.ones(2 * size + 2 * len(phrases), bool)
         free[:size] = False
         base, check = np.zeros(len(free), np.int64), np.full(len(free), -1, np.int64)
-        state = np.zeros(len(phrases), np.int64)
+        state, top, rng = np.zeros(len(phrases), np.int64), size, np.random.default_rng(0)
         for rows, depth in ((np.flatnonzero(coded[:, 2] == 0), 1), (np.flatnonzero(coded[:, 2] != 0), 2)):
             if depth == 1:
                 parent = coded[rows, 0]
@@ -281,30 +332,25 @@ class Trie:
             child = coded[rows, depth]
             first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1])) if len(rows) else np.zeros(0, np.int64)
             count = np.diff(np.append(first, len(rows)))
-            low = size
             for k in np.argsort(-count, kind="stable").tolist():
                 if count[k] == 1:
                     break
                 codes = child[first[k]:first[k] + count[k]]
-                where, low = _first_fit(free, codes, low)
-                if where + size > len(free):
-                    more = where + 2 * size + len(free) // 2 - len(free)
-                    free = np.append(free, np.ones(more, bool))
-                    base = np.append(base, np.zeros(more, np.int64))
-                    check = np.append(check, np.full(more, -1, np.int64))
+                where = _fit(free, codes, size, top, rng)
+                top = max(top, where + int(codes[-1]) + 1)
+                if top + size > len(free):
+                    free, base, check = _longer(len(free) // 2 + size, free, base, check)
                 slots = where + codes
                 free[slots] = False
                 base[parent[first[k]]] = where
                 check[slots] = parent[first[k]]
                 state[rows[first[k]:first[k] + count[k]]] = slots
             single = first[count == 1]
+            if np.count_nonzero(free) < len(single):
+                free, base, check = _longer(len(single), free, base, check)
             slots = np.flatnonzero(free)[:len(single)]
-            if len(slots) < len(single):
-                more = len(single) - len(slots) + size
-                slots = np.append(slots, np.arange(len(free), len(free) + len(single) - len(slots)))
-                free = np.append(free, np.ones(more, bool))
-                base = np.append(base, np.zeros(more, np.int64))
-                check = np.append(check, np.full(more, -1, np.int64))
+            if len(slots):
+                top = max(top, int(slots[-1]) + 1)
             free[slots] = False
             base[parent[single]] = slots - child[single]  # free slots lie beyond all codes
             check[slots] = parent[single]
@@ -319,11 +365,13 @@ class Trie:
         if len(check) < int(base.max()) + size:
             more = int(base.max()) + size - len(check)
             check, base = np.append(check, np.full(more, -1, np.int64)), np.append(base, np.full(more, dead, np.int64))
-        return cls(alphabet, code, base.astype("<i4"), check.astype("<i4")), state
+        accept = np.full(end, -1, np.int64)
+        accept[state] = np.arange(len(phrases))
+        return cls(alphabet, code, base.astype("<i4"), check.astype("<i4"), accept.astype("<i4"))
 
     def advance(self, w: np.ndarray, at: np.ndarray):
-        """States after two and after three words from the positions ``at`` of ``w`` (which has two
-        numbers more beyond the last of them), those that get there."""
+        """Numbers of the phrases of two, then of three words that begin at the positions ``at`` of ``w``
+        (which has two numbers more beyond the last of them)."""
         at, s = at, self._codes(w[at])
         keep = s > 0
         at, s = at[keep], s[keep]
@@ -332,7 +380,7 @@ class Trie:
             t = self.base[s] + c
             keep = (c > 0) & (self.check[t] == s)
             at, s = at[keep], t[keep]
-            yield s
+            yield self.accept[s]
 
     def _codes(self, values: np.ndarray) -> np.ndarray:
         at = place(self.alphabet, values)
@@ -340,41 +388,38 @@ class Trie:
 
     @property
     def size(self) -> int:
-        return len(self.check)
+        return int(self.accept.max()) + 1
+
 
+def _longer(more: int, free: np.ndarray, base: np.ndarray, check: np.ndarray):
+    return np.append(free, np.ones(more, bool)), np.append(base, np.zeros(more, np.int64)), np.append(check, np.full(more, -1, np.int64))
 
-def _first_fit(free: np.ndarray, codes: np.ndarray, low: int) -> tuple[int, int]:
-    """The base at which all ``codes`` fall on free slots, among the first slots tried (else one beyond the
-    array), and where the next search may begin: the first free slot from ``low`` on."""
-    at, tried = low, 0
-    while at < len(free) and tried < 40:
+
+def _fit(free: np.ndarray, codes: np.ndarray, low: int, top: int, rng) -> int:
+    """A base at which all ``codes`` fall on free slots: among some stretches between the slots ``low`` and
+    ``top``, else the first base past all used slots."""
+    for at in rng.integers(low, max(top, low + 1), 64).tolist():
         window = at + np.flatnonzero(free[at:at + 256])
-        if not tried and len(window):
-            low = int(window[0])
-        at += 256
-        if not len(window):
-            continue
-        tried += 1
-        bases = window - codes[0]
-        fits = bases[(bases >= 0) & (bases + codes[-1] < len(free))]
-        for code in codes[1:8].tolist():
+        fits = window[window >= codes[0]] - codes[0]
+        fits = fits[fits + codes[-1] < len(free)]
+        for code in codes[1:12].tolist():
             fits = fits[free[fits + code]]
-        for b in fits.tolist():
+        for b in fits[:16].tolist():
             if free[b + codes].all():
-                return b, low
-    return len(free), low
+                return b
+    return max(top - int(codes[0]), 0)
 
 
 def _trie_row(group: pa.Table) -> pa.Table:
-    """One group of candidates as a trie: its arrays, and the phrases with their states."""
+    """One group of candidates as a trie: its arrays, and the phrases in order."""
     phrases = np.stack([group[c].to_numpy() for c in ("w1", "w2", "w3")], axis=1)
     phrases = phrases[np.lexsort(phrases.T[::-1])]
-    trie, state = Trie.build(phrases)
+    trie = Trie.build(phrases)
     return pa.table({"trie": group["trie"].slice(0, 1), "alphabet": pa.array([trie.alphabet.astype("<i8").tobytes()], pa.binary()),
                      "code": pa.array([trie.code.astype("<i8").tobytes()], pa.binary()),
                      "base": pa.array([trie.base.tobytes()], pa.binary()), "check": pa.array([trie.check.tobytes()], pa.binary()),
-                     "phrases": pa.array([phrases.astype("<i8").tobytes()], pa.binary()),
-                     "states": pa.array([state.astype("<i8").tobytes()], pa.binary())})
+                     "accept": pa.array([trie.accept.tobytes()], pa.binary()),
+                     "phrases": pa.array([phrases.astype("<i8").tobytes()], pa.binary())})
 
 
 def tries_of(candidates: DataFrame, tries: int) -> DataFrame:
@@ -385,51 +430,50 @@ def tries_of(candidates: DataFrame, tries: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *b.columns], ["trie", "w1", "w2", "w3"])
 
     return (candidates.mapInArrow(deal, "trie int, w1 long, w2 long, w3 long").groupBy("trie")
-            .applyInArrow(_trie_row, "trie int, alphabet binary, code binary, base binary, check binary, phrases binary, states binary"))
+            .applyInArrow(_trie_row, "trie int, alphabet binary, code binary, base binary, check binary, accept binary, phrases binary"))
 
 
-def trie_counts(coded: DataFrame, trie, nth: int, tries: int, branch: int) -> DataFrame:
-    """``trie, state, a`` of the states that texts reach in one broadcast `Trie`."""
+def trie_counts(coded: DataFrame, kind: str, trie, part: int, tries: int, branch: int) -> DataFrame:
+    """``trie, nth, a`` of the phrases of one broadcast `Trie` that texts hold."""
     def run(batches):
         t, task = trie.value, TaskContext.get().partitionId()
         total = np.zeros(t.size, np.int64)
-        for w in runs_of(batches):
-            w = np.append(w, [0, 0])
+        for w in runs_of(batches, kind):
+            w = np.append(w, np.zeros(2, w.dtype))
             at = np.flatnonzero((w[:-2] != 0) & (w[1:-1] != 0))
             if tries > 1:
-                at = at[pair_mix(w[at], w[at + 1]) % np.uint64(tries) == nth]
-            for states in t.advance(w, at):
-                total += np.bincount(states, minlength=t.size)
+                at = at[pair_mix(w[at], w[at + 1]) % np.uint64(tries) == part]
+            for found in t.advance(w, at):
+                total += np.bincount(found, minlength=t.size)
         yield from vector_chunks(total, task)
 
-    def states(batches):
+    def counted(batches):
         for b in batches:
             for chunk, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 n = np.frombuffer(data, "<i8")
                 at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), nth, np.int32)), pa.array(at + chunk * CHUNK),
-                                                  pa.array(n[at])], ["trie", "state", "a"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part, np.int32)), pa.array(at + chunk * CHUNK),
+                                                  pa.array(n[at])], ["trie", "nth", "a"])
 
     return (tree_sum(coded.mapInArrow(run, "chunk int, task int, data binary"), branch)
-            .mapInArrow(states, "trie int, state long, a long"))
+            .mapInArrow(counted, "trie int, nth long, a long"))
 
 
 def _phrases(built: DataFrame, numbered) -> DataFrame:
-    """``trie, state, h1, h2, h3``: the phrases of the tries by the hashes of their words (h3 = 0: a pair)."""
+    """``trie, nth, h1, h2, h3``: the phrases of the tries by the hashes of their words (h3 = 0: a pair)."""
     def run(batches):
         known = numbered.value if numbered is not None else None
         for b in slices(batches, 1):
             w = np.frombuffer(b.column(1)[0].as_py(), "<i8").reshape(-1, 3)
-            state = np.frombuffer(b.column(2)[0].as_py(), "<i8")
             if known is not None:
                 w = np.append(0, known)[w]
             for k in range(0, len(w), 1 << 16):
                 part = w[k:k + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), b.column(0)[0].as_py(), np.int32)), pa.array(state[k:k + len(part)]),
-                     *[pa.array(np.ascontiguousarray(part[:, j])) for j in range(3)]], ["trie", "state", "h1", "h2", "h3"])
+                    [pa.array(np.full(len(part), b.column(0)[0].as_py(), np.int32)), pa.array(np.arange(k, k + len(part))),
+                     *[pa.array(np.ascontiguousarray(part[:, j])) for j in range(3)]], ["trie", "nth", "h1", "h2", "h3"])
 
-    return built.select("trie", "phrases", "states").mapInArrow(run, "trie int, state long, h1 long, h2 long, h3 long")
+    return built.select("trie", "phrases").mapInArrow(run, "trie int, nth long, h1 long, h2 long, h3 long")
 
 
 # ---- scores ------------------------------------------------------------------------------------
@@ -478,28 +522,31 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     numbers = None
     if n_frequent <= numbered:  # at most 8 bytes a word
         numbers = spark.sparkContext.broadcast(np.sort(frequent.select("h").toArrow()["h"].to_numpy()))
+    kind = kind_of(numbers)
     coded = staged(encoded(base, salt, numbers), "pc-encoded")
-    branch = max(2, int(parts_for(coded.agg(F.sum(F.octet_length("words"))).first()[0], TASK_BYTES) ** 0.5))
-    two = staged(pairs(coded), "pc-pairs")
+    size = coded.agg(F.sum(F.octet_length("words"))).first()[0]
+    buckets = parts_for(size, BUCKET_BYTES)
+    branch = max(2, int(parts_for(size, TASK_BYTES) ** 0.5))
+    two = staged(pairs(coded, kind, buckets, branch), "pc-pairs")
     n_two = two.count()
     bits = min(28, max(10, (8 * n_two).bit_length()))  # about 8 bits a pair, at most 32 MB
     bitmap = spark.sparkContext.broadcast(pair_bitmap(two, bits))
-    three = staged(triples(coded, bitmap), "pc-triples")
+    three = staged(triples(coded, kind, bitmap, buckets, branch), "pc-triples")
     candidates = two.select("w1", "w2", F.lit(0).cast("long").alias("w3")).unionByName(three.select("w1", "w2", "w3"))
     tries = parts_for(n_two + three.count(), trie)
     built = staged(tries_of(candidates, tries), "pc-tries")
     counts = []
-    for nth in range(tries):
-        row = built.where(F.col("trie") == nth).select("alphabet", "code", "base", "check").first()
+    for part in range(tries):
+        row = built.where(F.col("trie") == part).select("alphabet", "code", "base", "check", "accept").first()
         if row is None:
             continue
-        shared = spark.sparkContext.broadcast(Trie(*(np.frombuffer(x, k) for x, k in zip(row, ("<i8", "<i8", "<i4", "<i4")))))
-        counts.append(staged(trie_counts(coded, shared, nth, tries, branch), "pc-counts"))
+        shared = spark.sparkContext.broadcast(Trie(*(np.frombuffer(x, k) for x, k in zip(row, ("<i8", "<i8", "<i4", "<i4", "<i4")))))
+        counts.append(staged(trie_counts(coded, kind, shared, part, tries, branch), "pc-counts"))
         shared.unpersist()
-    states = spark.createDataFrame([], "trie int, state long, a long")
+    found = spark.createDataFrame([], "trie int, nth long, a long")
     for c in counts:
-        states = states.unionByName(c)
-    counted = staged(_phrases(built, numbers).join(states, ["trie", "state"]).where(F.col("a") >= LEAST)
+        found = found.unionByName(c)
+    counted = staged(_phrases(built, numbers).join(found, ["trie", "nth"]).where(F.col("a") >= LEAST)
                      .select("h1", "h2", "h3", "a"), "pc-counted")
     for table in (coded, two, three, built, *counts):
         discard(table)
