@@ -27,18 +27,18 @@ def reference():
 
 
 def test_merge_equals_the_library_on_random_pieces():
-    ranks = byte_bpe.codec().ranks
+    ranks, joins = byte_bpe.codec().ranks, byte_bpe.codec().joins
     whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(1)
     for _ in range(400):
         text = "".join(rng.choice("aeinsth éß日 .") for _ in range(rng.randint(1, 80)))
-        assert byte_bpe.merge(text.encode(), ranks) == whole.encode_ordinary(text)
+        assert byte_bpe.merge(text.encode(), ranks, joins) == whole.encode_ordinary(text)
     long = "abcab" * 20_000
-    assert byte_bpe.merge(long.encode(), ranks) == whole.encode_ordinary(long)
+    assert byte_bpe.merge(long.encode(), ranks, joins) == whole.encode_ordinary(long)
 
 
 def test_encode_decode_round_trip(spark, reference, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHE", 3)
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 300)
     frame = table(spark, list(enumerate(TEXTS)) + [(None, "no id")])
     tokens = byte_bpe.encode(frame)
     got = {r.id: r.ids for r in tokens.collect()}
@@ -91,3 +91,42 @@ def test_frames_are_independent_and_checked(monkeypatch):
         list(other.documents())
     with pytest.raises(ValueError):
         token_files.FrameReader(io.BytesIO(b"no frames here at all"))
+
+
+def test_word_encoder_on_cases_marks_and_special_strings():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Ends. Ends, ends; x: y! z?", "a.b c.. d.. e.\n\nF?", "<|endoftext|> <|EndOfText|> a.", "it's IT'S. I'M!", "été. É. ÎLE, İ. ẞ!", "a\u0301. b",
+             "e.\u0301 f", "", ".", " . ", "x\x1c. y", "1. 2, 3a."]
+    got = token_files.encoder().encode(texts)
+    assert [list(np.frombuffer(x, "<u4")) for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_merging_many_pieces_equals_one_by_one():
+    c = byte_bpe.codec()
+    rng = np.random.default_rng(2)
+    pieces = [bytes(rng.choice(list(b"aabethisno rn"), int(rng.integers(1, 60))).tolist()) for _ in range(500)] + [b"a" * 200, bytes(range(256))]
+
+    def plain(piece):
+        parts = [piece[k:k + 1] for k in range(len(piece))]
+        while True:
+            found = [(c.ranks.get(a + b, 1 << 30), k) for k, (a, b) in enumerate(zip(parts, parts[1:]))]
+            if not found or min(found)[0] == 1 << 30:
+                return [c.ranks[x] for x in parts]
+            k = min(found)[1]
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
+    assert byte_bpe.merge_all(pieces, c.ranks, c.joins) == [plain(p) for p in pieces]
+    # invented ranks, in which a merge may bring up a pair of a lower rank
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        words = {bytes(rng.choice(list(b"abc"), int(rng.integers(2, 5))).tolist()) for _ in range(25)}
+        order = [b"a", b"b", b"c"] + [w for w in rng.permutation(sorted(words)).tolist()]
+        ranks = {w: k for k, w in enumerate(order)}
+        some = [bytes(rng.choice(list(b"abc"), int(rng.integers(1, 20))).tolist()) for _ in range(40)]
+        saved, c.ranks = c.ranks, ranks
+        try:
+            assert byte_bpe.merge_all(some, ranks, byte_bpe.joins_of(ranks)) == [plain(p) for p in some]
+        finally:
+            c.ranks = saved

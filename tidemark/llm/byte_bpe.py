@@ -4,11 +4,13 @@ A text is split by the tokenizer's pattern; every piece is merged on its own: th
 the smallest rank first, the leftmost of equal ones first. The queue of waiting pairs has one
 bucket per merge rank holding positions of a linked list of tokens. Which buckets are in
 use is kept in a two-level bitmap of 256-bit words, so the next rank is two find-first-set steps
-whatever the length of the piece, and a piece of n bytes costs O(n) queue operations. A position
+whatever the length of the piece, and a piece of n bytes costs O(n) queue operations. A bucket is handled
+from the left; if a merge brings up a pair of a lower rank, the rest of the bucket waits again. A position
 whose pair has changed since it was queued is a stale entry and skipped when it comes up.
 
-Merged pieces are remembered per Python worker in two generations of about ``CACHE`` pieces each (the
-older one goes when the younger is full; the caches only save time). Every text is encoded whole; the ranks are a file read from the
+Many pieces wait in one queue, with barriers between them; a rank's bucket serves all of them. Merged pieces
+are remembered per Python worker in two generations of about ``CACHE_BYTES`` each (the older one goes when
+the younger is full; the caches only save time). Every text is encoded whole; the ranks are a file read from the
 tokenizer package on each worker, 50 thousand entries whatever the input.
 
 Defined cases: null text is empty and has no ids; ids of repeated rows are those of each row. A text
@@ -20,87 +22,138 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import slices
 
-CACHE = 400_000
+CACHE_BYTES = 32 << 20  # of a generation of merged pieces, about
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece."""
-    get = ranks.get
-    whole = get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    tokens = [piece[k:k + 1] for k in range(n)]
+BARRIER = 0xFFFF  # stands after every piece; no pair has it
+
+
+def _laid_out(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]):
+    """(tokens of the pieces' bytes with barriers, rank of the pair at each, positions by rank)."""
+    one = np.array([ranks.get(bytes([k]), BARRIER) for k in range(256)], np.int64)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    own = np.ones(int(sizes.sum()) + len(pieces), bool)
+    own[np.cumsum(sizes + 1) - 1] = False
+    tokens = np.full(len(own), BARRIER, np.int64)
+    tokens[own] = one[np.frombuffer(b"".join(pieces), np.uint8)]
+    key, place = np.unique(tokens[:-1] << 16 | tokens[1:], return_inverse=True)
+    waiting = np.append(np.array([joins.get(k, -1) for k in key.tolist()], np.int64)[place], -1)
+    order = np.argsort(waiting, kind="stable")[int((waiting < 0).sum()):]
+    by = waiting[order]
+    first = np.flatnonzero(np.append(True, by[1:] != by[:-1])) if len(by) else np.zeros(0, np.int64)
+    positions = order.tolist()
+    buckets = {r: positions[a:z] for r, a, z in zip(by[first].tolist(), first.tolist(), [*first[1:].tolist(), len(by)])}
+    return tokens.tolist(), waiting.tolist(), buckets
+
+
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]) -> list[list[int]]:
+    """Token ids of pieces that are side by side in one linked list, with a barrier after each: one queue serves
+    them all, and no pair crosses a barrier. ``joins[left << 16 | right]`` is the rank of two tokens' bytes
+    joined, which is also the id of that token (`joins_of`)."""
+    get = joins.get
+    tokens, waiting, buckets = _laid_out(pieces, ranks, joins)  # waiting: rank of the pair that starts here, -1: none
+    n = len(tokens)
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    waiting = [-1] * n  # rank of the pair that starts here, -1: none
-    buckets: dict[int, int | list[int]] = {}  # rank -> position, or a heap of positions
     words: dict[int, int] = {}  # lower level of the bitmap: 256 ranks each
     top = 0  # upper level: which words are not empty
-    fresh = [(get(piece[k:k + 2], -1), k) for k in range(n - 1)]
-    while True:
-        for r, k in fresh:
-            waiting[k] = r
-            if r < 0:
-                continue
-            b = buckets.get(r)
-            if b is None:
-                buckets[r] = k
-                g = r >> 8
-                words[g] = words.get(g, 0) | 1 << (r & 255)
-                top |= 1 << g
-            elif type(b) is int:
-                buckets[r] = [b, k] if b < k else [k, b]
-            else:
-                heappush(b, k)
-        if not top:
-            break
+    for r in buckets:
+        words[r >> 8] = words.get(r >> 8, 0) | 1 << (r & 255)
+        top |= 1 << (r >> 8)
+    while top:
         g = (top & -top).bit_length() - 1
         word = words[g]
         low = word & -word
         r = g << 8 | low.bit_length() - 1
-        b = buckets[r]
-        if type(b) is not int and len(b) > 1:
-            k = heappop(b)
-        else:  # the bucket's last position: the rank goes out of use
-            k = b if type(b) is int else b[0]
-            del buckets[r]
-            words[g] = word = word ^ low
-            if not word:
-                top ^= 1 << g
-        if waiting[k] != r:
-            fresh = ()
-            continue  # stale: the pair at this position has changed
-        nxt = after[k]
-        joined = tokens[k] = tokens[k] + tokens[nxt]
-        waiting[nxt] = -1
-        end = after[k] = after[nxt]
-        if end < n:
+        words[g] = word = word ^ low
+        if not word:
+            top ^= 1 << g
+        bucket = buckets.pop(r)
+        if len(bucket) > 1:
+            bucket.sort()
+        shifted = r << 16
+        lower = False  # whether a pair of a lower rank has come up: it goes first
+        for at, k in enumerate(bucket):
+            if waiting[k] != r:
+                continue  # stale: the pair at this position has changed
+            if lower:
+                rest = bucket[at:]
+                if r in buckets:
+                    buckets[r] += rest
+                else:
+                    buckets[r] = rest
+                    words[g] = words.get(g, 0) | low
+                    top |= 1 << g
+                break
+            nxt = after[k]
+            tokens[k] = r
+            waiting[nxt] = -1
+            end = after[k] = after[nxt]
             before[end] = k
-            new = get(joined + tokens[end], -1)
-        else:
-            new = -1
-        prev = before[k]
-        if prev >= 0:
-            old, got = waiting[prev], get(tokens[prev] + joined, -1)
-            fresh = ((new, k), (got, prev)) if got != old else ((new, k),)
-        else:
-            fresh = ((new, k),)
-    ids, k = [], 0
+            waiting[k] = x = get(shifted | tokens[end], -1)
+            if x >= 0:
+                if x in buckets:
+                    buckets[x].append(k)
+                else:
+                    buckets[x] = [k]
+                    words[x >> 8] = words.get(x >> 8, 0) | 1 << (x & 255)
+                    top |= 1 << (x >> 8)
+                if x < r:
+                    lower = True
+            prev = before[k]
+            if prev >= 0:
+                waiting[prev] = x = get(tokens[prev] << 16 | r, -1)
+                if x >= 0:
+                    if x in buckets:
+                        buckets[x].append(prev)
+                    else:
+                        buckets[x] = [prev]
+                        words[x >> 8] = words.get(x >> 8, 0) | 1 << (x & 255)
+                        top |= 1 << (x >> 8)
+                    if x < r:
+                        lower = True
+    left = np.array(still_linked(after, n), np.int64)
+    ids = np.array(tokens, np.int64)[left]
+    cuts = np.flatnonzero(ids == BARRIER).tolist()
+    ids = ids.tolist()
+    return [ids[a:z] for a, z in zip([0, *[c + 1 for c in cuts]], cuts)]
+
+
+def still_linked(after: list[int], n: int) -> list[int]:
+    """Positions still in the linked list, in order."""
+    out, k = [], 0
     while k < n:
-        ids.append(ranks[tokens[k]])
+        out.append(k)
         k = after[k]
-    return ids
+    return out
+
+
+def joins_of(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Ranks by the ids of two tokens whose joined bytes are a token."""
+    get = ranks.get
+    out = {}
+    for token, r in ranks.items():
+        for k in range(1, len(token)):
+            a, b = get(token[:k]), get(token[k:])
+            if a is not None and b is not None:
+                out[a << 16 | b] = r
+    return out
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], joins: dict[int, int]) -> list[int]:
+    """Token ids of one piece."""
+    whole = ranks.get(piece)
+    return [whole] if whole is not None else merge_all([piece], ranks, joins)[0]
 
 
 class Codec:
@@ -111,18 +164,40 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.split = regex.compile(pattern).findall
+        if len(self.ranks) > 0xFFFF or sorted(self.bytes_of) != list(range(len(self.ranks))):
+            raise ValueError("ranks must count from 0 and stay below 65535")
+        self.joins = joins_of(self.ranks)
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.room = CACHE_BYTES
+
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """Pieces of the texts, all of them merged and in the cache."""
+        if self.room < 0:  # pieces used since the last change of caches are kept
+            self.cache, self.older, self.room = {}, self.cache, CACHE_BYTES
+        pieces = list(map(self.split, texts))
+        new = set().union(*pieces).difference(self.cache)
+        self.room -= 250 * len(new) + 8 * sum(map(len, new))
+        known = new.intersection(self.older)
+        self.cache.update(zip(known, map(self.older.__getitem__, known)))
+        waiting = []
+        for p in new - known:
+            whole = self.ranks.get(p.encode())
+            if whole is None:
+                waiting.append(p)
+            else:
+                self.cache[p] = (whole,)
+        for k in range(0, len(waiting), 1000):
+            part = waiting[k:k + 1000]
+            self.cache.update(zip(part, map(tuple, merge_all([p.encode() for p in part], self.ranks, self.joins))))
+        return pieces
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        found = self.learn(texts)
+        return [list(chain.from_iterable(map(self.cache.__getitem__, pieces))) for pieces in found]
 
     def encode(self, text: str) -> list[int]:
-        pieces = self.split(text)
-        if len(self.cache) > CACHE:  # pieces used since the last change of caches are kept
-            self.cache, self.older = {}, self.cache
-        cache, older, ranks = self.cache, self.older, self.ranks
-        for p in set(pieces).difference(cache):
-            ids = older.get(p)
-            cache[p] = tuple(merge(p.encode(), ranks)) if ids is None else ids
-        return list(chain.from_iterable(map(cache.__getitem__, pieces)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -147,7 +222,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         c = codec(vocabulary)
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([c.encode(t or "") for t in b.column(1).to_pylist()], pa.list_(pa.int32()))],
+                [b.column(0), pa.array(c.encode_all([t or "" for t in b.column(1).to_pylist()]), pa.list_(pa.int32()))],
                 ["id", "ids"])
 
     return (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
@@ -173,8 +248,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         name = {i: str(i) for i in c.bytes_of}.__getitem__
         for b in slices(batches):
             counts, ids_sha, data_sha = [], [], []
-            for t in b.column(1).to_pylist():
-                ids = c.encode(t or "")
+            for ids in c.encode_all([t or "" for t in b.column(1).to_pylist()]):
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join(map(name, ids)).encode()).hexdigest())
                 data_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
