@@ -49,7 +49,7 @@ TOP = 2000
 COVERED = 50          # percent of a phrase's occurrences inside a longer one that drop it
 SCALE = 1_000_000
 NUMBERED = 1 << 23    # frequent words that are numbered through a broadcast list of 8 bytes each
-TRIE = 1 << 20        # phrases of a trie
+TRIE = 1 << 18        # phrases of a trie: some 20 MB on the driver and in a task
 TALLY = 100_000       # words that a task counts before it passes them on
 RUN = 1 << 18         # word positions that are handled at once
 TASK_BYTES = 16 << 20
@@ -542,7 +542,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
             continue
         shared = spark.sparkContext.broadcast(Trie(*(np.frombuffer(x, k) for x, k in zip(row, ("<i8", "<i8", "<i4", "<i4", "<i4")))))
         counts.append(staged(trie_counts(coded, kind, shared, part, tries, branch), "pc-counts"))
-        shared.unpersist()
+        shared.destroy()  # the counts are written
+        del row
     found = spark.createDataFrame([], "trie int, nth long, a long")
     for c in counts:
         found = found.unionByName(c)
