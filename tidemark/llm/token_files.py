@@ -30,7 +30,10 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +49,9 @@ from tidemark.session import scratch_path
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
-CACHE = 400_000
+CACHE_BYTES = 100 << 20  # of a generation of encoded words, about
+_MARK = re.compile(r"(?<=[a-z])([.,;:!?])(?= |$)")
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch  # one match of the pattern, left as it is by the normaliser
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 LEVEL = 3
@@ -62,26 +67,41 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.room = CACHE_BYTES
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE:
-            self.cache, self.older = {"": b""}, self.cache
+        if self.room < 0:
+            self.older, self.cache, self.room = self.cache, {"": b""}, CACHE_BYTES
         cache, older = self.cache, self.older
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+        # what the tokenizer does to every text anyway, done first so that fewer words differ: A-Z in lower
+        # case (not near a special token, whose case matters), and a mark after a letter and before white
+        # space apart from its word
+        low = [t if "<|" in t else t.encode().lower().decode() for t in texts]
+        words = [_MARK.sub(r" \1", t.replace("\n", " ")).split(" ") for t in low]
         new = set().union(*words).difference(cache) if words else set()
-        missing = []
-        for w in new:
-            got = older.get(w)
-            if got is None:
-                missing.append(w)
-            else:
-                cache[w] = got
-        for k in range(0, len(missing), 5000):
-            part = missing[k:k + 5000]
+        self.room -= 250 * len(new) + 2 * sum(map(len, new))
+        known = new.intersection(older)
+        cache.update(zip(known, map(older.__getitem__, known)))
+        missing = new - known
+        plain = [w for w in missing if _LETTERS(w)]
+        for k in range(0, len(plain), 4096):
+            part = plain[k:k + 4096]
+            lines = [" ".join(part[x:x + 64]) for x in range(0, len(part), 64)]
+            ids = np.array(list(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False))), "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) == len(part):  # a word of letters alone ends with the one token that ends a word
+                raw = ids.tobytes()
+                cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+        rest = list(missing.difference(cache))
+        for k in range(0, len(rest), 5000):
+            part = rest[k:k + 5000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
+                cache[w] = array("I", e.ids).tobytes()
         return [b"".join(map(cache.__getitem__, w)) for w in words]
 
 
@@ -230,7 +250,8 @@ def read_tokens(manifest: DataFrame, wanted: set[int] | None = None) -> DataFram
                             out, size = [], 0
                 yield _rows(out)
 
-    return (manifest.select("file", "start").repartition("file")
+    files = max(1, manifest.count())  # one small row per file; a number keeps one task from reading them all
+    return (manifest.select("file", "start").repartition(files, "file")
             .mapInArrow(run, "id long, start long, ids binary"))
 
 
