@@ -21,3 +21,33 @@ def window_filter(df: DataFrame, start, end, asset: str | None = None,
     if asset is not None:
         pred = pred & (F.col(asset_col) == F.lit(asset))
     return df.where(pred)
+
+
+def read_windows(df: DataFrame, requests: DataFrame, ts_col: str = "timestamp", asset_col: str = "asset",
+                 grain: str = "hour") -> DataFrame:
+    """Rows of ``df`` for many windows at once: ``requests(request_id, asset, start, end)``, bounds inclusive, a NULL
+    asset standing for every asset. One row per request and row inside it, with ``request_id`` in front.
+
+    An interval join by time bins: a request is exploded into the bins (``grain``: hour, day or month) that its
+    window touches and that the rows span at all; rows have one bin each; bins meet by an equi-join on (asset,
+    bin) - on the bin alone for requests of every asset - and the bounds are checked exactly afterwards. A row lies
+    in one bin, so no pair comes up twice, and no pair outside common bins is ever formed. Windows with
+    reversed or NULL bounds match nothing, as do rows without a time.
+    """
+    width = {"hour": "1 hour", "day": "1 day", "month": "1 month"}[grain]
+    dtype = df.schema[ts_col].dataType
+    rows = df.withColumn("__bin", F.date_trunc(grain, F.col(ts_col)).cast(dtype)).where(F.col(ts_col).isNotNull())
+    # the first and the last bin there are, as text: literals keep the plan free of a join with one row
+    low, high = rows.agg(F.min("__bin").cast("string"), F.max("__bin").cast("string")).first()
+    asked = requests.select(
+        "request_id", F.col("asset").alias("__asset"), F.col("start").cast(dtype).alias("__start"), F.col("end").cast(dtype).alias("__end")) \
+        .where("__start <= __end") \
+        .withColumn("__first", F.greatest(F.date_trunc(grain, "__start").cast(dtype), F.lit(low).cast(dtype))) \
+        .withColumn("__last", F.least(F.col("__end"), F.lit(high).cast(dtype))).where("__first <= __last") \
+        .withColumn("__bin", F.explode(F.expr(f"sequence(__first, __last, interval {width})"))) \
+        .drop("__first", "__last")
+    inside = F.col(ts_col).between(F.col("__start"), F.col("__end"))
+    one = rows.join(asked.where("__asset is not null"), (F.col(asset_col) == F.col("__asset")) & (rows["__bin"] == asked["__bin"])) \
+        .where(inside).select("request_id", *df.columns)
+    every = rows.join(asked.where("__asset is null"), rows["__bin"] == asked["__bin"]).where(inside).select("request_id", *df.columns)
+    return one.unionByName(every)

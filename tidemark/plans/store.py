@@ -9,12 +9,14 @@ Arrival order is stored with every row in columns that readers do not see (``ARR
 compares the arrival of a stored row with that of an incoming one, so the result does not
 depend on which of two batches is handled first, nor on how files fall into micro-batches.
 
-Publishing: a write puts whole new partition data (or added files) into a version folder of its
-own, checks its row count, and then creates one small pointer file that names, per partition, the
-versions that make up the table. Readers follow the newest pointer, so they see the old table
-or the new one; a run lost before the pointer exists changes nothing, and replaying the batch
-converges. Data that neither the newest nor the previous pointer names is removed
-afterwards. A single writer per table is assumed (a second one fails at the pointer).
+Publishing: a write puts whole new partition data (or added files) into a version folder that no other
+run has or will have (its name ends in a random part), checks its row count, and then creates one
+small pointer file that names, per partition, the versions that make up the table. Readers follow the
+newest pointer, so they see the old table or the new one; a run lost before the pointer exists changes
+nothing, and replaying the batch converges. Of two writers that began from one pointer the first to
+publish wins; the other one's folder is removed and its write raises `WriterConflict` - or is done again
+from the newer pointer (``retries``). Data that neither the newest nor the previous pointer names is
+removed afterwards.
 """
 
 from __future__ import annotations
@@ -43,6 +45,10 @@ ARRIVAL = {"batch_id": T.LongType(), "ingest_ts": T.TimestampType(), "payload_ha
 ARRIVAL_COLUMNS = [f"_{c}" for c in ARRIVAL]
 
 
+class WriterConflict(RuntimeError):
+    """Another writer has published since this write read the table."""
+
+
 @dataclass
 class WriteStats:
     table: str
@@ -73,11 +79,13 @@ class TableStore:
 
     ``time_grain`` ("month" or "day") is the partition grain of the time-keyed tables when they
     are created; a table's layout is recorded beside it, and an existing table keeps its own.
+    ``retries``: how often a write starts over when another writer published first.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, time_grain: str = "month",
-                 key_buckets: int = 1):
+                 key_buckets: int = 1, retries: int = 3):
         self.spark = spark
+        self.retries = retries
         ensure_utc(spark)
         if root is None:
             base = shared_dir(spark)
@@ -152,7 +160,8 @@ class TableStore:
         self._write_bytes(fs, tmp, json.dumps(pointer))
         _, final = self._fs(f"{folder}/current-{pointer['version']:09d}")
         if fs.exists(final) or not fs.rename(tmp, final):
-            raise RuntimeError(f"another writer has published version {pointer['version']} of {spec.name}")
+            fs.delete(tmp, False)
+            raise WriterConflict(f"another writer has published version {pointer['version']} of {spec.name}")
 
     def _clean(self, spec: S.TableSpec, version: int) -> None:
         """Remove old pointers and the data that only they name."""
@@ -171,7 +180,7 @@ class TableStore:
             fs.delete(p, False)
             old = self._newest(spec, before=old)
 
-    def _version_path(self, spec: S.TableSpec, version: int) -> str:
+    def _version_path(self, spec: S.TableSpec, version: str) -> str:
         return f"{self.path(spec)}/v={version}"
 
     # -- K4: create -------------------------------------------------------------------
@@ -276,9 +285,9 @@ class TableStore:
         """Write ``df`` as the next version and switch to it: its partitions replace the stored ones, or
         add to them. Returns (observed metrics, partition values written)."""
         version, part = pointer["version"] + 1, spec.partition_col
-        target = self._version_path(spec, version)
+        name = f"{version}-{uuid.uuid4().hex[:12]}"
+        target = self._version_path(spec, name)
         fs, p = self._fs(target)
-        fs.delete(p, True)  # left by a run that was lost before its switch
         obs = Observation(f"{spec.name}-{uuid.uuid4().hex[:8]}")
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
         counted.select(*self.storage_schema(spec).fieldNames()).sortWithinPartitions(part, *spec.sort_cols) \
@@ -290,8 +299,12 @@ class TableStore:
         folders = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
         parts = dict(pointer["parts"])
         for d in folders:
-            parts[d] = [version] if replace else [*parts.get(d, []), version]
-        self._switch(spec, {"version": version, "next_id": next_id or pointer["next_id"], "parts": parts})
+            parts[d] = [name] if replace else [*parts.get(d, []), name]
+        try:
+            self._switch(spec, {"version": version, "next_id": next_id or pointer["next_id"], "parts": parts})
+        except WriterConflict:
+            fs.delete(p, True)  # of this run alone
+            raise
         self._clean(spec, version)
         return got, sorted(urllib.parse.unquote(d.split("=", 1)[1]) for d in folders)
 
@@ -335,7 +348,25 @@ class TableStore:
             .join(self._keys_side(keys, n, key_bytes), spec.key) \
             .withColumn("__late", F.col("__s") > F.col("__w")).drop("__s", "__w")
 
+    def _until_published(self, write):
+        """Run ``write``, again from the newest pointer if another writer was first, at most ``retries`` times."""
+        for attempt in range(self.retries + 1):
+            try:
+                return write()
+            except WriterConflict:
+                if attempt == self.retries:
+                    raise
+
     def upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
+        """`_upsert`, done again if another writer was first: the merge is by stored arrival order, so the
+        result is the same whichever of them publishes first."""
+        return self._until_published(lambda: self._upsert(spec, incoming, order))
+
+    def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
+        """`_insert_ignore`, done again if another writer was first."""
+        return self._until_published(lambda: self._insert_ignore(spec, incoming, order))
+
+    def _upsert(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """REPLACE: last arrival per key wins (whole row), within the batch and against stored rows; a
         NULL in a NOT NULL column fails the batch before anything is published; an empty batch
         is a no-op. ``rows_ignored`` counts keys whose stored row arrived later."""
@@ -366,7 +397,7 @@ class TableStore:
         stats.rows_ignored, stats.rows_deduped = n - got["new"], stats.rows_in - n
         return stats
 
-    def insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
+    def _insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """IGNORE: first arrival per key wins within the batch and against stored rows (a row that arrived
         before the stored one takes its place and id); rows with NULL in a NOT NULL column are
         skipped and counted; new keys get increasing ids."""

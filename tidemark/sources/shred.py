@@ -13,6 +13,7 @@ from tidemark import schemas as S
 from tidemark.functions.nested import get_or
 from tidemark.functions.timefn import epoch_in_range, epoch_millis_to_ts, epoch_seconds_to_ts, floor_hour
 from tidemark.sources.landing import classify
+from tidemark.sources.variant import chart_has_null_array
 
 
 def _empty_pairs() -> Column:
@@ -46,8 +47,11 @@ def chart_invalid() -> Column:
             | ((n > 0) & F.exists(used(F.col("p.total_volumes")), _bad_value_pair)))
 
 
-def classify_chart(landed: DataFrame) -> DataFrame:
-    return classify(landed, S.CHART_PAYLOAD, chart_invalid())
+def classify_chart(landed: DataFrame, strict_nulls: bool = False) -> DataFrame:
+    """``strict_nulls``: an array that is explicitly null fails its payload, a missing one is empty (the
+    payload is then also parsed as VARIANT; without it both are empty)."""
+    invalid = chart_invalid()
+    return classify(landed, S.CHART_PAYLOAD, invalid | chart_has_null_array(F.col("payload")) if strict_nulls else invalid)
 
 
 def zip_by_position(df: DataFrame, keep, driver: Column, others: dict, value_name: str = "value",
