@@ -8,7 +8,8 @@ from tidemark.llm import (byte_bpe, collocations, cross_alignment, embedding_ded
 LLM_QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op1_substring_dedup_all_runs": substring_dedup.all_runs_query,
-    "op1_substring_dedup_by_sentences": substring_dedup.by_sentences_query,
+    "op1_substring_dedup_by_sentences": substring_dedup.query,
+    "op1_substring_dedup_shortest_runs": substring_dedup.shortest_runs_query,
     "op2_exact_topk": exact_topk.query,
     "op3_quality_classifier": quality.query,
     "op4_source_mixing": source_mixing.query,
@@ -24,9 +25,10 @@ LLM_QUERIES = {
 }
 
 LLM_SQL: dict[str, str] = {
-    "op1_substring_dedup": substring_dedup.SQL,
+    "op1_substring_dedup": substring_dedup.BY_SENTENCES_SQL,
     "op1_substring_dedup_all_runs": substring_dedup.ALL_RUNS_SQL,
     "op1_substring_dedup_by_sentences": substring_dedup.BY_SENTENCES_SQL,
+    "op1_substring_dedup_shortest_runs": substring_dedup.SQL,
     "op2_exact_topk": exact_topk.SQL,
     "op4_source_mixing": source_mixing.sql(),
     "op6_embedding_near_dedup": embedding_dedup.SQL,

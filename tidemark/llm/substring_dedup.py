@@ -3,8 +3,8 @@
 A text is cut into sentences. At every sentence a run starts: the shortest run of at least
 ``SENTENCES`` consecutive sentences with at least ``WORDS`` words (none, if the text ends before).
 With ``every``, the shortest run that ends at every sentence is listed too, and a sentence is covered
-if any run, however long, covers it; without, the tail of a repeat can stay (`op1_substring_dedup`).
-With ``words=0`` a run is defined by its sentences alone (`op1_substring_dedup_by_sentences`).
+if any run, however long, covers it; without, the tail of a repeat can stay. With ``words=0`` a run is defined
+by its sentences alone: `op1_substring_dedup` is ``every`` with ``words=0``, the whole job.
 Every listed run is hashed (128 bits) and the hashes are joined over the whole table. A run that also occurs
 in a row with a smaller id, or earlier in its own text, is a repeat; sentences covered by any repeat
 are removed, repeats being judged on the input.
@@ -16,7 +16,8 @@ listed per text only, each once however many rows are equal in id and text. Text
 
 Defined cases: null and empty texts have no sentences and stay as they are. Rows of equal id do not
 remove each other's sentences (neither is smaller). A null id counts as larger than all others. White
-space at a sentence's ends does not count for equality. Extra columns are ignored.
+space at a sentence's ends does not count for equality. Very long texts are handled whole; their runs are listed
+once per text. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -155,17 +156,20 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Every run of ``SENTENCES`` or more sentences, however few words it has."""
+    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=0, every=True)
             .withColumnRenamed("id", "doc_id"))
 
 
 def all_runs_query(spark, sf_dir: str) -> DataFrame:
+    """Every run of sentences with at least ``WORDS`` words."""
     return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), every=True)
             .withColumnRenamed("id", "doc_id"))
 
 
-def by_sentences_query(spark, sf_dir: str) -> DataFrame:
-    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=0, every=True)
+def shortest_runs_query(spark, sf_dir: str) -> DataFrame:
+    """Only the shortest run with at least ``WORDS`` words from each start: does less than the whole job."""
+    return (substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
             .withColumnRenamed("id", "doc_id"))
 
 
