@@ -124,3 +124,17 @@ def test_embedding_dedup_equals_brute_force(spark, options, monkeypatch):
 
 def test_embedding_dedup_of_an_empty_table(spark):
     assert embedding_dedup.embedding_dedup(table(spark, [])).count() == 0
+
+
+def test_lengths_are_groups_of_their_own(spark):
+    """Other lengths, however common, change nothing: neither partners nor scores."""
+    rng = np.random.default_rng(5)
+    three = [(k, rng.integers(-9, 9, 3).astype(float).tolist(), k % 2) for k in range(30)]
+    two = [(100 + k, [1.0, 2.0], 1) for k in range(2)] + [(110, [5.0, -1.0], 1)]
+    for more in ([], [(200 + k, [float(k), 1.0], 0) for k in range(60)]):
+        frame = table(spark, three + two + more)
+        got = {(r.query, r.id): r.score for r in exact_topk.exact_topk(frame, frame.where("vec_id in (0, 100)"), 3).collect()}
+        of = lambda q, rows: sorted((-float(np.dot(dict((i, v) for i, v, _ in rows)[q], v)), i) for i, v, _ in rows if i != q)[:3]
+        assert got == {**{(0, i): -s for s, i in of(0, three)}, **{(100, i): -s for s, i in of(100, two + more)}}
+        links = {r.id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(frame).collect()}
+        assert links[100] == links[101] == (1, 100) and links[110] == (0, 110)

@@ -18,8 +18,9 @@ vectors whose projections differ by more than eps in one direction cannot be lin
 The principal directions are fitted on at most ``SAMPLE`` entries (a documented bound); they affect
 speed alone, every vector is sorted and joined.
 
-Defined cases: a vector that is null, zero, holds null or non-finite components, has a null label or a length
-other than the most common one links with nothing (``n_links`` 0, its own component, kept). Equal
+Defined cases: a vector that is null, zero, holds null or non-finite components, has or has a null label
+links with nothing (``n_links`` 0, its own component, kept). Vectors of different lengths never link; each
+length is a join of its own. Equal
 vectors (repeated rows, copies under other ids) link with each other. A null id is kept as a row and
 never names a component unless there is nothing else. Extra columns are ignored.
 """
@@ -249,10 +250,21 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                           vectors[vec_col].cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where("label is not null and vec is not null").where(finite & F.exists("vec", lambda x: x != 0))
-    usual = good.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    good = good.where(F.size("vec") == F.lit(usual["n"] if usual else 0))
+    labelled = None
+    for r in good.select(F.size("vec").alias("n")).distinct().orderBy("n").collect() or [None]:
+        n = r.n if r else 1
+        found = _labelled(good.where(F.size("vec") == F.lit(n)), n, threshold, dims, block, sample)
+        labelled = found if labelled is None else labelled.unionByName(found)
+    return (rows.join(labelled, ["label", "vec"], "left")
+            .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+            .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
+
+
+def _labelled(good: DataFrame, length: int, threshold: float, dims: int, block: int, sample: int) -> DataFrame:
+    """``label, vec, n_links, component_id`` of the distinct vectors of one length."""
     entries = staged(good.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("low_id")), "ego-entries")
-    axes = principal_directions(entries, min(dims, usual["n"] if usual else 1), sample)
+    axes = principal_directions(entries, min(dims, length), sample)
     eps = math.sqrt(max(1e-12, 2 - 2 * threshold)) + 1e-9
     blocks = staged(blocks_of(entries, axes, eps, min(block, BLOCK_IDS)), "ego-blocks")
     pairs = staged(block_pairs(blocks, eps, axes.shape[1]), "ego-pairs")
@@ -278,11 +290,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
              .withColumn("root", F.coalesce("root", "node")))
     best = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
     n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1  # of other entries, and of copies of its own
-    labelled = staged(named.join(best, "root").select("label", "vec", n_links.alias("n_links"), "component_id"), "ego-result")
-    return (rows.join(labelled, ["label", "vec"], "left")
-            .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
-            .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
+    return staged(named.join(best, "root").select("label", "vec", n_links.alias("n_links"), "component_id"), "ego-result")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -41,10 +41,8 @@ WAVE = 32
 def prepared(frame: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``id, vec`` of the rows that take part."""
     rows = frame.select(frame[id_col].cast("long").alias("id"), frame[vec_col].cast("array<double>").alias("vec"))
-    good = rows.where("id is not null and vec is not null and size(vec) > 0").where(
+    return rows.where("id is not null and vec is not null and size(vec) > 0").where(
         F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    usual = good.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.where(F.size("vec") == F.lit(usual["n"] if usual else 0))
 
 
 def _matrix(column, dim: int | None = None) -> np.ndarray:
@@ -128,15 +126,27 @@ def _exact(batches):
 def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
                bits: int = BITS, strip: int = STRIP, block: int = QUERY_BLOCK, wave: int = WAVE) -> DataFrame:
     """``query, rank, id, score``: the ``k`` rows of ``vectors`` with the largest inner product for every
-    row of ``queries`` (exact while products and sums stay below 2**53 for integer vectors)."""
+    row of ``queries`` (exact while products and sums stay below 2**53 for integer vectors). A query's candidates
+    are the vectors of its length; each length that queries have is a search of its own."""
     rows = prepared(vectors, id_col, vec_col)
+    asked = prepared(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec"))
+    lengths = sorted(r.n for r in asked.select(F.size("vec").alias("n")).distinct().collect())
+    out = None
+    for n in lengths or [0]:
+        found = _of_one_length(*(x.where(F.size("vec") == F.lit(n)) for x in (rows, asked)), k, bits, strip, block, wave)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _of_one_length(rows: DataFrame, questions: DataFrame, k: int, bits: int, strip: int, block: int, wave: int) -> DataFrame:
+    """`exact_topk` over prepared rows whose vectors have one length."""
     each = rows.groupBy("vec", "id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
     copy = Window.partitionBy("vec").orderBy("id")
     few = each.withColumn("nth", F.row_number().over(copy)).where(F.col("nth") <= k + 1)  # limited before the shuffle, too
     entries = (few.groupBy("vec").agg(F.sort_array(F.flatten(F.collect_list(F.expr("array_repeat(id, n)")))).alias("ids"))
                .withColumn("entry", F.xxhash64("vec")))
     low, high = cell_edges(rows)
-    shared = vectors.sparkSession.sparkContext.broadcast(Cells(low, high, bits) if len(low) else None)
+    shared = rows.sparkSession.sparkContext.broadcast(Cells(low, high, bits) if len(low) else None)
 
     def approximate(batches):
         for b in batches:
@@ -146,7 +156,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
 
     table = staged(entries.select("entry", "ids", "vec")
                    .mapInArrow(approximate, "entry long, ids array<long>, vec array<double>, cells binary"), "va-file")
-    asked = staged(prepared(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec")), "va-queries")
+    asked = staged(questions, "va-queries")
     strips, blocks = parts_for(table.count(), strip), parts_for(asked.count(), block)
     left = (table.select("entry", "cells", F.size(F.array_distinct("ids")).alias("copies"), F.element_at("ids", 1).alias("first"),
                          F.pmod(F.xxhash64("entry"), F.lit(strips)).cast("int").alias("strip"))
