@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import math
 
 import numpy as np
@@ -51,6 +53,25 @@ def discard(df: DataFrame) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system: a Python worker lives on between stages, and what its
+    allocators keep counts against the executor. Does nothing where the C library cannot."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(function):
+    """``function`` of grouped Arrow tables, followed by `release_memory`."""
+    @functools.wraps(function)
+    def run(*args):
+        out = function(*args)
+        release_memory()
+        return out
+
+    return run
+
+
 def slices(batches, rows: int = 256):
     """The record batches in slices of a few rows: what a task holds of a batch as Python objects stays
     small, however long the texts of a whole batch are."""
