@@ -255,7 +255,6 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                                               pa.array(data_sha, pa.string())],
                                              ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        c.older = {}  # a worker lives on between stages: it keeps one generation
         release_memory()
 
     return (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
