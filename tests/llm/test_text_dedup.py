@@ -102,6 +102,27 @@ def test_pivot_table_never_discards_a_link():
     assert set(range(300)) <= {x for x, y in zip(i.tolist(), j.tolist()) if x == y}
 
 
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_links_agree_in_two_families_of_pivots(max_bits):
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 1 << 64, 4000, np.uint64)
+    b = a.copy()
+    for _ in range(max_bits):
+        b ^= np.uint64(1) << rng.integers(0, 64, len(a), np.uint64)
+    ka, kb = (simhash_dedup.family_keys(simhash_dedup.pivot_table(x, max_bits), max_bits) for x in (a, b))
+    assert (sum((x == y).astype(int) for x, y in zip(ka, kb)) >= 2).all()
+    # the coordinates of a family tell apart nearly all values of its share of the bits
+    values = 2.0 ** (64 // (max_bits + 2))
+    assert min(len(np.unique(x)) for x in ka) > 0.9 * values * -np.expm1(-len(a) / values)
+
+
+def test_distance_table_is_stored_once_per_fingerprint(spark):
+    fps = np.random.default_rng(6).integers(0, 1 << 63, 50)
+    rows = simhash_dedup.distance_table(spark.createDataFrame([(int(f),) for f in fps], "fp long")).collect()
+    want = {int(f): d.tobytes() for f, d in zip(fps, simhash_dedup.pivot_table(fps.view(np.uint64)))}
+    assert {r.fp: bytes(r.d) for r in rows} == want and {len(d) for d in want.values()} == {1 + 4 * simhash_dedup.PIVOTS}
+
+
 # ---- suffix arrays -------------------------------------------------------------------------------
 
 def brute_removal(rows, length=suffix_dedup.LENGTH):

@@ -3,15 +3,17 @@
 A document's fingerprint has 64 bits; fingerprints within ``max_bits`` of one another are linked
 and the connected components are the groups of near copies.
 
-Candidates. Reference fingerprints ("pivots") give every fingerprint a row of Hamming distances.
-Two fingerprints at distance t differ by at most t in every coordinate. Two kinds of pivots are
-used. The *unit pivots* of a band of bits (one bit set each), taken relative to the zero pivot, have
-coordinates +-1 that change only when a bit of that band differs; they read off as the band's
-bits. With ``max_bits + 2`` bands, linked fingerprints agree in all coordinates of at least two
-bands, so grouping by the coordinates of every pair of bands meets every link (no bound on
-candidates, nothing lost). The *random pivots* (``PIVOTS`` seeded fingerprints) form the distance
-table: inside a group a pair is discarded as soon as one coordinate differs by more than
-``max_bits``; survivors are verified by their exact Hamming distance.
+Distance table. `pivots` gives reference fingerprints: a seeded random base and ``max_bits + 2`` families. A pivot of
+a family differs from the base only in half of the family's own share of the 64 bits. The Hamming distances of
+every distinct fingerprint to all pivots are computed once and stored (`distance_table`).
+
+Candidates. Flipping a bit changes each distance by one, and by the same amount for the base and for every pivot of the
+families that do not own the bit. Linked fingerprints differ in at most ``max_bits`` bits, so in at least
+two families all distances relative to the base are equal. Candidates are the pairs that agree in
+the stored coordinates of some two families: an equi-join of the table with itself, without a bound on its groups.
+
+Discard and verify. No coordinate of a linked pair differs by more than ``max_bits`` (triangle inequality): a candidate
+is discarded by its largest coordinate difference, and what is left is verified by its exact Hamming distance.
 
 Scale. Equal fingerprints are one node (grouped minimum, combined before the shuffle). A group of
 more than ``BLOCK`` fingerprints is cut into blocks, and pairs of blocks are joined as separate
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, slices, staged
 
 SEED = 42
-PIVOTS = 24
+PIVOTS = 10  # of a family
 BLOCK = 256
 
 
@@ -72,28 +74,59 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .mapInArrow(run, "id long, row long, fp long"))
 
 
-def bands(max_bits: int) -> list[tuple[int, int]]:
-    """(first bit, width) of ``max_bits + 2`` bands that cover the 64 bits."""
-    n = max_bits + 2
-    edges = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def pivots(max_bits: int = 2, each: int = PIVOTS) -> np.ndarray:
+    """The reference fingerprints: the base, then the first of every family, the second of every family, ..."""
+    rng = np.random.default_rng(SEED)
+    base = rng.integers(0, 1 << 64, dtype=np.uint64)
+    shares = np.array_split(rng.permutation(64), max_bits + 2)
+    out = [base]
+    for _ in range(each):
+        for share in shares:
+            half = rng.choice(share, len(share) // 2, replace=False).astype(np.uint64)
+            out.append(base ^ np.bitwise_or.reduce(np.uint64(1) << half, initial=np.uint64(0)))
+    return np.array(out, np.uint64)
+
 
+def pivot_table(fps: np.ndarray, max_bits: int = 2) -> np.ndarray:
+    """Hamming distances of ``fps`` to the pivots, one column each."""
+    return np.bitwise_count(fps[:, None] ^ pivots(max_bits)[None, :]).astype(np.int8)
+
+
+def family_keys(table: np.ndarray, max_bits: int = 2) -> list[np.ndarray]:
+    """Per family one number that stands for its coordinates relative to the base (a digit for each)."""
+    families, half = max_bits + 2, 64 // (max_bits + 2) // 2 + 1
+    relative = table[:, 1:].astype(np.int64) - table[:, :1] + half
+    keys = []
+    for f in range(families):
+        key = np.zeros(len(table), np.int64)
+        for digit in relative[:, f::families].T:
+            key = key * (2 * half + 1) + digit
+        keys.append(key)
+    return keys
 
-def pivot_table(fps: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
-    """Hamming distances of ``fps`` to the seeded random pivots, one column each."""
-    refs = np.random.default_rng(SEED).integers(0, 1 << 64, pivots, np.uint64)
-    return np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
 
+def distance_table(classes: DataFrame, max_bits: int = 2) -> DataFrame:
+    """``(fp, d, k0, k1, ...)``: the distances of each fingerprint to all pivots, a byte each, and its families' keys."""
+    names = [f"k{f}" for f in range(max_bits + 2)]
 
-def tile_links(left: np.ndarray, right: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i of ``left``, j of ``right``) within ``max_bits`` bits."""
-    dl, dr = pivot_table(left), pivot_table(right)
+    def run(batches):
+        for b in batches:
+            table = pivot_table(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), max_bits)
+            d = pa.array([row.tobytes() for row in table], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), d, *map(pa.array, family_keys(table, max_bits))], ["fp", "d", *names])
+
+    return classes.select("fp").mapInArrow(run, "fp long, d binary, " + ", ".join(f"{k} long" for k in names))
+
+
+def tile_links(left: np.ndarray, right: np.ndarray, max_bits: int, dl: np.ndarray | None = None,
+               dr: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i of ``left``, j of ``right``) within ``max_bits`` bits; ``dl``, ``dr`` are their rows of the table."""
+    dl = pivot_table(left, max_bits) if dl is None else dl
+    dr = pivot_table(right, max_bits) if dr is None else dr
     i, j = np.nonzero(np.abs(dl[:, 0][:, None] - dr[:, 0][None, :]) <= max_bits)
     for k in range(1, dl.shape[1]):
         keep = np.abs(dl[i, k] - dr[j, k]) <= max_bits
         i, j = i[keep], j[keep]
-        if len(i) < 64:
-            break
     keep = np.bitwise_count(left[i] ^ right[j]) <= max_bits
     return i[keep], j[keep]
 
@@ -112,16 +145,16 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _tiles(batches, max_bits: int):
-    """Sorted rows (key, ta, tb, blk, fp) -> forest edges (a, b) of each tile."""
+    """Sorted rows (key, ta, tb, blk, fp, d) -> forest edges (a, b) of each tile."""
     rest = None
     out: list[np.ndarray] = []
 
-    def solve(fp, blk, ta, tb):
+    def solve(fp, d, blk, ta, tb):
         if ta == tb:
-            i, j = tile_links(fp, fp, max_bits)
+            i, j = tile_links(fp, fp, max_bits, d, d)
         else:
             cut = int(np.searchsorted(blk, tb))
-            i, j = tile_links(fp[:cut], fp[cut:], max_bits)
+            i, j = tile_links(fp[:cut], fp[cut:], max_bits, d[:cut], d[cut:])
             j = j + cut
         root = forest(len(fp), i, j)
         at = np.flatnonzero(root != np.arange(len(fp)))
@@ -130,7 +163,7 @@ def _tiles(batches, max_bits: int):
 
     def flush(cols, last):
         """Solve the whole tiles of ``cols``; return the rows of the last, maybe unfinished, one."""
-        key, ta, tb, blk, fp = cols
+        key, ta, tb, blk, fp, d = cols
         if not len(key):
             return None
         cuts = np.flatnonzero((key[1:] != key[:-1]) | (ta[1:] != ta[:-1]) | (tb[1:] != tb[:-1])) + 1
@@ -139,7 +172,7 @@ def _tiles(batches, max_bits: int):
             if b == len(key) and not last:
                 return [c[a:] for c in cols]
             if b - a > 1:
-                solve(fp[a:b], blk[a:b], ta[a], tb[a])
+                solve(fp[a:b], d[a:b], blk[a:b], ta[a], tb[a])
         return None
 
     def result():
@@ -150,6 +183,7 @@ def _tiles(batches, max_bits: int):
     for batch in batches:
         cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
         cols[4] = cols[4].view(np.uint64)
+        cols.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.int8).reshape(batch.num_rows, -1))
         if rest is not None:
             cols = [np.concatenate(p) for p in zip(rest, cols)]
         rest = flush(cols, False)
@@ -161,20 +195,15 @@ def _tiles(batches, max_bits: int):
 
 def links(classes: DataFrame, max_bits: int = 2, block: int = BLOCK) -> DataFrame:
     """Edges ``(a, b)`` that connect the fingerprints of column ``fp`` (distinct) as all links do."""
-    cut = bands(max_bits)
-    keys = []
-    for n, (x, y) in enumerate(combinations(range(len(cut)), 2)):
-        (s1, w1), (s2, w2) = cut[x], cut[y]
-        part = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in ((s1, w1), (s2, w2))]
-        keys.append(F.xxhash64(F.lit(n), *part) if w1 + w2 > 56 else
-                    F.shiftleft(part[0], w2).bitwiseOR(part[1]).bitwiseOR(F.shiftleft(F.lit(n).cast("long"), 56)))
-    keyed = classes.select("fp", F.explode(F.array(*keys)).alias("key"))
+    table = staged(distance_table(classes, max_bits), "pivot-distances")
+    keys = [F.xxhash64(F.lit(n), f"k{x}", f"k{y}") for n, (x, y) in enumerate(combinations(range(max_bits + 2), 2))]
+    keyed = table.select("fp", "d", F.explode(F.array(*keys)).alias("key"))
     sizes = keyed.groupBy("key").count().where("count > 1")
     tiles = (keyed.join(sizes, "key")
              .withColumn("nb", F.ceil(F.col("count") / F.lit(block)).cast("int"))
              .withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("nb")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("key", F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", "fp"))
+             .select("key", F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", "fp", "d"))
     return (tiles.repartition("key", "ta", "tb").sortWithinPartitions("key", "ta", "tb", "blk", "fp")
             .mapInArrow(lambda it: _tiles(it, max_bits), "a long, b long"))
 
