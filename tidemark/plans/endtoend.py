@@ -122,6 +122,20 @@ def q_stored_news_ids(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("rows_ignored", F.lit(res.rows_ignored).cast("long"))
 
 
+def q_batch_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the price table from states kept per version folder, asked for after each of two batches and a replay."""
+    ensure_utc(spark)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.create_tables([S.PRICE])
+    first, rest = two_landings("price", envelopes(spark, sf)[0])
+    for part in (first, rest, first):
+        res = ingest_source(spark, store, "price", part, PRICE_ASSETS)
+        if not res.ok:
+            raise RuntimeError(res.error)
+        stats = store.batch_stats(S.PRICE)
+    return stats.select("asset", "n", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_hour", "last_hour")])
+
+
 def q_stream_price_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     """The later landing as one micro-batch, then the earlier one: the same table as a batch run."""
     ensure_utc(spark)
@@ -232,6 +246,7 @@ END_TO_END_QUERIES = {
     "stored_news_two_batches": q_stored_news_two_batches,
     "stored_news_ids": q_stored_news_ids,
     "stream_price_out_of_order": q_stream_price_out_of_order,
+    "batch_stats_incremental": q_batch_stats_incremental,
     "news_max_articles_redelivered": q_news_max_articles_redelivered,
     "stored_price_window": q_stored_price_window,
     "stored_market_window": q_stored_market_window,
@@ -319,6 +334,9 @@ END_TO_END_SQL["stream_news_table"] = END_TO_END_SQL["stored_news_table"]
 # batches handled out of order leave the tables that one run in order leaves
 END_TO_END_SQL["stored_price_two_batches"] = END_TO_END_SQL["stored_price_table"]
 END_TO_END_SQL["stream_price_out_of_order"] = END_TO_END_SQL["stored_price_table"]
+END_TO_END_SQL["batch_stats_incremental"] = (
+    "select asset, count(*) n, min(\"timestamp\") first_hour, max(\"timestamp\") last_hour "
+    f"from ({END_TO_END_SQL['stored_price_table']}) t group by 1")
 END_TO_END_SQL["stored_market_two_batches"] = END_TO_END_SQL["stored_market_table"]
 END_TO_END_SQL["stored_news_two_batches"] = END_TO_END_SQL["stored_news_table"]
 for _kind, _asset, _bounds in (("price", "asset = 'click' and ", WINDOW), ("market", "", WINDOW), ("news", "asset = 'src3' and ", NEWS_WINDOW)):

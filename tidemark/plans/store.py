@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from tidemark import schemas as S
 from tidemark.operators.merge import first_per_key, latest_per_key, normalise_nan, null_violation
 from tidemark.operators.sizing import DEFAULT_BROADCAST_ROWS
+from tidemark.plans import version_index
 from tidemark.plans.staging import stage
 from tidemark.session import ensure_utc, shared_dir
 
@@ -59,6 +60,8 @@ class WriteStats:
     rows_deduped: int = 0
     rows_empty_url: int = 0
     partitions: list = field(default_factory=list)
+    folders_stored: int = 0   # of an insert-or-ignore: version folders of the table, and those whose keys were read
+    folders_read: int = 0
 
 
 def ts_literal(value) -> Column:
@@ -179,6 +182,7 @@ class TableStore:
             fs, p = self._fs(f"{self._pointer_dir(spec)}/current-{old:09d}")
             fs.delete(p, False)
             old = self._newest(spec, before=old)
+        version_index.forget(self, spec, {v for _, v in live}, previous)
 
     def _version_path(self, spec: S.TableSpec, version: str) -> str:
         return f"{self.path(spec)}/v={version}"
@@ -233,30 +237,56 @@ class TableStore:
                                else part == F.lit(asset))
         return df.where(pred).select(*spec.columns)
 
+    def batch_stats(self, spec: S.TableSpec) -> DataFrame:
+        """Rows, first and last time per asset of the stored table, from statistics kept per version folder: only
+        partitions written since the last call are read."""
+        states = version_index.derived(self, spec, self._pointer(spec), "stats")
+        if states is None:
+            states = version_index.batch_states(self._stored(self.spec(spec)).withColumn("v", F.lit("")), self.spec(spec))
+        return states.groupBy("asset").agg(F.sum("n").alias("n"), F.min("first_hour").alias("first_hour"),
+                                           F.max("last_hour").alias("last_hour"))
+
     # -- quarantine and compaction ----------------------------------------------------
     def quarantine_path(self) -> str:
         return f"{self.root}/_quarantine"
 
     def write_quarantine(self, rows: DataFrame) -> None:
-        """Add rejected payloads (source, asset, batch_id, ingest_ts, reason, raw) that are not kept yet:
-        handling a landing again leaves the quarantine as it is."""
+        """Add rejected payloads (source, asset, batch_id, ingest_ts, reason, raw) that are not kept yet: handling a
+        landing again leaves the quarantine as it is. A payload is known by a digest of all its columns, stored
+        with it; of the kept ones only the digests of the batches in question are read, and no raw text is shuffled."""
         cols = S.QUARANTINE_SCHEMA.fieldNames()
         fs, p = self._fs(self.quarantine_path())
         fs.mkdirs(p)
-        new, old = rows.select(*cols).distinct().alias("n"), self.read_quarantine().alias("o")
-        same = F.lit(True)
-        for c in cols:
-            same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
-        # staged first: the append must not change what its own plan reads
-        st = stage(new.join(old, same, "left_anti"), "quarantine", {"n": F.count(F.lit(1))})
+        # lengths before the values, so that no two rows give one text; -1 for null
+        text = F.concat(*[x for c in cols for x in (F.coalesce(F.length(F.col(c).cast("string")), F.lit(-1)).cast("string"), F.lit(":"),
+                                                    F.coalesce(F.col(c).cast("string"), F.lit("")))])
+        # written once: the append must not change what its own plan reads
+        st = stage(rows.select(*cols, F.sha2(text, 256).alias("_digest")), "quarantine",
+                   {"n": F.count(F.lit(1)), "low": F.min("batch_id"), "high": F.max("batch_id"),
+                    "sources": F.collect_set("source"), "unnumbered": F.count_if(F.col("batch_id").isNull())})
         try:
             if st.metrics["n"]:
-                st.df.write.mode("append").option("compression", "zstd").partitionBy("source").parquet(self.quarantine_path())
+                low, high = st.metrics["low"], st.metrics["high"]
+                batches = F.lit(False) if low is None else F.col("batch_id").between(low, high)
+                if st.metrics["unnumbered"]:
+                    batches = batches | F.col("batch_id").isNull()
+                old = self._quarantined().where(F.col("source").isin(list(st.metrics["sources"])) & batches)
+                place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+                placed = st.df.withColumn("__at", place)
+                first = placed.groupBy("_digest").agg(F.min("__at").alias("__at")) \
+                    .join(old.select("_digest"), "_digest", "left_anti")
+                new = placed.join(self._keys_side(first.select("__at"), st.metrics["n"], 128 * st.metrics["n"]), "__at", "left_semi")
+                new.drop("__at").sortWithinPartitions("batch_id").write.mode("append").option("compression", "zstd") \
+                    .partitionBy("source").parquet(self.quarantine_path())
         finally:
             st.drop()
 
+    def _quarantined(self) -> DataFrame:
+        schema = T.StructType([*S.QUARANTINE_SCHEMA.fields, T.StructField("_digest", T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.quarantine_path())
+
     def read_quarantine(self) -> DataFrame:
-        return self.spark.read.schema(S.QUARANTINE_SCHEMA).parquet(self.quarantine_path())
+        return self._quarantined().select(*S.QUARANTINE_SCHEMA.fieldNames())
 
     def compact(self, spec: S.TableSpec, partitions=None) -> list:
         """Rewrite partitions (all, or the given values) into fewer files, each a range of the sort
@@ -348,6 +378,25 @@ class TableStore:
             .join(self._keys_side(keys, n, key_bytes), spec.key) \
             .withColumn("__late", F.col("__s") > F.col("__w")).drop("__s", "__w")
 
+    def _maybe_stored(self, spec: S.TableSpec, pointer: dict, winners: DataFrame):
+        """(staged keys and arrival of the winners that may be stored, pointer to the folders they may be in), by the
+        key bitmaps of the version folders: other folders and other keys take no further part. An empty
+        partition value has no folder name of its own, so its keys and folder are never ruled out."""
+        columns, part = [*spec.key, *ARRIVAL_COLUMNS], spec.partition_col
+        bitmaps = version_index.derived(self, spec, pointer, "keys")
+        unnamed = winners.where(F.coalesce(F.col(part), F.lit("")) == "").select(*columns, part, F.lit(None).cast("string").alias("v"))
+        asked = winners.select(*columns, part)
+        hits = unnamed if bitmaps is None else version_index.may_hold(asked, bitmaps, spec).unionByName(unnamed)
+        st = stage(hits, f"{spec.name}-maybe")
+        seen = {tuple(r) for r in st.df.where("v is not null").select("v", part).distinct().collect()}  # folders of the pointer
+        parts = {}
+        for d, versions in pointer["parts"].items():
+            value = urllib.parse.unquote(d.split("=", 1)[1])
+            held = [v for v in versions if (v, value) in seen or value == "__HIVE_DEFAULT_PARTITION__"]
+            if held:
+                parts[d] = held
+        return st, {**pointer, "parts": parts}
+
     def _until_published(self, write):
         """Run ``write``, again from the newest pointer if another writer was first, at most ``retries`` times."""
         for attempt in range(self.retries + 1):
@@ -408,7 +457,7 @@ class TableStore:
         empty_url = F.count_if(F.col("url") == F.lit("")) if "url" in spec.columns else F.count_if(F.lit(False))
         st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), first_per_key, bad,
                                             [empty_url.alias("empty_url")])
-        decided = None
+        decided = maybe = None
         try:
             stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
             stats.rows_deduped = stats.rows_in - stats.rows_null_dropped - n
@@ -416,8 +465,11 @@ class TableStore:
                 return stats
             winners = st.df
             base = self._touched(spec, self._stored(spec, pointer), winners)
+            maybe, held = self._maybe_stored(spec, pointer, winners)
+            stats.folders_stored, stats.folders_read = (sum(map(len, p["parts"].values())) for p in (pointer, held))
             # the stored keys that the batch also has: at most n
-            known = self._met(spec, base, winners, n, key_bytes, F.col("id").alias("__sid"))
+            known = self._met(spec, self._stored(spec, held), maybe.df.dropDuplicates(spec.key), n, key_bytes,
+                              F.col("id").alias("__sid"))
             decided = stage(winners.join(self._keys_side(known, n, key_bytes), spec.key, "left")
                             .where("__sid is null or __late"), f"{spec.name}-decided",
                             {"new": F.count_if(F.col("__sid").isNull()), "older": F.count_if(F.col("__sid").isNotNull())})
@@ -432,9 +484,9 @@ class TableStore:
                 _, stats.partitions = self._publish(spec, pointer, rows.hint("rebalance", spec.partition_col), bool(older),
                                                     next_id=pointer["next_id"] + new)
         finally:
-            st.drop()
-            if decided is not None:
-                decided.drop()
+            for staged in (st, maybe, decided):
+                if staged is not None:
+                    staged.drop()
         return stats
 
     # -- K7: surrogate ids ------------------------------------------------------------
