@@ -465,11 +465,13 @@ class TableStore:
                 return stats
             winners = st.df
             base = self._touched(spec, self._stored(spec, pointer), winners)
-            maybe, held = self._maybe_stored(spec, pointer, winners)
+            held = pointer
+            if pointer["parts"]:
+                maybe, held = self._maybe_stored(spec, pointer, winners)
             stats.folders_stored, stats.folders_read = (sum(map(len, p["parts"].values())) for p in (pointer, held))
             # the stored keys that the batch also has: at most n
-            known = self._met(spec, self._stored(spec, held), maybe.df.dropDuplicates(spec.key), n, key_bytes,
-                              F.col("id").alias("__sid"))
+            asked = winners if maybe is None else maybe.df.dropDuplicates(spec.key)
+            known = self._met(spec, self._stored(spec, held), asked, n, key_bytes, F.col("id").alias("__sid"))
             decided = stage(winners.join(self._keys_side(known, n, key_bytes), spec.key, "left")
                             .where("__sid is null or __late"), f"{spec.name}-decided",
                             {"new": F.count_if(F.col("__sid").isNull()), "older": F.count_if(F.col("__sid").isNotNull())})
