@@ -37,6 +37,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -50,9 +51,10 @@ from tidemark.session import scratch_path
 FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
 CACHE_BYTES = 100 << 20  # of a generation of encoded words, about
-_MARK = re.compile(r"(?<=[a-z])([.,;:!?])(?= |$)")
+MARK = "([a-z\u00df-\u00f6\u00f8-\u00ff])([.,;:!?])( |$)"
 _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch  # one match of the pattern, left as it is by the normaliser
 VOCABULARY = "word_bpe_49k.json"
+SEPARATOR = "<|endoftext|>"
 END_ID = 1
 LEVEL = 3
 # fixed values of the seekable zstandard layout
@@ -70,6 +72,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+        self.separator = vocabulary.get(SEPARATOR, -1)
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.room = CACHE_BYTES
@@ -81,11 +84,15 @@ class WordEncoder:
         # what the tokenizer does to every text anyway, done first so that fewer words differ: A-Z in lower
         # case (not near a special token, whose case matters), and a mark after a letter and before white
         # space apart from its word
-        low = [t if "<|" in t else t.encode().lower().decode() for t in texts]
-        words = [_MARK.sub(r" \1", t.replace("\n", " ")).split(" ") for t in low]
-        new = set().union(*words).difference(cache) if words else set()
+        text = pa.array(texts, pa.large_string())
+        low = pc.if_else(pc.match_substring(text, "<|"), text, pc.ascii_lower(text))
+        low = pc.replace_substring_regex(pc.replace_substring(low, "\n", " "), MARK, r"\1 \2\3")
+        words = pc.split_pattern(low, " ")
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = set(distinct).difference(cache)
         self.room -= 250 * len(new) + 2 * sum(map(len, new))
-        known = new.intersection(older)
+        known = {w for w in new if w in older}
         cache.update(zip(known, map(older.__getitem__, known)))
         missing = new - known
         plain = [w for w in missing if _LETTERS(w)]
@@ -97,12 +104,34 @@ class WordEncoder:
             if len(cuts) == len(part):  # a word of letters alone ends with the one token that ends a word
                 raw = ids.tobytes()
                 cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
-        rest = list(missing.difference(cache))
+        odd = missing.difference(cache)
+        # words with marks, digits or other letters: many to a line, a special token between two, which cuts a
+        # text before anything else is done to it
+        sure = [w for w in odd if "<" not in w and ">" not in w and "|" not in w and w.strip() == w]
+        for k in range(0, len(sure), 4096):
+            part = sure[k:k + 4096]
+            lines = [SEPARATOR.join([*part[x:x + 64], ""]) for x in range(0, len(part), 64)]
+            ids = np.array(list(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False))), "<u4")
+            stops = 4 * np.flatnonzero(ids == self.separator)
+            if len(stops) == len(part):
+                raw = ids.tobytes()
+                cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *(stops[:-1] + 4).tolist()], stops.tolist()))))
+        rest = list(odd.difference(cache))
         for k in range(0, len(rest), 5000):
             part = rest[k:k + 5000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 cache[w] = array("I", e.ids).tobytes()
-        return [b"".join(map(cache.__getitem__, w)) for w in words]
+        # the distinct words' ids one after another, then gathered for every word of every text
+        found = list(map(cache.__getitem__, distinct))
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        raw = ids[np.arange(ends[-1]) + np.repeat(begins[at] - ends[:-1], n)].tobytes()
+        cuts = (4 * ends[words.offsets.to_numpy()]).tolist()
+        return list(map(raw.__getitem__, map(slice, cuts, cuts[1:])))
 
 
 _encoders: dict[str, WordEncoder] = {}
