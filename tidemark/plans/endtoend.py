@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.plans import landing_from_tables as L
+from tidemark.plans.arrival_log import LogStore
 from tidemark.plans.feeds import table
 from tidemark.plans.ingest import ingest_source, report_frame, run_ingest
 from tidemark.plans.store import TableStore
@@ -136,6 +137,36 @@ def q_batch_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("asset", "n", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_hour", "last_hour")])
 
 
+def q_log_price_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The price table by merge on read: two landings out of order and a replay, the first folded into the table."""
+    ensure_utc(spark)
+    store = LogStore(spark, scratch_path(spark, "store"))
+    store.create_tables([S.PRICE])
+    first, rest = two_landings("price", envelopes(spark, sf)[0])
+    for k, part in enumerate((first, rest, first)):
+        res = ingest_source(spark, store, "price", part, PRICE_ASSETS)
+        if not res.ok:
+            raise RuntimeError(res.error)
+        if k == 0:
+            store.fold(S.PRICE)
+    return _public(store.read(S.PRICE), S.PRICE)
+
+
+def q_stored_stats_pushed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, nulls and range of closes per month of the stored price table, from parquet footers."""
+    store, _ = ingest_into_store(spark, sf, kinds=("price",))
+    return store.footer_stats(S.PRICE).select("month", "n", "null_volume", "null_market_cap", "min_close", "max_close")
+
+
+def q_stored_price_interleaved(spark: SparkSession, sf: str) -> DataFrame:
+    """One asset over all time and one short time over all assets, read from the interleaved layout."""
+    store, _ = ingest_into_store(spark, sf, kinds=("price",))
+    store.compact(S.PRICE, files=16, interleave=True)
+    one_asset = store.read_window(S.PRICE, "1970-01-01 00:00:00", "2999-01-01 00:00:00", "view")
+    short = store.read_window(S.PRICE, *WINDOW).where("asset <> 'view'")
+    return _public(one_asset.unionByName(short), S.PRICE)
+
+
 def q_stream_price_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     """The later landing as one micro-batch, then the earlier one: the same table as a batch run."""
     ensure_utc(spark)
@@ -247,6 +278,9 @@ END_TO_END_QUERIES = {
     "stored_news_ids": q_stored_news_ids,
     "stream_price_out_of_order": q_stream_price_out_of_order,
     "batch_stats_incremental": q_batch_stats_incremental,
+    "log_price_latest": q_log_price_latest,
+    "stored_stats_pushed": q_stored_stats_pushed,
+    "stored_price_interleaved": q_stored_price_interleaved,
     "news_max_articles_redelivered": q_news_max_articles_redelivered,
     "stored_price_window": q_stored_price_window,
     "stored_market_window": q_stored_market_window,
@@ -337,6 +371,14 @@ END_TO_END_SQL["stream_price_out_of_order"] = END_TO_END_SQL["stored_price_table
 END_TO_END_SQL["batch_stats_incremental"] = (
     "select asset, count(*) n, min(\"timestamp\") first_hour, max(\"timestamp\") last_hour "
     f"from ({END_TO_END_SQL['stored_price_table']}) t group by 1")
+END_TO_END_SQL["log_price_latest"] = END_TO_END_SQL["stored_price_table"]
+END_TO_END_SQL["stored_stats_pushed"] = (
+    "select strftime(\"timestamp\", '%Y-%m') \"month\", count(*) n, count(*) - count(volume) null_volume, "
+    "count(*) - count(market_cap) null_market_cap, min(\"close\") min_close, max(\"close\") max_close "
+    f"from ({END_TO_END_SQL['stored_price_table']}) t group by 1")
+END_TO_END_SQL["stored_price_interleaved"] = (
+    f"select * from ({END_TO_END_SQL['stored_price_table']}) t where asset = 'view' "
+    f"or \"timestamp\" between timestamp '{WINDOW[0]}' and timestamp '{WINDOW[1]}'")
 END_TO_END_SQL["stored_market_two_batches"] = END_TO_END_SQL["stored_market_table"]
 END_TO_END_SQL["stored_news_two_batches"] = END_TO_END_SQL["stored_news_table"]
 for _kind, _asset, _bounds in (("price", "asset = 'click' and ", WINDOW), ("market", "", WINDOW), ("news", "asset = 'src3' and ", NEWS_WINDOW)):

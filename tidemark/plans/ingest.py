@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from graphlib import CycleError, TopologicalSorter
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -252,19 +253,41 @@ def critical_gate(status: dict[str, bool], critical=CRITICAL_SOURCES) -> bool:
     return all(status.get(s, False) for s in critical)
 
 
-def run_stages(stages: dict, status: dict[str, bool] | None = None) -> dict[str, bool]:
-    """Run ``stages`` (name -> callable) in order, honouring STAGE_REQUIRES; failures isolated."""
+def stage_levels(names, requires=None) -> list[list[str]]:
+    """The stages in levels: each needs only stages of levels before its own (needs that are no stages of this run
+    count by their status alone). Needs in a cycle raise ValueError."""
+    requires, names = STAGE_REQUIRES if requires is None else requires, set(names)
+    order = TopologicalSorter({n: [r for r in requires.get(n, ()) if r in names] for n in names})
+    try:
+        order.prepare()
+    except CycleError as e:
+        raise ValueError(f"stages need each other in a cycle: {' -> '.join(e.args[1])}") from e
+    levels = []
+    while order.is_active():
+        levels.append(sorted(order.get_ready()))
+        order.done(*levels[-1])
+    return levels
+
+
+def run_stages(stages: dict, status: dict[str, bool] | None = None, requires=None) -> dict[str, bool]:
+    """Run ``stages`` (name -> callable) after what they need, in whatever order they are given; the stages of
+    one level run together. A stage whose needs are not all met is not run; failures are isolated."""
+    requires = STAGE_REQUIRES if requires is None else requires
     status = dict(status or {})
-    for name, fn in stages.items():
-        needs = STAGE_REQUIRES.get(name, ())
-        ok = False
-        if all(status.get(n, False) for n in needs):
-            try:
-                fn()
-                ok = True
-            except Exception:  # noqa: BLE001
-                ok = False
-        status[name] = ok
+
+    def run(name: str) -> bool:
+        if not all(status.get(n, False) for n in requires.get(name, ())):
+            return False
+        try:
+            stages[name]()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+    for level in stage_levels(stages, requires):
+        with ThreadPoolExecutor(max_workers=len(level), thread_name_prefix="stage") as pool:
+            done = list(pool.map(run, level))
+        status.update(zip(level, done))
     return status
 
 

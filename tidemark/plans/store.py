@@ -77,6 +77,28 @@ def ts_literal(value) -> Column:
     return F.lit(str(value)).cast("timestamp")
 
 
+def _spread(x: Column) -> Column:
+    """The 16 bits of ``x`` with a zero after each."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return x
+
+
+def interleaved(df: DataFrame) -> DataFrame:
+    """``df`` with ``__z``: the bits of the asset's rank and of the hour, in turns, each scaled to 16 bits. Ranks come
+    from the distinct assets, a table of one small row each."""
+    assets = df.select("asset").distinct()
+    hour = F.floor(F.unix_timestamp("timestamp") / 3600)
+    first, last, n = df.agg(F.min(hour), F.max(hour), F.count_distinct("asset")).first()
+    if not n:
+        return df.withColumn("__z", F.lit(0).cast("long"))
+    ranks = assets.select("asset", (F.row_number().over(Window.orderBy("asset")) - 1).alias("__rank"))
+    by_asset = F.floor(F.col("__rank") * 65536 / n)
+    by_hour = F.floor((hour - first) * 65536 / (last - first + 1))
+    z = F.shiftleft(_spread(by_asset.cast("long")), 1).bitwiseOR(_spread(by_hour.cast("long")))
+    return df.join(ranks, "asset").withColumn("__z", z).select(*df.columns, "__z")
+
+
 class TableStore:
     """Keyed tables under one root folder.
 
@@ -288,17 +310,63 @@ class TableStore:
     def read_quarantine(self) -> DataFrame:
         return self._quarantined().select(*S.QUARANTINE_SCHEMA.fieldNames())
 
-    def compact(self, spec: S.TableSpec, partitions=None) -> list:
+    def compact(self, spec: S.TableSpec, partitions=None, files: int | None = None, interleave: bool = False) -> list:
         """Rewrite partitions (all, or the given values) into fewer files, each a range of the sort
         order, so that a one-asset read opens a minority of them. Rows, ids and keys are
-        unchanged; published like any write. Returns the rewritten partition values."""
+        unchanged; published like any write. Returns the rewritten partition values.
+
+        ``files``: about how many files to write (default: as adaptive execution cuts them). With ``interleave``
+        files are ranges of the interleaved bits of asset rank and hour, so that a read of one asset and a
+        read of a short time each open a part of a partition's files, about its square root."""
         spec = self.spec(spec)
         pointer = self._pointer(spec)
         df = self._stored(spec, pointer)
         if partitions is not None:
             df = df.where(F.col(spec.partition_col).isin(list(partitions)))
-        order = [spec.partition_col, *spec.sort_cols]
-        return self._publish(spec, pointer, df.repartitionByRange(*order), replace=True)[1]
+        order = [F.col(c) for c in (spec.partition_col, *spec.sort_cols)]
+        if interleave:
+            if not {"asset", "timestamp"} <= set(spec.columns):
+                raise ValueError(f"{spec.name} has no asset and time to interleave")
+            df, order = interleaved(df), [F.col(spec.partition_col), F.col("__z")]
+        ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+        return self._publish(spec, pointer, ranged, replace=True)[1]
+
+    # -- statistics from footers ------------------------------------------------------
+    def _footer_frame(self, spec: S.TableSpec) -> DataFrame | None:
+        """The aggregate behind `footer_stats`, in a session of its own whose parquet scans take aggregates (the
+        settings of this store's session stay as they are). None: the table has no folder."""
+        spec = self.spec(spec)
+        pointer = self._pointer(spec)
+        paths = [f"{self._version_path(spec, v)}/{d}" for d, versions in pointer["parts"].items() for v in versions]
+        if not paths:
+            return None
+        own = self.spark.newSession()
+        ensure_utc(own)
+        v1 = [x for x in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
+        own.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        # the scan takes an aggregate only by all its partition columns: the version is one
+        schema = T.StructType([T.StructField("v", T.StringType()), *self.storage_schema(spec).fields])
+        rows = own.read.schema(schema).option("basePath", self.path(spec)).parquet(*paths)
+        counts = [F.count(c).alias(f"__n_{c}") for c in spec.columns]
+        # lowest and highest only where every row has a value: a footer of nulls alone has neither
+        ends = [f(c).alias(f"{name}_{c}") for c in spec.not_null if isinstance(spec.schema[c].dataType, (T.DoubleType, T.LongType))
+                for f, name in ((F.min, "min"), (F.max, "max"))]
+        return rows.groupBy("v", spec.partition_col).agg(F.count(F.lit(1)).alias("n"), *counts, *ends)
+
+    def footer_stats(self, spec: S.TableSpec) -> DataFrame:
+        """Per partition: rows, nulls per column (``null_<column>``), lowest and highest value of the numeric NOT NULL
+        columns, all from parquet footers; no row is read. (Times and texts have no such statistics:
+        `batch_stats` keeps theirs.) One small row per partition, staged."""
+        spec = self.spec(spec)
+        frame = self._footer_frame(spec)
+        part = spec.partition_col
+        if frame is None:
+            empty = [f"{part} string", "n long", *[f"null_{c} long" for c in spec.columns]]
+            return self.spark.createDataFrame([], ", ".join(empty))
+        ends = [(F.min if c.startswith("min_") else F.max)(c).alias(c) for c in frame.columns if c.startswith(("min_", "max_"))]
+        out = frame.groupBy(part).agg(F.sum("n").alias("n"), *[(F.sum("n") - F.sum(f"__n_{c}")).alias(f"null_{c}") for c in spec.columns], *ends)
+        return self.spark.read.schema(out.schema).parquet(stage(out, f"{spec.name}-footers").path)
 
     # -- writes -----------------------------------------------------------------------
     def _prepare(self, spec: S.TableSpec, incoming: DataFrame, order) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 # and the ones the execution model wants (AQE re-planning, skew splitting).
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # the default (INT96) has no statistics, so no row group could be skipped by time
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -65,8 +67,9 @@ def apply_settings(spark: SparkSession, settings: dict) -> None:
 
 def ensure_utc(spark: SparkSession) -> None:
     """Set the caller's session zone to UTC, which text without an offset and all hour floors depend
-    on. This is the only session setting that the library changes (idempotent)."""
+    on, and have times written with statistics. No other setting of the session is changed (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", BASE_CONF["spark.sql.parquet.outputTimestampType"])
 
 
 def shared_dir(spark: SparkSession) -> str:
