@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.window import read_windows
+from tidemark.plans.mechanisms import q_read_many_windows
 from tidemark.sources import variant as V
 from tidemark.sources.shred import classify_chart
 from tidemark.sources.landing import landed_from_frame
@@ -67,6 +69,39 @@ def test_many_windows_equal_one_by_one(spark, grain):
     assert read_windows(df.limit(0), asked, grain=grain).count() == 0 and read_windows(df, asked.limit(0), grain=grain).count() == 0
 
 
+@pytest.mark.parametrize("grain", ["hour", "day", "month"])
+def test_totals_of_many_windows_without_their_pairs(spark, grain):
+    base = dt.datetime(2024, 2, 28)
+    rng = random.Random(7)
+    rows = [(k if k % 11 else None, "ABC"[k % 3], base + dt.timedelta(seconds=rng.randrange(0, 400_000, 600), microseconds=k % 2))
+            for k in range(300)] + [(900, "A", None), (901, None, base)]
+    requests = [(rng.randrange(60), rng.choice(["A", "B", "", None]), base + dt.timedelta(seconds=s, microseconds=u % 2),
+                 base + dt.timedelta(seconds=s + rng.choice([-1, 0, 0, 600, 1800, 7200, 90_000, 10**9]), microseconds=u % 3))
+                for u, s in enumerate(rng.randrange(-1200, 400_000, 600) for _ in range(150))] + [(70, None, None, base), (71, "A", base, None)]
+    df = spark.createDataFrame(rows, "row long, asset string, timestamp timestamp_ntz")
+    asked = spark.createDataFrame(requests, "request_id long, asset string, start timestamp_ntz, end timestamp_ntz")
+    totals = {"n": ("count", None), "ids": ("count", "row"), "low": ("min", "row"), "high": ("max", "row")}
+    out = read_windows(df, asked, grain=grain, totals=totals)
+    pairs = read_windows(df, asked, grain=grain).groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("row").alias("ids"), F.min("row").alias("low"), F.max("row").alias("high"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, pairs.collect())) and pairs.count() > 30
+    assert read_windows(df.limit(0), asked, totals=totals).count() == 0 and read_windows(df, asked.limit(0), totals=totals).count() == 0
+
+
+def test_many_windows_query_forms_no_pairs(spark, tmp_path):
+    """A thousand events at one time: a million pairs, none of which may come out of a join."""
+    at = dt.datetime(2024, 1, 1)
+    kinds = ["purchase", "view"]
+    events = spark.createDataFrame([(k, at, 1, kinds[k % 2], 1.0, "") for k in range(1000)],
+                                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    out = q_read_many_windows(spark, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == [(k, 500, 1, 999) for k in range(0, 1000, 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan  # running totals; rows meet requests in no join
+    assert not [j for j in plan.splitlines() if "Join " in j and "__at" in j]
+
+
 def test_streaming_state_survives_a_restart(spark, tmp_path):
     hour = lambda k: dt.datetime(2025, 1, 1, k)
     files = [[("BTC", hour(1), 1.0, 5), ("BTC", hour(1), 9.0, 2)], [("BTC", hour(1), 3.0, 4), ("ETH", hour(2), 7.0, 1)],

@@ -53,8 +53,8 @@ def q_read_many_windows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("request_id"), F.lit(asset).cast("string").alias("asset"),
         F.expr(f"ts - interval {minutes} minutes").alias("start"), F.expr(f"ts + interval {minutes} minutes").alias("end"))
     requests = around("purchase", "view", 120).unionByName(around("signup", None, 30))
-    found = read_windows(events.select("event_id", "event_type", "ts"), requests, "ts", "event_type")
-    return found.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    return read_windows(events.select("event_id", "event_type", "ts"), requests, "ts", "event_type", totals={
+        "n": ("count", None), "first_id": ("min", "event_id"), "last_id": ("max", "event_id")})
 
 
 def _in_two_runs(spark: SparkSession, sf: str, name: str, make) -> str:
