@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -418,3 +419,26 @@ def test_store_audit_on_day_grain_and_bucketed_news(spark, tmp_path):
     assert {t for t, _ in audit} == {"price_ohlcv", "market_signals", "news_headlines"}
     assert s.compact(S.PRICE) == ["2025-01-01", "2025-01-02"]
     assert s.read(S.PRICE).count() == 2
+
+
+def test_insert_ignore_stages_no_texts(spark, store, monkeypatch):
+    """What decides about rows is keys and arrivals; texts are written once, into the table."""
+    from tidemark.plans import store as module
+    staged, stage = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, *a, **kw: staged.append(set(df.columns)) or stage(df, *a, **kw))
+    store.insert_ignore(S.NEWS, news(spark, [("SOL", "second", "p/1", T10), ("SOL", "other", "p/2", T10)], batch=5))
+    st = store.insert_ignore(S.NEWS, news(spark, [("SOL", "first", "p/1", T10), ("SOL", "new", "p/3", T10),
+                                                  ("SOL", "twice", "p/3", T10), ("SOL", "p/2 again", None, T10)], batch=4))
+    assert len(staged) == 5 and not any("headline" in columns for columns in staged)
+    assert (st.rows_in, st.rows_written, st.rows_ignored, st.rows_deduped, st.rows_null_dropped) == (4, 2, 0, 1, 1)
+    assert {r.url: (r.headline, r.id) for r in store.read(S.NEWS).where("url <> 'p/2'").collect()}["p/3"] == ("new", 3)
+    assert {r.headline for r in store.read(S.NEWS).collect()} == {"first", "other", "new"}
+
+
+def test_batch_that_changes_between_reads_is_not_published(spark, store):
+    store.insert_ignore(S.NEWS, news(spark, [("SOL", "h", "p/1", T10)]))
+    url = F.udf(lambda u: u + uuid.uuid4().hex).asNondeterministic()
+    batch = news(spark, [("SOL", f"h{k}", "p/", T10) for k in range(3)], batch=2).withColumn("url", url("url"))
+    with pytest.raises(RuntimeError, match="not published"):
+        store.insert_ignore(S.NEWS, batch)
+    assert store.read(S.NEWS).count() == 1

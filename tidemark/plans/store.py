@@ -379,9 +379,10 @@ class TableStore:
         return normalise_nan(incoming.select(*[F.col(c).cast(spec.schema[c].dataType) for c in cols], *arrival))
 
     def _publish(self, spec: S.TableSpec, pointer: dict, df: DataFrame, replace: bool, next_id: int | None = None,
-                 metrics: dict[str, Column] | None = None) -> tuple[dict, list]:
+                 metrics: dict[str, Column] | None = None, expected: dict[str, int] | None = None) -> tuple[dict, list]:
         """Write ``df`` as the next version and switch to it: its partitions replace the stored ones, or
-        add to them. Returns (observed metrics, partition values written)."""
+        add to them. Returns (observed metrics, partition values written). Metrics that differ from the ``expected``
+        ones stop the write before anything is published."""
         version, part = pointer["version"] + 1, spec.partition_col
         name = f"{version}-{uuid.uuid4().hex[:12]}"
         target = self._version_path(spec, name)
@@ -394,6 +395,9 @@ class TableStore:
         written = self.spark.read.schema(self.storage_schema(spec)).parquet(target).count() if got["rows"] else 0
         if written != got["rows"]:
             raise RuntimeError(f"{spec.name}: {got['rows']} rows to write, {written} found; not published")
+        for k, n in (expected or {}).items():
+            if (got[k] or 0) != n:
+                raise RuntimeError(f"{spec.name}: {n} {k} rows were decided on, {got[k] or 0} came; not published")
         folders = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
         parts = dict(pointer["parts"])
         for d in folders:
@@ -406,19 +410,27 @@ class TableStore:
         self._clean(spec, version)
         return got, sorted(urllib.parse.unquote(d.split("=", 1)[1]) for d in folders)
 
-    def _winners(self, spec, inc, pick, bad, more):
+    def _winners(self, spec, inc, bad, more):
         """Per-key winners staged as parquet, in one pass over the batch: counts of the batch are observed
-        before the reduction, counts and key bytes of the winners on the write."""
+        before the reduction, counts and key bytes of the winners on the write. A last-wins table's winners are whole
+        rows; of a first-wins table only key and arrival are staged, the rows are taken up when it is known
+        which of them the table gets."""
         obs = Observation(f"{spec.name}-in-{uuid.uuid4().hex[:8]}")
         seen = inc.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), *more)
-        usable = seen.where(~bad) if spec.conflict == "ignore" else seen
-        winners = pick(usable, spec.key, ARRIVAL_COLUMNS).select(*spec.columns_no_id, *ARRIVAL_COLUMNS) \
-            .withColumn(spec.partition_col, F.expr(spec.partition_expr))
-        key_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
-                         else F.lit(8)) + F.lit(16) for c in spec.key)
-        st = stage(winners, spec.name, {"n": F.count(F.lit(1)), "key_bytes": F.coalesce(F.sum(key_bytes), F.lit(0))})
+        if spec.conflict == "ignore":
+            first = F.min(F.struct(*ARRIVAL_COLUMNS)).alias("__first")
+            winners = seen.where(~bad).groupBy(*spec.key).agg(first).select(*spec.key, "__first.*")
+        else:
+            winners = latest_per_key(seen, spec.key, ARRIVAL_COLUMNS).select(*spec.columns_no_id, *ARRIVAL_COLUMNS)
+        winners = winners.withColumn(spec.partition_col, F.expr(spec.partition_expr))
+        st = stage(winners, spec.name, {"n": F.count(F.lit(1)), "key_bytes": F.coalesce(F.sum(self._key_bytes(spec)), F.lit(0))})
         return st, dict(obs.get), st.metrics["n"], int(st.metrics["key_bytes"])
 
+    @staticmethod
+    def _key_bytes(spec: S.TableSpec) -> Column:
+        return sum((F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
+                    else F.lit(8)) + F.lit(16) for c in spec.key)
+
     def _keys_side(self, df: DataFrame, n: int, key_bytes: int) -> DataFrame:
         """Broadcast a key side only under a proven bound: at most ``broadcast_rows`` keys and
         ``broadcast_bytes`` of key data (measured exactly on the staged winners)."""
@@ -490,8 +502,7 @@ class TableStore:
         spec = self.spec(spec)
         stats = WriteStats(spec.name)
         pointer = self._pointer(spec)
-        st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), latest_per_key,
-                                            null_violation(spec.not_null), [])
+        st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), null_violation(spec.not_null), [])
         try:
             stats.rows_in = c["n"]
             if stats.rows_in == 0:
@@ -517,14 +528,16 @@ class TableStore:
     def _insert_ignore(self, spec: S.TableSpec, incoming: DataFrame, order=ORDER) -> WriteStats:
         """IGNORE: first arrival per key wins within the batch and against stored rows (a row that arrived
         before the stored one takes its place and id); rows with NULL in a NOT NULL column are
-        skipped and counted; new keys get increasing ids."""
+        skipped and counted; new keys get increasing ids. Keys and arrivals alone decide; the batch is read again
+        for the rows that the table gets, whose texts are shuffled by key and by partition, and written once.
+        A batch that does not give the same rows when it is read again is not published."""
         spec = self.spec(spec)
         stats = WriteStats(spec.name)
         pointer = self._pointer(spec)
         bad = null_violation([c for c in spec.not_null if c != "id"])
         empty_url = F.count_if(F.col("url") == F.lit("")) if "url" in spec.columns else F.count_if(F.lit(False))
-        st, c, n, key_bytes = self._winners(spec, self._prepare(spec, incoming, order), first_per_key, bad,
-                                            [empty_url.alias("empty_url")])
+        inc = self._prepare(spec, incoming, order)
+        st, c, n, key_bytes = self._winners(spec, inc, bad, [empty_url.alias("empty_url")])
         decided = maybe = None
         try:
             stats.rows_in, stats.rows_null_dropped, stats.rows_empty_url = c["n"], c["bad"], c["empty_url"]
@@ -540,19 +553,25 @@ class TableStore:
             # the stored keys that the batch also has: at most n
             asked = winners if maybe is None else maybe.df.dropDuplicates(spec.key)
             known = self._met(spec, self._stored(spec, held), asked, n, key_bytes, F.col("id").alias("__sid"))
+            stored = F.col("__sid").isNotNull()
             decided = stage(winners.join(self._keys_side(known, n, key_bytes), spec.key, "left")
                             .where("__sid is null or __late"), f"{spec.name}-decided",
-                            {"new": F.count_if(F.col("__sid").isNull()), "older": F.count_if(F.col("__sid").isNotNull())})
+                            {"new": F.count_if(~stored), "older": F.count_if(stored),
+                             "older_bytes": F.coalesce(F.sum(F.when(stored, self._key_bytes(spec))), F.lit(0))})
             new, older = decided.metrics["new"], decided.metrics["older"]
             stats.rows_written, stats.rows_ignored = new + older, n - new - older
             if new + older:
-                rows = self._with_ids(decided.df, pointer["next_id"]).drop("__late")
+                ids = self._with_ids(decided.df, pointer["next_id"]).select(*spec.key, "id")
+                # both sides are dealt by the key: the join moves no text
+                rows = first_per_key(inc.where(~bad), spec.key, ARRIVAL_COLUMNS).join(ids, spec.key) \
+                    .withColumn(spec.partition_col, F.expr(spec.partition_expr)).withColumn("__taken", F.lit(1))
                 if older:
-                    changed = rows.where("__sid is not null").select(*spec.key)
-                    rows = base.join(self._keys_side(changed, n, key_bytes), spec.key, "left_anti") \
-                        .unionByName(rows.drop("__sid"))
+                    changed = decided.df.where(stored).select(*spec.key)
+                    rows = base.join(self._keys_side(changed, older, int(decided.metrics["older_bytes"])), spec.key, "left_anti") \
+                        .withColumn("__taken", F.lit(0)).unionByName(rows)
                 _, stats.partitions = self._publish(spec, pointer, rows.hint("rebalance", spec.partition_col), bool(older),
-                                                    next_id=pointer["next_id"] + new)
+                                                    next_id=pointer["next_id"] + new, metrics={"taken": F.sum("__taken")},
+                                                    expected={"taken": new + older})
         finally:
             for staged in (st, maybe, decided):
                 if staged is not None:
