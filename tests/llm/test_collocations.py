@@ -102,3 +102,15 @@ def test_trie_holds_exactly_its_phrases(triples, spread):
     at = np.flatnonzero((text[:-2] != 0) & (text[1:-1] != 0))
     got = Counter(np.concatenate(list(trie.advance(text, at))).tolist())
     assert got == want
+
+
+def test_pair_bitmap_stays_packed(spark):
+    """The driver sends one bit per slot, not one byte; every pair is found, few others are."""
+    pairs = [(k % 97 + 1, k * k % 1009 + 1) for k in range(3000)]
+    found = spark.createDataFrame(pairs, "w1 long, w2 long")
+    bitmap = C.pair_bitmap(found, 16)
+    assert bitmap.nbytes == (1 << 16) // 8
+    w = np.array(pairs + [(a + 2000, b) for a, b in pairs])
+    held = C.in_bitmap(bitmap, C.pair_mix(w[:, 0], w[:, 1]))
+    assert held[:len(pairs)].all() and held[len(pairs):].mean() < 0.2
+    assert not C.in_bitmap(C.pair_bitmap(found.limit(0), 10), C.pair_mix(w[:, 0], w[:, 1])).any()

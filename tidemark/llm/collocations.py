@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CHUNK, by_bytes, discard, parts_for, slices, staged, tree_sum, vector_chunks
+from tidemark.llm.common import CHUNK, by_bytes, discard, parts_for, release_memory, slices, staged, tree_sum, vector_chunks
 
 LEAST = 10
 TOP = 2000
@@ -265,7 +265,7 @@ def pairs(coded: DataFrame, kind: str, buckets: int, branches: int) -> DataFrame
 
 
 def pair_bitmap(found: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of 2**``bits`` bits (bounded by the caller) with the hashes of all pairs ``w1, w2``."""
+    """A bitmap of 2**``bits`` bits (bounded by the caller), 32 a number, with the hashes of all pairs ``w1, w2``."""
     def run(batches):
         for b in batches:
             slot = pair_mix(b.column(0).to_numpy(), b.column(1).to_numpy()) & np.uint64((1 << bits) - 1)
@@ -275,8 +275,15 @@ def pair_bitmap(found: DataFrame, bits: int) -> np.ndarray:
     got = (found.select("w1", "w2").mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit"))
            .toArrow())
     out = np.zeros(max(1, 1 << bits >> 5), "<u4")
-    out[got["word"].to_numpy()] = got["bit"].to_numpy().astype("<u4")
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    for b in got.to_batches():
+        out[b.column(0).to_numpy()] = b.column(1).to_numpy().astype("<u4")
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the hashes ``values`` have their bit in the bitmap, which stays packed."""
+    slot = values & np.uint64(32 * len(bitmap) - 1)
+    return bitmap[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype("<u4") & np.uint32(1) == 1
 
 
 def triples(coded: DataFrame, kind: str, bitmap, buckets: int, branches: int) -> DataFrame:
@@ -286,7 +293,7 @@ def triples(coded: DataFrame, kind: str, bitmap, buckets: int, branches: int) ->
         for w in runs_of(batches, kind):
             both = (w[:-1] != 0) & (w[1:] != 0)
             at = np.flatnonzero(both)
-            both[at] = bits[pair_mix(w[at], w[at + 1]) & np.uint64(len(bits) - 1)]
+            both[at] = in_bitmap(bits, pair_mix(w[at], w[at + 1]))
             at = np.flatnonzero(both[:-1] & both[1:])
             if len(at):
                 yield from _packed(*_tallied([w[at], w[at + 1], w[at + 2]]), buckets, branch)
@@ -433,6 +440,16 @@ def tries_of(candidates: DataFrame, tries: int) -> DataFrame:
             .applyInArrow(_trie_row, "trie int, alphabet binary, code binary, base binary, check binary, accept binary, phrases binary"))
 
 
+def shared_trie(built: DataFrame, part: int):
+    """The trie number ``part`` as a broadcast (None: there is none). The driver holds its arrays once, as they
+    arrive, and nothing of them afterwards."""
+    got = built.where(F.col("trie") == part).select("alphabet", "code", "base", "check", "accept").toArrow()
+    if not got.num_rows:
+        return None
+    arrays = [np.frombuffer(c[0].as_buffer(), k) for c, k in zip(got.columns, ("<i8", "<i8", "<i4", "<i4", "<i4"))]
+    return built.sparkSession.sparkContext.broadcast(Trie(*arrays))
+
+
 def trie_counts(coded: DataFrame, kind: str, trie, part: int, tries: int, branch: int) -> DataFrame:
     """``trie, nth, a`` of the phrases of one broadcast `Trie` that texts hold."""
     def run(batches):
@@ -531,19 +548,20 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     n_two = two.count()
     bits = min(28, max(10, (8 * n_two).bit_length()))  # about 8 bits a pair, at most 32 MB
     bitmap = spark.sparkContext.broadcast(pair_bitmap(two, bits))
+    release_memory()
     three = staged(triples(coded, kind, bitmap, buckets, branch), "pc-triples")
+    bitmap.destroy()  # the triples are written
     candidates = two.select("w1", "w2", F.lit(0).cast("long").alias("w3")).unionByName(three.select("w1", "w2", "w3"))
     tries = parts_for(n_two + three.count(), trie)
     built = staged(tries_of(candidates, tries), "pc-tries")
     counts = []
     for part in range(tries):
-        row = built.where(F.col("trie") == part).select("alphabet", "code", "base", "check", "accept").first()
-        if row is None:
+        shared = shared_trie(built, part)
+        if shared is None:
             continue
-        shared = spark.sparkContext.broadcast(Trie(*(np.frombuffer(x, k) for x, k in zip(row, ("<i8", "<i8", "<i4", "<i4", "<i4")))))
+        release_memory()
         counts.append(staged(trie_counts(coded, kind, shared, part, tries, branch), "pc-counts"))
         shared.destroy()  # the counts are written
-        del row
     found = spark.createDataFrame([], "trie int, nth long, a long")
     for c in counts:
         found = found.unionByName(c)
