@@ -442,3 +442,14 @@ def test_batch_that_changes_between_reads_is_not_published(spark, store):
     with pytest.raises(RuntimeError, match="not published"):
         store.insert_ignore(S.NEWS, batch)
     assert store.read(S.NEWS).count() == 1
+
+
+def test_ids_are_given_to_keys_not_to_texts(spark, store, monkeypatch):
+    seen, with_ids = [], TableStore._with_ids
+    monkeypatch.setattr(TableStore, "_with_ids", lambda self, rows, start: seen.append(rows.columns) or with_ids(self, rows, start))
+    store.insert_ignore(S.NEWS, news(spark, [("BTC", f"h{i}", f"u{i}", T10) for i in range(9)], batch=3))
+    store.insert_ignore(S.NEWS, news(spark, [("BTC", f"g{i}", f"u{i}", T10) for i in range(8, 12)], batch=2))
+    assert len(seen) == 2 and not any("headline" in columns for columns in seen)
+    got = {r.url: (r.id, r.headline) for r in store.read(S.NEWS).collect()}
+    assert sorted(i for i, _ in got.values()) == list(range(1, 13))
+    assert all(got[f"u{k}"][0] <= 9 for k in range(9)) and got["u8"][1] == "g8"
