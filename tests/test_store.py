@@ -453,3 +453,42 @@ def test_ids_are_given_to_keys_not_to_texts(spark, store, monkeypatch):
     got = {r.url: (r.id, r.headline) for r in store.read(S.NEWS).collect()}
     assert sorted(i for i, _ in got.values()) == list(range(1, 13))
     assert all(got[f"u{k}"][0] <= 9 for k in range(9)) and got["u8"][1] == "g8"
+
+
+def test_texts_are_dealt_once_by_partition(spark, store, monkeypatch):
+    """One exchange deals the texts that a table gets, and stored rows that are written again are dealt by none."""
+    plans, publish = [], TableStore._publish
+
+    def kept(self, spec, pointer, df, *a, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return publish(self, spec, pointer, df, *a, **kw)
+
+    monkeypatch.setattr(TableStore, "_publish", kept)
+    store.insert_ignore(S.NEWS, news(spark, [("BTC", f"h{i}", f"u{i}", T10) for i in range(9)], batch=3))
+    store.insert_ignore(S.NEWS, news(spark, [("BTC", f"g{i}", f"u{i}", T10) for i in range(8, 12)], batch=2))
+    assert len(plans) == 2
+    for plan in plans:
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("__cut" in line or "url" in line)]
+        assert len(dealt) == 1 and "__cut" in dealt[0] and "rebalance" not in plan.lower()
+    assert {r.url: r.headline for r in store.read(S.NEWS).collect()}["u8"] == "g8"
+
+
+@pytest.mark.parametrize("limits", [{}, {"cut_bytes": 200}, {"broadcast_bytes": 0}, {"broadcast_rows": 0, "broadcast_bytes": 0, "cut_bytes": 200}])
+def test_rows_do_not_depend_on_how_they_are_dealt(spark, tmp_path, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(TableStore, name, value)
+    s = TableStore(spark, str(tmp_path / "dealt"))
+    s.create_tables([S.NEWS])
+    own = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tiny groups meet in one task
+    once = [("BTC", f"h{i}", f"u{i}", T10) for i in range(40)]
+    s.insert_ignore(S.NEWS, news(spark, once + [("BTC", f"copy {k}", "u7", T10) for k in range(60)] + [("ETH", "e", "u7", T10)], batch=5))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", own)
+    if "cut_bytes" in limits:
+        assert len([f for f in s.read(S.NEWS).inputFiles() if "asset_part=BTC" in f]) > 1
+    st = s.insert_ignore(S.NEWS, news(spark, [("BTC", "older", "u3", T10), ("BTC", "new", "v", T10), ("BTC", "newer", "v", T10)], batch=4))
+    assert (st.rows_in, st.rows_written, st.rows_ignored, st.rows_deduped) == (3, 2, 0, 1)
+    got = sorted((r.asset, r.url, r.headline) for r in s.read(S.NEWS).collect())
+    assert got == sorted([("BTC", u, "older" if u == "u3" else h) for _, h, u, _ in once] + [("BTC", "v", "new"), ("ETH", "u7", "e")])
+    ids = {(r.asset, r.url): r.id for r in s.read(S.NEWS).collect()}
+    assert sorted(ids.values()) == list(range(1, 43)) and ids["BTC", "v"] == 42

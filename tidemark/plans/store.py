@@ -413,12 +413,12 @@ class TableStore:
     def _winners(self, spec, inc, bad, more):
         """Per-key winners staged as parquet, in one pass over the batch: counts of the batch are observed
         before the reduction, counts and key bytes of the winners on the write. A last-wins table's winners are whole
-        rows; of a first-wins table only key and arrival are staged, the rows are taken up when it is known
+        rows; of a first-wins table only key, arrival and size are staged, the rows are taken up when it is known
         which of them the table gets."""
         obs = Observation(f"{spec.name}-in-{uuid.uuid4().hex[:8]}")
         seen = inc.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), *more)
         if spec.conflict == "ignore":
-            first = F.min(F.struct(*ARRIVAL_COLUMNS)).alias("__first")
+            first = F.min(F.struct(*ARRIVAL_COLUMNS, self._row_bytes(spec).alias("__bytes"))).alias("__first")
             winners = seen.where(~bad).groupBy(*spec.key).agg(first).select(*spec.key, "__first.*")
         else:
             winners = latest_per_key(seen, spec.key, ARRIVAL_COLUMNS).select(*spec.columns_no_id, *ARRIVAL_COLUMNS)
@@ -431,22 +431,32 @@ class TableStore:
         return sum((F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(spec.schema[c].dataType, T.StringType)
                     else F.lit(8)) + F.lit(16) for c in spec.key)
 
+    @staticmethod
+    def _row_bytes(spec: S.TableSpec) -> Column:
+        """About the bytes of a row: its texts, and 8 for every column."""
+        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in spec.columns_no_id if isinstance(spec.schema[c].dataType, T.StringType)]
+        return sum(texts, F.lit(8 * len(spec.columns))).cast("long")
+
+    def _is_small(self, n: int, key_bytes: int) -> bool:
+        return n <= self.broadcast_rows and key_bytes <= self.broadcast_bytes
+
     def _keys_side(self, df: DataFrame, n: int, key_bytes: int) -> DataFrame:
         """Broadcast a key side only under a proven bound: at most ``broadcast_rows`` keys and
         ``broadcast_bytes`` of key data (measured exactly on the staged winners)."""
-        small = n <= self.broadcast_rows and key_bytes <= self.broadcast_bytes
-        return F.broadcast(df) if small else df
+        return F.broadcast(df) if self._is_small(n, key_bytes) else df
 
     broadcast_rows = DEFAULT_BROADCAST_ROWS
     broadcast_bytes = 64 << 20
+    cut_bytes = 64 << 20   # of rows (`_row_bytes`) that an insert-or-ignore deals into one group, and so one file, about
 
     def _touched(self, spec: S.TableSpec, stored: DataFrame, winners: DataFrame) -> DataFrame:
         """Stored rows of the partitions that the winners fall into: by literals for months and days
-        (bounded by the batch's time span), by a semi join that prunes dynamically otherwise."""
+        (bounded by the batch's time span), by a semi join that prunes dynamically otherwise. The values name folders,
+        which the pointer lists anyway: they are broadcast, however long the staged winners are."""
         values = winners.select(spec.partition_col).distinct()
         if spec.time_grain is not None:
             return stored.where(F.col(spec.partition_col).isin([r[0] for r in values.collect()]))
-        return stored.join(values, spec.partition_col, "left_semi")
+        return stored.join(F.broadcast(values), spec.partition_col, "left_semi")
 
     def _met(self, spec: S.TableSpec, base: DataFrame, winners: DataFrame, n: int, key_bytes: int,
              *columns: Column) -> DataFrame:
@@ -529,7 +539,8 @@ class TableStore:
         """IGNORE: first arrival per key wins within the batch and against stored rows (a row that arrived
         before the stored one takes its place and id); rows with NULL in a NOT NULL column are
         skipped and counted; new keys get increasing ids. Keys and arrivals alone decide; the batch is read again
-        for the rows that the table gets, whose texts are shuffled by key and by partition, and written once.
+        for the rows that the table gets, whose texts are shuffled once (`_taken`) and written once. Stored rows that are
+        written again stay in the tasks that read them.
         A batch that does not give the same rows when it is read again is not published."""
         spec = self.spec(spec)
         stats = WriteStats(spec.name)
@@ -561,23 +572,44 @@ class TableStore:
             new, older = decided.metrics["new"], decided.metrics["older"]
             stats.rows_written, stats.rows_ignored = new + older, n - new - older
             if new + older:
-                ids = self._with_ids(decided.df, pointer["next_id"]).select(*spec.key, "id")
-                # both sides are dealt by the key: the join moves no text
-                rows = first_per_key(inc.where(~bad), spec.key, ARRIVAL_COLUMNS).join(ids, spec.key) \
-                    .withColumn(spec.partition_col, F.expr(spec.partition_expr)).withColumn("__taken", F.lit(1))
+                rows = self._taken(spec, inc.where(~bad), decided.df, pointer["next_id"], new + older).withColumn("__taken", F.lit(1))
                 if older:
-                    changed = decided.df.where(stored).select(*spec.key)
-                    rows = base.join(self._keys_side(changed, older, int(decided.metrics["older_bytes"])), spec.key, "left_anti") \
-                        .withColumn("__taken", F.lit(0)).unionByName(rows)
-                _, stats.partitions = self._publish(spec, pointer, rows.hint("rebalance", spec.partition_col), bool(older),
-                                                    next_id=pointer["next_id"] + new, metrics={"taken": F.sum("__taken")},
-                                                    expected={"taken": new + older})
+                    changed, size = decided.df.where(stored).select(*spec.key), int(decided.metrics["older_bytes"])
+                    kept = base.join(self._keys_side(changed, older, size), spec.key, "left_anti").withColumn("__taken", F.lit(0))
+                    if not self._is_small(older, size):
+                        kept = kept.hint("rebalance", spec.partition_col)  # the join has dealt them by key
+                    rows = kept.unionByName(rows)
+                _, stats.partitions = self._publish(spec, pointer, rows, bool(older), next_id=pointer["next_id"] + new,
+                                                    metrics={"taken": F.sum("__taken")}, expected={"taken": new + older})
         finally:
             for staged in (st, maybe, decided):
                 if staged is not None:
                     staged.drop()
         return stats
 
+    def _taken(self, spec: S.TableSpec, rows: DataFrame, decided: DataFrame, next_id: int, n: int) -> DataFrame:
+        """The whole rows that the ``n`` keys and arrivals of ``decided`` (staged) name, with ids and partition. Most others
+        are left out before the shuffle, by a bitmap of keys and arrivals; if that would be too large to broadcast, one row
+        per key is, by one more shuffle. Rows and ids are then dealt together by partition and, in partitions of more than
+        ``cut_bytes``, by parts of them, which is also how they are written."""
+        part, known = spec.partition_col, [*spec.key, *ARRIVAL_COLUMNS]
+        if 2 ** version_index.bits_for(n) // 8 <= self.broadcast_bytes:
+            rows = version_index.perhaps_among(rows, decided, known, n)
+        else:
+            rows = first_per_key(rows, spec.key, ARRIVAL_COLUMNS)
+        # one small row per partition that gets rows
+        cuts = decided.groupBy(part).agg(F.ceil(F.sum("__bytes") / self.cut_bytes).alias("__cuts"))
+        body = F.struct(*[c for c in rows.columns if c not in spec.key])
+        texts = rows.withColumn(part, F.expr(spec.partition_expr)).select(*spec.key, part, body.alias("__row"), F.lit(None).cast("long").alias("id"))
+        ids = self._with_ids(decided, next_id).select(*spec.key, part, "id", F.struct(*ARRIVAL_COLUMNS).alias("__won"))
+        dealt = texts.unionByName(ids, allowMissingColumns=True).join(F.broadcast(cuts), part) \
+            .withColumn("__cut", F.pmod(F.xxhash64(*spec.key), "__cuts")).drop("__cuts").repartition(part, "__cut")
+        arrival = F.struct(*[F.col(f"__row.{c}").alias(c) for c in ARRIVAL_COLUMNS])
+        first = F.min_by("__row", F.when(F.col("__row").isNotNull(), arrival))  # a row of ids has none and is passed over
+        picked = dealt.groupBy(part, "__cut", *spec.key).agg(first.alias("__row"), F.max("id").alias("id"), F.max("__won").alias("__won"))
+        return picked.where(F.col("id").isNotNull() & F.col("__row").isNotNull() & (arrival == F.col("__won"))) \
+            .select(*spec.key, "__row.*", "id", part)
+
     # -- K7: surrogate ids ------------------------------------------------------------
     def _with_ids(self, rows: DataFrame, start: int) -> DataFrame:
         """Ids for staged rows without a stored one: by file and place in the file, from ``start`` on;

@@ -47,9 +47,29 @@ def may_hold(asked: DataFrame, bitmaps: DataFrame, spec: S.TableSpec) -> DataFra
     sizes = bitmaps.select(*at, "bits").distinct()
     placed = asked.withColumn("__h", F.xxhash64(*spec.key)).join(F.broadcast(sizes), spec.partition_col) \
         .select(*asked.columns, "v", *_position(F.col("bits")))
+    return placed.join(bitmaps.select(*at, "bucket", "bitmap"), [*at, "bucket"]).where(_is_set()).select(*asked.columns, "v")
+
+
+def _is_set() -> Column:
+    """Whether ``bitmap`` has the bit ``bit``."""
     byte = F.conv(F.hex(F.expr("substring(bitmap, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    bit = F.call_function("shiftright", byte, F.pmod("bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
-    return placed.join(bitmaps.select(*at, "bucket", "bitmap"), [*at, "bucket"]).where(bit == 1).select(*asked.columns, "v")
+    return F.call_function("shiftright", byte, F.pmod("bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def bits_for(n: int) -> int:
+    """Bits that number the positions of a bitmap of ``n`` keys."""
+    return max(15, (n * BITS_PER_KEY - 1).bit_length())
+
+
+def perhaps_among(rows: DataFrame, wanted: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """The rows of ``rows`` whose ``columns`` may be those of one of the ``n`` rows of ``wanted``, by one bitmap that is
+    broadcast (2 ** ``bits_for(n)`` / 8 bytes). What is left out certainly is not; no row is shuffled."""
+    hashed, bits = F.xxhash64(*columns).alias("__h"), F.lit(bits_for(n)).alias("bits")
+    place = _position(F.col("bits"))
+    # dealt by bucket first: what is shuffled grows with the keys, not with tasks times buckets
+    bitmap = wanted.select(hashed, bits).select(*place).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    return rows.select("*", hashed, bits).select(*rows.columns, *place).join(F.broadcast(bitmap), "bucket") \
+        .where(_is_set()).select(*rows.columns)
 
 
 def batch_states(rows: DataFrame, spec: S.TableSpec) -> DataFrame:
