@@ -130,3 +130,14 @@ def test_merging_many_pieces_equals_one_by_one():
             assert byte_bpe.merge_all(some, ranks, byte_bpe.joins_of(ranks)) == [plain(p) for p in some]
         finally:
             c.ranks = saved
+
+
+def test_packed_ids_are_those_of_the_texts():
+    """Ids of many texts in a row, and what is spelled from them without a Python object per id."""
+    c = byte_bpe.codec()
+    for texts in ([], [""], ["", "", ""], ["", *[t or "" for t in TEXTS], "", "x"]):
+        ids, starts = c.encode_packed(texts)
+        each = [c.encode(t) for t in texts]
+        assert ids.tolist() == [i for x in each for i in x] and len(starts) == len(texts) + 1
+        assert [bytes(x) for x in c.spell(c.tokens, ids, starts)] == [t.encode() for t in texts]
+        assert [bytes(x) for x in c.spell(c.decimals, ids, starts)] == ["".join(f"{i} " for i in x).encode() for x in each]

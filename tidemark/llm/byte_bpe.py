@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 BARRIER = 0xFFFF  # stands after every piece; no pair has it
+PACKED = "<u2"    # ids are below the barrier
 
 
 def _laid_out(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]):
@@ -57,9 +58,23 @@ def _laid_out(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int
 
 
 def merge_all(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]) -> list[list[int]]:
-    """Token ids of pieces that are side by side in one linked list, with a barrier after each: one queue serves
-    them all, and no pair crosses a barrier. ``joins[left << 16 | right]`` is the rank of two tokens' bytes
-    joined, which is also the id of that token (`joins_of`)."""
+    """Token ids of every piece (`_merged`)."""
+    ids, ends = _merged(pieces, ranks, joins)
+    ids = ids.tolist()
+    return [ids[a:z] for a, z in zip([0, *[c + 1 for c in ends]], ends)]
+
+
+def merge_packed(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]) -> list[bytes]:
+    """Token ids of every piece (`_merged`), packed as ``PACKED`` numbers."""
+    ids, ends = _merged(pieces, ranks, joins)
+    packed = ids.astype(PACKED).tobytes()
+    return [packed[2 * a:2 * z] for a, z in zip([0, *[c + 1 for c in ends]], ends)]
+
+
+def _merged(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int]) -> tuple[np.ndarray, list[int]]:
+    """(token ids with a barrier after each piece, places of the barriers). The pieces are side by side in one linked
+    list: one queue serves them all, and no pair crosses a barrier. ``joins[left << 16 | right]`` is the rank of two
+    tokens' bytes joined, which is also the id of that token (`joins_of`)."""
     get = joins.get
     tokens, waiting, buckets = _laid_out(pieces, ranks, joins)  # waiting: rank of the pair that starts here, -1: none
     n = len(tokens)
@@ -124,9 +139,7 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], joins: dict[int, int
                         lower = True
     left = np.array(still_linked(after, n), np.int64)
     ids = np.array(tokens, np.int64)[left]
-    cuts = np.flatnonzero(ids == BARRIER).tolist()
-    ids = ids.tolist()
-    return [ids[a:z] for a, z in zip([0, *[c + 1 for c in cuts]], cuts)]
+    return ids, np.flatnonzero(ids == BARRIER).tolist()
 
 
 def still_linked(after: list[int], n: int) -> list[int]:
@@ -167,8 +180,11 @@ class Codec:
         if len(self.ranks) > 0xFFFF or sorted(self.bytes_of) != list(range(len(self.ranks))):
             raise ValueError("ranks must count from 0 and stay below 65535")
         self.joins = joins_of(self.ranks)
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        tokens = [self.bytes_of[k] for k in range(len(self.ranks))]
+        self.tokens = pa.array(tokens, pa.large_binary())
+        self.decimals = pa.array([b"%d " % k for k in range(len(tokens))], pa.large_binary())
+        self.cache: dict[str, bytes] = {}  # packed ids of pieces
+        self.older: dict[str, bytes] = {}
         self.room = CACHE_BYTES
 
     def learn(self, texts: list[str]) -> list[list[str]]:
@@ -186,15 +202,20 @@ class Codec:
             if whole is None:
                 waiting.append(p)
             else:
-                self.cache[p] = (whole,)
+                self.cache[p] = whole.to_bytes(2, "little")
         for k in range(0, len(waiting), 1000):
             part = waiting[k:k + 1000]
-            self.cache.update(zip(part, map(tuple, merge_all([p.encode() for p in part], self.ranks, self.joins))))
+            self.cache.update(zip(part, merge_packed([p.encode() for p in part], self.ranks, self.joins)))
         return pieces
 
+    def encode_packed(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """(ids of all texts in a row, at which of them each text begins, and the end)."""
+        found = [b"".join(map(self.cache.__getitem__, pieces)) for pieces in self.learn(texts)]
+        return np.frombuffer(b"".join(found), PACKED), [0, *accumulate(len(x) // 2 for x in found)]
+
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        found = self.learn(texts)
-        return [list(chain.from_iterable(map(self.cache.__getitem__, pieces))) for pieces in found]
+        ids, starts = self.encode_packed(texts)
+        return [ids[a:z].tolist() for a, z in zip(starts, starts[1:])]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
@@ -202,6 +223,15 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    @staticmethod
+    def spell(entries: pa.Array, ids: np.ndarray, starts: list[int]) -> list[memoryview]:
+        """The joined entries (``tokens`` or ``decimals``) of the ids of every text."""
+        taken = entries.take(pa.array(ids))
+        _, offsets, data = taken.buffers()
+        at = np.frombuffer(offsets, np.int64)[taken.offset:][starts].tolist() if len(ids) else [0] * len(starts)
+        data = memoryview(data or b"")
+        return [data[a:z] for a, z in zip(at, at[1:])]
+
 
 _codecs: dict[tuple[str, str], Codec] = {}
 
@@ -245,13 +275,12 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids_sha256, decoded_sha256``. One pass; ids and bytes stay in the task."""
     def run(batches):
         c = codec(vocabulary)
-        name = {i: str(i) for i in c.bytes_of}.__getitem__
         for b in slices(batches):
-            counts, ids_sha, data_sha = [], [], []
-            for ids in c.encode_all([t or "" for t in b.column(1).to_pylist()]):
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(name, ids)).encode()).hexdigest())
-                data_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
+            ids, starts = c.encode_packed([t or "" for t in b.column(1).to_pylist()])
+            counts = [z - a for a, z in zip(starts, starts[1:])]
+            # every number is followed by a space; the last one of a text is left out
+            ids_sha = [hashlib.sha256(x[:-1]).hexdigest() for x in c.spell(c.decimals, ids, starts)]
+            data_sha = [hashlib.sha256(x).hexdigest() for x in c.spell(c.tokens, ids, starts)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                                               pa.array(data_sha, pa.string())],
                                              ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
