@@ -309,3 +309,65 @@ def test_conflicting_payloads_with_same_envelope_identity_resolve_deterministica
         run_ingest(spark, st, price=land)
         results.append([r.close for r in st.read(S.PRICE).collect()])
     assert results[0] == results[1] and len(results[0]) == 1
+
+
+# --- queries over ingested tables: a failed batch is no result -------------------------------
+
+def driver_tables(spark, path, documents):
+    """Tables that the landing payloads are derived from: documents (id, source, text) and a few events."""
+    spark.createDataFrame(documents, "doc_id long, source string, text string").write.parquet(f"{path}/documents.parquet")
+    events = [(i, "click", dt.datetime(2024, 1, 3, i % 24), float(i)) for i in range(1, 600)]
+    spark.createDataFrame(events, "event_id long, event_type string, ts timestamp_ntz, value double") \
+        .write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+ARTICLES = [(5, "src0", "calm"), (6, "src0", "wind"), (105, "src0", "calm"), (106, "src1", "rain"), (107, "src1", "")]
+
+
+@pytest.mark.parametrize("fails", [1, 2])
+def test_a_failed_batch_is_no_result_of_stored_news_ids(spark, tmp_path, monkeypatch, fails):
+    from tidemark.plans import endtoend
+    from tidemark.plans.ingest import SourceFailed
+    sf = driver_tables(spark, tmp_path / "t", ARTICLES)
+    calls, insert = [], TableStore.insert_ignore
+
+    def insert_ignore(self, *args, **kwargs):
+        calls.append(1)
+        if len(calls) == fails:
+            raise OSError("disk gone")
+        return insert(self, *args, **kwargs)
+    monkeypatch.setattr(TableStore, "insert_ignore", insert_ignore)
+    with pytest.raises(SourceFailed, match="news .system failure.: OSError: disk gone"):
+        endtoend.q_stored_news_ids(spark, sf)
+    assert len(calls) == fails                                      # no batch after a failed one
+    del calls[:]
+    monkeypatch.setattr(TableStore, "insert_ignore", insert)
+    assert tuple(endtoend.q_stored_news_ids(spark, sf).first()) == (3, 3, 1, 3, 2, 1)
+
+
+@pytest.mark.parametrize("documents, result", [
+    (ARTICLES[:2], (2, 2, 1, 2, 0, 0)),                             # no payload in the first batch
+    ([*ARTICLES[:2], (105, None, "rain")], (2, 2, 1, 2, 0, 0)),     # only a rejected one
+    (ARTICLES[2:], (2, 2, 1, 2, 2, 2)),                             # the second batch lands the first again
+])
+def test_stored_news_ids_of_batches_without_rows(spark, tmp_path, documents, result):
+    from tidemark.plans import endtoend
+    assert tuple(endtoend.q_stored_news_ids(spark, driver_tables(spark, tmp_path / "t", documents)).first()) == result
+
+
+def test_a_failed_batch_is_no_result_of_other_queries(spark, tmp_path, monkeypatch):
+    from tidemark.plans import endtoend
+    from tidemark.plans.ingest import SourceFailed
+    sf = driver_tables(spark, tmp_path / "t", ARTICLES)
+
+    def fail(*args, **kwargs):
+        raise OSError("disk gone")
+    monkeypatch.setattr(TableStore, "insert_ignore", fail)
+    monkeypatch.setattr(TableStore, "upsert", fail)
+    for name in ("stored_price_table", "stored_market_window", "stored_news_table", "stored_stats_pushed", "stored_price_interleaved",
+                 "news_max_articles_redelivered", "quarantine_after_replay"):
+        with pytest.raises(SourceFailed, match="disk gone"):
+            endtoend.END_TO_END_QUERIES[name](spark, sf)
+    report = {r.source: (r.ok, r.failure) for r in endtoend.q_run_report(spark, sf).collect()}
+    assert report == {k: (False, "system") for k in ("price", "market", "news")}   # the report tells failures

@@ -12,7 +12,7 @@ from tidemark import schemas as S
 from tidemark.plans import landing_from_tables as L
 from tidemark.plans.arrival_log import LogStore
 from tidemark.plans.feeds import table
-from tidemark.plans.ingest import ingest_source, report_frame, run_ingest
+from tidemark.plans.ingest import ingest_source, report_frame, require_stored, run_ingest
 from tidemark.plans.store import TableStore
 from tidemark.session import ensure_utc, scratch_path
 from tidemark.sources import shred
@@ -41,8 +41,15 @@ def ingest_into_store(spark: SparkSession, sf: str, store: TableStore | None = N
     return store, results
 
 
+def _whole_store(spark: SparkSession, sf: str, kind: str) -> TableStore:
+    """A store with the one source's landing in it."""
+    store, results = ingest_into_store(spark, sf, kinds=(kind,))
+    require_stored(next(r for r in results if r.source == kind))
+    return store
+
+
 def _stored(spark, sf, spec, kind):
-    store, _ = ingest_into_store(spark, sf, kinds=(kind,))
+    store = _whole_store(spark, sf, kind)
     cols = [F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c)
             for c in spec.columns_no_id]
     return store.read(spec).select(*cols)
@@ -113,10 +120,10 @@ def q_stored_news_ids(spark: SparkSession, sf: str) -> DataFrame:
     ensure_utc(spark)
     store.create_tables([S.NEWS])
     first, rest = two_landings("news", envelopes(spark, sf)[2])
-    ingest_source(spark, store, "news", first, NEWS_ASSETS)
+    require_stored(ingest_source(spark, store, "news", first, NEWS_ASSETS))
     high = store.read(S.NEWS).agg(F.max("id").alias("first_max"))
-    high = high.first()["first_max"]
-    res = ingest_source(spark, store, "news", rest, NEWS_ASSETS)
+    high = high.first()["first_max"] or 0          # nothing stored yet: ids begin above 0
+    res = require_stored(ingest_source(spark, store, "news", rest, NEWS_ASSETS))
     return store.read(S.NEWS).agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("min_id"),
         F.max("id").alias("max_id"), F.lit(high).cast("long").alias("first_max")) \
@@ -154,13 +161,13 @@ def q_log_price_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stored_stats_pushed(spark: SparkSession, sf: str) -> DataFrame:
     """Rows, nulls and range of closes per month of the stored price table, from parquet footers."""
-    store, _ = ingest_into_store(spark, sf, kinds=("price",))
+    store = _whole_store(spark, sf, "price")
     return store.footer_stats(S.PRICE).select("month", "n", "null_volume", "null_market_cap", "min_close", "max_close")
 
 
 def q_stored_price_interleaved(spark: SparkSession, sf: str) -> DataFrame:
     """One asset over all time and one short time over all assets, read from the interleaved layout."""
-    store, _ = ingest_into_store(spark, sf, kinds=("price",))
+    store = _whole_store(spark, sf, "price")
     store.compact(S.PRICE, files=16, interleave=True)
     one_asset = store.read_window(S.PRICE, "1970-01-01 00:00:00", "2999-01-01 00:00:00", "view")
     short = store.read_window(S.PRICE, *WINDOW).where("asset <> 'view'")
@@ -185,7 +192,7 @@ def q_news_max_articles_redelivered(spark: SparkSession, sf: str) -> DataFrame:
     store = TableStore(spark, scratch_path(spark, "store"))
     store.create_tables([S.NEWS])
     landed = envelopes(spark, sf)[2]
-    ingest_source(spark, store, "news", landed.unionByName(landed), NEWS_ASSETS, max_articles=3)
+    require_stored(ingest_source(spark, store, "news", landed.unionByName(landed), NEWS_ASSETS, max_articles=3))
     return store.read(S.NEWS).groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("first_url"))
 
 
@@ -195,7 +202,7 @@ NEWS_WINDOW = ("2024-01-01 02:00:00", "2024-01-01 09:00:00")
 
 
 def _window(spark: SparkSession, sf: str, kind: str, spec: S.TableSpec, asset: str | None) -> DataFrame:
-    store, _ = ingest_into_store(spark, sf, kinds=(kind,))
+    store = _whole_store(spark, sf, kind)
     bounds = NEWS_WINDOW if kind == "news" else WINDOW
     inside = store.read_window(spec, *bounds, asset)
     reversed_ = store.read_window(spec, *bounds[::-1], asset)  # empty
@@ -221,7 +228,7 @@ def q_quarantine_after_replay(spark: SparkSession, sf: str) -> DataFrame:
     store.create_tables([S.PRICE])
     landed = envelopes(spark, sf)[0]
     for _ in range(2):
-        ingest_source(spark, store, "price", landed, PRICE_ASSETS)
+        require_stored(ingest_source(spark, store, "price", landed, PRICE_ASSETS))
     return store.read_quarantine().groupBy("source", "asset", "reason").agg(F.count(F.lit(1)).alias("payloads"))
 
 
