@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 
@@ -191,6 +193,80 @@ def test_suffix_array_and_common_prefixes():
         assert got[b] == next((k for k in range(50) if text[a + k] != text[b + k]), 50)
 
 
+class Batches:
+    """Takes the place of a DataFrame whose batches are handled here."""
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def removal_in_process(rows, shards=3, merges=5, buckets=4, hot=suffix_dedup.HOT):
+    """The steps of `suffix_dedup.suffix_dedup` without Spark."""
+    last = suffix_dedup.LAST
+    docs = [pa.table({"shard": pa.array([k] * len(own), pa.int32()), "id": pa.array([i for i, _ in own], pa.int64()),
+                      "key": pa.array([last if i is None else i for i, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.string())})
+            for k, own in ((k, rows[k::shards]) for k in range(shards))]
+
+    def grouped(tables, by, function):
+        whole = pa.concat_tables(tables)
+        return [function(whole.filter(pc.equal(whole[by], k))) for k in sorted(set(whole[by].to_pylist()))]
+
+    base = [b for d in docs for b in d.select(["shard", "text"]).to_batches()]
+    entries = pa.Table.from_batches(suffix_dedup.anchor_rows(Batches(), buckets)(base))
+    answers = pa.concat_tables(grouped([entries], "bucket", lambda t: suffix_dedup._repeated(t, hot)))
+    own = lambda t, k: t.filter(pc.equal(t["shard"], k))
+    contexts = [suffix_dedup._contexts(d, own(answers, k), merges) for k, d in enumerate(docs)]
+    both = pa.concat_tables([answers, *grouped(contexts, "merge", suffix_dedup._merged)], promote_options="default")
+    done = pa.concat_tables([suffix_dedup._removed(d, own(both, k), [], merges) for k, d in enumerate(docs)])
+    return sorted((str(r["id"]), r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in done.to_pylist())
+
+
+def repeating_rows(rng):
+    shared = [prose(rng, 30) for _ in range(4)] + ["a" * 300, "ab" * 90, "\x00" * 120]
+    rows = [(None, shared[0] + " tail"), (3, None), (5, ""), (5, shared[1]), (5, shared[1] + "x"), (6, shared[1][:49]), (7, shared[2]), (8, shared[2])]
+    return rows + [(100 + k // 2, prose(rng, rng.randint(1, 30)) + rng.choice(shared) + prose(rng, 5) + rng.choice(shared)[7:]) for k in range(40)]
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 3}, {"shards": 1}, {"shards": 7, "merges": 1, "buckets": 1}])
+def test_steps_of_suffix_dedup_equal_brute_force(options, monkeypatch):
+    rows = repeating_rows(random.Random(11))
+    want = brute_removal(rows)
+    assert removal_in_process(rows, **options) == want
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2000)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 500)
+    assert removal_in_process(rows, **options) == want
+    # contexts that clash in their codes are told apart by their bytes
+    monkeypatch.setattr(suffix_dedup, "context_codes", lambda words, begin, count: (begin * 0).astype(np.uint64))
+    assert removal_in_process(rows, **options) == want
+
+
+def test_only_contexts_that_can_share_strings_are_sorted(monkeypatch):
+    rng = random.Random(12)
+    once, twice = ["".join(rng.choice("abcdefgh") for _ in range(4000)) for _ in range(2)]
+    rows = [(k, once) for k in range(6)] + [(10, twice), (11, "x" + twice[:2000] + "y" + twice[2000:])]
+    sorted_bytes, classes = [], suffix_dedup.block_classes
+
+    def block_classes(data, sizes, owners):
+        sorted_bytes.append(len(data))
+        return classes(data, sizes, owners)
+    monkeypatch.setattr(suffix_dedup, "block_classes", block_classes)
+    assert removal_in_process(rows, shards=8) == brute_removal(rows)
+    assert sum(sorted_bytes) < 2000         # what copies have in common is one context per anchor; before: all of it was sorted
+
+
+def test_merge_shards_get_contexts_compressed():
+    rng = np.random.default_rng(13)
+    sizes, owners = rng.integers(50, 114, 500), rng.integers(0, suffix_dedup.LAST, 500)
+    data = rng.integers(97, 105, int(sizes.sum())).astype(np.uint8).tobytes()
+    packed = suffix_dedup._pack(sizes, owners // 1000, data)
+    got = suffix_dedup._unpack(500, 9 * 500 + len(data), packed)
+    assert (got[0] == sizes).all() and (got[1] == owners // 1000).all() and got[2] == data
+    assert len(packed) < len(data)          # before: more bytes than the contexts have
+
+
 # ---- sentence spans ------------------------------------------------------------------------------
 
 def brute_sentences(rows):
